@@ -184,3 +184,125 @@ COVERAGE_FIXTURES = [
     "fx_input_precision", "fx_input_generic", "fx_precision", "fx_generic", "fx_semantic", "fx_queue", "fx_requests",
 ]
 oracle("coverage_report", COVERAGE_FIXTURES, _coverage())
+
+
+# --- review queue and auto approval ------------------------------------------
+
+def _fallbacks(fields: dict, first: str, second: str) -> str:
+    lines = []
+    for target, (own, other) in fields.items():
+        spare = f"cast({second}.{other} as varchar)"
+        if target == "base_upc":
+            spare = f"split_part({spare}, ',', 1)"
+        price = ", '0.0'" if target.endswith("_price") else ""
+        lines.append(f"coalesce(nullif({first}.{own}, ''), {spare}{price}) as {target}")
+    return ",\n      ".join(lines)
+
+
+def _queue() -> str:
+    from pairloom.plans import review_queue as q
+
+    side_order = ", ".join(sorted({o for o, _ in q.BASE_FIELDS.values()} | {"match_sku"}, key=str))
+    base_needed = sorted({o for o, _ in q.BASE_FIELDS.values()}) + ["match_sku"]
+    comp_needed = sorted({o for o, _ in q.COMP_FIELDS.values()}) + ["match_sku"]
+    cat_needed = sorted({o for _, o in q.BASE_FIELDS.values()})
+    pdp_needed = sorted({o for _, o in q.COMP_FIELDS.values()})
+    del side_order
+    newest = """select * from fx_input_precision where segment = 'pets' and year || month || day =
+        (select max(year || month || day) from fx_input_precision where segment = 'pets')"""
+    ctes = {
+        "wanted": pick("select * from fx_pairs", "base_sku, comp_sku, base_source_store, comp_source_store", "score"),
+        "matched": """select distinct lower(base_sku) as b, lower(comp_source_store) as cs, lower(base_source_store) as bs from fx_library
+            where load_date = (select max(load_date) from fx_library) and company_code = 'acme' and active and deleted_date is null""",
+        "newest": newest,
+        "scope": "select distinct comp_source_store from fx_pairs where comp_source_store in (select primary_store from fx_domains)",
+        "i_base": pick("select lower(sku) as k, * from newest where source_store = 'acme_acme'", "k", ", ".join(base_needed)),
+        "cat": pick("select lower(sku) as k, * from fx_catalog where source = 'acme' and is_active = 'True'", "k",
+                    ", ".join(["capture_date desc nulls last", *cat_needed])),
+        "i_comp": pick("select lower(sku) as k, lower(source_store) as s, * from newest where source_store in (from scope)", "k, s",
+                       ", ".join(comp_needed)),
+        "pdp": pick("select lower(sku) as k, lower(replace(source_store, '<>', '_')) as s, * from fx_warehouse "
+                    "where replace(source_store, '<>', '_') in (from scope)", "k, s",
+                    ", ".join(["capture_date desc nulls last", *pdp_needed])),
+    }
+    c = {
+        "base_attributes": "{" + ",".join(q.BASE_ATTRIBUTES) + "}",
+        "comp_attributes": "{" + ",".join(q.COMP_ATTRIBUTES) + "}",
+    }
+    base_match = "coalesce(nullif(i_base.match_sku, ''), w.base_sku)"
+    comp_match = "coalesce(nullif(i_comp.match_sku, ''), w.base_sku)"
+    pair_id = "w.base_sku || '_' || w.base_source_store || '<>' || w.comp_sku || '_' || w.comp_source_store"
+    heads = ", ".join(f"{n} as ({t})" for n, t in ctes.items())
+    return f"""
+    with {heads}
+    select {pair_id} as pair_id, 'True' as active, {_fallbacks(q.BASE_FIELDS, 'i_base', 'cat')}, {_fallbacks(q.COMP_FIELDS, 'i_comp', 'pdp')},
+      '{c['base_attributes']}' as base_custom_attributes, '{c['comp_attributes']}' as comp_custom_attributes,
+      w.base_sku, w.base_source_store, w.comp_sku, w.comp_source_store,
+      {base_match} as match_sku,
+      {base_match} || '_' || w.base_source_store || '_' || w.comp_source_store as match_sku_base_source_store_comp_source_store,
+      w.base_source_store || '_' || w.comp_sku || '_' || w.comp_source_store as base_source_store_comp_sku_comp_source_store,
+      w.comp_sku || '_' || w.comp_source_store || '_' || w.base_source_store as comp_sku_comp_source_store_base_source_store,
+      w.comp_source_store || '_' || {comp_match} || '_' || w.base_source_store as comp_source_store_match_sku_base_source_store,
+      'Acme' as base_store_name_display, 'verified' as internal_review_state, 'reviewers' as company_code,
+      'reviewers_' || w.base_source_store as company_code_base_source_store, split_part(w.comp_source_store, '_', 2) as comp_store_name_display,
+      'unverified' as customer_review_state, 'retail' as domain,
+      cast(cast('0x' || substr(md5({pair_id}), 1, 8) as bigint) % 90000 + 10000 as int) as enqueue_index,
+      cast(epoch(timestamp '2024-03-01' + interval 21 day) as int) as expiration_date, 'new' as item_status, 'exact' as match,
+      'MODEL' as matcher, cast(epoch(timestamp '2024-03-01') as int) as match_date, 'c65p951d-09iv-4l12-8l09-vphl8p9184r5' as match_id,
+      'product_found' as match_status, 'afm-model' as model_used, 'adhoc_new' as queue_name_item_status, w.score,
+      'completed' as status, 'adhoc' as queue_name, 'adhoc' as adhoc_queue_name, '2024-03-01' as load_date
+    from wanted w
+      left join i_base on lower(w.base_sku) = i_base.k left join cat on lower(w.base_sku) = cat.k
+      left join i_comp on lower(w.comp_sku) = i_comp.k and lower(w.comp_source_store) = i_comp.s
+      left join pdp on lower(w.comp_sku) = pdp.k and lower(w.comp_source_store) = pdp.s
+    where not exists (select 1 from matched m where m.b = lower(w.base_sku) and m.cs = lower(w.comp_source_store)
+      and m.bs = lower(w.base_source_store))"""
+
+
+oracle("review_queue", ["fx_pairs", "fx_library", "fx_input_precision", "fx_catalog", "fx_warehouse", "fx_domains"], _queue())
+
+
+def price(x: str) -> str:
+    return f"try_cast(nullif(lower(trim({x})), 'nan') as double)"
+
+
+def _approve() -> str:
+    from pairloom.plans import approval as a
+
+    comp_fields = ", ".join(f"cast({source} as varchar) as {name}" for name, source in a.COMP_FIELDS.items())
+    empty = ", ".join(f"'' as {n}" for n in a.EMPTY_COLUMNS)
+    order = ", ".join(["try_cast(score as double) desc nulls last", "comp_source_store", "comp_sku",
+                       *[n for n in a.APPROVAL_COLUMNS if n not in ("base_sku", "comp_sku", "comp_source_store")]])
+    ratio = f"abs({price('base_price')} - {price('comp_price')}) / {price('base_price')}"
+    return f"""
+    with decided as (
+      select distinct lower(trim(base_sku)) as base_sku, lower(trim(comp_sku)) as comp_sku,
+        lower(replace(trim(comp_source_store), '<>', '_')) as comp_source_store, score, match from fx_drop
+      where trim(coalesce(base_sku, '')) <> '' and trim(coalesce(comp_sku, '')) <> ''
+        and lower(replace(trim(comp_source_store), '<>', '_')) in (select primary_store from fx_domains)),
+    base as (
+      select distinct {strip('lower(sku)')} as bk, list_price as base_price, product_title as base_title,
+        split_part(upc, ',', 1) as base_upc, parent_sku as base_parent_sku from fx_catalog
+      where source = 'acme' and capture_date = (select max(capture_date) from fx_catalog where source = 'acme')
+        and additional_attributes like '%weekly%'),
+    comp as (
+      select distinct {strip('lower(sku)')} as ck, lower(source_name || '_' || store_name) as cs, {comp_fields} from fx_warehouse
+      where lower(replace(source_store, '<>', '_')) in (select primary_store from fx_domains) and product_segment = 'pets'),
+    lib as (
+      select {strip('lower(base_sku)')} as bk, {strip('lower(comp_sku)')} as ck, comp_source_store as cs, deleted_date from fx_library
+      where company_code = 'acme' and load_date = (select max(load_date) from fx_library where company_code = 'acme')),
+    shaped as (
+      select 'acme_acme' as base_source_store, 'ml-V2.0' as model_used, {empty}, d.*, base.* exclude (bk), comp.* exclude (ck, cs)
+      from decided d join base on {strip('d.base_sku')} = base.bk
+        join comp on {strip('d.comp_sku')} = comp.ck and d.comp_source_store = comp.cs
+      where not exists (select 1 from lib where lib.bk = {strip('d.base_sku')} and lib.cs = d.comp_source_store and lib.deleted_date is null)
+        and not exists (select 1 from lib where lib.bk = {strip('d.base_sku')} and lib.ck = {strip('d.comp_sku')} and lib.cs = d.comp_source_store)
+        and {price('base_price')} > 0 and {ratio} < 0.8)
+    select {', '.join(a.APPROVAL_COLUMNS)} from ({pick('select * from shaped', 'base_sku', order)})"""
+
+
+oracle("auto_approve", ["fx_drop", "fx_catalog", "fx_warehouse", "fx_library", "fx_domains"], _approve())
+oracle("unknown_stores", ["fx_drop", "fx_domains"], """
+    select distinct lower(replace(trim(comp_source_store), '<>', '_')) as comp_source_store from fx_drop
+    where trim(coalesce(comp_source_store, '')) <> ''
+      and lower(replace(trim(comp_source_store), '<>', '_')) not in (select primary_store from fx_domains)""")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures import COMPETITORS, RUN_DATE, SEGMENT, TENANT, fixture
-from pairloom.plans import coverage, signals
+from pairloom.operators import relational
+from pairloom.plans import approval, coverage, review_queue, signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +99,36 @@ def coverage_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["coverage_report"] = coverage_report
+
+
+# --- review queue and auto approval ------------------------------------------
+
+def domains_of(frame: DataFrame) -> DataFrame:
+    return frame.withColumnRenamed("primary_store", "primary")
+
+
+QUEUE_CONFIG = review_queue.QueueConfig(
+    base_store="acme_acme", segment=SEGMENT, domain="retail", queue_name="adhoc", store_display="Acme",
+    company_code="reviewers", score_column="score", run_date="2024-03-01",
+)
+
+
+@query("fx_pairs", "fx_library", "fx_input_precision", "fx_catalog", "fx_warehouse", "fx_domains", name="review_queue")
+def build_queue(pairs, library, ml_input, catalog, warehouse, domains):
+    return review_queue.build_review_queue(
+        pairs, library, ml_input, catalog, warehouse, domains_of(domains), QUEUE_CONFIG
+    )
+
+
+@query("fx_drop", "fx_catalog", "fx_warehouse", "fx_library", "fx_domains")
+def auto_approve(drop, catalog, warehouse, library, domains):
+    config = approval.ApprovalConfig(
+        TENANT, SEGMENT, catalog_filter="get_json_object(additional_attributes, '$.cadence') = 'weekly'",
+        store_overrides={"r1": "r1_r1"},
+    )
+    return approval.auto_approve(drop, catalog, warehouse, library, domains_of(domains), config)
+
+
+@query("fx_drop", "fx_domains")
+def unknown_stores(drop, domains):
+    return relational.unknown_stores(drop, relational.competitor_stores(domains_of(domains), TENANT))
