@@ -200,12 +200,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a fixture as a lazy frame."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    inputs = {n: fixture(spark, sf_dir, n) for n in _needs(SQL[name])}
-    return spark.sql(SQL[name].replace('{"', '{{"').replace('"}', '"}}'), **inputs)
+def fixture(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A driver table or a fixture as a lazy frame; ``known`` avoids building one twice."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in TABLES:
+            known[name] = table(spark, sf_dir, name)
+        else:
+            inputs = {n: fixture(spark, sf_dir, n, known) for n in _needs(SQL[name])}
+            known[name] = spark.sql(SQL[name].replace('{"', '{{"').replace('"}', '"}}'), **inputs)
+    return known[name]
 
 
 @cache

@@ -38,13 +38,14 @@ def _flagged(df: DataFrame, hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(marks), condition, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
-def salt_many(df: DataFrame, hot: DataFrame) -> DataFrame:
+def salt_many(df: DataFrame, hot: DataFrame, salt_from: Sequence[str] | None = None) -> DataFrame:
     """The big side: rows of hot keys get one of ``SALTS`` salts, the others 0.
 
-    The salt is a hash of the whole row and not random, so a recomputed task
-    sends each row where it went before.
+    The salt is a hash of ``salt_from`` (all columns by default) and not random,
+    so a recomputed task sends each row where it went before.
     """
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    source = [F.col(f"`{c}`") for c in (salt_from or df.columns)]
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*source), F.lit(SALTS)).cast("int")).otherwise(0)
     return _flagged(df, hot).withColumn(SALT, salt).drop("_hot")
 
 
@@ -55,30 +56,42 @@ def salt_copies(df: DataFrame, hot: DataFrame) -> DataFrame:
     return _flagged(df, hot).withColumn(SALT, F.explode(salts)).drop("_hot")
 
 
-def attach_first(
-    left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame | None = None,
-    order: Sequence[Column] = (),
+def attach_all(
+    left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[Column]]], hot: DataFrame,
+    salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left join to the first ``right`` row per key: never more rows than ``left``.
+    """Left joins to the first row per key of each ``(right, on, order)``.
 
-    ``hot`` (from ``hot_keys``, on some or all of the join columns) spreads
-    frequent keys. The choice of the first row and the join share one shuffle
-    of ``right``.
+    Never more rows than ``left``. Frequent keys (``hot``, from ``hot_keys`` on
+    some or all of the join columns) are spread. ``left`` is salted once, so
+    neighbouring sides with the same join columns need only one shuffle of it,
+    and choosing the first row and joining share one shuffle of each side.
     """
+    rows = salt_many(left, hot, salt_from)
+    for right, on, order in sides:
+        keys = [*on, SALT]
+        rows = rows.join(first_row(salt_copies(right, hot), keys, order), keys, "left")
+    return rows.drop(SALT)
+
+
+def attach_first(
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame | None = None,
+    order: Sequence[Column] = (), salt_from: Sequence[str] | None = None,
+) -> DataFrame:
+    """``attach_all`` for one side; without ``hot`` an ordinary left join."""
     if hot is None:
         return left.join(first_row(right, on, order), list(on), "left")
-    keys = [*on, SALT]
-    side = first_row(salt_copies(right, hot), keys, order)
-    return salt_many(left, hot).join(side, keys, "left").drop(SALT)
+    return attach_all(left, [(right, on, order)], hot, salt_from)
 
 
 def join_spread(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: DataFrame
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: DataFrame,
+    salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner, left, semi or anti join with the hot keys of ``left`` spread out."""
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
-    return salt_many(left, hot).join(salt_copies(right, hot), [*on, SALT], how).drop(SALT)
+    return salt_many(left, hot, salt_from).join(salt_copies(right, hot), [*on, SALT], how).drop(SALT)
 
 
 def anti_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -71,9 +71,10 @@ def auto_approve(
     """
     c = config
     registered = R.competitor_stores(domains, c.tenant, c.competitors)
-    decided = _decided(drop, registered, c)
-    hot_base = skew.hot_keys(decided.select("_base"), ["_base"], min_hot_rows)
-    hot_comp = skew.hot_keys(decided.select("_comp", "comp_source_store"), ["_comp", "comp_source_store"], min_hot_rows)
+    raw = _decided(drop, registered, c)
+    hot_base = skew.hot_keys(raw, ["_base"], min_hot_rows)
+    hot_comp = skew.hot_keys(raw, ["_comp", "comp_source_store"], min_hot_rows)
+    decided = raw.distinct()
 
     known = R.latest_snapshot(
         library.where(F.col("company_code") == c.tenant), "load_date", override=c.load_date
@@ -113,7 +114,6 @@ def _decided(drop: DataFrame, registered: DataFrame, c: ApprovalConfig) -> DataF
     )
     return (
         rows.join(registered, "comp_source_store", "left_semi")
-        .distinct()
         .withColumns({"_base": K.strip_zeros(F.col("base_sku")), "_comp": K.strip_zeros(F.col("comp_sku"))})
     )
 

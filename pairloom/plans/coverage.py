@@ -12,6 +12,7 @@ from ..functions import keys as K
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import skew
+from ..operators.relational import first_row
 from . import signals as S
 
 PAIR = ["base_sku", "comp_sku", "comp_source_store"]
@@ -75,29 +76,29 @@ def coverage_report(
     """
     s, names = sources, list(competitors)
     rows = S.spine(pairs, strict)
-    folded = rows.select("base_sku", *PRODUCT)
-    hot_base = skew.hot_keys(folded, ["base_sku"], min_hot_rows)
-    hot_comp = skew.hot_keys(folded, PRODUCT, min_hot_rows)
+    raw = S.folded(pairs, strict)
+    hot_base = skew.hot_keys(raw, ["base_sku"], min_hot_rows)
+    hot_comp = skew.hot_keys(raw, PRODUCT, min_hot_rows)
 
     def model(table: DataFrame, label: str) -> DataFrame:
         found = S.model_signal(table, tenant, names, segment, strict)
         best = [F.col("model_score").desc_nulls_last()]
-        return _one(found, PAIR, best).select(
+        return first_row(found, PAIR, best).select(
             *PAIR,
             F.col("model_score").alias(f"csf_{label}_score"),
             F.col("first_sugg_date").alias(f"csf_{label}_first_sugg_date"),
         )
 
     by_pair = [
-        _one(S.review_signal(s.reviews, tenant, names, segment, strict).drop("score", "match_date"), PAIR),
-        _one(S.library_signal(s.library, tenant, names, load_date, strict)
+        first_row(S.review_signal(s.reviews, tenant, names, segment, strict).drop("score", "match_date"), PAIR),
+        first_row(S.library_signal(s.library, tenant, names, load_date, strict)
              .drop("base_upc", "comp_upc", "match_date"), PAIR),
         model(s.generic_pairs, "generic"),
         model(s.semantic_pairs, "semantic"),
         model(s.precision_pairs, "precision"),
         S.queue_signal(s.queue, tenant, segment, strict),
-        _one(S.upc_signal(s.upc_matches, tenant, names, segment, strict), PAIR),
-        _one(S.mpn_signal(s.mpn_matches, tenant, names, segment, strict), PAIR),
+        first_row(S.upc_signal(s.upc_matches, tenant, names, segment, strict), PAIR),
+        first_row(S.mpn_signal(s.mpn_matches, tenant, names, segment, strict), PAIR),
     ]
     for signal in by_pair:
         rows = rows.join(signal, PAIR, "left")
@@ -117,23 +118,18 @@ def coverage_report(
     warehouse = S.warehouse_signal(s.warehouse, names, segment, strict).drop("comp_url").withColumn("sku_in_pdp", F.lit(True))
     requests = S.request_signal(s.requests, tenant, names, segment, strict)
 
-    rows = skew.attach_first(rows, crawl, PRODUCT, hot_comp)
-    rows = skew.attach_first(rows, warehouse, PRODUCT, hot_comp)
-    rows = skew.attach_first(rows, comp_inputs, PRODUCT, hot_comp)
-    rows = S.catalog_signal(rows, s.catalog, tenant, hot_base)
-    rows = skew.attach_first(rows, base_inputs, ["base_sku", "base_source_store"], hot_base)
-    rows = skew.attach_first(rows, requests, ["base_sku", "comp_source_store"], hot_base)
+    rows = skew.attach_all(rows, [(side, PRODUCT, ()) for side in (crawl, warehouse, comp_inputs)], hot_comp, PAIR)
+    rows = skew.attach_all(rows, [
+        (S.catalog_products(s.catalog, tenant), ["base_sku"], ()),
+        (base_inputs, ["base_sku", "base_source_store"], ()),
+        (requests, ["base_sku", "comp_source_store"], ()),
+    ], hot_base, PAIR)
     return _finish(rows)
 
 
-def _one(df: DataFrame, keys: list[str], order=()) -> DataFrame:
-    from ..operators.relational import first_row
-
-    return first_row(df, keys, order)
-
-
 def _finish(rows: DataFrame) -> DataFrame:
     found = {
+        "base_sku_in_catalog": "base_title",
         "upc_in_dc": "dc_upc",
         "upc_in_pdp": "pdp_upc",
         "is_fl_attempted": "inserted_date",

@@ -31,16 +31,20 @@ def _store(name: str, strict: bool) -> Column:
     return _case(strict)(K.store_underscore(F.col(name)))
 
 
+def folded(pairs: DataFrame, strict: bool = False) -> DataFrame:
+    fold = _case(strict)
+    return pairs.select(
+        F.lower("base_sku").alias("base_sku"),
+        F.lower("comp_sku").alias("comp_sku"),
+        fold(F.col("comp_source_store")).alias("comp_source_store"),
+        fold(F.col("base_source_store")).alias("base_source_store"),
+    )
+
+
 def spine(pairs: DataFrame, strict: bool = False) -> DataFrame:
     """Distinct pairs with folded keys, the grain of the report."""
-    fold = _case(strict)
     return (
-        pairs.select(
-            F.lower("base_sku").alias("base_sku"),
-            F.lower("comp_sku").alias("comp_sku"),
-            fold(F.col("comp_source_store")).alias("comp_source_store"),
-            fold(F.col("base_source_store")).alias("base_source_store"),
-        )
+        folded(pairs, strict)
         .groupBy("base_sku", "comp_sku", "comp_source_store")
         .agg(F.min("base_source_store").alias("base_source_store"))
     )

@@ -18,7 +18,11 @@ QUERIES: dict[str, Query] = {}
 def query(*fixtures: str, name: str | None = None):
     """Register a function of the named fixtures as a query."""
     def add(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        QUERIES[name or build.__name__] = lambda spark, sf: build(*[fixture(spark, sf, f) for f in fixtures])
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            known: dict[str, DataFrame] = {}
+            return build(*[fixture(spark, sf, f, known) for f in fixtures])
+
+        QUERIES[name or build.__name__] = run
         return build
     return add
 
@@ -81,24 +85,19 @@ def sig_request(requests):
     return signals.request_signal(requests, TENANT, COMPETITORS, SEGMENT)
 
 
-def coverage_sources(spark: SparkSession, sf: str) -> coverage.CoverageSources:
-    names = {
-        "catalog": "fx_catalog", "crawl": "fx_crawl", "warehouse": "fx_warehouse", "reviews": "fx_reviews",
-        "library": "fx_library", "upc_matches": "fx_upc", "mpn_matches": "fx_mpn",
-        "precision_input": "fx_input_precision", "generic_input": "fx_input_generic",
-        "precision_pairs": "fx_precision", "generic_pairs": "fx_generic", "semantic_pairs": "fx_semantic",
-        "queue": "fx_queue", "requests": "fx_requests",
-    }
-    return coverage.CoverageSources(**{field: fixture(spark, sf, n) for field, n in names.items()})
-
-
-def coverage_report(spark: SparkSession, sf: str) -> DataFrame:
-    return coverage.coverage_report(
-        fixture(spark, sf, "fx_pairs"), coverage_sources(spark, sf), TENANT, SEGMENT, COMPETITORS, RUN_DATE
-    )
+SOURCES = {
+    "catalog": "fx_catalog", "crawl": "fx_crawl", "warehouse": "fx_warehouse", "reviews": "fx_reviews",
+    "library": "fx_library", "upc_matches": "fx_upc", "mpn_matches": "fx_mpn",
+    "precision_input": "fx_input_precision", "generic_input": "fx_input_generic",
+    "precision_pairs": "fx_precision", "generic_pairs": "fx_generic", "semantic_pairs": "fx_semantic",
+    "queue": "fx_queue", "requests": "fx_requests",
+}
 
 
-QUERIES["coverage_report"] = coverage_report
+@query("fx_pairs", *SOURCES.values())
+def coverage_report(pairs, *tables):
+    sources = coverage.CoverageSources(**dict(zip(SOURCES, tables, strict=True)))
+    return coverage.coverage_report(pairs, sources, TENANT, SEGMENT, COMPETITORS, RUN_DATE)
 
 
 # --- review queue and auto approval ------------------------------------------
