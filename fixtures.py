@@ -69,7 +69,8 @@ select concat(cast(s_suppkey as varchar(20)), case when s_suppkey % 7 = 0 then '
   concat('http://rimg/', cast(s_suppkey as varchar(20))) as image_url, concat('mc', cast(s_suppkey as varchar(20))) as manufacturer_part_number,
   concat('pc', cast(s_suppkey as varchar(20))) as parent_sku, concat('cc', cast(s_suppkey as varchar(20))) as custom_sku,
   '3' as size, '4' as size_alt, 'lb' as uom, 'kg' as uom_alt, '2' as pack_size, '2x2' as dimension, '5' as shipping_weight,
-  abs(s_acctbal) as list_price, abs(s_acctbal) + 1 as effective_price
+  abs(s_acctbal) as list_price, abs(s_acctbal) + 1 as effective_price,
+  split(concat('0', cast(s_suppkey as varchar(20)), ',00', cast(s_suppkey as varchar(20))), ',') as upc_list
 from {supplier} where {filter}
 """
 
@@ -191,6 +192,41 @@ SQL = {
         from {{lineitem}}""",
 }
 
+SQL |= {
+    "fx_titles": """
+        select b.p_name as base_title, c.p_name as comp_title, l_orderkey, l_linenumber
+        from {lineitem} join {part} b on l_partkey = b.p_partkey join {part} c on l_suppkey = c.p_partkey""",
+    "fx_title_embeddings": """
+        select n.title, e.embedding from (select p_name as title, min(p_partkey) % 500 as vec_id from {part} group by p_name) n
+        join {embeddings} e on n.vec_id = e.vec_id""",
+    "fx_tax_base": """
+        select distinct p_type as category, p_brand as subcategory, case when p_size % 3 < 2 then concat('line ', cast(p_size % 3 as varchar(5))) end as sub_subcategory
+        from {part}""",
+    "fx_tax_comp": """
+        select distinct lower(r_name) as retailer, c_mktsegment as category, n_name as subcategory, case when c_custkey % 3 < 2 then concat('line ', cast(c_custkey % 3 as varchar(5))) end as sub_subcategory
+        from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
+    "fx_tax_texts": """
+        select distinct concat_ws(' ', category, subcategory, sub_subcategory) as title from
+        (select category, subcategory, sub_subcategory from {fx_tax_base} union select category, subcategory, sub_subcategory from {fx_tax_comp}) t""",
+    "fx_tax_embeddings": """
+        select t.title, e.embedding from (select title, length(title) * 7 % 500 as vec_id from {fx_tax_texts}) t
+        join {embeddings} e on t.vec_id = e.vec_id""",
+    "fx_docs": "select doc_id as row_id, text as q from {documents}",
+    "fx_asked": "select item_id as query_id, text as q from {benchmark}",
+    "fx_events": """
+        select event_id, ts, 'inbox' as bucket,
+          concat('drop/company_code%3Du', cast(user_id as varchar(20)), '/product_segment=', event_type,
+            case when event_type = 'view' then '/x/' else concat('/load_date=', cast(cast(ts as date) as varchar(10)), '/') end,
+            case when event_type = 'error' then 'part-0.csv' else '_SUCCESS' end) as key
+        from {events}""",
+    "fx_vectors": """
+        select a.vec_id, b.vec_id as other_id, a.embedding as base_embedding, b.embedding as comp_embedding
+        from {embeddings} a join {embeddings} b on b.vec_id = a.vec_id + 1""",
+}
+
+for _name in ("fx_library", "fx_reviews"):
+    SQL[f"{_name}_m"] = SQL[_name].replace("'exact'", "'exact_match'").replace("'equivalent'", "'equivalent_match'")
+
 
 def _needs(text: str) -> list[str]:
     return [n for n in dict.fromkeys(re.findall(r"\{(\w+)\}", text)) if n in TABLES or n in SQL]

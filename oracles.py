@@ -306,3 +306,269 @@ oracle("unknown_stores", ["fx_drop", "fx_domains"], """
     select distinct lower(replace(trim(comp_source_store), '<>', '_')) as comp_source_store from fx_drop
     where trim(coalesce(comp_source_store, '')) <> ''
       and lower(replace(trim(comp_source_store), '<>', '_')) not in (select primary_store from fx_domains)""")
+
+
+# --- training pairs and similarity -------------------------------------------
+
+STOP = "'old', 'the', 'of'"
+UUID_BASE = "concat_ws('<>', base_sku, replace(base_source_store, '_', '<>'))"
+UUID_COMP = "concat_ws('<>', comp_sku, replace(comp_source_store, '_', '<>'))"
+
+
+def blank(x: str) -> str:
+    return f"nullif(trim({x}), '')"
+
+
+def _training() -> str:
+    texts = [f"{side}_{f}" for side in ("base", "comp") for f in ("title", "description", "brand")]
+    extras = ["base_price", "base_pack_size", "comp_price", "comp_pack_size"]
+    pair = "base_sku, base_source_store, comp_sku, comp_source_store"
+    rest = ", ".join(["source_priority", "base_sku", "base_source_store", "comp_sku", "comp_source_store", "answer", "segment",
+                      "base_upc", "comp_upc", *texts, *extras])
+    pdp = pick(f"""select sku, replace(source_store, '<>', '_') as store, product_segment, {blank('product_title')} as t,
+        {blank('product_description')} as d, {blank('standardized_brand')} as b, manufacturer_part_number as m, upc_list from fx_warehouse""",
+               "sku, store", "product_segment, t, d, b, m, upc_list")
+    cat = pick(f"""select sku, source || '_' || source as store, capture_date, {blank('product_title')} as t,
+        {blank('product_description')} as d, {blank('brand')} as b, manufacturer_part_number as m from fx_catalog where source = 'acme'""",
+               "sku, store", "capture_date desc nulls last, t, d, b, m")
+    filled = ", ".join(
+        f"coalesce(r.{side}_{f}, {alias}.{f[0]}) as {side}_{f}"
+        for side, alias in (("base", "cat"), ("comp", "pdp")) for f in ("title", "description", "brand"))
+    return f"""
+    with both as (
+      select {pair}, match as answer, segment, base_upc, comp_upc, {', '.join(f'{blank(t)} as {t}' for t in texts)}, {', '.join(extras)}, 1 as source_priority
+      from fx_library where active and deleted_date is null and company_code = 'acme' and load_date = '1998-01-01' and match in ('exact', 'equivalent')
+      union all
+      select {pair}, answer, segment, base_upc, comp_upc, {', '.join(f'null as {t}' for t in [*texts, *extras])}, 2
+      from fx_reviews where year || month >= '199401' and answer in ('exact', 'equivalent', 'not_a_match') and base_source_store = 'acme_acme'),
+    r as ({pick(f"select *, {UUID_BASE} || '<>' || {UUID_COMP} as pair_id from both", 'pair_id', rest)}),
+    cat as ({cat}), pdp as ({pdp})
+    select {UUID_BASE} as sku_uuid_a, {UUID_COMP} as sku_uuid_b, pair_id, answer, segment, base_sku, base_source_store, comp_sku, comp_source_store,
+      {filled}, base_upc, comp_upc, {', '.join(extras)}, cat.m as base_mpn, pdp.m as comp_mpn, pdp.upc_list as comp_upc_list, source_priority
+    from r left join cat on r.base_sku = cat.sku and r.base_source_store = cat.store
+      left join pdp on r.comp_sku = pdp.sku and r.comp_source_store = pdp.store
+    where coalesce(r.base_title, cat.t) is not null and coalesce(r.comp_title, pdp.t) is not null"""
+
+
+TRAINING_FIXTURES = ["fx_library", "fx_reviews", "fx_catalog", "fx_warehouse"]
+oracle("training_pairs", TRAINING_FIXTURES, _training())
+
+
+def grams(text: str) -> str:
+    """Words of two letters or more without stop words, then their bigrams."""
+    words = (f"list_filter(string_split(trim(regexp_replace(lower({text}), '[^a-z]+', ' ', 'g')), ' '), "
+             f"lambda w: len(w) >= 2 and w not in ({STOP}))")
+    return f"(select list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from (select {words} as w))"
+
+
+def tfidf_ctes(docs: str, fit: str, terms: str, features: int, sublinear: bool = False, p: str = "") -> str:
+    """CTEs ending in {p}unit(key, term, w). ``docs`` and ``fit`` are CTEs with (key, text)."""
+    tf = "(ln(tf) + 1)" if sublinear else "tf"
+    same = docs == fit
+    counts = f"{p}counts as (select key, term, count(*) as tf from (select key, unnest({terms}) as term from {docs}) group by 1, 2)"
+    fitted = f"{p}counts" if same else f"(select key, term, count(*) as tf from (select key, unnest({terms}) as term from {fit}) group by 1, 2)"
+    return f"""
+    {counts},
+    {p}vocab as (select term, ln((1 + (select count(*) from {fit})) / (1 + df)) + 1 as idf from
+      (select term, sum(tf) as corpus_tf, count(*) as df from {fitted} group by 1 order by corpus_tf desc, term limit {features})),
+    {p}raw as (select key, term, {tf} * idf as w from {p}counts join {p}vocab using (term)),
+    {p}unit as (select key, term, w / norm as w from {p}raw join (select key, sqrt(sum(w * w)) as norm from {p}raw group by 1) using (key))"""
+
+
+def pair_scores(pairs: str, digits: int, p: str = "") -> str:
+    """(base_title, comp_title, tfidf_similarity) for a CTE of distinct pairs."""
+    return f"""select q.base_title, q.comp_title, round(coalesce(sum(a.w * b.w), 0), {digits}) as tfidf_similarity
+      from {pairs} q left join {p}unit a on a.key = q.base_title left join {p}unit b on b.key = q.comp_title and b.term = a.term group by 1, 2"""
+
+
+DOT = "list_inner_product(cast({a} as double[]), cast({b} as double[]))"
+TITLE_DOCS = """titles as (select base_title as key, base_title as text from pairs union select comp_title, comp_title from pairs)"""
+
+oracle("embedding_similarity", ["fx_titles", "fx_title_embeddings"], f"""
+    select t.*, round({DOT.format(a='a.embedding', b='b.embedding')}, 6) as bert_similarity from fx_titles t
+    left join fx_title_embeddings a on a.title = base_title left join fx_title_embeddings b on b.title = comp_title""")
+oracle("tfidf_similarity", ["fx_titles"], f"""
+    with pairs as (select distinct base_title, comp_title from fx_titles), {TITLE_DOCS},
+    {tfidf_ctes('titles', 'titles', grams('text'), 5000)},
+    scores as ({pair_scores('pairs', 3)})
+    select t.*, tfidf_similarity from fx_titles t join scores using (base_title, comp_title)""")
+oracle("training_similarity", [*TRAINING_FIXTURES, "fx_title_embeddings"], f"""
+    with training as ({_training()}), pairs as (select distinct base_title, comp_title from training), {TITLE_DOCS},
+    {tfidf_ctes('titles', 'titles', grams('text'), 5000)},
+    scores as ({pair_scores('pairs', 3)})
+    select pair_id, base_title, comp_title, tfidf_similarity, round({DOT.format(a='a.embedding', b='b.embedding')}, 6) as bert_similarity
+    from training join scores using (base_title, comp_title)
+    left join fx_title_embeddings a on a.title = base_title left join fx_title_embeddings b on b.title = comp_title""")
+oracle("vector_dot", ["fx_vectors"], f"""
+    select vec_id, other_id, round({DOT.format(a='base_embedding', b='comp_embedding')}, 6) as score from fx_vectors""")
+
+
+# --- taxonomy ----------------------------------------------------------------
+
+LEVELS = ["category", "subcategory", "sub_subcategory"]
+TAX_FIXTURES = ["fx_tax_base", "fx_tax_comp", "fx_tax_embeddings"]
+TAX_THRESHOLD = 0.45
+NODE = ", ".join(f"base_{level}" for level in LEVELS) + ", retailer, " + ", ".join(f"comp_{level}" for level in LEVELS)
+SAME = " and ".join(f"o.{k.strip()} is not distinct from n.{k.strip()}" for k in NODE.split(","))
+
+
+def _nodes(side: str, source: str) -> str:
+    names = ", ".join(f"{level} as {side}_{level}" for level in LEVELS)
+    retailer = "retailer, " if side == "comp" else ""
+    return f"select distinct {retailer}{names}, concat_ws(' ', {', '.join(LEVELS)}) as {side}_title from {source}"
+
+
+def _tax_ctes(p: str, base: str, comp: str, fit: str | None = None) -> str:
+    """CTEs {p}scored: node pairs at or above the threshold."""
+    fitted = fit or f"{p}texts"
+    return f"""
+    {p}base as ({_nodes('base', base)}), {p}comp as ({_nodes('comp', comp)}),
+    {p}texts as (select base_title as key, base_title as text from {p}base union select comp_title, comp_title from {p}comp),
+    {p}pairs as (select distinct base_title, comp_title from (select distinct base_title from {p}base) cross join (select distinct comp_title from {p}comp)),
+    {tfidf_ctes(f'{p}texts', fitted, grams('text'), 5000, p=p)},
+    {p}sparse as ({pair_scores(f'{p}pairs', 4, p)}),
+    {p}scores as (select s.*, {DOT.format(a='a.embedding', b='b.embedding')} as bert_similarity from {p}sparse s
+      join fx_tax_embeddings a on a.title = base_title join fx_tax_embeddings b on b.title = comp_title),
+    {p}scored as (select {NODE}, bert_similarity, tfidf_similarity, round(0.7 * bert_similarity + 0.3 * tfidf_similarity, 4) as combined_score
+      from {p}scores join {p}base using (base_title) join {p}comp using (comp_title)
+      where round(0.7 * bert_similarity + 0.3 * tfidf_similarity, 4) >= {TAX_THRESHOLD})"""
+
+
+def _tax_rank(source: str) -> str:
+    base = ", ".join(f"base_{level}" for level in LEVELS)
+    comp = ", ".join(f"comp_{level} nulls last" for level in LEVELS)
+    return f"""select {NODE}, round(bert_similarity, 6) as bert_similarity, tfidf_similarity, combined_score,
+      cast(row_number() over (partition by {base}, retailer order by combined_score desc, {comp}) as int) as rank from {source}"""
+
+
+oracle("taxonomy_full", TAX_FIXTURES, f"with {_tax_ctes('', 'fx_tax_base', 'fx_tax_comp')} {_tax_rank('scored')}")
+oracle("taxonomy_incremental", TAX_FIXTURES, f"""
+    with old_base as (select * from fx_tax_base where category <> 'SMALL'), old_comp as (select * from fx_tax_comp where retailer <> 'asia'),
+    new_comp as (select * from fx_tax_comp where retailer in ('africa', 'america', 'asia', 'europe')),
+    {_tax_ctes('p_', 'old_base', 'old_comp')},
+    kept as (select * from p_scored where retailer in ('africa', 'america', 'asia', 'europe')),
+    n_base as ({_nodes('base', 'fx_tax_base')}), n_comp as ({_nodes('comp', 'new_comp')}),
+    unstored as (select base_title, comp_title from n_base n1 cross join n_comp n2 where not exists (select 1 from kept o where
+      {' and '.join(f'o.base_{x} is not distinct from n1.base_{x} and o.comp_{x} is not distinct from n2.comp_{x}' for x in LEVELS)} and o.retailer = n2.retailer)),
+    fit as (select base_title as key, base_title as text from unstored union select comp_title, comp_title from unstored),
+    {_tax_ctes('c_', 'fx_tax_base', 'new_comp', 'fit')},
+    every as (select * from kept union all by name select * from c_scored n where not exists (select 1 from kept o where {SAME}))
+    {_tax_rank('every')}""")
+oracle("taxonomy_base_nodes", ["fx_catalog"], """
+    select distinct category, subcategory, sub_subcategory from fx_catalog
+    where source = 'acme' and capture_date = (select max(capture_date) from fx_catalog where source = 'acme')""")
+oracle("taxonomy_comp_nodes", ["fx_warehouse"], f"""
+    select distinct split_part(source_store, '<>', 1) as retailer, category, subcategory, sub_subcategory from fx_warehouse
+    where source_store in ({COMP_B})""")
+
+
+# --- examples and retrieval --------------------------------------------------
+
+EXAMPLE_FIXTURES = ["fx_library_m", "fx_reviews_m", "fx_catalog", "fx_warehouse"]
+E_PAIR = "base_sku, base_source_store, comp_sku, comp_source_store"
+LABEL_LIST = "'exact_match', 'equivalent_match', 'not_a_match'"
+PRODUCT_FIELDS = ["title", "brand", "category", "subcategory", "sub_subcategory"]
+
+
+def _examples(scope: str, catalog_filter: str, extra: str = "") -> str:
+    cat = pick(f"select lower(sku) as k, source_store as s, * from fx_catalog where {catalog_filter}", "k, s",
+               "capture_date desc nulls last, product_title, brand, category, subcategory, sub_subcategory, segment")
+    pdp = pick("select lower(sku) as k, replace(source_store, '<>', '_') as s, * from fx_warehouse", "k, s",
+               "product_segment, product_title, standardized_brand, category, subcategory, sub_subcategory")
+    return f"""select d.*, c.product_title as base_title, c.brand as base_brand, c.category as base_category, c.subcategory as base_subcategory,
+        c.sub_subcategory as base_sub_subcategory, p.product_title as comp_title, p.standardized_brand as comp_brand, p.category as comp_category,
+        p.subcategory as comp_subcategory, p.sub_subcategory as comp_sub_subcategory, c.segment as base_segment
+      from (select {E_PAIR}, match as match_norm from fx_library_m where active and deleted_date is null and comp_sku is not null
+          and company_code = 'acme' and load_date = (select max(load_date) from fx_library_m where company_code = 'acme') and match in ({LABEL_LIST}) and {scope}
+        union select {E_PAIR}, answer from fx_reviews_m where is_active and answer in ({LABEL_LIST}) and {scope}) d
+      join ({cat}) c on lower(d.base_sku) = c.k and d.base_source_store = c.s
+      join ({pdp}) p on lower(d.comp_sku) = p.k and d.comp_source_store = p.s {extra}"""
+
+
+OWN = f"select * exclude (base_segment) from ({_examples(chr(39) + 'acme' + chr(39) + ' = split_part(base_source_store, ' + chr(39) + '_' + chr(39) + ', 1)', chr(39) + 'acme' + chr(39) + ' = source')})"
+SYNTH = _examples(
+    "split_part(comp_source_store, '_', 1) in ('r0', 'r1', 'r2')", "true",
+    f"""where c.segment = 'pets' and p.category <> 'cat0' and exists (select 1 from fx_warehouse m where m.source_store in ({COMP_B})
+      and split_part(m.source_store, '<>', 1) = split_part(d.comp_source_store, '_', 1) and m.category = p.category
+      and m.subcategory = p.subcategory and m.sub_subcategory = p.sub_subcategory)""")
+EXAMPLE_FIELDS = ", ".join([f"base_{f}" for f in PRODUCT_FIELDS] + [f"comp_{f}" for f in PRODUCT_FIELDS])
+ALL_EXAMPLES = "select * exclude (src) from (" + pick(
+    f"select *, 1 as src from ({OWN}) union all by name select *, 2 as src from ({SYNTH})",
+    E_PAIR, f"src, match_norm, {EXAMPLE_FIELDS}, base_segment") + ")"
+oracle("examples_own", EXAMPLE_FIXTURES, f"select * from ({OWN})")
+oracle("examples_synth", EXAMPLE_FIXTURES, f"select * from ({SYNTH})")
+oracle("examples", EXAMPLE_FIXTURES, ALL_EXAMPLES)
+oracle("label_distribution", EXAMPLE_FIXTURES, f"""
+    with e as ({ALL_EXAMPLES}), valid as (select unnest([{LABEL_LIST}]) as match_norm)
+    select v.match_norm, count(e.base_sku) as count, round(count(e.base_sku) * 100.0 / (select count(*) from e), 1) as percent,
+      count(e.base_sku) < 3 as low from valid v left join e using (match_norm) group by 1""")
+oracle("brand_counts", EXAMPLE_FIXTURES, f"select coalesce(base_brand, 'unknown') as brand, count(*) as count from ({OWN}) group by 1")
+oracle("example_metrics", EXAMPLE_FIXTURES, f"""
+    with every as (select 'own_data' as source, base_brand from ({OWN}) union all select 'synth_data', base_brand from ({SYNTH}))
+    select source, coalesce(base_brand, 'unknown') as brand, count(*) as count, sum(count(*)) over (partition by source) as total
+    from every group by 1, 2""")
+
+WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
+
+
+def _topk(docs: str, asked: str, k: int) -> str:
+    """Top k documents per question; ``docs`` and ``asked`` give (key, text)."""
+    return f"""
+    with docs as ({docs}), asked as ({asked}),
+    {tfidf_ctes('docs', 'docs', WORDS, 50000, sublinear=True)},
+    q_counts as (select key, term, count(*) as tf from (select key, unnest({WORDS}) as term from asked) group by 1, 2),
+    q_raw as (select key, term, (ln(tf) + 1) * idf as w from q_counts join vocab using (term)),
+    q_unit as (select key, term, w / norm as w from q_raw join (select key, sqrt(sum(w * w)) as norm from q_raw group by 1) using (key)),
+    hits as (select q.key as qk, u.key as dk, sum(q.w * u.w) as s from q_unit q join unit u using (term) group by 1, 2),
+    grid as (select a.key as query_id, d.key as row_id, round(coalesce(s, 0), 9) as s from asked a cross join docs d left join hits on qk = a.key and dk = d.key)
+    select query_id, row_id, round(s, 6) as score, cast(rank as int) as rank from
+      (select *, row_number() over (partition by query_id order by s desc, row_id) as rank from grid) where rank <= {k}"""
+
+
+oracle("retriever_topk", ["fx_docs", "fx_asked"],
+       _topk("select row_id as key, q as text from fx_docs", "select query_id as key, q as text from fx_asked", 20))
+oracle("retriever_examples", EXAMPLE_FIXTURES, _topk(
+    f"""select base_sku || '<>' || base_source_store || '<>' || comp_sku || '<>' || comp_source_store as key,
+      concat_ws(' ', coalesce(base_title, ''), coalesce(comp_title, ''), nullif(base_brand, ''), nullif(base_brand, ''), nullif(base_brand, ''),
+        nullif(comp_brand, ''), nullif(comp_brand, ''), nullif(comp_brand, ''), nullif(base_category, ''), nullif(base_category, '')) as text
+      from ({ALL_EXAMPLES})""",
+    """select sku || '@' || source_store as key, product_title || ' ' || standardized_brand as text from fx_warehouse
+      where capture_date = '2024-01-01'""", 5))
+
+
+# --- recall and drop events --------------------------------------------------
+
+TIDY = f"select {canonical('base_sku_uuid')} as base_sku_uuid, {canonical('comp_sku_uuid')} as comp_sku_uuid, score, part, file from fx_recall"
+oracle("recall_dedupe", ["fx_recall"], f"select distinct * from ({TIDY})")
+oracle("recall_dedupe_global", ["fx_recall"], f"select distinct base_sku_uuid, comp_sku_uuid, score from ({TIDY})")
+STATS = f"""
+    select part, file, count(*) as rows_in, count(distinct (base_sku_uuid, comp_sku_uuid, score)) as rows_out,
+      count(*) - count(distinct (base_sku_uuid, comp_sku_uuid, score)) as removed, cast(0 as bigint) as malformed,
+      round((count(*) - count(distinct (base_sku_uuid, comp_sku_uuid, score))) * 100.0 / count(*), 1) as percent
+    from ({TIDY}) group by 1, 2"""
+oracle("recall_stats", ["fx_recall"], f"select * from ({STATS})")
+oracle("recall_summary", ["fx_recall"], f"""
+    select part, count(*) as files, cast(sum(rows_in) as bigint) as rows_in, cast(sum(rows_out) as bigint) as rows_out,
+      cast(sum(removed) as bigint) as removed, cast(sum(malformed) as bigint) as malformed from ({STATS}) group by 1""")
+
+
+def _drops() -> str:
+    def part(name: str) -> str:
+        return f"nullif(regexp_extract(k, '(?:^|.*/){name}=([^/]+)(?:/|$)', 1), '')"
+
+    names = ["company_code", "product_segment", "load_date"]
+    values = ", ".join(f"{part(n)} as {n}" for n in names)
+    absent = "concat_ws(', ', " + ", ".join(f"case when {n} is null then '{n}' end" for n in names) + ")"
+    return f"""
+    with decoded as (select event_id, ts, url_decode(key) as k from fx_events),
+    parts as (select event_id, ts, k, {values} from decoded),
+    judged as (select *, case when not suffix(k, '_SUCCESS') then 'suffix mismatch' when {absent} <> '' then 'missing ' || {absent} end as why,
+      's3://inbox/' || regexp_replace(k, '[^/]*$', '') as prefix from parts),
+    numbered as (select *, row_number() over (partition by prefix, why is null order by ts, event_id) as nth from judged)
+    select event_id, k as key, {', '.join(names)},
+      case when why is not null then 'ignored' when nth = 1 then 'accepted' else 'skipped' end as action,
+      case when why is not null then why when nth > 1 then 'repeated event' end as reason,
+      case when why is null then prefix end as input_prefix from numbered"""
+
+
+oracle("drop_events", ["fx_events"], _drops())

@@ -17,13 +17,17 @@ MIN_ROWS = 100_000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, weight: str | None = None
+) -> DataFrame:
     """Keys of ``df`` (null included) that are too frequent for one task.
 
     Counts are combined map-side; the result has fewer than ``HOT_PARTS`` rows.
+    ``weight`` names a column saying how many rows each row of ``df`` stands for.
     """
-    share = df.select((F.count(F.lit(1)) / F.lit(HOT_PARTS)).alias("n")).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    share = df.select((size / F.lit(HOT_PARTS)).alias("n")).scalar()
+    counts = df.groupBy(*keys).agg(size.alias("_n"))
     return counts.where(F.col("_n") > F.greatest(F.lit(float(min_rows)), share)).select(*keys)
 
 
@@ -58,9 +62,9 @@ def salt_copies(df: DataFrame, hot: DataFrame) -> DataFrame:
 
 def attach_all(
     left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[Column]]], hot: DataFrame,
-    salt_from: Sequence[str] | None = None,
+    salt_from: Sequence[str] | None = None, how: str = "left",
 ) -> DataFrame:
-    """Left joins to the first row per key of each ``(right, on, order)``.
+    """Left (or inner) joins to the first row per key of each ``(right, on, order)``.
 
     Never more rows than ``left``. Frequent keys (``hot``, from ``hot_keys`` on
     some or all of the join columns) are spread. ``left`` is salted once, so
@@ -70,7 +74,7 @@ def attach_all(
     rows = salt_many(left, hot, salt_from)
     for right, on, order in sides:
         keys = [*on, SALT]
-        rows = rows.join(first_row(salt_copies(right, hot), keys, order), keys, "left")
+        rows = rows.join(first_row(salt_copies(right, hot), keys, order), keys, how)
     return rows.drop(SALT)
 
 

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures import COMPETITORS, RUN_DATE, SEGMENT, TENANT, fixture
-from pairloom.operators import relational
-from pairloom.plans import approval, coverage, review_queue, signals
+from pairloom.functions import keys, text, values
+from pairloom.operators import relational, scorers, tfidf
+from pairloom.plans import (
+    approval, coverage, examples, recall, reports, retriever, review_queue, signals, taxonomy, training,
+)
+from pairloom.streaming import drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,3 +135,176 @@ def auto_approve(drop, catalog, warehouse, library, domains):
 @query("fx_drop", "fx_domains")
 def unknown_stores(drop, domains):
     return relational.unknown_stores(drop, relational.competitor_stores(domains_of(domains), TENANT))
+
+
+# --- training pairs and similarity -------------------------------------------
+
+STOP_WORDS = ("old", "the", "of")
+SINCE = "199401"
+
+
+@query("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse")
+def training_pairs(library, reviews, catalog, warehouse):
+    return training.training_pairs(library, reviews, catalog, warehouse, TENANT, "1998-01-01", SINCE)
+
+
+@query("fx_titles", "fx_title_embeddings")
+def embedding_similarity(titles, embeddings):
+    scored = scorers.embedding_scorer(embeddings)(titles)
+    return scored.withColumn("bert_similarity", F.round("bert_similarity", 6))
+
+
+@query("fx_titles")
+def tfidf_similarity(titles):
+    return scorers.tfidf_scorer(STOP_WORDS)(titles)
+
+
+@query("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse", "fx_title_embeddings")
+def training_similarity(library, reviews, catalog, warehouse, embeddings):
+    rows = training_pairs(library, reviews, catalog, warehouse)
+    scored = scorers.run_scorers(rows, [scorers.embedding_scorer(embeddings), scorers.tfidf_scorer(STOP_WORDS)])
+    return scored.select(
+        "pair_id", "base_title", "comp_title", F.round("bert_similarity", 6).alias("bert_similarity"), "tfidf_similarity"
+    )
+
+
+@query("fx_vectors")
+def vector_dot(vectors):
+    score = F.round(values.dot(F.col("base_embedding"), F.col("comp_embedding")), 6)
+    return vectors.select("vec_id", "other_id", score.alias("score"))
+
+
+# --- taxonomy ----------------------------------------------------------------
+
+THRESHOLD = 0.45
+MAPPING = taxonomy.MappingConfig(threshold=THRESHOLD, stop_words=STOP_WORDS)
+
+
+def _rounded(mapping: DataFrame) -> DataFrame:
+    return mapping.withColumn("bert_similarity", F.round("bert_similarity", 6))
+
+
+@query("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings")
+def taxonomy_full(base, comp, embeddings):
+    return _rounded(taxonomy.map_taxonomy(base, comp, embeddings, MAPPING))
+
+
+def previous_mapping(base, comp, embeddings):
+    """Mapping before two product lines and one retailer came in."""
+    known = base.where("category <> 'SMALL'")
+    return taxonomy.map_taxonomy(known, comp.where("retailer <> 'asia'"), embeddings, MAPPING)
+
+
+@query("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings")
+def taxonomy_incremental(base, comp, embeddings):
+    current = ["africa", "america", "asia", "europe"]
+    mapping = taxonomy.map_taxonomy_incremental(
+        base, comp.where(F.col("retailer").isin(current)), previous_mapping(base, comp, embeddings), current,
+        embeddings, MAPPING,
+    )
+    return _rounded(mapping)
+
+
+@query("fx_catalog")
+def taxonomy_base_nodes(catalog):
+    return taxonomy.base_nodes(catalog, TENANT)
+
+
+@query("fx_warehouse")
+def taxonomy_comp_nodes(warehouse):
+    return taxonomy.comp_nodes(warehouse, COMPETITORS)
+
+
+# --- examples and retrieval --------------------------------------------------
+
+EXAMPLE_TABLES = ("fx_library_m", "fx_reviews_m", "fx_catalog", "fx_warehouse")
+
+
+def mapping_of(warehouse: DataFrame) -> DataFrame:
+    """A mapping that covers part of the warehouse's nodes, each for two base nodes."""
+    nodes = taxonomy.comp_nodes(warehouse, COMPETITORS).where("category <> 'cat0'").select(
+        "retailer", *[F.col(c).alias(f"comp_{c}") for c in taxonomy.LEVELS]
+    )
+    return nodes.unionByName(nodes)
+
+
+@query(*EXAMPLE_TABLES)
+def examples_own(library, reviews, catalog, warehouse):
+    return examples.own_examples(library, reviews, catalog, warehouse, TENANT)
+
+
+@query(*EXAMPLE_TABLES)
+def examples_synth(library, reviews, catalog, warehouse):
+    return examples.synthetic_examples(
+        library, reviews, catalog, warehouse, mapping_of(warehouse), COMPETITORS[:3], TENANT, SEGMENT
+    )
+
+
+def _combined(*tables):
+    return examples.collect_examples(examples_own(*tables), examples_synth(*tables), True)
+
+
+@query(*EXAMPLE_TABLES, name="examples")
+def examples_all(library, reviews, catalog, warehouse):
+    return _combined(library, reviews, catalog, warehouse)
+
+
+@query(*EXAMPLE_TABLES)
+def label_distribution(library, reviews, catalog, warehouse):
+    return reports.label_distribution(_combined(library, reviews, catalog, warehouse), examples.LABELS)
+
+
+@query(*EXAMPLE_TABLES)
+def brand_counts(library, reviews, catalog, warehouse):
+    return reports.brand_counts(examples_own(library, reviews, catalog, warehouse))
+
+
+@query(*EXAMPLE_TABLES)
+def example_metrics(*tables):
+    return reports.example_metrics(examples_own(*tables), examples_synth(*tables))
+
+
+@query("fx_docs", "fx_asked")
+def retriever_topk(docs, asked):
+    found = retriever.query(retriever.build_index(docs), asked, k=20)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query(*EXAMPLE_TABLES)
+def retriever_examples(library, reviews, catalog, warehouse):
+    """Nearest examples of every warehouse product's title and brand."""
+    index = retriever.build_retriever(_combined(library, reviews, catalog, warehouse), "category")
+    asked = warehouse.where("capture_date = '2024-01-01'").select(
+        F.concat_ws("@", "sku", "source_store").alias("query_id"),
+        F.concat_ws(" ", "product_title", "standardized_brand").alias("q"),
+    )
+    return retriever.query(index, asked, k=5).withColumn("score", F.round("score", 6))
+
+
+# --- recall and drop events --------------------------------------------------
+
+@query("fx_recall")
+def recall_dedupe(rows):
+    return recall.dedupe_recall(rows)
+
+
+@query("fx_recall")
+def recall_dedupe_global(rows):
+    return recall.dedupe_recall(rows.select(*recall.FIELDS), by_file=False)
+
+
+@query("fx_recall")
+def recall_stats(rows):
+    return recall.recall_stats(rows)
+
+
+@query("fx_recall")
+def recall_summary(rows):
+    return recall.recall_summary(recall.recall_stats(rows))
+
+
+@query("fx_events")
+def drop_events(events):
+    return drops.accept_once(events).select(
+        "event_id", "key", *drops.PARTITIONS, "action", "reason", "input_prefix"
+    )
