@@ -335,13 +335,13 @@ def _training() -> str:
         f"coalesce(r.{side}_{f}, {alias}.{f[0]}) as {side}_{f}"
         for side, alias in (("base", "cat"), ("comp", "pdp")) for f in ("title", "description", "brand"))
     return f"""
-    with both as (
+    with merged as (
       select {pair}, match as answer, segment, base_upc, comp_upc, {', '.join(f'{blank(t)} as {t}' for t in texts)}, {', '.join(extras)}, 1 as source_priority
       from fx_library where active and deleted_date is null and company_code = 'acme' and load_date = '1998-01-01' and match in ('exact', 'equivalent')
       union all
       select {pair}, answer, segment, base_upc, comp_upc, {', '.join(f'null as {t}' for t in [*texts, *extras])}, 2
       from fx_reviews where year || month >= '199401' and answer in ('exact', 'equivalent', 'not_a_match') and base_source_store = 'acme_acme'),
-    r as ({pick(f"select *, {UUID_BASE} || '<>' || {UUID_COMP} as pair_id from both", 'pair_id', rest)}),
+    r as ({pick(f"select *, {UUID_BASE} || '<>' || {UUID_COMP} as pair_id from merged", 'pair_id', rest)}),
     cat as ({cat}), pdp as ({pdp})
     select {UUID_BASE} as sku_uuid_a, {UUID_COMP} as sku_uuid_b, pair_id, answer, segment, base_sku, base_source_store, comp_sku, comp_source_store,
       {filled}, base_upc, comp_upc, {', '.join(extras)}, cat.m as base_mpn, pdp.m as comp_mpn, pdp.upc_list as comp_upc_list, source_priority

@@ -143,13 +143,13 @@ def scored_above(
     plan = _cell_plan(spark, base, comp, pivots, threshold, weights)
 
     # The plan has at most PIVOTS squared rows.
-    left = base.join(F.broadcast(plan), base["cell"] == plan["bc"]).select(
-        key, "embedding", "ids", "weights", "bc", "cc",
+    left = base.join(F.broadcast(plan.withColumnRenamed("bc", "cell")), "cell").select(
+        key, "embedding", "ids", "weights", F.col("cell").alias("bc"), "cc",
         F.pmod(F.xxhash64(key), F.col("bn")).alias("bb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cn") - 1)).alias("cb"),
     )
-    right = comp.join(F.broadcast(plan), comp["cell"] == plan["cc"]).select(
-        key, "embedding", "ids", "weights", "bc", "cc",
+    right = comp.join(F.broadcast(plan.withColumnRenamed("cc", "cell")), "cell").select(
+        key, "embedding", "ids", "weights", "bc", F.col("cell").alias("cc"),
         F.pmod(F.xxhash64(key), F.col("cn")).alias("cb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bn") - 1)).alias("bb"),
     )

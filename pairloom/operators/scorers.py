@@ -1,4 +1,8 @@
-"""Similarity scorers: each takes pairs of texts and adds one score column."""
+"""Similarity scorers over pairs of titles.
+
+A scorer takes the distinct title pairs and adds one score column, so each pair
+is scored once however many rows it stands for.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +14,25 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import values as V
+from ..session import cut_lineage
 from . import skew, tfidf
 
 Scorer = Callable[[DataFrame], DataFrame]
 SIDES = ("base_title", "comp_title")
 
 
-def run_scorers(rows: DataFrame, scorers: Sequence[Scorer]) -> DataFrame:
-    """Apply the scorers in order."""
-    return reduce(lambda df, scorer: scorer(df), scorers, rows)
+def run_scorers(rows: DataFrame, scorers: Sequence[Scorer], min_hot_rows: int = skew.MIN_ROWS) -> DataFrame:
+    """``rows`` with one column per scorer.
+
+    Rows and distinct pairs are checkpointed, because the scorers read them
+    several times, and the scores are joined back in one go; title pairs that
+    stand for a large share of the rows are spread.
+    """
+    rows = cut_lineage(rows)
+    pairs = cut_lineage(distinct_pairs(rows))
+    hot = skew.hot_keys(pairs, SIDES, min_hot_rows, weight="n")
+    scored = reduce(lambda df, scorer: scorer(df), scorers, pairs).drop("n")
+    return skew.join_spread(rows, scored, SIDES, "left", hot)
 
 
 def distinct_pairs(rows: DataFrame) -> DataFrame:
@@ -45,25 +59,22 @@ def lemmatised(titles: DataFrame, lemmas: DataFrame, stop_words: Sequence[str] =
     return grouped.select("title", F.col("w.word").alias("words"))
 
 
-def _score(rows: DataFrame, vectors: DataFrame, name: str, score: Column, min_hot_rows: int) -> DataFrame:
-    """Attach ``vectors`` (title, ...) to both sides of each distinct pair, score, join back.
+def _score(pairs: DataFrame, vectors: DataFrame, name: str, score: Column, min_hot_rows: int) -> DataFrame:
+    """Attach ``vectors`` (title, ...) to both sides of each pair and score.
 
     ``score`` refers to the vector columns as ``base_*`` and ``comp_*``. Titles
-    and pairs that stand for a large share of the rows are spread.
+    that occur in a large share of the pairs are spread.
     """
-    pairs = distinct_pairs(rows)
     scored = pairs
     for side in SIDES:
         prefix = side.split("_")[0]
         named = vectors.select(
             F.col("title").alias(side),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in vectors.columns if c != "title"],
+            *[F.col(c).alias(f"_{prefix}_{c}") for c in vectors.columns if c != "title"],
         )
         hot = skew.hot_keys(pairs, [side], min_hot_rows)
         scored = skew.join_spread(scored, named, [side], "left", hot, SIDES)
-    scored = scored.select(*SIDES, score.alias(name))
-    hot_pairs = skew.hot_keys(pairs, SIDES, min_hot_rows, weight="n")
-    return skew.join_spread(rows, scored, SIDES, "left", hot_pairs)
+    return scored.select(*pairs.columns, score.alias(name))
 
 
 def embedding_scorer(
@@ -75,9 +86,10 @@ def embedding_scorer(
     ``embeddings`` is a (title, embedding) table, unique by title, or a function
     that computes one from the distinct titles.
     """
-    def score(rows: DataFrame) -> DataFrame:
-        table = embeddings(distinct_titles(distinct_pairs(rows))) if callable(embeddings) else embeddings
-        return _score(rows, table, name, V.dot(F.col("base_embedding"), F.col("comp_embedding")), min_hot_rows)
+    def score(pairs: DataFrame) -> DataFrame:
+        # Computed embeddings are costly and read twice, so they are kept.
+        table = cut_lineage(embeddings(distinct_titles(pairs))) if callable(embeddings) else embeddings
+        return _score(pairs, table, name, V.dot(F.col("_base_embedding"), F.col("_comp_embedding")), min_hot_rows)
     return score
 
 
@@ -87,14 +99,14 @@ def tfidf_scorer(
     min_hot_rows: int = skew.MIN_ROWS,
 ) -> Scorer:
     """TF-IDF cosine, fitted on all distinct titles; 0 when no known term is shared."""
-    def score(rows: DataFrame) -> DataFrame:
-        titles = distinct_titles(distinct_pairs(rows))
+    def score(pairs: DataFrame) -> DataFrame:
+        titles = distinct_titles(pairs)
         if lemmas is None:
             _, vectors = tfidf.fit_transform(titles, "title", title_terms(stop_words, grams), max_features)
         else:
             docs = lemmatised(titles, lemmas, stop_words)
             words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*stop_words, ""]))
             _, vectors = tfidf.fit_transform(docs, "title", X.ngrams(words, *grams), max_features)
-        overlap = tfidf.sparse_dot(*[F.col(f"{s}_{c}") for s in ("base", "comp") for c in ("ids", "weights")])
-        return _score(rows, vectors, name, F.bround(overlap, digits), min_hot_rows)
+        overlap = tfidf.sparse_dot(*[F.col(f"_{s}_{c}") for s in ("base", "comp") for c in ("ids", "weights")])
+        return _score(pairs, vectors, name, F.bround(overlap, digits), min_hot_rows)
     return score

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import tfidf
 from ..operators.blocks import nearest
+from ..session import cut_lineage
 
 REQUIRED = ["base_title", "comp_title", "match_norm", "base_brand", "comp_brand", "base_category", "base_subcategory"]
 LEVELS = {"category": "base_category", "segment": "base_subcategory"}
@@ -57,20 +58,23 @@ def with_row_id(examples: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000) -> Retriever:
-    """Index of ``docs`` with unique ``row_id`` and text ``q``: unigrams, sublinear tf, no stop words."""
+    """Index of ``docs`` with unique ``row_id`` and text ``q``: unigrams, sublinear tf, no stop words.
+
+    The vectors are checkpointed, since every query reads them.
+    """
     vocab, vectors = tfidf.fit_transform(
         docs.select("row_id", "q"), "row_id", X.word_tokens(F.col("q")), max_features, sublinear=True
     )
     # Rows without a known term stay in the index; they score 0 for any query.
     vectors = docs.select("row_id").join(vectors, "row_id", "left")
-    return Retriever(vocab, vectors, docs, level)
+    return Retriever(vocab, cut_lineage(vectors), docs, level)
 
 
 def build_retriever(
     examples: DataFrame, level: str, brand_weight: int = 3, taxonomy_weight: int = 2, max_features: int = 50_000
 ) -> Retriever:
     """Index of combined examples at one taxonomy level."""
-    docs = with_row_id(examples).withColumn("q", example_text(level, brand_weight, taxonomy_weight))
+    docs = cut_lineage(with_row_id(examples).withColumn("q", example_text(level, brand_weight, taxonomy_weight)))
     return build_index(docs, level, max_features)
 
 

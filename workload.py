@@ -150,13 +150,13 @@ def training_pairs(library, reviews, catalog, warehouse):
 
 @query("fx_titles", "fx_title_embeddings")
 def embedding_similarity(titles, embeddings):
-    scored = scorers.embedding_scorer(embeddings)(titles)
+    scored = scorers.run_scorers(titles, [scorers.embedding_scorer(embeddings)])
     return scored.withColumn("bert_similarity", F.round("bert_similarity", 6))
 
 
 @query("fx_titles")
 def tfidf_similarity(titles):
-    return scorers.tfidf_scorer(STOP_WORDS)(titles)
+    return scorers.run_scorers(titles, [scorers.tfidf_scorer(STOP_WORDS)])
 
 
 @query("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse", "fx_title_embeddings")
