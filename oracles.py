@@ -572,3 +572,111 @@ def _drops() -> str:
 
 
 oracle("drop_events", ["fx_events"], _drops())
+
+
+# --- keys, text and values ---------------------------------------------------
+
+oracle("store_form", ["fx_pairs"], """
+    select distinct comp_source_store as under, replace(comp_source_store, '_', '<>') as bracket, comp_source_store as back,
+      split_part(comp_source_store, '_', 1) as retailer from fx_pairs""")
+oracle("uuid_canonical", ["fx_recall"], f"select distinct base_sku_uuid, {canonical('base_sku_uuid')} as canonical from fx_recall")
+oracle("uuid_parts", ["fx_upc", "fx_recall"], f"""
+    select uuid_a as uuid, split_part(uuid_a, '<>', 1) as upc, split_part(uuid_a, '<>', 2) as sku, {store_after_two('uuid_a')} as store from fx_upc
+    union select base_sku_uuid, null, {sku_of('base_sku_uuid')}, array_to_string(string_split({canonical('base_sku_uuid')}, '<>')[2:], '<>') from fx_recall""")
+oracle("pair_id", ["fx_pairs", "fx_requests"], f"""
+    select distinct {UUID_BASE} || '<>' || {UUID_COMP} as training_id, {UUID_BASE} as sku_uuid,
+      base_sku || '_' || base_source_store || '<>' || comp_sku || '_' || comp_source_store as queue_id,
+      base_sku || '<>' || replace(comp_source_store, '_', '<>') as request_key
+    from fx_pairs p where exists (select 1 from fx_requests r where r.base_sku = p.base_sku and r.comp_source_store = p.comp_source_store)""")
+oracle("strip_zeros", ["fx_catalog"], "select sku, capture_date, ltrim(split_part(upc, ',', 1), '0') as upc from fx_catalog")
+oracle("blank_to_null", ["fx_catalog"], """
+    select sku, capture_date, nullif(trim(product_title), '') as title, trim(coalesce(product_title, '')) <> '' as filled,
+      coalesce(nullif(product_title, ''), brand) as shown from fx_catalog""")
+oracle("price_gate", ["fx_pairs", "fx_catalog", "fx_warehouse"], f"""
+    with q as (select distinct base_sku, comp_sku from fx_pairs),
+    b as (select lower(sku) as base_sku, list_price as bp from fx_catalog where capture_date = '2024-01-01'),
+    c as (select lower(sku) as comp_sku, list_price as cp from fx_warehouse where capture_date = '2024-01-01')
+    select base_sku, comp_sku, {price('bp')} as base_number, coalesce({price('bp')} > 0 and abs({price('bp')} - cp) / {price('bp')} < 0.8, false) as near
+    from q join b using (base_sku) join c using (comp_sku)""")
+oracle("upc_overlap", ["fx_pairs", "fx_catalog", "fx_crawl"], f"""
+    with q as (select distinct base_sku, comp_sku from fx_pairs),
+    b as (select lower(sku) as base_sku, upc as base_upc from fx_catalog where capture_date = '2024-02-01'),
+    c as (select distinct comp_sku, dc_upc from ({SIGNALS['crawl']}))
+    select base_sku, comp_sku, dc_upc, coalesce({strip('base_upc')} = {strip('dc_upc')}, false) as overlap from q join b using (base_sku) join c using (comp_sku)""")
+oracle("queue_keys", ["fx_pairs", "fx_input_precision"], """
+    with q as (select distinct base_sku, base_source_store as bs, comp_sku, comp_source_store as cs from fx_pairs),
+    m as (select sku as base_sku, match_sku as m from fx_input_precision where month = '01')
+    select base_sku, comp_sku, coalesce(nullif(m, ''), base_sku) as match_sku,
+      coalesce(nullif(m, ''), base_sku) || '_' || bs || '_' || cs as match_sku_base_source_store_comp_source_store,
+      bs || '_' || comp_sku || '_' || cs as base_source_store_comp_sku_comp_source_store,
+      comp_sku || '_' || cs || '_' || bs as comp_sku_comp_source_store_base_source_store,
+      cs || '_' || base_sku || '_' || bs as comp_source_store_match_sku_base_source_store
+    from q left join m using (base_sku)""")
+oracle("taxonomy_text", ["fx_tax_base"], "select *, concat_ws(' ', category, subcategory, sub_subcategory) as text from fx_tax_base")
+oracle("weighted_text", ["fx_catalog"], """
+    select sku, capture_date, product_title || ' ' || product_description || ' ' || brand || ' ' || brand || ' ' || brand || ' ' || category || ' ' || category as text
+    from fx_catalog""")
+LETTERS = f"list_filter(string_split(trim(regexp_replace(lower(q), '[^a-z]+', ' ', 'g')), ' '), lambda w: w <> '' and w not in ({STOP}))"
+oracle("clean_tokens", ["fx_docs"], f"select row_id, {LETTERS} as letters, {WORDS.replace('text', 'q')} as words from fx_docs")
+oracle("ngrams", ["fx_docs"], f"""
+    select row_id, list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) as grams from (select row_id, {LETTERS} as w from fx_docs)""")
+oracle("vocabulary", ["fx_docs"], f"""
+    select term, cast(row_number() over (order by term) as int) as term_id, round(ln((1 + (select count(*) from fx_docs)) / (1 + df)) + 1, 6) as idf
+    from (select term, count(*) as tf, count(distinct row_id) as df from (select row_id, unnest({WORDS.replace('text', 'q')}) as term from fx_docs)
+      group by 1 order by tf desc, term limit 5000)""")
+oracle("epoch_dates", ["fx_reviews"], """
+    select distinct inserted_date as day, cast(epoch(cast(inserted_date as timestamp)) as int) as match_date,
+      cast(epoch(cast(inserted_date as timestamp) + interval 21 day) as int) as expiration_date, true as iso from fx_reviews""")
+oracle("store_override", ["fx_crawl"], """
+    select distinct source_name, store_name, case source_name when 'r1' then 'main_main' when 'r9' then 'x_x'
+      else lower(source_name || '_' || store_name) end as store from fx_crawl""")
+oracle("enqueue_index", ["fx_pairs"], """
+    select distinct base_sku, cast(cast('0x' || substr(md5(base_sku), 1, 8) as bigint) % 90000 + 10000 as int) as at from fx_pairs""")
+oracle("json_field", [], "select event_id, json_extract_string(props, '$.k') as k from events")
+
+
+# --- row picking, snapshots and joins ----------------------------------------
+
+oracle("latest_per_key", ["fx_catalog"], pick(
+    "select sku, source_store, capture_date, product_description from fx_catalog", "sku, source_store",
+    "capture_date desc nulls last, product_description"))
+oracle("first_by_segment", ["fx_warehouse"], pick(
+    "select sku, source_store, product_segment, product_title from fx_warehouse", "sku, source_store", "product_segment, product_title"))
+LABELLED = f"""
+    select {UUID_BASE} || '<>' || {UUID_COMP} as pair_id, 1 as source_priority, match as answer from fx_library
+    where active and deleted_date is null and company_code = 'acme' and load_date = '1998-01-01' and match in ('exact', 'equivalent')
+    union all select {UUID_BASE} || '<>' || {UUID_COMP}, 2, answer from fx_reviews where year || month >= '199401' and base_source_store = 'acme_acme'"""
+oracle("priority_dedupe", ["fx_library", "fx_reviews"], pick(LABELLED, "pair_id", "source_priority, answer"))
+oracle("best_per_base", ["fx_drop"], pick(
+    "select * from fx_drop", "base_sku", "try_cast(score as double) desc nulls last, comp_source_store, comp_sku, score, match"))
+oracle("dedupe_pairs", ["fx_pairs"], pick("select * from fx_pairs", "base_sku, comp_sku, base_source_store, comp_source_store", "score"))
+oracle("latest_snapshot", ["fx_library"], """
+    select base_sku, comp_sku, load_date, match from fx_library where active and deleted_date is null
+      and load_date = (select max(load_date) from fx_library where company_code = 'acme')""")
+oracle("latest_composite", ["fx_input_precision"], """
+    select sku, source_store, year, month, day from fx_input_precision where year || month || day =
+      (select max(year || month || day) from fx_input_precision where segment = 'pets')""")
+oracle("latest_value", ["fx_library"], "select max(load_date) as load_date from fx_library")
+oracle("stores_in_scope", ["fx_pairs", "fx_domains"], """
+    select distinct primary_store as comp_source_store from fx_domains where primary_store in (select comp_source_store from fx_pairs)""")
+oracle("anti_store", ["fx_pairs", "fx_library"], """
+    select * from fx_pairs p where not exists (select 1 from fx_library l where l.base_sku = p.base_sku and l.comp_source_store = p.comp_source_store
+      and active and deleted_date is null and load_date = (select max(load_date) from fx_library))""")
+oracle("anti_pair", ["fx_pairs", "fx_library"], """
+    select * from fx_pairs p where not exists (select 1 from fx_library l where l.base_sku = p.base_sku and l.comp_sku = p.comp_sku
+      and l.comp_source_store = p.comp_source_store)""")
+oracle("anti_pair_id", ["fx_library", "fx_reviews"], f"""
+    with l as ({LABELLED}) select pair_id, answer from l where source_priority = 2 and pair_id not in (select pair_id from l where source_priority = 1)""")
+oracle("semi_keys", ["fx_catalog", "fx_library"], "select sku, capture_date from fx_catalog where sku in (select base_sku from fx_library)")
+oracle("anti_null_safe", ["fx_tax_base"], "select * from fx_tax_base where category <> 'SMALL'")
+oracle("bridge_join", ["fx_pairs", "fx_warehouse"], """
+    select q.*, w.product_title from (select distinct comp_sku, comp_source_store from fx_pairs) q
+    left join fx_warehouse w on lower(w.sku) = q.comp_sku and replace(w.source_store, '<>', '_') = q.comp_source_store""")
+oracle("zero_join", ["fx_drop", "fx_catalog"], """
+    select q.base_sku, c.product_title from (select distinct base_sku from fx_drop) q
+    join fx_catalog c on ltrim(lower(q.base_sku), '0') = ltrim(lower(c.sku), '0') where c.capture_date = '2024-02-01'""")
+oracle("fallback_join", ["fx_pairs", "fx_input_precision", "fx_catalog"], f"""
+    with q as (select distinct base_sku from fx_pairs),
+    own as ({pick("select sku as base_sku, product_title as own from fx_input_precision where month = '02'", "base_sku", "own")}),
+    spare as ({pick("select lower(sku) as base_sku, product_title as spare, capture_date from fx_catalog", "base_sku", "capture_date desc, spare")})
+    select base_sku, coalesce(nullif(own, ''), spare) as title from q left join own using (base_sku) left join spare using (base_sku)""")

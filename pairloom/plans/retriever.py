@@ -60,11 +60,12 @@ def with_row_id(examples: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000) -> Retriever:
     """Index of ``docs`` with unique ``row_id`` and text ``q``: unigrams, sublinear tf, no stop words.
 
-    The vectors are checkpointed, since every query reads them.
+    Vocabulary and vectors are checkpointed, since every query reads them.
     """
-    vocab, vectors = tfidf.fit_transform(
-        docs.select("row_id", "q"), "row_id", X.word_tokens(F.col("q")), max_features, sublinear=True
-    )
+    texts = docs.select("row_id", "q")
+    counts = tfidf.term_counts(texts, "row_id", X.word_tokens(F.col("q")))
+    vocab = cut_lineage(tfidf.vocabulary(counts, texts, max_features))
+    vectors = tfidf.unit_vectors(counts, vocab, "row_id", sublinear=True)
     # Rows without a known term stay in the index; they score 0 for any query.
     vectors = docs.select("row_id").join(vectors, "row_id", "left")
     return Retriever(vocab, cut_lineage(vectors), docs, level)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtures import COMPETITORS, RUN_DATE, SEGMENT, TENANT, fixture
 from pairloom.functions import keys, text, values
-from pairloom.operators import relational, scorers, tfidf
+from pairloom.operators import relational, scorers, skew, tfidf
 from pairloom.plans import (
     approval, coverage, examples, recall, reports, retriever, review_queue, signals, taxonomy, training,
 )
@@ -308,3 +308,254 @@ def drop_events(events):
     return drops.accept_once(events).select(
         "event_id", "key", *drops.PARTITIONS, "action", "reason", "input_prefix"
     )
+
+
+# --- keys, text and values ---------------------------------------------------
+
+@query("fx_pairs")
+def store_form(pairs):
+    store = F.col("comp_source_store")
+    return pairs.select(
+        store.alias("under"), keys.store_bracket(store).alias("bracket"),
+        keys.store_underscore(keys.store_bracket(store)).alias("back"), keys.retailer_of(store).alias("retailer"),
+    ).distinct()
+
+
+@query("fx_recall")
+def uuid_canonical(rows):
+    return rows.select("base_sku_uuid", keys.canonical_uuid(F.col("base_sku_uuid")).alias("canonical")).distinct()
+
+
+@query("fx_upc", "fx_recall")
+def uuid_parts(matches, recall_rows):
+    prefixed, either = F.col("uuid_a"), F.col("base_sku_uuid")
+    known = matches.select(
+        prefixed.alias("uuid"), keys.prefixed_upc(prefixed).alias("upc"), keys.prefixed_sku(prefixed).alias("sku"),
+        keys.prefixed_store(prefixed).alias("store"),
+    )
+    found = recall_rows.select(
+        either.alias("uuid"), F.lit(None).cast("string").alias("upc"), keys.uuid_sku(either).alias("sku"),
+        keys.uuid_store(either).alias("store"),
+    )
+    return known.unionByName(found).distinct()
+
+
+@query("fx_pairs", "fx_requests")
+def pair_id(pairs, requests):
+    parts = [F.col(c) for c in ("base_sku", "base_source_store", "comp_sku", "comp_source_store")]
+    asked = requests.select("base_sku", "comp_source_store").distinct()
+    return pairs.join(asked, ["base_sku", "comp_source_store"], "left_semi").select(
+        keys.training_pair_id(*parts).alias("training_id"), keys.queue_pair_id(*parts).alias("queue_id"),
+        keys.sku_uuid(parts[0], parts[1]).alias("sku_uuid"), keys.request_key(parts[0], parts[3]).alias("request_key"),
+    ).distinct()
+
+
+@query("fx_catalog")
+def strip_zeros(catalog):
+    return catalog.select("sku", "capture_date", keys.strip_zeros(text.first_of_list(F.col("upc"))).alias("upc"))
+
+
+@query("fx_catalog")
+def blank_to_null(catalog):
+    title = F.col("product_title")
+    return catalog.select(
+        "sku", "capture_date", text.blank_to_null(title).alias("title"), text.not_blank(title).alias("filled"),
+        values.fallback(title, F.col("brand")).alias("shown"),
+    )
+
+
+@query("fx_pairs", "fx_catalog", "fx_warehouse")
+def price_gate(pairs, catalog, warehouse):
+    base = catalog.where("capture_date = '2024-01-01'").select(F.lower("sku").alias("base_sku"), F.col("list_price").alias("base_price"))
+    comp = warehouse.where("capture_date = '2024-01-01'").select(
+        F.lower("sku").alias("comp_sku"), F.col("list_price").cast("string").alias("comp_price")
+    )
+    joined = pairs.select("base_sku", "comp_sku").distinct().join(base, "base_sku").join(comp, "comp_sku")
+    return joined.select(
+        "base_sku", "comp_sku", values.price_number(F.col("base_price")).alias("base_number"),
+        values.price_gate(F.col("base_price"), F.col("comp_price"), 0.8).alias("near"),
+    )
+
+
+@query("fx_pairs", "fx_catalog", "fx_crawl")
+def upc_overlap(pairs, catalog, crawl):
+    base = catalog.where("capture_date = '2024-02-01'").select(F.lower("sku").alias("base_sku"), F.col("upc").alias("base_upc"))
+    seen = signals.crawl_signal(crawl, COMPETITORS, signals.crawl_years(RUN_DATE)).select("comp_sku", "dc_upc").distinct()
+    joined = pairs.select("base_sku", "comp_sku").distinct().join(base, "base_sku").join(seen, "comp_sku")
+    return joined.select(
+        "base_sku", "comp_sku", "dc_upc", text.upc_overlap(F.col("base_upc"), F.col("dc_upc"), F.lit(None)).alias("overlap")
+    )
+
+
+@query("fx_pairs", "fx_input_precision")
+def queue_keys(pairs, ml_input):
+    own = ml_input.where("month = '01'").select(F.col("sku").alias("base_sku"), F.col("match_sku").alias("base_match"))
+    rows = pairs.select("base_sku", "base_source_store", "comp_sku", "comp_source_store").distinct().join(own, "base_sku", "left")
+    made = keys.queue_index_keys(
+        *[F.col(c) for c in ("base_sku", "base_source_store", "comp_sku", "comp_source_store", "base_match")],
+        F.lit(None).cast("string"),
+    )
+    return rows.select("base_sku", "comp_sku", *[c.alias(n) for n, c in made.items()])
+
+
+@query("fx_tax_base")
+def taxonomy_text(nodes):
+    return nodes.select("*", text.taxonomy_text(*[F.col(c) for c in taxonomy.LEVELS]).alias("text"))
+
+
+@query("fx_catalog")
+def weighted_text(catalog):
+    made = text.weighted_text(
+        F.col("product_title"), F.col("product_description"), F.col("brand"), F.lit(None).cast("string"), F.col("category")
+    )
+    return catalog.select("sku", "capture_date", made.alias("text"))
+
+
+@query("fx_docs")
+def clean_tokens(docs):
+    return docs.select("row_id", text.letter_tokens(F.col("q"), STOP_WORDS).alias("letters"), text.word_tokens(F.col("q")).alias("words"))
+
+
+@query("fx_docs")
+def ngrams(docs):
+    return docs.select("row_id", text.ngrams(text.letter_tokens(F.col("q"), STOP_WORDS), 1, 2).alias("grams"))
+
+
+@query("fx_docs")
+def vocabulary(docs):
+    counts = tfidf.term_counts(docs, "row_id", text.word_tokens(F.col("q")))
+    return tfidf.vocabulary(counts, docs, 5000).select("term", "term_id", F.round("idf", 6).alias("idf"))
+
+
+@query("fx_pairs", "fx_reviews")
+def epoch_dates(pairs, reviews):
+    day = F.col("inserted_date")
+    return reviews.select(
+        day.alias("day"), values.epoch_day(day).alias("match_date"), values.epoch_day(day, 21).alias("expiration_date"),
+        values.is_iso_date(day).alias("iso"),
+    ).distinct()
+
+
+@query("fx_crawl")
+def store_override(crawl):
+    mapped = keys.remapped_store(F.col("source_name"), F.col("store_name"), keys.parse_overrides("r1=main_main, r9=x_x"))
+    return crawl.select("source_name", "store_name", mapped.alias("store")).distinct()
+
+
+@query("fx_pairs")
+def enqueue_index(pairs):
+    return pairs.select("base_sku", values.hash_index(F.col("base_sku")).alias("at")).distinct()
+
+
+@query("events")
+def json_field(events):
+    return events.select("event_id", values.json_field(F.col("props"), "$.k").alias("k"))
+
+
+# --- row picking, snapshots and joins ----------------------------------------
+
+@query("fx_catalog")
+def latest_per_key(catalog):
+    return relational.latest_row(catalog.select("sku", "source_store", "capture_date", "product_description"), ["sku", "source_store"], "capture_date")
+
+
+@query("fx_warehouse")
+def first_by_segment(warehouse):
+    rows = warehouse.select("sku", "source_store", "product_segment", "product_title")
+    return relational.first_row(rows, ["sku", "source_store"], [F.col("product_segment")])
+
+
+@query("fx_library", "fx_reviews")
+def priority_dedupe(library, reviews):
+    both = training.labelled(library, reviews, TENANT, "1998-01-01", SINCE).select("pair_id", "source_priority", "answer")
+    return relational.first_row(both, ["pair_id"], [F.col("source_priority")])
+
+
+@query("fx_drop")
+def best_per_base(drop):
+    order = [F.col("score").try_cast("double").desc_nulls_last(), F.col("comp_source_store"), F.col("comp_sku")]
+    return relational.first_row(drop, ["base_sku"], order)
+
+
+@query("fx_pairs")
+def dedupe_pairs(pairs):
+    return relational.first_row(pairs, ["base_sku", "comp_sku", "base_source_store", "comp_source_store"])
+
+
+@query("fx_library")
+def latest_snapshot(library):
+    own = relational.latest_snapshot(library, "load_date", F.col("company_code") == TENANT)
+    return relational.live(own).select("base_sku", "comp_sku", "load_date", "match")
+
+
+@query("fx_input_precision")
+def latest_composite(ml_input):
+    newest = relational.latest_partition(ml_input, scope=F.col("segment") == SEGMENT)
+    return newest.select("sku", "source_store", "year", "month", "day")
+
+
+@query("fx_library")
+def latest_value(library):
+    return relational.latest_value(library, "load_date")
+
+
+@query("fx_pairs", "fx_domains")
+def stores_in_scope(pairs, domains):
+    return relational.stores_in_scope(pairs, relational.competitor_stores(domains_of(domains), TENANT))
+
+
+@query("fx_pairs", "fx_library")
+def anti_store(pairs, library):
+    matched = relational.live(relational.latest_snapshot(library, "load_date")).select("base_sku", "comp_source_store").distinct()
+    hot = skew.hot_keys(pairs, ["base_sku"])
+    return skew.join_spread(pairs, matched, ["base_sku", "comp_source_store"], "left_anti", hot)
+
+
+@query("fx_pairs", "fx_library")
+def anti_pair(pairs, library):
+    on = ["base_sku", "comp_sku", "comp_source_store"]
+    return pairs.join(library.select(*on).distinct(), on, "left_anti")
+
+
+@query("fx_library", "fx_reviews")
+def anti_pair_id(library, reviews):
+    both = training.labelled(library, reviews, TENANT, "1998-01-01", SINCE)
+    known = both.where("source_priority = 1").select("pair_id")
+    return both.where("source_priority = 2").join(known, "pair_id", "left_anti").select("pair_id", "answer")
+
+
+@query("fx_catalog", "fx_library")
+def semi_keys(catalog, library):
+    used = library.select(F.col("base_sku").alias("sku")).distinct()
+    return catalog.join(used, "sku", "left_semi").select("sku", "capture_date")
+
+
+@query("fx_tax_base", "fx_tax_base")
+def anti_null_safe(nodes, others):
+    return skew.anti_null_safe(nodes, others.where("category = 'SMALL'"), taxonomy.LEVELS)
+
+
+@query("fx_pairs", "fx_warehouse")
+def bridge_join(pairs, warehouse):
+    sold = warehouse.select(
+        F.lower("sku").alias("comp_sku"), keys.store_underscore(F.col("source_store")).alias("comp_source_store"), "product_title"
+    )
+    rows = pairs.select("comp_sku", "comp_source_store").distinct()
+    return rows.join(sold, ["comp_sku", "comp_source_store"], "left")
+
+
+@query("fx_drop", "fx_catalog")
+def zero_join(drop, catalog):
+    base = catalog.where("capture_date = '2024-02-01'").select(keys.strip_zeros(F.lower("sku")).alias("k"), "product_title")
+    rows = drop.select("base_sku", keys.strip_zeros(F.lower("base_sku")).alias("k")).distinct()
+    return rows.join(base, "k").drop("k")
+
+
+@query("fx_pairs", "fx_input_precision", "fx_catalog")
+def fallback_join(pairs, ml_input, catalog):
+    skus = pairs.select("base_sku").distinct()
+    own = ml_input.where("month = '02'").select(F.col("sku").alias("base_sku"), F.col("product_title").alias("own"))
+    spare = catalog.select(F.lower("sku").alias("base_sku"), F.col("product_title").alias("spare"), "capture_date")
+    rows = skew.attach_first(skus, own, ["base_sku"])
+    rows = skew.attach_first(rows, spare, ["base_sku"], order=[F.col("capture_date").desc()])
+    return rows.select("base_sku", values.fallback(F.col("own"), F.col("spare")).alias("title"))
