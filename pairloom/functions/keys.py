@@ -57,8 +57,7 @@ def request_key(base_sku: Column, comp_store: Column) -> Column:
 
 def canonical_uuid(uuid: Column) -> Column:
     """Last three parts; ids with fewer parts stay as they are."""
-    parts = F.split(uuid, BRACKET)
-    return F.when(F.size(parts) < 3, uuid).otherwise(F.array_join(F.slice(parts, -3, 3), BRACKET))
+    return F.substring_index(uuid, BRACKET, -3)
 
 
 def _part(text: Column, position: int) -> Column:

@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 
 def term_counts(docs: DataFrame, key: str, terms: Column) -> DataFrame:
-    """(key, term, tf). The texts are shuffled once by key; counting needs no further shuffle."""
-    exploded = docs.repartition(F.col(key)).select(key, F.explode(terms).alias("term"))
+    """(key, term, tf). The texts are shuffled once by key; counting needs no further shuffle.
+
+    The number of partitions is given, since a text grows many times over when
+    its terms are listed and partitions sized by the text would be too large.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    exploded = docs.repartition(parts, F.col(key)).select(key, F.explode(terms).alias("term"))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

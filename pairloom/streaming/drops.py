@@ -5,6 +5,8 @@ The same columns serve a table of events and a stream of them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +23,9 @@ def decoded_key(key: Column) -> Column:
 
 
 def path_value(key: Column, name: str) -> Column:
-    """Value of the last ``name=value`` segment of a path, null if there is none."""
-    start = f"{name}="
-    hits = F.filter(F.split(key, "/"), lambda s: s.startswith(start) & (F.length(s) > len(start)))
-    return F.substring(F.element_at(hits, F.when(F.size(hits) > 0, -1)), len(start) + 1, 2**31 - 1)
+    """Value of the last ``name=value`` segment of a path with a value, null if there is none."""
+    found = F.regexp_extract_all(key, F.lit(f"(?:^|/){re.escape(name)}=([^/]+)"), F.lit(1))
+    return F.try_element_at(found, F.lit(-1))
 
 
 def classify(events: DataFrame, suffix: str = SUFFIX) -> DataFrame:
@@ -39,7 +40,7 @@ def classify(events: DataFrame, suffix: str = SUFFIX) -> DataFrame:
     reason = F.when(~key.endswith(suffix), F.lit("suffix mismatch")).when(
         absent != "", F.concat(F.lit("missing "), absent)
     )
-    folder = F.regexp_replace(key, "[^/]*$", "")
+    folder = F.left(key, F.length(key) - F.length(F.substring_index(key, "/", -1)))
     return rows.withColumns({
         "reason": reason,
         "action": F.when(reason.isNull(), "accepted").otherwise("ignored"),
