@@ -21,8 +21,10 @@ from .relational import top_rows
 
 POSTINGS_PER_BLOCK = 1_000_000
 ROWS_PER_BLOCK = 32_768
-QUERIES_PER_BLOCK = 256
-NODES_PER_BLOCK = 2_048
+QUERIES_PER_BLOCK = 4_096
+NODES_PER_BLOCK = 8_192
+# Within a block, this many vectors of one side are scored at a time.
+SLICE = 256
 PIVOTS = 32
 
 
@@ -68,21 +70,20 @@ def nearest(
 
     def best(docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if docs.empty or asked.empty:
-            return pd.DataFrame({query_key: [], row_key: [], "score": []})
+            return _stacked([query_key, row_key, "score"], [])
         docs = docs.sort_values(row_key, ignore_index=True)
-        scores = _sparse_scores(docs, asked)
+        row_keys = docs[row_key].to_numpy(dtype=object)
+        take = min(k, len(docs))
         out = []
-        for number in range(len(asked)):
-            column = scores[:, number]
-            take = min(k, len(column))
-            cut = np.partition(column, len(column) - take)[len(column) - take]
-            candidates = np.flatnonzero(column >= cut)
-            order = candidates[np.lexsort((candidates, -column[candidates]))][:take]
-            out.append(pd.DataFrame({
-                query_key: asked[query_key].iloc[number], row_key: docs[row_key].to_numpy()[order],
-                "score": column[order],
-            }))
-        return pd.concat(out, ignore_index=True)
+        for asked_slice in _slices(asked):
+            scores = _sparse_scores(docs, asked_slice)
+            for number, query in enumerate(asked_slice[query_key]):
+                column = scores[:, number]
+                cut = np.partition(column, len(column) - take)[len(column) - take]
+                candidates = np.flatnonzero(column >= cut)
+                order = candidates[np.lexsort((candidates, -column[candidates]))][:take]
+                out.append((np.full(len(order), query, dtype=object), row_keys[order], column[order]))
+        return _stacked([query_key, row_key, "score"], out)
 
     local = left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInPandas(best, schema)
     if not pad:
@@ -90,6 +91,17 @@ def nearest(
     return top_rows(local, [query_key], [F.col("score").desc(), F.col(row_key)], k)
 
 
+def _stacked(names: list[str], parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+    """One frame of the column arrays of all parts."""
+    columns = zip(*parts) if parts else [[np.empty(0, dtype=object)] for _ in names]
+    return pd.DataFrame({name: np.concatenate(arrays) for name, arrays in zip(names, columns, strict=True)})
+
+
+def _slices(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for start in range(0, len(frame), SLICE):
+        yield frame.iloc[start:start + SLICE].reset_index(drop=True)
+
+
 def _sparse_scores(docs: pd.DataFrame, asked: pd.DataFrame) -> np.ndarray:
     """Dense (docs x queries) score block, computed over slices of the postings."""
     q_row, q_term, q_weight = _flat(asked)
@@ -156,15 +168,15 @@ def scored_above(
     margin = threshold - 2e-4
 
     def compare(b: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if b.empty or c.empty:
-            return pd.DataFrame({f"base_{key}": [], f"comp_{key}": [], "embedding_similarity": [], "tfidf_similarity": []})
-        dense = _dense(b) @ _dense(c).T
-        sparse = _sparse_scores(b, c)
-        i, j = np.nonzero(weights[0] * dense + weights[1] * sparse >= margin)
-        return pd.DataFrame({
-            f"base_{key}": b[key].to_numpy()[i], f"comp_{key}": c[key].to_numpy()[j],
-            "embedding_similarity": dense[i, j], "tfidf_similarity": sparse[i, j],
-        })
+        found = []
+        if len(b) and len(c):
+            vectors, b_keys = _dense(b), b[key].to_numpy(dtype=object)
+            for part in _slices(c):
+                dense = vectors @ _dense(part).T
+                sparse = _sparse_scores(b, part)
+                i, j = np.nonzero(weights[0] * dense + weights[1] * sparse >= margin)
+                found.append((b_keys[i], part[key].to_numpy(dtype=object)[j], dense[i, j], sparse[i, j]))
+        return _stacked([f"base_{key}", f"comp_{key}", "embedding_similarity", "tfidf_similarity"], found)
 
     grid = ["bc", "bb", "cc", "cb"]
     return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(compare, schema)

@@ -15,7 +15,7 @@ def label_distribution(examples: DataFrame, labels: Sequence[str], label: str =
     spark = examples.sparkSession
     valid = spark.createDataFrame([(name,) for name in labels], f"{label} string")
     counts = examples.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = examples.select(F.count(F.lit(1))).scalar()
+    total = counts.select(F.sum("count")).scalar()
     filled = F.coalesce("count", F.lit(0))
     return valid.join(counts, label, "left").select(
         F.col(label),

@@ -51,8 +51,13 @@ def replace_partitions(
     ``constants`` become (partition) columns. Spark stages the files and swaps
     them in when the job commits: a failed job changes nothing, a run without
     rows leaves the old data in place, and sibling partitions are not touched.
+    Rows are gathered by the varying partition columns to avoid many small
+    files; Spark splits a partition that is large.
     """
     rows = df.withColumns({name: F.lit(value) for name, value in constants.items()}) if constants else df
+    varying = [name for name in by if name not in constants]
+    if varying:
+        rows = rows.hint("rebalance", *varying)
     counted, observation = _observed(rows)
     writer = (
         counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
@@ -128,7 +133,7 @@ def write_recall(
     value = F.substring("part", len(marker) + 1, 2**31 - 1)
     target = root.rstrip("/") + "__new" if in_place else root
     # One unquoted column whose name is the header: lines come out verbatim.
-    clean.select(line.alias(header), value.alias(column)).write.mode("overwrite").partitionBy(column).csv(
+    clean.select(line.alias(header), value.alias(column)).hint("rebalance", column).write.mode("overwrite").partitionBy(column).csv(
         target, header=True, sep="\u0001", quote="\u0000", escapeQuotes=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="",
     )

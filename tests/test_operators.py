@@ -155,6 +155,7 @@ def random_sparse(rng, n, terms=30):
 def test_nearest_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(blocks, "ROWS_PER_BLOCK", 16)
     monkeypatch.setattr(blocks, "QUERIES_PER_BLOCK", 4)
+    monkeypatch.setattr(blocks, "SLICE", 3)
     rng = np.random.default_rng(1)
     index, asked = random_sparse(rng, 90), random_sparse(rng, 13)
     dense = lambda data: np.array([np.bincount(np.asarray(i, int), w, minlength=30) if len(i) else np.zeros(30) for _, i, w in data])
@@ -174,6 +175,7 @@ def test_scored_above_equals_all_pairs(spark, monkeypatch, threshold):
     """Clustered vectors, small blocks: pruning and splitting lose nothing."""
     monkeypatch.setattr(blocks, "NODES_PER_BLOCK", 7)
     monkeypatch.setattr(blocks, "PIVOTS", 6)
+    monkeypatch.setattr(blocks, "SLICE", 4)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(5, 8))
 

@@ -155,6 +155,14 @@ def test_replace_partitions(spark, tmp_path):
     assert counts == {"a": 1, "b": 3}
 
 
+def test_replace_by_varying_partition(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.range(30).withColumn("k", F.when(F.col("id") < 20, 0).otherwise(1))
+    assert writers.replace_partitions(rows, path, ["tenant", "k"], tenant="a").rows == 30
+    assert writers.replace_partitions(rows.where("k = 1").limit(2), path, ["tenant", "k"], tenant="a").rows == 2
+    assert sorted((r["k"], r["count"]) for r in spark.read.parquet(path).groupBy("k").count().collect()) == [(0, 20), (1, 2)]
+
+
 def test_failed_replace_keeps_old_data(spark, tmp_path):
     path = str(tmp_path / "out")
     writers.replace_partitions(spark.range(3), path, ["tenant"], tenant="a")
