@@ -202,12 +202,10 @@ def _fallbacks(fields: dict, first: str, second: str) -> str:
 def _queue() -> str:
     from pairloom.plans import review_queue as q
 
-    side_order = ", ".join(sorted({o for o, _ in q.BASE_FIELDS.values()} | {"match_sku"}, key=str))
     base_needed = sorted({o for o, _ in q.BASE_FIELDS.values()}) + ["match_sku"]
     comp_needed = sorted({o for o, _ in q.COMP_FIELDS.values()}) + ["match_sku"]
     cat_needed = sorted({o for _, o in q.BASE_FIELDS.values()})
     pdp_needed = sorted({o for _, o in q.COMP_FIELDS.values()})
-    del side_order
     newest = """select * from fx_input_precision where segment = 'pets' and year || month || day =
         (select max(year || month || day) from fx_input_precision where segment = 'pets')"""
     ctes = {
