@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import exact_dedup, mixing, sharding, tokens
+from pairloom.llm import exact_dedup, mixing, nearest, quality, sharding, tokens, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,43 @@ select doc_id, n_bytes, depth::int as depth, prefix, 0::bigint as part,
        case when depth = 0 then '' else lpad(bin(prefix), depth, '0') end || '-0' as shard, load as shard_bytes
 from found where pick = 1
 """
+
+
+@query
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op3_nearest_vectors"] = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from vectors q join vectors c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0
+), ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
+)
+select * from ranked where rank <= 5
+"""
+
+# (host, path, verdict)
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
