@@ -1,4 +1,57 @@
-"""The training-data pipeline: five stages over the documents."""
+"""The training-data pipeline: five stages over the documents, each stage a table of its own."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from pairloom.llm import exact_dedup, mixing, near_dedup, quality, tokens
+from pairloom.session import Workspace, ship_package
+
+MODEL = "piece_bpe_32k.model"
+# Stages rest on a fitted classifier, signatures and a tokenizer, which SQL can't express.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir): return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose best grade is likelier than not, by a model of the labelled ones."""
+    ship_package(spark)
+    return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest doc_id."""
+    ship_package(spark)
+    return exact_dedup.drop_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id."""
+    ship_package(spark)
+    return near_dedup.drop_near_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it: not at all, once or twice."""
+    ship_package(spark)
+    return mixing.mixed(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text, per document."""
+    ship_package(spark)
+    return tokens.encode_digests(docs, public_tokenizers.path(MODEL))
+
+
+STAGES = [
+    ("quality classifier", quality_stage), ("exact dedup", exact_stage), ("near dedup", near_stage),
+    ("mixing", mixing_stage), ("piece encoding", token_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written to the shared folder and read again."""
+    docs, tables = spark.read.parquet(f"{sf_dir}/documents.parquet"), Workspace(spark, "pipeline")
+    for _, stage in STAGES[:-1]:
+        docs = tables.save(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

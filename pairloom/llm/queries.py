@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import exact_dedup, mixing, nearest, quality, sharding, tokens, toxicity, url_filter
+from pairloom.llm import (
+    exact_dedup, mixing, near_dedup, nearest, paragraphs, quality, sharding, tokens, toxicity, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +146,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
