@@ -197,7 +197,8 @@ SQL |= {
         select b.p_name as base_title, c.p_name as comp_title, l_orderkey, l_linenumber
         from {lineitem} join {part} b on l_partkey = b.p_partkey join {part} c on l_suppkey = c.p_partkey""",
     "fx_title_embeddings": """
-        select n.title, e.embedding from (select p_name as title, min(p_partkey) % 500 as vec_id from {part} group by p_name) n
+        select n.title, e.embedding from
+          (select title, HASH(title) % (select count(*) from {embeddings}) as vec_id from (select distinct p_name as title from {part}) p) n
         join {embeddings} e on n.vec_id = e.vec_id""",
     "fx_tax_base": """
         select distinct p_type as category, p_brand as subcategory, case when p_size % 3 < 2 then concat('line ', cast(p_size % 3 as varchar(5))) end as sub_subcategory
@@ -209,16 +210,16 @@ SQL |= {
         select distinct concat_ws(' ', category, subcategory, sub_subcategory) as title from
         (select category, subcategory, sub_subcategory from {fx_tax_base} union select category, subcategory, sub_subcategory from {fx_tax_comp}) t""",
     "fx_tax_embeddings": """
-        select t.title, e.embedding from (select title, length(title) * 7 % 500 as vec_id from {fx_tax_texts}) t
+        select t.title, e.embedding from (select title, HASH(title) % (select count(*) from {embeddings}) as vec_id from {fx_tax_texts}) t
         join {embeddings} e on t.vec_id = e.vec_id""",
     "fx_docs": "select doc_id as row_id, text as q from {documents}",
     "fx_asked": "select item_id as query_id, text as q from {benchmark}",
     "fx_events": """
-        select event_id, ts, 'inbox' as bucket,
+        select case when event_id % 37 = 0 then null else event_id end as event_id, ts, 'inbox' as bucket,
           concat('drop/company_code%3Du', cast(user_id as varchar(20)), '/product_segment=', event_type,
             case when event_type = 'view' then '/x/' else concat('/load_date=', cast(cast(ts as date) as varchar(10)), '/') end,
             case when event_type = 'error' then 'part-0.csv' else '_SUCCESS' end) as key
-        from {events}""",
+        from (select * from {events} union all select * from {events} where event_id % 10 = 0) e""",
     "fx_vectors": """
         select a.vec_id, b.vec_id as other_id, a.embedding as base_embedding, b.embedding as comp_embedding
         from {embeddings} a join {embeddings} b on b.vec_id = a.vec_id + 1""",
@@ -228,6 +229,15 @@ for _name in ("fx_library", "fx_reviews"):
     SQL[f"{_name}_m"] = SQL[_name].replace("'exact'", "'exact_match'").replace("'equivalent'", "'equivalent_match'")
 
 
+# HASH(column) in a text: the first 32 bits of the MD5 digest, in each engine's words.
+_SPARK_HASH = r"cast(conv(substr(md5(\1), 1, 8), 16, 10) as bigint)"
+_DUCK_HASH = r"cast('0x' || substr(md5(\1), 1, 8) as bigint)"
+
+
+def _hashed(text: str, form: str) -> str:
+    return re.sub(r"HASH\((\w+)\)", form, text)
+
+
 def _needs(text: str) -> list[str]:
     return [n for n in dict.fromkeys(re.findall(r"\{(\w+)\}", text)) if n in TABLES or n in SQL]
 
@@ -244,7 +254,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFr
             known[name] = table(spark, sf_dir, name)
         else:
             inputs = {n: fixture(spark, sf_dir, n, known) for n in _needs(SQL[name])}
-            known[name] = spark.sql(SQL[name].replace('{"', '{{"').replace('"}', '"}}'), **inputs)
+            known[name] = spark.sql(_hashed(SQL[name], _SPARK_HASH).replace('{"', '{{"').replace('"}', '"}}'), **inputs)
     return known[name]
 
 
@@ -262,7 +272,7 @@ def with_fixtures(names: list[str], query: str) -> str:
     wanted = dict.fromkeys(n for name in names for n in _closure(name))
     parts = []
     for name in wanted:
-        text = SQL[name]
+        text = _hashed(SQL[name], _DUCK_HASH)
         for need in _needs(text):
             text = text.replace("{" + need + "}", need)
         parts.append(f"{name} as ({text})")

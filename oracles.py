@@ -224,8 +224,8 @@ def _queue() -> str:
                     ", ".join(["capture_date desc nulls last", *pdp_needed])),
     }
     c = {
-        "base_attributes": "{" + ",".join(q.BASE_ATTRIBUTES) + "}",
-        "comp_attributes": "{" + ",".join(q.COMP_ATTRIBUTES) + "}",
+        "base_attributes": q.BASE_ATTRIBUTES,
+        "comp_attributes": q.COMP_ATTRIBUTES,
     }
     base_match = "coalesce(nullif(i_base.match_sku, ''), w.base_sku)"
     comp_match = "coalesce(nullif(i_comp.match_sku, ''), w.base_sku)"
@@ -246,8 +246,8 @@ def _queue() -> str:
       'unverified' as customer_review_state, 'retail' as domain,
       cast(cast('0x' || substr(md5({pair_id}), 1, 8) as bigint) % 90000 + 10000 as int) as enqueue_index,
       cast(epoch(timestamp '2024-03-01' + interval 21 day) as int) as expiration_date, 'new' as item_status, 'exact' as match,
-      'MODEL' as matcher, cast(epoch(timestamp '2024-03-01') as int) as match_date, 'c65p951d-09iv-4l12-8l09-vphl8p9184r5' as match_id,
-      'product_found' as match_status, 'afm-model' as model_used, 'adhoc_new' as queue_name_item_status, w.score,
+      'MODEL' as matcher, cast(epoch(timestamp '2024-03-01') as int) as match_date, 'run-1' as match_id,
+      'product_found' as match_status, 'title-model' as model_used, 'adhoc_new' as queue_name_item_status, w.score,
       'completed' as status, 'adhoc' as queue_name, 'adhoc' as adhoc_queue_name, '2024-03-01' as load_date
     from wanted w
       left join i_base on lower(w.base_sku) = i_base.k left join cat on lower(w.base_sku) = cat.k
@@ -562,7 +562,7 @@ def _drops() -> str:
     parts as (select event_id, ts, k, {values} from decoded),
     judged as (select *, case when not suffix(k, '_SUCCESS') then 'suffix mismatch' when {absent} <> '' then 'missing ' || {absent} end as why,
       's3://inbox/' || regexp_replace(k, '[^/]*$', '') as prefix from parts),
-    numbered as (select *, row_number() over (partition by prefix, why is null order by ts, event_id) as nth from judged)
+    numbered as (select *, row_number() over (partition by prefix, why is null order by ts, event_id nulls last, k) as nth from judged)
     select event_id, k as key, {', '.join(names)},
       case when why is not null then 'ignored' when nth = 1 then 'accepted' else 'skipped' end as action,
       case when why is not null then why when nth > 1 then 'repeated event' end as reason,
@@ -664,7 +664,8 @@ oracle("anti_pair", ["fx_pairs", "fx_library"], """
     select * from fx_pairs p where not exists (select 1 from fx_library l where l.base_sku = p.base_sku and l.comp_sku = p.comp_sku
       and l.comp_source_store = p.comp_source_store)""")
 oracle("anti_pair_id", ["fx_library", "fx_reviews"], f"""
-    with l as ({LABELLED}) select pair_id, answer from l where source_priority = 2 and pair_id not in (select pair_id from l where source_priority = 1)""")
+    with l as ({LABELLED}) select pair_id, answer from l
+    where source_priority = 2 and not exists (select 1 from l known where known.source_priority = 1 and known.pair_id = l.pair_id)""")
 oracle("semi_keys", ["fx_catalog", "fx_library"], "select sku, capture_date from fx_catalog where sku in (select base_sku from fx_library)")
 oracle("anti_null_safe", ["fx_tax_base"], "select * from fx_tax_base where category <> 'SMALL'")
 oracle("bridge_join", ["fx_pairs", "fx_warehouse"], """

@@ -6,6 +6,8 @@ Stores appear as ``source_store`` or ``source<>store``; product ids as
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,17 +129,10 @@ def remapped_store(source: Column, store: Column, overrides: dict[str, str] | No
     return F.coalesce(F.try_element_at(lookup, source), plain)
 
 
-def parse_overrides(text: str) -> dict[str, str]:
-    """``"ikea=ikeaca_ikeaca,foo=bar_bar"`` -> dict; raises on malformed entries."""
-    import re
-
-    name = re.compile(r"[a-z0-9_]+")
-    found: dict[str, str] = {}
-    for entry in filter(None, (e.strip() for e in text.split(","))):
-        source, sign, store = (p.strip() for p in entry.partition("="))
-        if not sign:
-            raise ValueError(f"override {entry!r} is not 'source=source_store'")
-        if not name.fullmatch(source) or not name.fullmatch(store):
-            raise ValueError(f"override {entry!r} has unexpected characters")
-        found[source] = store
+def check_overrides(overrides: Mapping[str, str]) -> dict[str, str]:
+    """Source -> store, stripped; blank or null names, and stores without a form such as ``shop_shop``, are errors."""
+    found = {(source or "").strip(): (store or "").strip() for source, store in overrides.items()}
+    wrong = sorted(f"{s}: {t}" for s, t in found.items() if not s or UNDERSCORE not in t.strip(UNDERSCORE))
+    if wrong:
+        raise ValueError(f"store overrides without a source or a full store name: {'; '.join(wrong)}")
     return found

@@ -10,6 +10,7 @@ from ..functions.text import blank_to_null
 from ..operators import relational as R
 from ..operators import skew
 
+# Key columns and the labels that count, per source.
 PAIR = ["base_sku", "base_source_store", "comp_sku", "comp_source_store"]
 LIBRARY_LABELS = ["exact", "equivalent"]
 REVIEW_LABELS = ["exact", "equivalent", "not_a_match"]

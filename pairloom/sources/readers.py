@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from . import storage
 
 CORRUPT = "_corrupt"
+# A competitor list is a short text; anything larger is not one.
+SIDECAR_BYTES = 16 << 20
 RECALL_FIELDS = ["base_sku_uuid", "comp_sku_uuid", "score"]
 
 
@@ -30,67 +32,80 @@ def partition_paths(months: Sequence[str], **outer: str) -> list[str]:
 
 
 def read_partitions(
-    spark: SparkSession, base: str, partitions: Sequence[str] = (), schema: T.StructType | None = None
+    spark: SparkSession, base: str, partitions: Sequence[str] = (), schema: T.StructType | None = None, skip_bad: bool = False
 ) -> DataFrame:
     """Parquet below the ``partitions`` of ``base`` that exist; the others are skipped.
 
-    Missing and corrupt files are ignored and schemas merged. If the layout
-    cannot be read as partitions, all files below are read. With nothing to
-    read the result is empty, typed by ``schema`` when given.
+    Schemas are merged. Files whose folders don't agree on partition columns are
+    read without them. With nothing to read the result is empty, typed by
+    ``schema`` when given. Every other error is raised. Only with ``skip_bad``
+    are files passed over that are damaged or vanish while they are read;
+    ``files_without_rows`` tells which gave nothing.
     """
-    wanted = [f"{base.rstrip('/')}/{p}" for p in partitions] or [base]
-    paths = [p for p in dict.fromkeys(wanted) if storage.has_data(spark, p)]
-    empty = schema or T.StructType([T.StructField("dummy", T.StringType())])
+    paths = _existing(spark, base, partitions)
     if not paths:
-        return spark.createDataFrame([], empty)
-
-    def load(recursive: bool) -> DataFrame:
-        reader = (
-            spark.read.option("ignoreMissingFiles", "true")
-            .option("ignoreCorruptFiles", "true")
-            .option("mergeSchema", "true")
-        )
-        if schema is not None:
-            reader = reader.schema(schema)
-        if recursive:
-            return reader.option("recursiveFileLookup", "true").parquet(*paths)
+        return spark.createDataFrame([], schema or T.StructType([T.StructField("dummy", T.StringType())]))
+    reader = spark.read.option("mergeSchema", "true")
+    if skip_bad:
+        reader = reader.option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
         return reader.option("basePath", base).parquet(*paths)
+    except PySparkException as error:
+        if "CONFLICTING_PARTITION" not in str(error) and "CONFLICTING_DIRECTORY" not in str(error):
+            raise
+    return reader.option("recursiveFileLookup", "true").parquet(*paths)
+
+
+def _existing(spark: SparkSession, base: str, partitions: Sequence[str]) -> list[str]:
+    wanted = [f"{base.rstrip('/')}/{p}" for p in partitions] or [base]
+    return [p for p in dict.fromkeys(wanted) if storage.has_data(spark, p)]
 
-    for recursive in (False, True):
-        try:
-            return load(recursive)
-        except PySparkException:
-            continue
-    return spark.createDataFrame([], empty)
+
+def files_without_rows(spark: SparkSession, base: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """``file`` of all data files that ``read_partitions(..., skip_bad=True)`` gets no row from: damaged, or empty."""
+    paths = _existing(spark, base, partitions)
+    if not paths:
+        return spark.createDataFrame([], "file string")
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    given = read_partitions(spark, base, partitions, skip_bad=True).select(F.col("_metadata.file_path").alias("file")).distinct()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
+    return every.select(plain(F.col("path")).alias("file")).join(given.select(plain(F.col("file")).alias("file")), "file", "left_anti")
 
 
 def read_header(spark: SparkSession, folder: str, required: Sequence[str]) -> list[str]:
-    """Lower-cased column names of the first CSV of a drop, checked.
+    """Lower-cased column names of the first CSV of a drop.
 
-    Raises ``ValueError`` when there is no data file, a file is not a CSV, a
-    required column is missing or a name occurs twice.
+    ``ValueError`` says if the drop holds no data, starts with another kind of
+    file, or if its header repeats names or leaves out some of ``required``.
     """
     first = storage.first_data_file(spark, folder)
     if first is None:
-        raise ValueError(f"no data files under {folder}")
+        raise ValueError(f"the drop {folder} is empty")
     if not first.lower().endswith(".csv"):
-        raise ValueError(f"only .csv drops are supported, found {first}")
+        raise ValueError(f"{first} is not a csv file")
     line = spark.read.text(first).first()[0]
     names = [n.strip().strip('"').lower() for n in next(csv.reader([line]))]
     missing = [n for n in required if n not in names]
     if missing:
-        raise ValueError(f"{first} lacks the columns {missing}; its header is {names}")
+        raise ValueError(f"the header of {first} lacks {', '.join(missing)}")
     if len(set(names)) != len(names):
-        raise ValueError(f"{first} has duplicate columns: {names}")
+        repeated = sorted({n for n in names if names.count(n) > 1})
+        raise ValueError(f"the header of {first} repeats {', '.join(repeated)}")
     return names
 
 
 def read_drop(spark: SparkSession, folder: str, required: Sequence[str]) -> DataFrame:
-    """Header-checked CSV drop with every column as text."""
+    """Header-checked CSV drop with every column as text.
+
+    The header of every file is compared with the first one's while it is read:
+    other names, or the same names in another order, fail the read.
+    """
     names = read_header(spark, folder, required)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.csv(
-        folder, schema=schema, header=True, quote='"', escape="\\", pathGlobFilter="*.[cC][sS][vV]",
+        folder, schema=schema, header=True, enforceSchema=False, quote='"', escape="\\", pathGlobFilter="*.[cC][sS][vV]",
         recursiveFileLookup=True,
     )
 
@@ -122,6 +137,11 @@ def read_recall(
     )
 
 
+def sidecar_file(spark: SparkSession, path: str) -> str:
+    """The data file of a sidecar, which is a file or a folder with one."""
+    return storage.first_data_file(spark, path) or path
+
+
 def read_mapping(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     """Mapping table and the competitor list stored next to it.
 
@@ -130,6 +150,8 @@ def read_mapping(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]
     sidecar = f"{folder.rstrip('/')}/competitor_list.json"
     if not storage.has_data(spark, sidecar):
         raise FileNotFoundError(f"no competitor_list.json under {folder}")
+    if storage.file_size(spark, sidecar_file(spark, sidecar)) > SIDECAR_BYTES:
+        raise ValueError(f"{sidecar} is too large for a competitor list")
     content = json.loads("".join(r[0] for r in spark.read.text(sidecar, wholetext=True).collect()))
     if isinstance(content, dict):
         content = content.get("competitors", [])

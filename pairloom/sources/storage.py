@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -23,19 +26,82 @@ def first_data_file(spark: SparkSession, folder: str) -> str | None:
     handle, fs = _path(spark, folder)
     if not fs.exists(handle):
         return None
-    found, files = [], fs.listFiles(handle, True)
+    first, files = None, fs.listFiles(handle, True)
     while files.hasNext():
         status = files.next()
         if status.getLen() > 0 and not status.getPath().getName().startswith(("_", ".")):
-            found.append(status.getPath().toString())
-    return min(found, default=None)
+            name = status.getPath().toString()
+            first = name if first is None else min(first, name)
+    return first
+
+
+def file_size(spark: SparkSession, path: str) -> int:
+    handle, fs = _path(spark, path)
+    return fs.getFileStatus(handle).getLen()
+
+
+def name_folders(spark: SparkSession, root: str, column: str) -> None:
+    """Rename the folders ``column=<escaped value>`` below ``root`` to the paths that the values are."""
+    top, fs = _path(spark, root)
+    for status in fs.listStatus(top):
+        head, sign, value = status.getPath().getName().partition(f"{column}=")
+        if head or not sign:
+            continue
+        place = "" if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
+        files = fs.listFiles(status.getPath(), False)
+        while files.hasNext():
+            file = files.next().getPath()
+            target = _path(spark, "/".join(filter(None, [root.rstrip("/"), place, file.getName()])))[0]
+            fs.mkdirs(target.getParent())
+            if not fs.rename(file, target):
+                raise OSError(f"cannot move {file.toString()}")
+        fs.delete(status.getPath(), True)
+
+
+def replace_files(spark: SparkSession, fresh: str, target: str, outgoing: Callable[[str], bool]) -> None:
+    """Move the data files below ``fresh`` to the same places below ``target``, then drop what they replace.
+
+    Only files that were below ``target`` before and for which ``outgoing`` (given
+    the path) is true are deleted, and only once every new file is in its place;
+    all others stay. After a failure both old and new rows may be there, so it
+    can be run again without loss. ``fresh`` is removed at the end.
+    """
+    new, fs = _path(spark, fresh)
+    top = _path(spark, target)[0]
+    old, listed = [], fs.listFiles(top, True) if fs.exists(top) else None
+    while listed is not None and listed.hasNext():
+        path = listed.next().getPath()
+        if outgoing(path.toUri().getPath()):
+            old.append(path)
+    start = len(fs.makeQualified(new).toString().rstrip("/")) + 1
+    moved = fs.listFiles(new, True)
+    while moved.hasNext():
+        path = moved.next().getPath()
+        if path.getName().startswith(("_", ".")):
+            continue
+        place = _path(spark, f"{target.rstrip('/')}/{path.toString()[start:]}")[0]
+        fs.mkdirs(place.getParent())
+        if not fs.rename(path, place):
+            raise OSError(f"cannot move {path.toString()} to {place.toString()}")
+    for path in old:
+        fs.delete(path, False)
+    fs.delete(new, True)
 
 
 def swap(spark: SparkSession, fresh: str, target: str) -> None:
-    """Put ``fresh`` in the place of ``target``; the old data goes only once the new is there."""
+    """Put the folder ``fresh`` in the place of ``target``; the old data goes only once the new is there.
+
+    What an earlier swap left aside when it was interrupted is put back first if
+    ``target`` is missing, and removed otherwise.
+    """
     new, fs = _path(spark, fresh)
     old = _path(spark, target)[0]
     aside = _path(spark, target.rstrip("/") + "__old")[0]
+    if fs.exists(aside):
+        if fs.exists(old):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, old):
+            raise OSError(f"cannot restore {target}")
     if fs.exists(old) and not fs.rename(old, aside):
         raise OSError(f"cannot set {target} aside")
     if not fs.rename(new, old):

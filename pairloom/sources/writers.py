@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,6 @@ from ..plans.retriever import Retriever
 from . import storage
 
 REPORT_LAYOUT = ["report", "product_segment", "company_code", "load_date"]
-ROWS_PER_FILE = 15_000
 
 
 @dataclass(frozen=True)
@@ -75,17 +75,17 @@ def write_report(df: DataFrame, path: str, report: str, segment: str, company: s
     )
 
 
-def write_scores(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> Written:
+def write_scores(df: DataFrame, path: str, rows_per_file: int | None = None) -> Written:
     """Overwrite a folder with score rows; ``*_embedding`` columns are dropped."""
     slim = df.drop(*[c for c in df.columns if c.endswith("_embedding")])
     counted, observation = _observed(slim)
-    counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file or 0).parquet(path)
     return Written(observation.get["rows"])
 
 
 def write_json(df: DataFrame, path: str) -> None:
     """Small report as one JSON file in a folder."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def write_competitors(
@@ -115,37 +115,51 @@ def verify_path(spark: SparkSession, path: str, queue_name: str, load_date: str)
 
 def write_recall(
     clean: DataFrame, root: str, marker: str = "comp_source_store=", corrupt: str = "_corrupt", dry_run: bool = False,
-    in_place: bool = False,
+    in_place: bool = False, suffix: str = ".csv",
 ) -> bool:
     """Write de-duplicated recall rows as CSVs with the same header, one folder per partition.
 
-    Malformed lines are written as they were. ``in_place`` means ``root`` is
-    also the input: rows go to a folder beside it that takes its place when
-    complete. ``dry_run`` writes nothing. Returns whether anything was written.
+    Rows that carry ``file`` go to that file's folder, sub-folders of the read
+    root included; others to the folder their ``part`` names, and rows of no part
+    to the root itself. Malformed lines are written as they were. ``in_place``
+    means that ``root`` is also the input: once all rows are written beside it,
+    the new files are moved in and then the files that `read_recall` took with
+    the same ``marker`` and ``suffix`` are deleted, and no others. ``dry_run``
+    writes nothing. Returns whether anything was written.
     """
     if dry_run:
         return False
-    column = marker.rstrip("=")
+    spark = clean.sparkSession
     header = ",".join(FIELDS)
     line = F.to_csv(F.struct(*FIELDS))
     if corrupt in clean.columns:
         line = F.coalesce(F.col(corrupt), line)
-    value = F.substring("part", len(marker) + 1, 2**31 - 1)
-    target = root.rstrip("/") + "__new" if in_place else root
+    folder = F.when(F.col("part") == "(root)", F.lit("")).otherwise(F.col("part"))
+    if in_place and "file" in clean.columns:
+        folder = F.regexp_replace(F.regexp_extract("file", f"^(?:.*?{re.escape(_plain_path(root))}/)(.*)$", 1), "[^/]*$", "")
+    rows = clean.select(line.alias(header), F.regexp_replace(folder, "/+$", "").alias("_folder"))
+    fresh = f"{root.rstrip('/')}__new"
     # One unquoted column whose name is the header: lines come out verbatim.
-    clean.select(line.alias(header), value.alias(column)).hint("rebalance", column).write.mode("overwrite").partitionBy(column).csv(
-        target, header=True, sep="\u0001", quote="\u0000", escapeQuotes=False,
+    rows.hint("rebalance", "_folder").write.mode("overwrite").partitionBy("_folder").csv(
+        fresh, header=True, sep="\u0001", quote="\u0000", escapeQuotes=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="",
     )
-    if in_place:
-        storage.swap(clean.sparkSession, target, root)
+    storage.name_folders(spark, fresh, "_folder")
+    taken = lambda path: path.endswith(suffix) and (not marker or marker in path)
+    storage.replace_files(spark, fresh, root, taken if in_place else lambda path: path.endswith(suffix))
     return True
 
 
+def _plain_path(path: str) -> str:
+    return re.sub(r"^[a-z0-9]+:/+", "/", path.rstrip("/"))
+
+
 def save_retriever(index: Retriever, path: str) -> None:
-    """Vocabulary, vectors and rows as Parquet under ``level=<level>``."""
+    """Vocabulary, vectors and rows as Parquet under ``level=<level>``; all three change at once."""
+    folder = f"{path.rstrip('/')}/level={index.level}"
     for name in ("vocab", "vectors", "rows"):
-        getattr(index, name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/level={index.level}/{name}")
+        getattr(index, name).write.mode("overwrite").parquet(f"{folder}__new/{name}")
+    storage.swap(index.rows.sparkSession, f"{folder}__new", folder)
 
 
 def load_retriever(spark: SparkSession, path: str, level: str) -> Retriever:

@@ -28,7 +28,7 @@ def path_value(key: Column, name: str) -> Column:
     return F.try_element_at(found, F.lit(-1))
 
 
-def classify(events: DataFrame, suffix: str = SUFFIX) -> DataFrame:
+def classify(events: DataFrame, suffix: str = SUFFIX, scheme: str = "s3") -> DataFrame:
     """Add the decoded key, its partitions, ``input_prefix``, ``action`` and ``reason``.
 
     ``events`` has ``bucket`` and ``key``. A key without the completion suffix or
@@ -44,27 +44,31 @@ def classify(events: DataFrame, suffix: str = SUFFIX) -> DataFrame:
     return rows.withColumns({
         "reason": reason,
         "action": F.when(reason.isNull(), "accepted").otherwise("ignored"),
-        "input_prefix": F.when(reason.isNull(), F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"), folder)),
+        "input_prefix": F.when(reason.isNull(), F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/"), folder)),
     })
 
 
-def accept_once(events: DataFrame, time: str = "ts") -> DataFrame:
-    """Batch: the earliest accepted event per prefix stays, later ones become ``skipped``.
+def accept_once(events: DataFrame, time: str = "ts", scheme: str = "s3") -> DataFrame:
+    """Batch: exactly one accepted event per prefix stays, the earliest; the others become ``skipped``.
 
-    Only the first event per prefix is looked up, so a prefix that is announced
-    very often is cut down before the shuffle.
+    Events are told apart by all their columns and not by an id, so ids may
+    repeat or be null. Of deliveries that are equal in every column one counts.
+    Equal events are combined and only the first per prefix is looked up, so a
+    prefix that is announced very often is cut down before the shuffle.
     """
-    rows = classify(events)
-    order = [F.col(time).asc_nulls_last()]
+    rows = classify(events, scheme=scheme)
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
     first = first_row(
-        rows.where("action = 'accepted'").select("input_prefix", time, "event_id"), ["input_prefix"], order
-    )
-    repeat = (F.col("action") == "accepted") & F.col("_first").isNull()
-    marked = rows.join(first.select("event_id", F.lit(True).alias("_first")), "event_id", "left")
-    return marked.withColumns({
-        "reason": F.when(repeat, "repeated event").otherwise(F.col("reason")),
-        "action": F.when(repeat, "skipped").otherwise(F.col("action")),
-    }).drop("_first")
+        counted.where("action = 'accepted'").drop("_copies"), ["input_prefix"], [F.col(time).asc_nulls_last()]
+    ).select(F.col("input_prefix").alias("_prefix"), F.struct(*rows.columns).alias("_first"))
+    marked = counted.join(first, F.col("input_prefix") == F.col("_prefix"), "left")
+    each = marked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    stays = F.struct(*rows.columns).eqNullSafe(F.col("_first")) & (F.col("_copy") == 1)
+    repeat = (F.col("action") == "accepted") & ~stays
+    return each.withColumn("_repeat", repeat).withColumns({
+        "reason": F.when(F.col("_repeat"), "repeated event").otherwise(F.col("reason")),
+        "action": F.when(F.col("_repeat"), "skipped").otherwise(F.col("action")),
+    }).select(*rows.columns)
 
 
 def accept_stream(events: DataFrame, time: str = "ts", delay: str = "1 hour") -> DataFrame:

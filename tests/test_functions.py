@@ -44,12 +44,12 @@ def test_pair_ids_and_nulls(spark):
 
 
 def test_overrides(spark):
-    assert K.parse_overrides(" ikea=ikeaca_ikeaca, foo=bar_bar,") == {"ikea": "ikeaca_ikeaca", "foo": "bar_bar"}
-    for bad in ("ikea", "IKEA=x_x", "a=b c"):
+    assert K.check_overrides({" north ": "north_main", "south": " main_south "}) == {"north": "north_main", "south": "main_south"}
+    for bad in ({"north": ""}, {"": "a_b"}, {"north": "main"}, {"north": None}):
         with pytest.raises(ValueError):
-            K.parse_overrides(bad)
-    remap = lambda c: K.remapped_store(c, F.lit("S"), {"ikea": "x_x"})
-    assert column(spark, ["ikea", "Other"], remap) == ["x_x", "other_s"]
+            K.check_overrides(bad)
+    remap = lambda c: K.remapped_store(c, F.lit("S"), {"north": "x_x"})
+    assert column(spark, ["north", "Other"], remap) == ["x_x", "other_s"]
 
 
 def test_price_number_and_gate(spark):

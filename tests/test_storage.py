@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.plans import recall, retriever
 from pairloom.schemas import struct
-from pairloom.sources import readers, writers
+from pairloom.sources import readers, storage, writers
 
 REQUIRED = ["base_sku", "comp_sku", "comp_source_store"]
 
@@ -33,8 +33,13 @@ def test_read_partitions_merges_schemas_and_skips_corrupt_files(spark, tmp_path)
     spark.range(2).write.parquet(f"{base}/p=1")
     spark.range(2).withColumn("extra", F.lit(1)).write.parquet(f"{base}/p=2")
     (base / "p=2" / "broken.parquet").write_text("not parquet")
-    df = readers.read_partitions(spark, str(base), ["p=1", "p=2"])
+    df = readers.read_partitions(spark, str(base), ["p=1", "p=2"], skip_bad=True)
     assert df.count() == 4 and "extra" in df.columns
+    skipped = [r["file"] for r in readers.files_without_rows(spark, str(base), ["p=1", "p=2"]).collect()]
+    assert [s.rsplit("/", 1)[1] for s in skipped if "broken" in s] == ["broken.parquet"]
+    assert all("part-" in s for s in skipped if "broken" not in s)
+    with pytest.raises(Exception, match="broken"):
+        readers.read_partitions(spark, str(base), ["p=1", "p=2"]).collect()
 
 
 def test_read_partitions_empty_is_typed(spark, tmp_path):
@@ -60,15 +65,26 @@ def test_read_drop(spark, tmp_path):
 
 @pytest.mark.parametrize("name, text, message", [
     ("a.csv", "base_sku,comp_sku\n", "lacks"),
-    ("a.csv", "base_sku,comp_sku,comp_source_store,comp_sku\n", "duplicate"),
-    ("a.json", "{}", "only .csv"),
-    ("_SUCCESS", "x", "no data files"),
+    ("a.csv", "base_sku,comp_sku,comp_source_store,comp_sku\n", "repeats"),
+    ("a.json", "{}", "not a csv"),
+    ("_SUCCESS", "x", "is empty"),
 ])
 def test_read_drop_rejects(spark, tmp_path, name, text, message):
     with pytest.raises(ValueError, match=message):
         readers.read_drop(spark, put(tmp_path / "d", name, text), REQUIRED)
 
 
+def test_read_drop_checks_every_header(spark, tmp_path):
+    put(tmp_path / "d", "a.csv", "base_sku,comp_sku,comp_source_store\n1,2,r<>r\n")
+    put(tmp_path / "d", "b.csv", "comp_sku,base_sku,comp_source_store\n3,4,r<>r\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_drop(spark, str(tmp_path / "d"), REQUIRED).collect()
+    put(tmp_path / "e", "a.csv", "Base_SKU,comp_sku,comp_source_store\n1,2,r<>r\n")
+    put(tmp_path / "e", "b.csv", "base_sku,COMP_SKU,comp_source_store\n3,4,r<>r\n")
+    rows = readers.read_drop(spark, str(tmp_path / "e"), REQUIRED).collect()
+    assert sorted((r["base_sku"], r["comp_sku"]) for r in rows) == [("1", "2"), ("3", "4")]
+
+
 RECALL = (
     "base_sku_uuid,comp_sku_uuid,score\n"
     '1<>a<>s<>s,b<>r<>r,0.9\na<>s<>s,2<>b<>r<>r,0.9\na<>s<>s,b<>r<>r,0.90\n\n"x,y<>s<>s",b<>r<>r,1\ntwo,fields\nf,o,u,r\n'
@@ -101,12 +117,37 @@ def test_recall_round_trip(spark, tmp_path):
     assert recall.dedupe_recall(again, by_file=False).count() == 5
 
 
+def tree(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
+
+
 def test_recall_in_place(spark, tmp_path):
     root = recall_tree(tmp_path)
+    put(tmp_path / "in" / "comp_source_store=r<>r", "notes.txt", "keep me")
+    put(tmp_path / "in" / "late" / "comp_source_store=q<>q", "4.csv", "base_sku_uuid,comp_sku_uuid,score\na<>s<>s,b<>q<>q,1\n")
+    others = {n: (tmp_path / "in" / n).read_text() for n in ("other/3.csv", "comp_source_store=r<>r/notes.txt")}
     rows = readers.read_recall(spark, root, marker="comp_source_store=")
-    assert writers.write_recall(recall.dedupe_recall(rows, by_file=False), root, in_place=True)
-    assert readers.read_recall(spark, root).count() == 5
-    assert not (tmp_path / "in__new").exists() and not (tmp_path / "in__old").exists()
+    assert writers.write_recall(recall.dedupe_recall(rows), root, in_place=True)
+    assert readers.read_recall(spark, root).count() == 7
+    assert {n: (tmp_path / "in" / n).read_text() for n in others} == others
+    names = tree(tmp_path / "in")
+    assert not any(n.endswith(("1.csv", "2.csv", "4.csv")) for n in names)
+    assert sorted({n.rsplit("/", 1)[0] for n in names}) == ["comp_source_store=r<>r", "late/comp_source_store=q<>q", "other"]
+    assert not (tmp_path / "in__new").exists()
+
+
+def test_recall_without_partitions_stays_in_the_root(spark, tmp_path):
+    rows = readers.read_recall(spark, recall_tree(tmp_path), marker="")
+    assert writers.write_recall(recall.dedupe_recall(rows, by_file=False), str(tmp_path / "out"))
+    assert all("/" not in n for n in tree(tmp_path / "out"))
+    assert readers.read_recall(spark, str(tmp_path / "out"), marker="").count() == 3 + 4
+
+
+def test_swap_after_an_interruption(spark, tmp_path):
+    put(tmp_path / "t__old", "a", "old")
+    put(tmp_path / "t__new", "a", "new")
+    storage.swap(spark, str(tmp_path / "t__new"), str(tmp_path / "t"))
+    assert (tmp_path / "t" / "a").read_text() == "new" and not (tmp_path / "t__old").exists()
 
 
 def test_recall_empty_marker_reads_everything(spark, tmp_path):
@@ -205,7 +246,7 @@ def test_retriever_round_trip(spark, tmp_path):
     loaded = readers_loaded = writers.load_retriever(spark, str(tmp_path), "category")
     asked = spark.createDataFrame([(1, "red car")], "query_id int, q string")
     assert retriever.query(loaded, asked, 2).collect() == retriever.query(index, asked, 2).collect()
-    assert retriever.sanity_check(readers_loaded) == 3
+    assert retriever.self_check(readers_loaded) == "a"
 
 
 def test_register(spark):

@@ -112,7 +112,7 @@ def domains_of(frame: DataFrame) -> DataFrame:
 
 QUEUE_CONFIG = review_queue.QueueConfig(
     base_store="acme_acme", segment=SEGMENT, domain="retail", queue_name="adhoc", store_display="Acme",
-    company_code="reviewers", score_column="score", run_date="2024-03-01",
+    company_code="reviewers", match_id="run-1", model_used="title-model", score_column="score", run_date="2024-03-01",
 )
 
 
@@ -438,7 +438,7 @@ def epoch_dates(pairs, reviews):
 
 @query("fx_crawl")
 def store_override(crawl):
-    mapped = keys.remapped_store(F.col("source_name"), F.col("store_name"), keys.parse_overrides("r1=main_main, r9=x_x"))
+    mapped = keys.remapped_store(F.col("source_name"), F.col("store_name"), keys.check_overrides({"r1": "main_main", " r9": "x_x"}))
     return crawl.select("source_name", "store_name", mapped.alias("store")).distinct()
 
 
