@@ -24,6 +24,11 @@ def pick(source: str, keys: str, order: str) -> str:
     return f"select * from ({source}) qualify row_number() over (partition by {keys} order by {full}) = 1"
 
 
+def newest(columns: str, table: str) -> str:
+    """``columns`` of the latest row per SKU."""
+    return f"select {columns} from {table} qualify row_number() over (partition by sku order by capture_date desc nulls last) = 1"
+
+
 def canonical(uuid: str) -> str:
     parts = f"string_split({uuid}, '<>')"
     return f"case when len({parts}) < 3 then {uuid} else array_to_string({parts}[-3:], '<>') end"
@@ -485,8 +490,8 @@ def _examples(scope: str, catalog_filter: str, extra: str = "") -> str:
 
 OWN = f"select * exclude (base_segment) from ({_examples(chr(39) + 'acme' + chr(39) + ' = split_part(base_source_store, ' + chr(39) + '_' + chr(39) + ', 1)', chr(39) + 'acme' + chr(39) + ' = source')})"
 SYNTH = _examples(
-    "split_part(comp_source_store, '_', 1) in ('r0', 'r1', 'r2')", "true",
-    f"""where c.segment = 'pets' and p.category <> 'cat0' and exists (select 1 from fx_warehouse m where m.source_store in ({COMP_B})
+    "split_part(comp_source_store, '_', 1) in ('r0', 'r1', 'r2', 'r3')", "true",
+    f"""where c.segment = 'pets' and exists (select 1 from fx_warehouse m where m.source_store in ({COMP_B})
       and split_part(m.source_store, '<>', 1) = split_part(d.comp_source_store, '_', 1) and m.category = p.category
       and m.subcategory = p.subcategory and m.sub_subcategory = p.sub_subcategory)""")
 EXAMPLE_FIELDS = ", ".join([f"base_{f}" for f in PRODUCT_FIELDS] + [f"comp_{f}" for f in PRODUCT_FIELDS])
@@ -530,8 +535,7 @@ oracle("retriever_examples", EXAMPLE_FIXTURES, _topk(
       concat_ws(' ', coalesce(base_title, ''), coalesce(comp_title, ''), nullif(base_brand, ''), nullif(base_brand, ''), nullif(base_brand, ''),
         nullif(comp_brand, ''), nullif(comp_brand, ''), nullif(comp_brand, ''), nullif(base_category, ''), nullif(base_category, '')) as text
       from ({ALL_EXAMPLES})""",
-    """select sku || '@' || source_store as key, product_title || ' ' || standardized_brand as text from fx_warehouse
-      where capture_date = '2024-01-01'""", 5))
+    """select sku || '@' || source_store || '@' || capture_date as key, product_title || ' ' || standardized_brand as text from fx_warehouse""", 5))
 
 
 # --- recall and drop events --------------------------------------------------
@@ -581,29 +585,29 @@ oracle("uuid_canonical", ["fx_recall"], f"select distinct base_sku_uuid, {canoni
 oracle("uuid_parts", ["fx_upc", "fx_recall"], f"""
     select uuid_a as uuid, split_part(uuid_a, '<>', 1) as upc, split_part(uuid_a, '<>', 2) as sku, {store_after_two('uuid_a')} as store from fx_upc
     union select base_sku_uuid, null, {sku_of('base_sku_uuid')}, array_to_string(string_split({canonical('base_sku_uuid')}, '<>')[2:], '<>') from fx_recall""")
-oracle("pair_id", ["fx_pairs", "fx_requests"], f"""
+oracle("pair_id", ["fx_pairs"], f"""
     select distinct {UUID_BASE} || '<>' || {UUID_COMP} as training_id, {UUID_BASE} as sku_uuid,
       base_sku || '_' || base_source_store || '<>' || comp_sku || '_' || comp_source_store as queue_id,
       base_sku || '<>' || replace(comp_source_store, '_', '<>') as request_key
-    from fx_pairs p where exists (select 1 from fx_requests r where r.base_sku = p.base_sku and r.comp_source_store = p.comp_source_store)""")
+    from fx_pairs""")
 oracle("strip_zeros", ["fx_catalog"], "select sku, capture_date, ltrim(split_part(upc, ',', 1), '0') as upc from fx_catalog")
 oracle("blank_to_null", ["fx_catalog"], """
     select sku, capture_date, nullif(trim(product_title), '') as title, trim(coalesce(product_title, '')) <> '' as filled,
       coalesce(nullif(product_title, ''), brand) as shown from fx_catalog""")
 oracle("price_gate", ["fx_pairs", "fx_catalog", "fx_warehouse"], f"""
     with q as (select distinct base_sku, comp_sku from fx_pairs),
-    b as (select lower(sku) as base_sku, list_price as bp from fx_catalog where capture_date = '2024-01-01'),
-    c as (select lower(sku) as comp_sku, list_price as cp from fx_warehouse where capture_date = '2024-01-01')
+    b as ({newest('lower(sku) as base_sku, list_price as bp', 'fx_catalog')}),
+    c as ({newest('lower(sku) as comp_sku, list_price as cp', 'fx_warehouse')})
     select base_sku, comp_sku, {price('bp')} as base_number, coalesce({price('bp')} > 0 and abs({price('bp')} - cp) / {price('bp')} < 0.8, false) as near
     from q join b using (base_sku) join c using (comp_sku)""")
 oracle("upc_overlap", ["fx_pairs", "fx_catalog", "fx_crawl"], f"""
     with q as (select distinct base_sku, comp_sku from fx_pairs),
-    b as (select lower(sku) as base_sku, upc as base_upc from fx_catalog where capture_date = '2024-02-01'),
+    b as ({newest('lower(sku) as base_sku, upc as base_upc', 'fx_catalog')}),
     c as (select distinct comp_sku, dc_upc from ({SIGNALS['crawl']}))
     select base_sku, comp_sku, dc_upc, coalesce({strip('base_upc')} = {strip('dc_upc')}, false) as overlap from q join b using (base_sku) join c using (comp_sku)""")
-oracle("queue_keys", ["fx_pairs", "fx_input_precision"], """
+oracle("queue_keys", ["fx_pairs", "fx_input_precision"], f"""
     with q as (select distinct base_sku, base_source_store as bs, comp_sku, comp_source_store as cs from fx_pairs),
-    m as (select sku as base_sku, match_sku as m from fx_input_precision where month = '01')
+    m as ({newest('sku as base_sku, match_sku as m', 'fx_input_precision')})
     select base_sku, comp_sku, coalesce(nullif(m, ''), base_sku) as match_sku,
       coalesce(nullif(m, ''), base_sku) || '_' || bs || '_' || cs as match_sku_base_source_store_comp_source_store,
       bs || '_' || comp_sku || '_' || cs as base_source_store_comp_sku_comp_source_store,
@@ -629,7 +633,8 @@ oracle("store_override", ["fx_crawl"], """
     select distinct source_name, store_name, case source_name when 'r1' then 'main_main' when 'r9' then 'x_x'
       else lower(source_name || '_' || store_name) end as store from fx_crawl""")
 oracle("enqueue_index", ["fx_pairs"], """
-    select distinct base_sku, cast(cast('0x' || substr(md5(base_sku), 1, 8) as bigint) % 90000 + 10000 as int) as at from fx_pairs""")
+    select distinct pair_id, cast(cast('0x' || substr(md5(pair_id), 1, 8) as bigint) % 90000 + 10000 as int) as at
+    from (select base_sku || '_' || base_source_store || '<>' || comp_sku || '_' || comp_source_store as pair_id from fx_pairs)""")
 oracle("json_field", [], "select event_id, json_extract_string(props, '$.k') as k from events")
 
 
@@ -671,11 +676,11 @@ oracle("anti_null_safe", ["fx_tax_base"], "select * from fx_tax_base where categ
 oracle("bridge_join", ["fx_pairs", "fx_warehouse"], """
     select q.*, w.product_title from (select distinct comp_sku, comp_source_store from fx_pairs) q
     left join fx_warehouse w on lower(w.sku) = q.comp_sku and replace(w.source_store, '<>', '_') = q.comp_source_store""")
-oracle("zero_join", ["fx_drop", "fx_catalog"], """
+oracle("zero_join", ["fx_drop", "fx_catalog"], f"""
     select q.base_sku, c.product_title from (select distinct base_sku from fx_drop) q
-    join fx_catalog c on ltrim(lower(q.base_sku), '0') = ltrim(lower(c.sku), '0') where c.capture_date = '2024-02-01'""")
+    join ({newest('sku, product_title', 'fx_catalog')}) c on ltrim(lower(q.base_sku), '0') = ltrim(lower(c.sku), '0')""")
 oracle("fallback_join", ["fx_pairs", "fx_input_precision", "fx_catalog"], f"""
     with q as (select distinct base_sku from fx_pairs),
-    own as ({pick("select sku as base_sku, product_title as own from fx_input_precision where month = '02'", "base_sku", "own")}),
+    own as ({newest('sku as base_sku, product_title as own', 'fx_input_precision')}),
     spare as ({pick("select lower(sku) as base_sku, product_title as spare, capture_date from fx_catalog", "base_sku", "capture_date desc, spare")})
     select base_sku, coalesce(nullif(own, ''), spare) as title from q left join own using (base_sku) left join spare using (base_sku)""")

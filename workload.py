@@ -106,6 +106,10 @@ def coverage_report(pairs, *tables):
 
 # --- review queue and auto approval ------------------------------------------
 
+def newest(frame: DataFrame, *keys: str) -> DataFrame:
+    return relational.latest_row(frame, list(keys), "capture_date")
+
+
 def domains_of(frame: DataFrame) -> DataFrame:
     return frame.withColumnRenamed("primary_store", "primary")
 
@@ -221,8 +225,8 @@ EXAMPLE_TABLES = ("fx_library_m", "fx_reviews_m", "fx_catalog", "fx_warehouse")
 
 
 def mapping_of(warehouse: DataFrame) -> DataFrame:
-    """A mapping that covers part of the warehouse's nodes, each for two base nodes."""
-    nodes = taxonomy.comp_nodes(warehouse, COMPETITORS).where("category <> 'cat0'").select(
+    """A mapping of the warehouse's nodes, each for two base nodes."""
+    nodes = taxonomy.comp_nodes(warehouse, COMPETITORS).select(
         "retailer", *[F.col(c).alias(f"comp_{c}") for c in taxonomy.LEVELS]
     )
     return nodes.unionByName(nodes)
@@ -236,7 +240,7 @@ def examples_own(library, reviews, catalog, warehouse):
 @query(*EXAMPLE_TABLES)
 def examples_synth(library, reviews, catalog, warehouse):
     return examples.synthetic_examples(
-        library, reviews, catalog, warehouse, mapping_of(warehouse), COMPETITORS[:3], TENANT, SEGMENT
+        library, reviews, catalog, warehouse, mapping_of(warehouse), COMPETITORS, TENANT, SEGMENT
     )
 
 
@@ -274,8 +278,8 @@ def retriever_topk(docs, asked):
 def retriever_examples(library, reviews, catalog, warehouse):
     """Nearest examples of every warehouse product's title and brand."""
     index = retriever.build_retriever(_combined(library, reviews, catalog, warehouse), "category")
-    asked = warehouse.where("capture_date = '2024-01-01'").select(
-        F.concat_ws("@", "sku", "source_store").alias("query_id"),
+    asked = warehouse.select(
+        F.concat_ws("@", "sku", "source_store", "capture_date").alias("query_id"),
         F.concat_ws(" ", "product_title", "standardized_brand").alias("q"),
     )
     return retriever.query(index, asked, k=5).withColumn("score", F.round("score", 6))
@@ -340,11 +344,10 @@ def uuid_parts(matches, recall_rows):
     return known.unionByName(found).distinct()
 
 
-@query("fx_pairs", "fx_requests")
-def pair_id(pairs, requests):
+@query("fx_pairs")
+def pair_id(pairs):
     parts = [F.col(c) for c in ("base_sku", "base_source_store", "comp_sku", "comp_source_store")]
-    asked = requests.select("base_sku", "comp_source_store").distinct()
-    return pairs.join(asked, ["base_sku", "comp_source_store"], "left_semi").select(
+    return pairs.select(
         keys.training_pair_id(*parts).alias("training_id"), keys.queue_pair_id(*parts).alias("queue_id"),
         keys.sku_uuid(parts[0], parts[1]).alias("sku_uuid"), keys.request_key(parts[0], parts[3]).alias("request_key"),
     ).distinct()
@@ -366,8 +369,8 @@ def blank_to_null(catalog):
 
 @query("fx_pairs", "fx_catalog", "fx_warehouse")
 def price_gate(pairs, catalog, warehouse):
-    base = catalog.where("capture_date = '2024-01-01'").select(F.lower("sku").alias("base_sku"), F.col("list_price").alias("base_price"))
-    comp = warehouse.where("capture_date = '2024-01-01'").select(
+    base = newest(catalog, "sku").select(F.lower("sku").alias("base_sku"), F.col("list_price").alias("base_price"))
+    comp = newest(warehouse, "sku").select(
         F.lower("sku").alias("comp_sku"), F.col("list_price").cast("string").alias("comp_price")
     )
     joined = pairs.select("base_sku", "comp_sku").distinct().join(base, "base_sku").join(comp, "comp_sku")
@@ -379,7 +382,7 @@ def price_gate(pairs, catalog, warehouse):
 
 @query("fx_pairs", "fx_catalog", "fx_crawl")
 def upc_overlap(pairs, catalog, crawl):
-    base = catalog.where("capture_date = '2024-02-01'").select(F.lower("sku").alias("base_sku"), F.col("upc").alias("base_upc"))
+    base = newest(catalog, "sku").select(F.lower("sku").alias("base_sku"), F.col("upc").alias("base_upc"))
     seen = signals.crawl_signal(crawl, COMPETITORS, signals.crawl_years(RUN_DATE)).select("comp_sku", "dc_upc").distinct()
     joined = pairs.select("base_sku", "comp_sku").distinct().join(base, "base_sku").join(seen, "comp_sku")
     return joined.select(
@@ -389,7 +392,7 @@ def upc_overlap(pairs, catalog, crawl):
 
 @query("fx_pairs", "fx_input_precision")
 def queue_keys(pairs, ml_input):
-    own = ml_input.where("month = '01'").select(F.col("sku").alias("base_sku"), F.col("match_sku").alias("base_match"))
+    own = newest(ml_input, "sku").select(F.col("sku").alias("base_sku"), F.col("match_sku").alias("base_match"))
     rows = pairs.select("base_sku", "base_source_store", "comp_sku", "comp_source_store").distinct().join(own, "base_sku", "left")
     made = keys.queue_index_keys(
         *[F.col(c) for c in ("base_sku", "base_source_store", "comp_sku", "comp_source_store", "base_match")],
@@ -444,7 +447,8 @@ def store_override(crawl):
 
 @query("fx_pairs")
 def enqueue_index(pairs):
-    return pairs.select("base_sku", values.hash_index(F.col("base_sku")).alias("at")).distinct()
+    pair = keys.queue_pair_id(*[F.col(c) for c in ("base_sku", "base_source_store", "comp_sku", "comp_source_store")])
+    return pairs.select(pair.alias("pair_id"), values.hash_index(pair).alias("at")).distinct()
 
 
 @query("events")
@@ -546,7 +550,7 @@ def bridge_join(pairs, warehouse):
 
 @query("fx_drop", "fx_catalog")
 def zero_join(drop, catalog):
-    base = catalog.where("capture_date = '2024-02-01'").select(keys.strip_zeros(F.lower("sku")).alias("k"), "product_title")
+    base = newest(catalog, "sku").select(keys.strip_zeros(F.lower("sku")).alias("k"), "product_title")
     rows = drop.select("base_sku", keys.strip_zeros(F.lower("base_sku")).alias("k")).distinct()
     return rows.join(base, "k").drop("k")
 
@@ -554,7 +558,7 @@ def zero_join(drop, catalog):
 @query("fx_pairs", "fx_input_precision", "fx_catalog")
 def fallback_join(pairs, ml_input, catalog):
     skus = pairs.select("base_sku").distinct()
-    own = ml_input.where("month = '02'").select(F.col("sku").alias("base_sku"), F.col("product_title").alias("own"))
+    own = newest(ml_input, "sku").select(F.col("sku").alias("base_sku"), F.col("product_title").alias("own"))
     spare = catalog.select(F.lower("sku").alias("base_sku"), F.col("product_title").alias("spare"), "capture_date")
     rows = skew.attach_first(skus, own, ["base_sku"])
     rows = skew.attach_first(rows, spare, ["base_sku"], order=[F.col("capture_date").desc()])
