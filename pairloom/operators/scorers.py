@@ -21,7 +21,7 @@ Scorer = Callable[[DataFrame], DataFrame]
 SIDES = ("base_title", "comp_title")
 
 
-def run_scorers(rows: DataFrame, scorers: Sequence[Scorer], min_hot_rows: int = skew.MIN_ROWS) -> DataFrame:
+def run_scorers(rows: DataFrame, scorers: Sequence[Scorer], hot_parts: int | None = None) -> DataFrame:
     """``rows`` with one column per scorer.
 
     Rows and distinct pairs are checkpointed, because the scorers read them
@@ -30,7 +30,7 @@ def run_scorers(rows: DataFrame, scorers: Sequence[Scorer], min_hot_rows: int =
     """
     rows = cut_lineage(rows)
     pairs = cut_lineage(distinct_pairs(rows))
-    hot = skew.hot_keys(pairs, SIDES, min_hot_rows, weight="n")
+    hot = skew.hot_keys(pairs, SIDES, hot_parts, weight="n")
     scored = reduce(lambda df, scorer: scorer(df), scorers, pairs).drop("n")
     return skew.join_spread(rows, scored, SIDES, "left", hot)
 
@@ -59,7 +59,7 @@ def lemmatised(titles: DataFrame, lemmas: DataFrame, stop_words: Sequence[str] =
     return grouped.select("title", F.col("w.word").alias("words"))
 
 
-def _score(pairs: DataFrame, vectors: DataFrame, name: str, score: Column, min_hot_rows: int) -> DataFrame:
+def _score(pairs: DataFrame, vectors: DataFrame, name: str, score: Column, hot_parts: int | None) -> DataFrame:
     """Attach ``vectors`` (title, ...) to both sides of each pair and score.
 
     ``score`` refers to the vector columns as ``base_*`` and ``comp_*``. Titles
@@ -72,14 +72,14 @@ def _score(pairs: DataFrame, vectors: DataFrame, name: str, score: Column, min_h
             F.col("title").alias(side),
             *[F.col(c).alias(f"_{prefix}_{c}") for c in vectors.columns if c != "title"],
         )
-        hot = skew.hot_keys(pairs, [side], min_hot_rows)
+        hot = skew.hot_keys(pairs, [side], hot_parts)
         scored = skew.join_spread(scored, named, [side], "left", hot, SIDES)
     return scored.select(*pairs.columns, score.alias(name))
 
 
 def embedding_scorer(
     embeddings: DataFrame | Callable[[DataFrame], DataFrame], name: str = "bert_similarity",
-    min_hot_rows: int = skew.MIN_ROWS,
+    hot_parts: int | None = None,
 ) -> Scorer:
     """Dot product of unit embeddings; null when a title has none.
 
@@ -89,14 +89,14 @@ def embedding_scorer(
     def score(pairs: DataFrame) -> DataFrame:
         # Computed embeddings are costly and read twice, so they are kept.
         table = cut_lineage(embeddings(distinct_titles(pairs))) if callable(embeddings) else embeddings
-        return _score(pairs, table, name, V.dot(F.col("_base_embedding"), F.col("_comp_embedding")), min_hot_rows)
+        return _score(pairs, table, name, V.dot(F.col("_base_embedding"), F.col("_comp_embedding")), hot_parts)
     return score
 
 
 def tfidf_scorer(
     stop_words: Sequence[str] = (), lemmas: DataFrame | None = None, max_features: int = 5000,
     grams: tuple[int, int] = (1, 2), digits: int = 3, name: str = "tfidf_similarity",
-    min_hot_rows: int = skew.MIN_ROWS,
+    hot_parts: int | None = None,
 ) -> Scorer:
     """TF-IDF cosine, fitted on all distinct titles; 0 when no known term is shared."""
     def score(pairs: DataFrame) -> DataFrame:
@@ -108,5 +108,5 @@ def tfidf_scorer(
             words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*stop_words, ""]))
             _, vectors = tfidf.fit_transform(docs, "title", X.ngrams(words, *grams), max_features)
         overlap = tfidf.sparse_dot(*[F.col(f"_{s}_{c}") for s in ("base", "comp") for c in ("ids", "weights")])
-        return _score(pairs, vectors, name, F.bround(overlap, digits), min_hot_rows)
+        return _score(pairs, vectors, name, F.bround(overlap, digits), hot_parts)
     return score

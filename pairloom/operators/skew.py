@@ -3,98 +3,132 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .relational import first_row, null_safe
 
 SALT = "_salt"
-# A key is hot when it holds more than 1/HOT_PARTS of the rows, so there are
-# fewer than HOT_PARTS hot keys whatever the size of the data.
-HOT_PARTS = 512
-MIN_ROWS = 100_000
-SALTS = 64
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, weight: str | None = None
-) -> DataFrame:
-    """Keys of ``df`` (null included) that are too frequent for one task.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys that are too frequent for one task, with the number of parts each is cut into.
 
-    Counts are combined map-side; the result has fewer than ``HOT_PARTS`` rows.
-    ``weight`` names a column saying how many rows each row of ``df`` stands for.
+    ``frame`` is a local table of the key columns and ``_salts`` with fewer rows
+    than there are shuffle partitions, None if no key is hot.
     """
-    size = F.sum(weight) if weight else F.count(F.lit(1))
-    share = df.select((size / F.lit(HOT_PARTS)).alias("n")).scalar()
-    counts = df.groupBy(*keys).agg(size.alias("_n"))
-    return counts.where(F.col("_n") > F.greatest(F.lit(float(min_rows)), share)).select(*keys)
 
+    keys: list[str]
+    frame: DataFrame | None
 
-def _flagged(df: DataFrame, hot: DataFrame) -> DataFrame:
-    keys = hot.columns
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    match = [df[k].eqNullSafe(marks[f"_hot_{k}"]) for k in keys]
-    condition = match[0]
-    for extra in match[1:]:
-        condition = condition & extra
-    # Bounded by HOT_PARTS rows, see hot_keys.
-    return df.join(F.broadcast(marks), condition, "left").drop(*[f"_hot_{k}" for k in keys])
 
+def hot_key_sets(
+    df: DataFrame, sets: Sequence[Sequence[str]], parts: int | None = None, weight: str | None = None
+) -> list[HotKeys]:
+    """For each set of key columns, the keys (null included) with more rows than a task's even share.
 
-def salt_many(df: DataFrame, hot: DataFrame, salt_from: Sequence[str] | None = None) -> DataFrame:
-    """The big side: rows of hot keys get one of ``SALTS`` salts, the others 0.
+    The share is the number of rows over ``parts``, by default the number of
+    shuffle partitions, so a key is hot at any size of the data if it is too much
+    for one task, and fewer than ``parts`` keys are. A key with n rows is cut
+    into n / share parts. All sets are counted in one pass, combined map-side,
+    when this is called; only the most frequent keys, fewer than ``parts`` for
+    each set, come to the driver. ``weight`` names a column saying how many rows
+    each row of ``df`` stands for.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = list(dict.fromkeys(c for s in sets for c in s))
+    size = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))
+    counted = df.groupingSets([[F.col(c) for c in s] for s in [*sets, []]], *names).agg(
+        size.alias("_n"), F.grouping_id().alias("_set")
+    )
+    # The total comes first; hot keys of all sets are among the next ones.
+    rows = counted.orderBy(F.desc("_n"), F.desc("_set")).limit(min(parts * len(sets) + 1, 2**31 - 1)).collect()
+    total = rows[0]["_n"] if rows else 0
+    share = max(1, total // parts)
+    found = []
+    for keys in sets:
+        mark = int("".join("0" if c in keys else "1" for c in names), 2)
+        hot = [(*[r[c] for c in keys], -(-r["_n"] // share)) for r in rows if r["_set"] == mark and r["_n"] * parts > total]
+        schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keys] + [T.StructField("_salts", T.IntegerType())])
+        found.append(HotKeys(list(keys), spark.createDataFrame(hot, schema) if hot else None))
+    return found
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None, weight: str | None = None) -> HotKeys:
+    """``hot_key_sets`` for one set of key columns."""
+    return hot_key_sets(df, [keys], parts, weight)[0]
+
+
+def _flagged(df: DataFrame, hot: HotKeys) -> DataFrame:
+    marks = hot.frame.select(*[F.col(k).alias(f"_hot_{k}") for k in hot.keys], "_salts")
+    match = [df[k].eqNullSafe(marks[f"_hot_{k}"]) for k in hot.keys]
+    # Fewer rows than shuffle partitions, see hot_key_sets.
+    return df.join(F.broadcast(marks), reduce(and_, match), "left").drop(*[f"_hot_{k}" for k in hot.keys])
+
+
+def salt_many(df: DataFrame, hot: HotKeys, salt_from: Sequence[str] | None = None) -> DataFrame:
+    """The big side: rows of hot keys get one of their key's salts, the others 0.
 
     The salt is a hash of ``salt_from`` (all columns by default) and not random,
     so a recomputed task sends each row where it went before.
     """
     source = [F.col(f"`{c}`") for c in (salt_from or df.columns)]
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*source), F.lit(SALTS)).cast("int")).otherwise(0)
-    return _flagged(df, hot).withColumn(SALT, salt).drop("_hot")
+    salt = F.coalesce(F.pmod(F.xxhash64(*source), F.col("_salts")).cast("int"), F.lit(0))
+    return _flagged(df, hot).withColumn(SALT, salt).drop("_salts")
 
 
-def salt_copies(df: DataFrame, hot: DataFrame) -> DataFrame:
-    """The other side: rows of hot keys once per salt, the others with salt 0."""
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salts = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
-    return _flagged(df, hot).withColumn(SALT, F.explode(salts)).drop("_hot")
+def salt_copies(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """The other side: rows of hot keys once per salt of their key, the others with salt 0."""
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    return _flagged(df, hot).withColumn(SALT, F.explode(salts)).drop("_salts")
 
 
 def attach_all(
-    left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[Column]]], hot: DataFrame,
+    left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[Column]]], hot: HotKeys | None,
     salt_from: Sequence[str] | None = None, how: str = "left",
 ) -> DataFrame:
     """Left (or inner) joins to the first row per key of each ``(right, on, order)``.
 
-    Never more rows than ``left``. Frequent keys (``hot``, from ``hot_keys`` on
-    some or all of the join columns) are spread. ``left`` is salted once, so
-    neighbouring sides with the same join columns need only one shuffle of it,
-    and choosing the first row and joining share one shuffle of each side.
+    Never more rows than ``left``. Each side is cut to one row per key before
+    anything is copied. Frequent keys (``hot``, from ``hot_keys`` on some or all
+    of the join columns) are spread: ``left`` is salted once, so neighbouring
+    sides with the same join columns need only one shuffle of it. Without hot
+    keys choosing the first row and joining share one shuffle of each side.
     """
+    if hot is None or hot.frame is None:
+        for right, on, order in sides:
+            left = left.join(first_row(right, on, order), list(on), how)
+        return left
     rows = salt_many(left, hot, salt_from)
     for right, on, order in sides:
-        keys = [*on, SALT]
-        rows = rows.join(first_row(salt_copies(right, hot), keys, order), keys, how)
+        rows = rows.join(salt_copies(first_row(right, on, order), hot), [*on, SALT], how)
     return rows.drop(SALT)
 
 
 def attach_first(
-    left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None,
     order: Sequence[Column] = (), salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """``attach_all`` for one side; without ``hot`` an ordinary left join."""
-    if hot is None:
-        return left.join(first_row(right, on, order), list(on), "left")
     return attach_all(left, [(right, on, order)], hot, salt_from)
 
 
 def join_spread(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: DataFrame,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: HotKeys,
     salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner, left, semi or anti join with the hot keys of ``left`` spread out."""
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
+    if hot.frame is None:
+        return left.join(right, list(on), how)
     return salt_many(left, hot, salt_from).join(salt_copies(right, hot), [*on, SALT], how).drop(SALT)
 
 

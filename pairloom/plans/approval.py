@@ -60,7 +60,7 @@ class ApprovalConfig:
 
 def auto_approve(
     drop: DataFrame, catalog: DataFrame, warehouse: DataFrame, library: DataFrame, domains: DataFrame,
-    config: ApprovalConfig, min_hot_rows: int = skew.MIN_ROWS,
+    config: ApprovalConfig, hot_parts: int | None = None,
 ) -> DataFrame:
     """Best approvable competitor product per base SKU, 36 columns.
 
@@ -70,10 +70,14 @@ def auto_approve(
     negative base price fails the price rule unless ``strict``.
     """
     c = config
-    registered = R.competitor_stores(domains, c.tenant, c.competitors)
+    missing = [n for n in REQUIRED_COLUMNS if n not in drop.columns]
+    if missing:
+        raise ValueError(f"the drop lacks the columns {missing}")
+    registered = R.require_rows(
+        R.competitor_stores(domains, c.tenant, c.competitors), f"no competitor store is registered for {c.tenant}"
+    )
     raw = _decided(drop, registered, c)
-    hot_base = skew.hot_keys(raw, ["_base"], min_hot_rows)
-    hot_comp = skew.hot_keys(raw, ["_comp", "comp_source_store"], min_hot_rows)
+    hot_base, hot_comp = skew.hot_key_sets(raw, [["_base"], ["_comp", "comp_source_store"]], hot_parts)
     decided = raw.distinct()
 
     known = R.latest_snapshot(
@@ -101,9 +105,6 @@ def auto_approve(
 
 
 def _decided(drop: DataFrame, registered: DataFrame, c: ApprovalConfig) -> DataFrame:
-    missing = [n for n in REQUIRED_COLUMNS if n not in drop.columns]
-    if missing:
-        raise ValueError(f"the drop lacks the columns {missing}")
     store = F.lower(K.store_underscore(F.trim(F.col("comp_source_store"))))
     rows = drop.where(not_blank(F.col("base_sku")) & not_blank(F.col("comp_sku"))).select(
         F.lower(F.trim("base_sku")).alias("base_sku"),
@@ -113,29 +114,42 @@ def _decided(drop: DataFrame, registered: DataFrame, c: ApprovalConfig) -> DataF
         R.column_or(drop, "match", c.default_match).alias("match"),
     )
     return (
-        rows.join(registered, "comp_source_store", "left_semi")
+        rows.join(R.short_list(registered), "comp_source_store", "left_semi")
         .withColumns({"_base": K.strip_zeros(F.col("base_sku")), "_comp": K.strip_zeros(F.col("comp_sku"))})
     )
 
 
 def _base_side(catalog: DataFrame, c: ApprovalConfig) -> DataFrame:
     own = R.latest_snapshot(catalog.where(F.col("source") == c.tenant), "capture_date")
-    return R.optional_filter(own, c.catalog_filter).select(
+    rows = R.optional_filter(own, c.catalog_filter).select(
         K.strip_zeros(F.lower("sku")).alias("_base"),
         F.col("list_price").alias("base_price"),
         F.col("product_title").alias("base_title"),
         first_of_list(F.col("upc")).alias("base_upc"),
         F.col("parent_sku").alias("base_parent_sku"),
-    ).distinct()
+    )
+    return _one_per_price(rows, ["_base", "base_price"])
+
+
+def _one_per_price(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with one key and price, the one that the final order would pick.
+
+    The price rule looks at nothing else, and that order compares the columns of
+    both sides in the order of the result, so the others could never win. A pair
+    then meets each different price once, however many versions a product has.
+    """
+    order = [F.col(n).asc_nulls_last() for n in APPROVAL_COLUMNS if n in rows.columns and n not in keys]
+    return R.first_row(rows, keys, order)
 
 
 def _comp_side(warehouse: DataFrame, registered: DataFrame, c: ApprovalConfig) -> DataFrame:
-    stores = registered.select(F.col("comp_source_store").alias("_in"))
+    stores = R.short_list(registered.select(F.col("comp_source_store").alias("_in")))
     rows = warehouse.where(F.col("product_segment") == c.segment).join(
         stores, F.lower(K.store_underscore(F.col("source_store"))) == F.col("_in"), "left_semi"
     )
-    return rows.select(
+    sold = rows.select(
         K.strip_zeros(F.lower("sku")).alias("_comp"),
         K.remapped_store(F.col("source_name"), F.col("store_name"), c.store_overrides).alias("comp_source_store"),
         *[F.col(source).cast("string").alias(name) for name, source in COMP_FIELDS.items()],
-    ).distinct()
+    )
+    return _one_per_price(sold, ["_comp", "comp_source_store", "comp_price"])

@@ -64,7 +64,7 @@ class CoverageSources:
 def coverage_report(
     pairs: DataFrame, sources: CoverageSources, tenant: str, segment: str, competitors: Sequence[str],
     run_date: str, years: Sequence[str] | None = None, load_date: str | None = None,
-    strict: bool = False, min_hot_rows: int = skew.MIN_ROWS,
+    strict: bool = False, hot_parts: int | None = None,
 ) -> DataFrame:
     """One row per (base_sku, comp_sku, comp_source_store) with 62 columns.
 
@@ -77,8 +77,7 @@ def coverage_report(
     s, names = sources, list(competitors)
     rows = S.spine(pairs, strict)
     raw = S.folded(pairs, strict)
-    hot_base = skew.hot_keys(raw, ["base_sku"], min_hot_rows)
-    hot_comp = skew.hot_keys(raw, PRODUCT, min_hot_rows)
+    hot_base, hot_comp = skew.hot_key_sets(raw, [["base_sku"], PRODUCT], hot_parts)
 
     def model(table: DataFrame, label: str) -> DataFrame:
         found = S.model_signal(table, tenant, names, segment, strict)

@@ -32,11 +32,10 @@ def _labelled(library: DataFrame, reviews: DataFrame, scope: Column, company: st
     return both.where(F.col("match_norm").isin(LABELS) & scope)
 
 
-def _with_products(labelled: DataFrame, base: DataFrame, comp: DataFrame, min_hot_rows: int) -> DataFrame:
+def _with_products(labelled: DataFrame, base: DataFrame, comp: DataFrame, hot_parts: int | None) -> DataFrame:
     """Inner joins to one catalog and one warehouse row per product."""
     keyed = labelled.withColumns({"_base": F.lower("base_sku"), "_comp": F.lower("comp_sku")})
-    hot_base = skew.hot_keys(keyed, ["_base"], min_hot_rows)
-    hot_comp = skew.hot_keys(keyed, ["_comp", "comp_source_store"], min_hot_rows)
+    hot_base, hot_comp = skew.hot_key_sets(keyed, [["_base"], ["_comp", "comp_source_store"]], hot_parts)
     newest = [F.col("capture_date").desc_nulls_last()]
     by_segment = [F.col("product_segment").asc_nulls_last()]
     rows = skew.attach_all(
@@ -71,18 +70,18 @@ def _warehouse_side(warehouse: DataFrame) -> DataFrame:
 
 def own_examples(
     library: DataFrame, reviews: DataFrame, catalog: DataFrame, warehouse: DataFrame, tenant: str,
-    min_hot_rows: int = skew.MIN_ROWS,
+    hot_parts: int | None = None,
 ) -> DataFrame:
     """The tenant's labelled pairs with product fields of both sides."""
     scope = K.retailer_of(F.col("base_source_store")) == tenant
     labelled = _labelled(library, reviews, scope, tenant)
     base = _catalog_side(catalog.where(F.col("source") == tenant))
-    return _with_products(labelled, base, _warehouse_side(warehouse), min_hot_rows).select(*EXAMPLE_COLUMNS)
+    return _with_products(labelled, base, _warehouse_side(warehouse), hot_parts).select(*EXAMPLE_COLUMNS)
 
 
 def synthetic_examples(
     library: DataFrame, reviews: DataFrame, catalog: DataFrame, warehouse: DataFrame, mapping: DataFrame,
-    competitors: Sequence[str], company: str | None, segment: str | None = None, min_hot_rows: int = skew.MIN_ROWS,
+    competitors: Sequence[str], company: str | None, segment: str | None = None, hot_parts: int | None = None,
 ) -> DataFrame:
     """Labelled pairs of mapped competitors whose product falls in a mapped taxonomy node.
 
@@ -92,12 +91,11 @@ def synthetic_examples(
     """
     scope = K.retailer_of(F.col("comp_source_store")).isin(list(competitors))
     labelled = _labelled(library, reviews, scope, company)
-    rows = _with_products(labelled, _catalog_side(catalog), _warehouse_side(warehouse), min_hot_rows)
+    rows = _with_products(labelled, _catalog_side(catalog), _warehouse_side(warehouse), hot_parts)
     rows = rows.withColumn("retailer", K.retailer_of(F.col("comp_source_store")))
     if segment is not None:
         rows = rows.where(F.col("base_segment") == segment)
-    nodes = _warehouse_side(warehouse).withColumn("retailer", K.retailer_of(F.col("comp_source_store")))
-    hot_nodes = skew.hot_keys(nodes, MAPPING_KEYS, min_hot_rows)
+    hot_nodes = skew.hot_keys(rows, MAPPING_KEYS, hot_parts)
     mapped = skew.join_spread(
         rows, mapping.select(*MAPPING_KEYS).distinct(), MAPPING_KEYS, "left_semi", hot_nodes, PAIR
     )

@@ -63,9 +63,10 @@ def catalog_products(catalog: DataFrame, tenant: str) -> DataFrame:
     )
 
 
-def catalog_signal(spine_rows: DataFrame, catalog: DataFrame, tenant: str, hot: DataFrame | None = None) -> DataFrame:
+def catalog_signal(spine_rows: DataFrame, catalog: DataFrame, tenant: str, hot: skew.HotKeys | None = None) -> DataFrame:
     """Is the base SKU in the catalog, and under which title and UPC?"""
     products = catalog_products(catalog, tenant)
+    hot = hot or skew.hot_keys(spine_rows, ["base_sku"])
     return skew.attach_first(spine_rows, products, ["base_sku"], hot).withColumn(
         "base_sku_in_catalog", V.present(F.col("base_title"))
     )

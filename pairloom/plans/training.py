@@ -52,7 +52,7 @@ def labelled(library: DataFrame, reviews: DataFrame, tenant: str, load_date: str
 
 def training_pairs(
     library: DataFrame, reviews: DataFrame, catalog: DataFrame, warehouse: DataFrame, tenant: str, load_date: str,
-    since: str = "202401", min_hot_rows: int = skew.MIN_ROWS,
+    since: str = "202401", hot_parts: int | None = None,
 ) -> DataFrame:
     """One row per labelled pair that has a title on both sides.
 
@@ -62,8 +62,7 @@ def training_pairs(
     before they are ranked and joined.
     """
     both = labelled(library, reviews, tenant, load_date, since)
-    hot_base = skew.hot_keys(both, ["base_sku"], min_hot_rows)
-    hot_comp = skew.hot_keys(both, ["comp_sku", "comp_source_store"], min_hot_rows)
+    hot_base, hot_comp = skew.hot_key_sets(both, [["base_sku"], ["comp_sku", "comp_source_store"]], hot_parts)
     rows = R.first_row(both, ["pair_id"], [F.col("source_priority")])
 
     used_base = both.select("base_sku").distinct()

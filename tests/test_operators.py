@@ -75,16 +75,17 @@ def test_competitors_and_filters(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_rows", [1, 10**9])
-def test_spread_join_equals_plain_join(spark, how, min_rows):
+@pytest.mark.parametrize("parts", [10, 1])
+def test_spread_join_equals_plain_join(spark, how, parts):
     """A third of the rows share one key, another part has a null key."""
     left = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id").alias("v"),
     )
     right = spark.createDataFrame([("hot", 1), ("1", 2), ("2", 3), (None, 4)], "k string, w int")
-    hot = skew.hot_keys(left, ["k"], min_rows)
-    assert hot.count() == (2 if min_rows == 1 else 0)
+    hot = skew.hot_keys(left, ["k"], parts)
+    # 300 and 86 of 900 rows; a share of 90 each, the second just below it.
+    assert [tuple(r) for r in hot.frame.collect()] == [("hot", 4)] if parts == 10 else hot.frame is None
     order = [F.col(c).asc_nulls_first() for c in (["k", "v", "w"] if how in ("left", "inner") else ["k", "v"])]
     joined = skew.join_spread(left, right, ["k"], how, hot)
     assert joined.orderBy(*order).collect() == left.join(right, "k", how).orderBy(*order).collect()
@@ -92,14 +93,33 @@ def test_spread_join_equals_plain_join(spark, how, min_rows):
 
 def test_hot_rows_reach_many_salts(spark):
     left = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    hot = skew.hot_keys(left, ["k"], 1)
-    assert skew.salt_many(left, hot).select(skew.SALT).distinct().count() == skew.SALTS
+    hot = skew.hot_keys(left, ["k"], 50)
+    assert skew.salt_many(left, hot).select(skew.SALT).distinct().count() == 50
+
+
+def test_largest_task_is_bounded(spark):
+    """One key with 30% of the rows, one just under the even share, the rest apart."""
+    parts, total = 20, 10_000
+    key = F.when(F.col("id") < 3000, -1).when(F.col("id") < 3490, -2).otherwise(F.col("id"))
+    left = spark.range(total).select(key.alias("k"), F.col("id").alias("v"))
+    both = left.withColumn("other", F.lit("x"))
+    one, two, all_same = skew.hot_key_sets(both, [["k"], ["k", "other"], ["other"]], parts)
+    assert [tuple(r) for r in one.frame.collect()] == [(-1, 6)] and [tuple(r) for r in two.frame.collect()] == [(-1, "x", 6)]
+    assert [tuple(r) for r in all_same.frame.collect()] == [("x", parts)]
+    loads = skew.salt_many(left, one).groupBy("k", skew.SALT).count()
+    assert loads.agg(F.max("count")).first()[0] <= 1.3 * total / parts
+    weighted = left.groupBy("k").count()
+    assert [tuple(r) for r in skew.hot_keys(weighted, ["k"], parts, weight="count").frame.collect()] == [(-1, 6)]
+
+
+def test_no_rows_have_no_hot_keys(spark):
+    assert skew.hot_keys(spark.range(0).withColumnRenamed("id", "k"), ["k"]).frame is None
 
 
 def test_attach_keeps_row_count(spark):
     left = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
     right = spark.createDataFrame([("hot", "b"), ("hot", "a")], "k string, w string")
-    for hot in (None, skew.hot_keys(left, ["k"], 1)):
+    for hot in (None, skew.hot_keys(left, ["k"], 9)):
         out = skew.attach_first(left, right, ["k"], hot)
         assert out.count() == 300 and rows(out.select("w").distinct()) == [("a",)]
 
@@ -210,7 +230,7 @@ def test_encoder_and_scorers(spark):
         "base_title string, comp_title string, v int",
     )
     encoded = lambda titles: embed.encode(titles, length_encoder, "length", batch=2)
-    out = scorers.run_scorers(pairs, [scorers.embedding_scorer(encoded, min_hot_rows=1), scorers.tfidf_scorer(["the"], min_hot_rows=1)], 1)
+    out = scorers.run_scorers(pairs, [scorers.embedding_scorer(encoded, hot_parts=10**6), scorers.tfidf_scorer(["the"], hot_parts=10**6)], 10**6)
     got = {r["v"]: (round(r["bert_similarity"], 4), r["tfidf_similarity"]) for r in out.collect()}
     assert got[1] == (1.0, 1.0) and got[2] == got[3] == (1.0, 0.0) and got[4][1] == 0.0
     lemmas = spark.createDataFrame([("balls", "ball"), ("cars", "car")], "word string, lemma string")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import workload as W
 from fixtures import COMPETITORS, RUN_DATE, SEGMENT, TENANT, fixture
 from pairloom import schemas
+from pairloom.operators import relational as R
 from pairloom.plans import approval, coverage, examples, recall, reports, retriever, review_queue, taxonomy, training
 from pairloom.streaming import drops
 
@@ -39,11 +40,11 @@ def test_coverage_with_hot_keys(spark, strict):
     pairs = skewed(fixture(spark, SF, "fx_pairs"))
     sources = coverage.CoverageSources(**{k: fixture(spark, SF, n) for k, n in W.SOURCES.items()})
     run = lambda hot: coverage.coverage_report(
-        pairs, sources, TENANT, SEGMENT, COMPETITORS, RUN_DATE, strict=strict, min_hot_rows=hot
+        pairs, sources, TENANT, SEGMENT, COMPETITORS, RUN_DATE, strict=strict, hot_parts=hot
     )
-    report = run(1)
+    report = run(1000)
     assert len(report.columns) == 62
-    same(report, run(10**9))
+    same(report, run(1))
     assert report.count() == report.select("base_sku", "comp_sku", "comp_source_store").distinct().count()
 
 
@@ -51,10 +52,10 @@ def test_queue_with_hot_keys_and_options(spark):
     pairs = skewed(fixture(spark, SF, "fx_pairs"))
     tables = [fixture(spark, SF, n) for n in ("fx_library", "fx_input_precision", "fx_catalog", "fx_warehouse")]
     domains = W.domains_of(fixture(spark, SF, "fx_domains"))
-    run = lambda config, hot=10**9: review_queue.build_review_queue(pairs, *tables, domains, config, hot)
+    run = lambda config, hot=1: review_queue.build_review_queue(pairs, *tables, domains, config, hot)
     plain = run(W.QUEUE_CONFIG)
     assert plain.columns == review_queue.QUEUE_COLUMNS and len(plain.columns) == 71
-    same(plain, run(W.QUEUE_CONFIG, 1))
+    same(plain, run(W.QUEUE_CONFIG, 1000))
     same(plain, run(replace(W.QUEUE_CONFIG, strict=True)))
     filled = run(replace(W.QUEUE_CONFIG, mandatory=("base_title", "comp_title")))
     assert 0 < filled.count() < plain.count() and filled.where("base_title = '' or comp_title is null").count() == 0
@@ -115,6 +116,29 @@ def test_approve_negative_price_strict_and_best_row(spark):
     assert approval_inputs(spark, two, config={"competitors": ["r1_r1"]}).collect()[0]["comp_source_store"] == "r1_r1"
 
 
+def test_approve_needs_a_registered_store(spark):
+    drop = spark.createDataFrame([("a", "b", "r<>r")], "base_sku string, comp_sku string, comp_source_store string")
+    with pytest.raises(ValueError, match="acme"):
+        approval.auto_approve(drop, *[spark.range(1)] * 3, frame(spark, schemas.DOMAINS), approval.ApprovalConfig("acme", "pets"))
+
+
+def test_approve_meets_each_price_once(spark):
+    """Repeated and all-zero SKUs: a pair meets each different price of a product, not each version of it."""
+    domains = frame(spark, schemas.DOMAINS, {"client": "acme", "primary": "r_r"})
+    catalog = frame(spark, schemas.CATALOG, *[
+        {"sku": "0" * (n % 3 + 1), "source": "acme", "capture_date": "d", "list_price": str(10 + n % 2), "product_title": f"t{n}"} for n in range(40)
+    ])
+    config = approval.ApprovalConfig("acme", "pets")
+    side = approval._base_side(catalog, config)
+    assert sorted((r["_base"], r["base_price"], r["base_title"]) for r in side.collect()) == [("", "10", "t0"), ("", "11", "t1")]
+    warehouse = frame(spark, schemas.WAREHOUSE, *[
+        {"sku": "00", "source_store": "r<>r", "source_name": "r", "store_name": "r", "product_segment": "pets",
+         "list_price": 10.0, "product_title": f"w{n}"} for n in range(30)
+    ])
+    sold = approval._comp_side(warehouse, R.competitor_stores(domains, "acme"), config)
+    assert [(r["_comp"], r["comp_title"]) for r in sold.collect()] == [("", "w0")]
+
+
 def test_approve_needs_columns(spark):
     with pytest.raises(ValueError, match="comp_sku"):
         approval.auto_approve(spark.createDataFrame([("a",)], "base_sku string"), *[spark.range(1)] * 3,
@@ -129,8 +153,8 @@ def test_training_prefers_the_library(spark):
     catalog = frame(spark, schemas.CATALOG)
     warehouse = frame(spark, schemas.WAREHOUSE, {"sku": "2", "source_store": "r<>r", "product_segment": "b", "product_title": "later"},
                       {"sku": "2", "source_store": "r<>r", "product_segment": "a", "product_title": "first"})
-    for hot in (1, 10**9):
-        rows = training.training_pairs(library, reviews, catalog, warehouse, "acme", "d", min_hot_rows=hot).collect()
+    for hot in (1000, 1):
+        rows = training.training_pairs(library, reviews, catalog, warehouse, "acme", "d", hot_parts=hot).collect()
         assert [(r["answer"], r["base_title"], r["comp_title"]) for r in rows] == [("exact", "b", "first")]
         assert rows[0]["pair_id"] == "1<>acme<>acme<>2<>r<>r"
 
@@ -187,7 +211,7 @@ def test_combine_prefers_own_and_label_order(spark):
 def test_examples_with_hot_keys(spark):
     tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
     mapping = W.mapping_of(tables[3])
-    same(examples.own_examples(*tables, TENANT, min_hot_rows=1), examples.own_examples(*tables, TENANT))
+    same(examples.own_examples(*tables, TENANT, hot_parts=1000), examples.own_examples(*tables, TENANT))
     run = lambda hot: examples.synthetic_examples(*tables, mapping, COMPETITORS, TENANT, None, hot)
     same(run(1), run(10**9))
 
