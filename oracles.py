@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
+import pyspark
+
 from fixtures import SEGMENT, TENANT, COMPETITORS, with_fixtures
 
 COMP_B = ", ".join(f"'{c}<>{c}'" for c in COMPETITORS)
@@ -314,6 +319,15 @@ oracle("unknown_stores", ["fx_drop", "fx_domains"], """
 # --- training pairs and similarity -------------------------------------------
 
 STOP = "'old', 'the', 'of'"
+
+
+def english() -> str:
+    """The stop words that ship with Spark ML, as a SQL list."""
+    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
+    words = zipfile.ZipFile(jar).read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
 UUID_BASE = "concat_ws('<>', base_sku, replace(base_source_store, '_', '<>'))"
 UUID_COMP = "concat_ws('<>', comp_sku, replace(comp_source_store, '_', '<>'))"
 
@@ -357,10 +371,10 @@ TRAINING_FIXTURES = ["fx_library", "fx_reviews", "fx_catalog", "fx_warehouse"]
 oracle("training_pairs", TRAINING_FIXTURES, _training())
 
 
-def grams(text: str) -> str:
+def grams(text: str, stop: str = STOP) -> str:
     """Words of two letters or more without stop words, then their bigrams."""
     words = (f"list_filter(string_split(trim(regexp_replace(lower({text}), '[^a-z]+', ' ', 'g')), ' '), "
-             f"lambda w: len(w) >= 2 and w not in ({STOP}))")
+             f"lambda w: len(w) >= 2 and w not in ({stop}))")
     return f"(select list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from (select {words} as w))"
 
 
@@ -392,7 +406,7 @@ oracle("embedding_similarity", ["fx_titles", "fx_title_embeddings"], f"""
     left join fx_title_embeddings a on a.title = base_title left join fx_title_embeddings b on b.title = comp_title""")
 oracle("tfidf_similarity", ["fx_titles"], f"""
     with pairs as (select distinct base_title, comp_title from fx_titles), {TITLE_DOCS},
-    {tfidf_ctes('titles', 'titles', grams('text'), 5000)},
+    {tfidf_ctes('titles', 'titles', grams('text', english()), 5000)},
     scores as ({pair_scores('pairs', 3)})
     select t.*, tfidf_similarity from fx_titles t join scores using (base_title, comp_title)""")
 oracle("training_similarity", [*TRAINING_FIXTURES, "fx_title_embeddings"], f"""

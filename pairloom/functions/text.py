@@ -50,6 +50,11 @@ def english_stop_words(spark: SparkSession) -> list[str]:
     return sorted(w for w in StopWordsRemover.loadDefaultStopWords("english") if w)
 
 
+def stop_words_or_english(spark: SparkSession, words: Sequence[str] | None) -> list[str]:
+    """``words``, or the English list for None."""
+    return english_stop_words(spark) if words is None else list(words)
+
+
 def letter_tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
     """Lower-case runs of ``a-z``, stop words removed."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z]+", " ")), " ")

@@ -73,10 +73,10 @@ def nearest(
             return _stacked([query_key, row_key, "score"], [])
         docs = docs.sort_values(row_key, ignore_index=True)
         row_keys = docs[row_key].to_numpy(dtype=object)
-        take = min(k, len(docs))
+        take, postings = min(k, len(docs)), _flat(docs)
         out = []
         for asked_slice in _slices(asked):
-            scores = _sparse_scores(docs, asked_slice)
+            scores = _sparse_scores(postings, len(docs), asked_slice)
             for number, query in enumerate(asked_slice[query_key]):
                 column = scores[:, number]
                 cut = np.partition(column, len(column) - take)[len(column) - take]
@@ -102,16 +102,16 @@ def _slices(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield frame.iloc[start:start + SLICE].reset_index(drop=True)
 
 
-def _sparse_scores(docs: pd.DataFrame, asked: pd.DataFrame) -> np.ndarray:
-    """Dense (docs x queries) score block, computed over slices of the postings."""
+def _sparse_scores(postings: tuple[np.ndarray, ...], n_docs: int, asked: pd.DataFrame) -> np.ndarray:
+    """Dense (docs x queries) score block from a block's postings, slice by slice."""
     q_row, q_term, q_weight = _flat(asked)
     terms, q_at = np.unique(q_term, return_inverse=True)
-    scores = np.zeros((len(docs), len(asked)))
+    scores = np.zeros((n_docs, len(asked)))
     if not len(terms):
         return scores
     wanted = np.zeros((len(terms), len(asked)))
     wanted[q_at, q_row] = q_weight
-    d_row, d_term, d_weight = _flat(docs)
+    d_row, d_term, d_weight = postings
     at = np.minimum(np.searchsorted(terms, d_term), len(terms) - 1)
     known = terms[at] == d_term
     d_row, at, d_weight = d_row[known], at[known], d_weight[known]
@@ -170,10 +170,10 @@ def scored_above(
     def compare(b: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(b) and len(c):
-            vectors, b_keys = _dense(b), b[key].to_numpy(dtype=object)
+            vectors, b_keys, postings = _dense(b), b[key].to_numpy(dtype=object), _flat(b)
             for part in _slices(c):
                 dense = vectors @ _dense(part).T
-                sparse = _sparse_scores(b, part)
+                sparse = _sparse_scores(postings, len(b), part)
                 i, j = np.nonzero(weights[0] * dense + weights[1] * sparse >= margin)
                 found.append((b_keys[i], part[key].to_numpy(dtype=object)[j], dense[i, j], sparse[i, j]))
         return _stacked([f"base_{key}", f"comp_{key}", "embedding_similarity", "tfidf_similarity"], found)

@@ -94,18 +94,21 @@ def embedding_scorer(
 
 
 def tfidf_scorer(
-    stop_words: Sequence[str] = (), lemmas: DataFrame | None = None, max_features: int = 5000,
+    stop_words: Sequence[str] | None = None, lemmas: DataFrame | None = None, max_features: int = 5000,
     grams: tuple[int, int] = (1, 2), digits: int = 3, name: str = "tfidf_similarity",
     hot_parts: int | None = None,
 ) -> Scorer:
-    """TF-IDF cosine, fitted on all distinct titles; 0 when no known term is shared."""
+    """TF-IDF cosine, fitted on all distinct titles; 0 when no known term is shared.
+
+    ``stop_words`` None stands for the English list.
+    """
     def score(pairs: DataFrame) -> DataFrame:
-        titles = distinct_titles(pairs)
+        titles, left_out = distinct_titles(pairs), X.stop_words_or_english(pairs.sparkSession, stop_words)
         if lemmas is None:
-            _, vectors = tfidf.fit_transform(titles, "title", title_terms(stop_words, grams), max_features)
+            _, vectors = tfidf.fit_transform(titles, "title", title_terms(left_out, grams), max_features)
         else:
-            docs = lemmatised(titles, lemmas, stop_words)
-            words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*stop_words, ""]))
+            docs = lemmatised(titles, lemmas, left_out)
+            words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*left_out, ""]))
             _, vectors = tfidf.fit_transform(docs, "title", X.ngrams(words, *grams), max_features)
         overlap = tfidf.sparse_dot(*[F.col(f"_{s}_{c}") for s in ("base", "comp") for c in ("ids", "weights")])
         return _score(pairs, vectors, name, F.bround(overlap, digits), hot_parts)

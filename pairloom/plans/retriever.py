@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -64,7 +65,8 @@ def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000
     Vocabulary and vectors are checkpointed, since every query reads them.
     """
     texts = docs.select("row_id", "q")
-    counts = tfidf.term_counts(texts, "row_id", X.word_tokens(F.col("q")))
+    # Read for the vocabulary and again for the vectors.
+    counts = cut_lineage(tfidf.term_counts(texts, "row_id", X.word_tokens(F.col("q"))))
     vocab = cut_lineage(tfidf.vocabulary(counts, texts, max_features))
     vectors = tfidf.unit_vectors(counts, vocab, "row_id", sublinear=True)
     # Rows without a known term stay in the index; they score 0 for any query.
@@ -73,11 +75,21 @@ def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000
 
 
 def build_retriever(
-    examples: DataFrame, level: str, brand_weight: int = 3, taxonomy_weight: int = 2, max_features: int = 50_000
+    examples: DataFrame, level: str, brand_weight: int = 3, taxonomy_weight: int = 2, max_features: int = 50_000,
+    labels: Sequence[str] | None = None,
 ) -> Retriever:
-    """Index of combined examples at one taxonomy level."""
+    """Index of combined examples at one taxonomy level.
+
+    With ``labels`` the examples are validated first and the finished index has
+    to find one of its own rows.
+    """
     docs = cut_lineage(with_row_id(examples).withColumn("q", example_text(level, brand_weight, taxonomy_weight)))
-    return build_index(docs, level, max_features)
+    if labels is not None:
+        validate_examples(docs, list(labels))
+    index = build_index(docs, level, max_features)
+    if labels is not None:
+        self_check(index)
+    return index
 
 
 def query(retriever: Retriever, texts: DataFrame, k: int = 20, pad: bool = True) -> DataFrame:

@@ -30,7 +30,7 @@ class MappingConfig:
     threshold: float = 0.5
     embedding_weight: float = 0.7
     tfidf_weight: float = 0.3
-    stop_words: Sequence[str] = ()
+    stop_words: Sequence[str] | None = None
     lemmas: DataFrame | None = None
     max_features: int = 5000
     fit_on: str = "new"
@@ -72,13 +72,14 @@ def _texts(*sides: DataFrame) -> DataFrame:
 
 def _vectors(texts: DataFrame, fit_texts: DataFrame, embeddings: Embeddings, c: MappingConfig) -> DataFrame:
     """(text, embedding, ids, weights); the TF-IDF vocabulary comes from ``fit_texts``."""
+    stop_words = X.stop_words_or_english(texts.sparkSession, c.stop_words)
     if c.lemmas is None:
         def counts_of(df: DataFrame) -> DataFrame:
-            return tfidf.term_counts(df, "title", scorers.title_terms(c.stop_words))
+            return tfidf.term_counts(df, "title", scorers.title_terms(stop_words))
     else:
         def counts_of(df: DataFrame) -> DataFrame:
-            words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*c.stop_words, ""]))
-            return tfidf.term_counts(scorers.lemmatised(df, c.lemmas, c.stop_words), "title", X.ngrams(words))
+            words = F.filter("words", lambda w: (F.length(w) >= 2) & ~w.isin([*stop_words, ""]))
+            return tfidf.term_counts(scorers.lemmatised(df, c.lemmas, stop_words), "title", X.ngrams(words))
 
     vocab = tfidf.vocabulary(counts_of(fit_texts), fit_texts, c.max_features)
     sparse = tfidf.unit_vectors(counts_of(texts), vocab, "title")
@@ -128,34 +129,51 @@ def map_taxonomy(base: DataFrame, comp: DataFrame, embeddings: Embeddings, confi
 
 def map_taxonomy_incremental(
     base: DataFrame, comp: DataFrame, previous: DataFrame, competitors: Sequence[str], embeddings: Embeddings,
-    config: MappingConfig,
+    config: MappingConfig, compared: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Keep earlier scores, add pairs not stored yet, rank everything again.
 
     Rows of retailers no longer in ``competitors`` go. Earlier rows keep their
-    scores; below-threshold pairs were never stored and are scored again.
-    ``fit_on='new'`` fits TF-IDF on the nodes that occur in an unstored pair,
-    ``'all'`` on every node. Levels may be null, and null equals null. The
-    threshold applies to earlier rows too. ``prune_vanished`` also drops rows
-    whose base node is gone.
+    scores. Only nodes with a partner they are not stored with are scored, since
+    a pair that isn't stored has two such nodes; that includes pairs which fell
+    below the threshold before. ``compared`` (base and comp nodes of the earlier
+    run, shaped like ``base`` and ``comp``) says that those are known to fail:
+    then only new base nodes meet all, and the others new comp nodes, so an
+    unchanged input scores nothing. ``fit_on='new'`` fits TF-IDF on the nodes
+    that occur in an unstored pair, ``'all'`` on every node. Levels may be null,
+    and null equals null. The threshold applies to earlier rows too.
+    ``prune_vanished`` also drops rows whose base node is gone.
     """
+    if config.fit_on not in ("new", "all"):
+        raise ValueError("fit_on must be 'new' or 'all'")
     base, comp = cut_lineage(_named(base, "base")), cut_lineage(_named(comp, "comp"))
     kept = previous.where(F.col("retailer").isin(list(competitors))).drop("rank")
     if config.prune_vanished:
         current = base.select(*[F.col(k).alias(f"_r_{k}") for k in BASE])
         kept = kept.join(current, R.null_safe(BASE), "left_semi")
-    fit_texts = _texts(base, comp)
-    if config.fit_on == "new":
-        fit_texts = _unfinished_texts(base, comp, kept)
-    elif config.fit_on != "all":
-        raise ValueError("fit_on must be 'new' or 'all'")
-    fresh = skew.anti_null_safe(_scored(base, comp, fit_texts, embeddings, config), kept, PAIR_KEYS)
-    both = kept.where(F.col("combined_score") >= config.threshold).unionByName(fresh.select(*kept.columns))
-    return _rank(both)
-
-
-def _unfinished_texts(base: DataFrame, comp: DataFrame, kept: DataFrame) -> DataFrame:
-    """Texts of nodes with at least one partner they are not stored with.
+    base_open, comp_open = (cut_lineage(nodes) for nodes in _unfinished(base, comp, kept))
+    fit_texts = _texts(base, comp) if config.fit_on == "all" else _texts(base_open, comp_open)
+    meetings = [(base_open, comp_open)]
+    if compared is not None:
+        new_base, old_base = _split(base_open, _named(compared[0], "base"), BASE)
+        new_comp, _ = _split(comp_open, _named(compared[1], "comp"), ["retailer", *COMP])
+        meetings = [(new_base, comp_open), (old_base, new_comp)]
+    rows = kept.where(F.col("combined_score") >= config.threshold)
+    for left, right in meetings:
+        if not left.isEmpty() and not right.isEmpty():
+            fresh = skew.anti_null_safe(_scored(left, right, fit_texts, embeddings, config), kept, PAIR_KEYS)
+            rows = rows.unionByName(fresh.select(*kept.columns))
+    return _rank(rows)
+
+
+def _split(nodes: DataFrame, known: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The nodes that are not in ``known``, and those that are."""
+    other = known.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    return tuple(cut_lineage(nodes.join(other, R.null_safe(keys), how)) for how in ("left_anti", "left_semi"))
+
+
+def _unfinished(base: DataFrame, comp: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Base and comp nodes with at least one partner they are not stored with.
 
     Such a node has fewer stored pairs than there are nodes on the other side,
     so counting the stored pairs is enough.
@@ -169,6 +187,7 @@ def _unfinished_texts(base: DataFrame, comp: DataFrame, kept: DataFrame) -> Data
     def unfinished(nodes: DataFrame, keys: list[str], partners: DataFrame) -> DataFrame:
         counts = stored.groupBy(*[F.col(k).alias(f"_r_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
         every = partners.select(F.count(F.lit(1))).scalar()
-        return nodes.join(counts, R.null_safe(keys), "left").where(F.coalesce("_n", F.lit(0)) < every)
+        open_ = nodes.join(counts, R.null_safe(keys), "left").where(F.coalesce("_n", F.lit(0)) < every)
+        return open_.select(*nodes.columns)
 
-    return _texts(unfinished(base, BASE, comp), unfinished(comp, comp_keys, base))
+    return unfinished(base, BASE, comp), unfinished(comp, comp_keys, base)

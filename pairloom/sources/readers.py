@@ -58,6 +58,15 @@ def read_partitions(
     return reader.option("recursiveFileLookup", "true").parquet(*paths)
 
 
+def latest_partition_value(spark: SparkSession, path: str, column: str) -> str | None:
+    """Largest value of the first partition column below ``path``, from folder names alone; None without any.
+
+    No file is opened, footers included, and the folders' contents aren't listed.
+    """
+    values = storage.partition_values(spark, path, column)
+    return max(values, default=None)
+
+
 def _existing(spark: SparkSession, base: str, partitions: Sequence[str]) -> list[str]:
     wanted = [f"{base.rstrip('/')}/{p}" for p in partitions] or [base]
     return [p for p in dict.fromkeys(wanted) if storage.has_data(spark, p)]

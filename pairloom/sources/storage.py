@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -35,6 +35,16 @@ def first_data_file(spark: SparkSession, folder: str) -> str | None:
     return first
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> Iterator[str]:
+    """Values of the folders ``column=<value>`` right below ``path``; the default partition is left out."""
+    handle, fs = _path(spark, path)
+    listed = fs.listStatusIterator(handle)
+    while listed.hasNext():
+        name, sign, value = listed.next().getPath().getName().partition("=")
+        if sign and name == column and value != "__HIVE_DEFAULT_PARTITION__":
+            yield unquote(value)
+
+
 def file_size(spark: SparkSession, path: str) -> int:
     handle, fs = _path(spark, path)
     return fs.getFileStatus(handle).getLen()

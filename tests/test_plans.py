@@ -11,6 +11,7 @@ from fixtures import COMPETITORS, RUN_DATE, SEGMENT, TENANT, fixture
 from pairloom import schemas
 from pairloom.operators import relational as R
 from pairloom.plans import approval, coverage, examples, recall, reports, retriever, review_queue, taxonomy, training
+from pairloom.session import cut_lineage
 from pairloom.streaming import drops
 
 SF = "/root/testdata/sf0.001"
@@ -177,6 +178,23 @@ def test_incremental_over_a_full_mapping_changes_nothing(spark):
     same(full, taxonomy.map_taxonomy_incremental(base, comp, part, names, vectors, replace(W.MAPPING, fit_on="all")))
 
 
+def test_incremental_scores_nothing_for_an_unchanged_input(spark, monkeypatch):
+    base, comp, vectors = nodes(spark)
+    names = ["africa", "america", "asia", "europe", "middle east"]
+    full = cut_lineage(taxonomy.map_taxonomy(base, comp, vectors, W.MAPPING))
+    met = []
+    real = taxonomy._scored
+    monkeypatch.setattr(taxonomy, "_scored", lambda b, c, *a: met.append((b.count(), c.count())) or real(b, c, *a))
+    same(full, taxonomy.map_taxonomy_incremental(base, comp, full, names, vectors, W.MAPPING, compared=(base, comp)))
+    assert met == []
+    old = (base.where("category <> 'SMALL'"), comp.where("retailer <> 'asia'"))
+    known = full.where("base_category <> 'SMALL' and retailer <> 'asia'")
+    config = replace(W.MAPPING, fit_on="all")
+    same(full, taxonomy.map_taxonomy_incremental(base, comp, known, names, vectors, config, compared=old))
+    small, asia = base.where("category = 'SMALL'").count(), comp.where("retailer = 'asia'").count()
+    assert met == [(small, comp.count()), (base.count() - small, asia)]
+
+
 def test_incremental_drops_retailers_and_vanished_nodes(spark):
     base, comp, vectors = nodes(spark)
     full = taxonomy.map_taxonomy(base, comp, vectors, W.MAPPING)

@@ -56,6 +56,15 @@ def test_read_partitions_falls_back_to_recursive(spark, tmp_path):
     assert readers.read_partitions(spark, base).count() == 2
 
 
+def test_latest_partition_comes_from_folder_names(spark, tmp_path):
+    for day in ("2024-01-02", "2024-03-01", "2023-12-31"):
+        put(tmp_path / "t" / f"load_date={day}", "part-0.parquet", "not parquet at all")
+    put(tmp_path / "t" / "load_date=__HIVE_DEFAULT_PARTITION__", "x", "")
+    put(tmp_path / "t" / "other=9", "x", "")
+    assert readers.latest_partition_value(spark, str(tmp_path / "t"), "load_date") == "2024-03-01"
+    assert readers.latest_partition_value(spark, str(tmp_path / "t"), "day") is None
+
+
 def test_read_drop(spark, tmp_path):
     folder = put(tmp_path / "d", "a.csv", '"Base_SKU",comp_sku,COMP_SOURCE_STORE,score\n007,"1,2",r<>r,9\n')
     put(tmp_path / "d", "_SUCCESS", "")

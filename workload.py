@@ -13,6 +13,8 @@ from pairloom.operators import relational, scorers, skew, tfidf
 from pairloom.plans import (
     approval, coverage, examples, recall, reports, retriever, review_queue, signals, taxonomy, training,
 )
+from pairloom.session import Workspace
+from pairloom.sources import readers
 from pairloom.streaming import drops
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,7 +162,7 @@ def embedding_similarity(titles, embeddings):
 
 @query("fx_titles")
 def tfidf_similarity(titles):
-    return scorers.run_scorers(titles, [scorers.tfidf_scorer(STOP_WORDS)])
+    return scorers.run_scorers(titles, [scorers.tfidf_scorer()])
 
 
 @query("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse", "fx_title_embeddings")
@@ -277,7 +279,9 @@ def retriever_topk(docs, asked):
 @query(*EXAMPLE_TABLES)
 def retriever_examples(library, reviews, catalog, warehouse):
     """Nearest examples of every warehouse product's title and brand."""
-    index = retriever.build_retriever(_combined(library, reviews, catalog, warehouse), "category")
+    index = retriever.build_retriever(
+        _combined(library, reviews, catalog, warehouse), "category", labels=examples.LABELS
+    )
     asked = warehouse.select(
         F.concat_ws("@", "sku", "source_store", "capture_date").alias("query_id"),
         F.concat_ws(" ", "product_title", "standardized_brand").alias("q"),
@@ -500,7 +504,11 @@ def latest_composite(ml_input):
 
 @query("fx_library")
 def latest_value(library):
-    return relational.latest_value(library, "load_date")
+    """Newest partition of the stored table by its folder names; only that one is scanned."""
+    spark = library.sparkSession
+    stored = Workspace(spark, "library").save(library.select("base_sku", "load_date"), "load_date")
+    newest_date = readers.latest_partition_value(spark, stored._pairloom_path, "load_date")
+    return relational.latest_value(stored.where(F.col("load_date") == F.lit(newest_date)), "load_date")
 
 
 @query("fx_pairs", "fx_domains")
