@@ -91,7 +91,7 @@ def near_groups(
     )
     items = apart.select(F.col("doc_id").alias("id"), "buckets")
     details = lambda ids: _details(docs, ids, bands, rows)
-    found = tables.save(linked_components(items, details, bands * rows, per_cent, miss, tables))
+    found = tables.save(linked_components(items, details, bands, rows, per_cent, miss, tables))
     sizes = own.groupBy("rep").agg(F.max("n").alias("_n"))
     groups = tables.save(found.select(F.col("node").alias("rep"), "component").join(sizes, "rep"))
     tables.drop(known)

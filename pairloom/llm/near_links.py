@@ -15,123 +15,162 @@ from pairloom.llm.shingles import likely, posterior_bounds
 from pairloom.session import Workspace
 
 BATCH = 16
-# Rounds that compare each bucket with one member before all differing pairs are.
-STARS = 2
+# Members of a bucket that meet others in one task.
+BLOCK = 512
 
 # Given a table of ids, at least one row for each of them: id, signature (little-endian 32-bit
 # minima) and set (sorted 64-bit fingerprints), both as bytes.
 Details = Callable[[DataFrame], DataFrame]
 
 
-def _pairs_of(rows: DataFrame, left: str, right: str) -> DataFrame:
-    """Distinct pairs a < b."""
-    a, b = F.col(left), F.col(right)
-    return rows.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-
 def linked_components(
-    items: DataFrame, details: Details, size: int, per_cent: int, miss: float, tables: Workspace
+    items: DataFrame, details: Details, bands: int, rows: int, per_cent: int, miss: float, tables: Workspace
 ) -> DataFrame:
     """node and component of every item that is linked to another.
 
-    ``items`` has a long ``id`` and ``buckets``, an array of long bucket keys; an
-    item may come several times. Items are linked if 100 * intersection >=
-    per_cent * union of their sets. Items that share a bucket are candidates;
-    their signatures of ``size`` minima are compared batch by batch and given up
-    once a link is less likely than ``miss``; the rest is verified on full sets.
+    ``items`` has a long ``id`` and ``buckets``, an array of a long bucket key per
+    band; an item may come several times. Items are linked if 100 * intersection
+    >= per_cent * union of their sets. Items that share a bucket are candidates;
+    their signatures of ``bands * rows`` minima are compared batch by batch and
+    given up once a link is less likely than ``miss``; the rest is verified on
+    full sets.
 
     A bucket of n items isn't expanded into n * n pairs: first each is compared
-    with one member, twice, with different members, and what that links
-    counts as one. Then only pairs of a bucket are compared that are still in
-    different components, and all of them, so no link between components that a
-    shared bucket finds is left out.
+    with the smallest member, and what that links counts as one. Then members of
+    a bucket that are still in different components meet block by block inside
+    tasks, each with each, and a task gives out a link only if it joins
+    components. So no link between components that a shared bucket finds is left
+    out, and the rows made grow with the members and not with their pairs.
     """
-    banded = items.select("id", F.explode("buckets").alias("bucket"))
+    banded = items.select("id", F.posexplode("buckets").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("centre"), F.max("id").alias("_top"))
     shared = tables.save(shared.where(F.col("centre") != F.col("_top")).drop("_top"))
-    near = maybe_in(banded, "bucket", shared, "_maybe").where("_maybe").select("bucket", "id")
+    near = maybe_in(banded, "bucket", shared, "_maybe").where("_maybe").select("bucket", "band", "id").distinct()
     total = max(1, shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    members = tables.save(attach(near.distinct(), shared, "bucket", "n", total).where(F.col("centre").isNotNull()))
+    members = tables.save(attach(near, shared, "bucket", "n", total).where(F.col("centre").isNotNull()))
     ids = tables.save(members.select("id").distinct())
     known = tables.save(details(ids).join(ids, "id", "left_semi").dropDuplicates(["id"]))
-    check = _Verifier(known, size, per_cent, miss, tables)
-
-    pairs = _pairs_of(members, "id", "centre")
-    labels = members.select("bucket", "id")
-    for turn in range(STARS + 1):
-        links = check(pairs)
-        if turn == STARS:
-            return components(links, tables)
-        named = components(links, tables).select(F.col("node").alias("id"), "component")
-        marked = tables.save(
-            labels.join(named, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
-        )
-        spot = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("id"), F.col("label").alias("label"))
-        mixed = marked.groupBy("bucket").agg(
-            F.min(spot).alias("_c"), F.count(F.lit(1)).alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high")
-        ).where(F.col("_low") != F.col("_high"))
-        mixed = tables.save(mixed.select("bucket", "n", F.col("_c.id").alias("centre"), F.col("_c.label").alias("centre_label")))
-        rest = tables.save(attach(marked, mixed, "bucket", "n", total).where(F.col("centre").isNotNull()))
-        if turn < STARS - 1:
-            pairs = _pairs_of(rest.where(F.col("label") != F.col("centre_label")), "id", "centre")
-        else:
-            # Whole buckets, but only pairs that differ: one side by the smaller label.
-            one = rest.select("bucket", "id", "label")
-            two = rest.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
-            pairs = _pairs_of(one.join(two, "bucket").where(F.col("label") < F.col("other_label")), "id", "other")
-        labels = rest.select("bucket", "id")
-
-
-class _Verifier:
-    """Tests pairs once, and gives all links found so far."""
-
-    def __init__(self, known: DataFrame, size: int, per_cent: int, miss: float, tables: Workspace):
-        self.known, self.size, self.per_cent, self.tables = known, size, per_cent, tables
-        self.bounds = posterior_bounds(size, BATCH, per_cent / 100, miss)
-        self.tested: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        fresh = self.tables.save(pairs)
-        self.tested = fresh if self.tested is None else self.tested.unionByName(fresh)
-        likely_pairs = self.tables.save(self._likely(fresh))
-        links = self.tables.save(self._exact(likely_pairs))
-        self.tables.drop(likely_pairs)
-        self.links = links if self.links is None else self.links.unionByName(links)
-        return self.links
-
-    def _with(self, pairs: DataFrame, what: str) -> DataFrame:
-        """``pairs`` with ``what`` of both items as left and right; other items aren't shuffled."""
-        for end, name in (("b", "right"), ("a", "left")):
-            ids = pairs.select(F.col(end).alias("id")).distinct()
-            side = maybe_in(self.known.select("id", what), "id", ids, "_maybe").where("_maybe")
-            pairs = pairs.join(side.select(F.col("id").alias(end), F.col(what).alias(name)), end)
-        return pairs
-
-    def _likely(self, pairs: DataFrame) -> DataFrame:
-        size, bounds = self.size, self.bounds
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                left, right = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, size) for c in ("left", "right")
-                )
-                yield batch.select(["a", "b"]).take(pa.array(likely(left, right, bounds)))
-
-        return self._with(pairs, "signature").mapInArrow(run, "a long, b long")
-
-    def _exact(self, pairs: DataFrame) -> DataFrame:
-        per_cent = self.per_cent
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = []
-                for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                    x, y = (np.frombuffer(s.as_buffer(), "<u8") for s in (left, right))
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= per_cent * (len(x) + len(y) - both))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        return self._with(pairs, "set").mapInArrow(run, "a long, b long")
+    bounds = posterior_bounds(bands * rows, BATCH, per_cent / 100, miss)
+
+    a, b = F.col("centre"), F.col("id")
+    pairs = tables.save(members.where(a != b).select(a.alias("a"), b.alias("b")).distinct())
+    likely_pairs = tables.save(_likely(pairs, known, bands * rows, bounds))
+    links = tables.save(_exact(likely_pairs, known, per_cent))
+    tables.drop(pairs, likely_pairs)
+
+    named = components(links, tables).select(F.col("node").alias("id"), "component")
+    marked = tables.save(
+        members.join(named, "id", "left").select("bucket", "band", "id", F.coalesce("component", "id").alias("label"))
+    )
+    mixed = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = tables.save(mixed.where(F.col("low") != F.col("high")).select("bucket", "n"))
+    rest = tables.save(attach(marked, mixed, "bucket", "n", total).where(F.col("n").isNotNull()))
+    tables.drop(marked, members)
+    more = tables.save(_crossing(rest, known, bands, rows, per_cent, bounds))
+    return components(links.unionByName(more), tables)
+
+
+def _with(pairs: DataFrame, known: DataFrame, what: str) -> DataFrame:
+    """``pairs`` with ``what`` of both items as left and right; other items aren't shuffled."""
+    for end, name in (("b", "right"), ("a", "left")):
+        ids = pairs.select(F.col(end).alias("id")).distinct()
+        side = maybe_in(known.select("id", what), "id", ids, "_maybe").where("_maybe")
+        pairs = pairs.join(side.select(F.col("id").alias(end), F.col(what).alias(name)), end)
+    return pairs
+
+
+def _likely(pairs: DataFrame, known: DataFrame, size: int, bounds: list[tuple[int, int]]) -> DataFrame:
+    """Pairs whose signatures don't give them up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, size) for c in ("left", "right")
+            )
+            yield batch.select(["a", "b"]).take(pa.array(likely(left, right, bounds)))
+
+    return _with(pairs, known, "signature").mapInArrow(run, "a long, b long")
+
+
+def _exact(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs whose full sets are linked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = ([np.frombuffer(s.as_buffer(), "<u8") for s in batch.column(c)] for c in ("left", "right"))
+            keep = [bool(linked(x, [y], per_cent)[0]) for x, y in zip(left, right, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _with(pairs, known, "set").mapInArrow(run, "a long, b long")
+
+
+def linked(one: np.ndarray, others: list[np.ndarray], per_cent: int) -> np.ndarray:
+    """Which of the sorted sets ``others`` are linked to the sorted set ``one``; none is empty."""
+    sizes = np.array([len(o) for o in others])
+    joined = np.concatenate(others)
+    hits = one[np.minimum(np.searchsorted(one, joined), len(one) - 1)] == joined
+    both = np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * both >= per_cent * (len(one) + sizes - both)
+
+
+def _crossing(
+    rest: DataFrame, known: DataFrame, bands: int, rows: int, per_cent: int, bounds: list[tuple[int, int]]
+) -> DataFrame:
+    """Links between the labels of each bucket, enough to join all labels that are linked.
+
+    ``rest`` has bucket, band, id, label and n, the size of the bucket. Buckets
+    are dealt into blocks and each two blocks of a bucket meet in one place. A
+    pair is compared only in the first band that it shares.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rest.join(known, "id").withColumn("own", F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    key = ["bucket", "low", "high"]
+    dealt = dealt.select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "band", "own", "id", "label",
+        "signature", "set",
+    ).repartition(*key).sortWithinPartitions(*key)
+
+    def meet(group: list[tuple]) -> list[tuple[int, int]]:
+        low, high, band = group[0][1:4]
+        if len({r[6] for r in group}) < 2:
+            return []
+        first, second = [r for r in group if r[4] == low], [r for r in group if r[4] == high]
+        ids, roots = np.array([r[5] for r in second], np.int64), np.array([r[6] for r in second], np.int64)
+        right = np.frombuffer(b"".join([r[7] for r in second]), "<u4").reshape(len(second), bands * rows) if second else None
+        joined, out = {}, []
+        for _, _, _, _, _, own, label, signature, own_set in first if second else ():
+            while label in joined:
+                label = joined[label]
+            # Within one block each two meet once.
+            other = np.flatnonzero((roots != label) & (ids > own) if low == high else roots != label)
+            left = np.frombuffer(signature, "<u4")
+            other = other[likely(np.broadcast_to(left, (len(other), len(left))), right[other], bounds)]
+            if len(other):
+                same = (right[other].reshape(-1, bands, rows) == left.reshape(bands, rows)).all(2)
+                other = other[same.argmax(1) == band]
+            if len(other):
+                sets = [np.frombuffer(second[i][8], "<u8") for i in other.tolist()]
+                for i in other[linked(np.frombuffer(own_set, "<u8"), sets, per_cent)].tolist():
+                    if roots[i] != label:
+                        out.append((min(own, int(ids[i])), max(own, int(ids[i]))))
+                        joined[int(roots[i])] = label
+                        roots[roots == roots[i]] = label
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and group[0][:3] != row[:3]:
+                    out += meet(group)
+                    group = []
+                group.append(row)
+            yield _edges(out)
+        yield _edges(meet(group) if group else [])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})

@@ -92,9 +92,11 @@ def posterior_bounds(size: int, batch: int, threshold: float, miss: float) -> li
 
 def likely(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
     """Rows of two signature matrices that no batch gives up, as indexes."""
-    alive = np.arange(len(left))
-    matches, done = np.zeros(len(left), np.int64), 0
+    alive, matches, done = np.arange(len(left)), np.zeros(len(left), np.int64), 0
     for n, fewest in bounds:
-        matches[alive] += (left[alive, done:n] == right[alive, done:n]).sum(1)
-        alive, done = alive[matches[alive] >= fewest], n
+        if not len(alive):
+            break
+        matches = matches + (left[alive, done:n] == right[alive, done:n]).sum(1)
+        stays = matches >= fewest
+        alive, matches, done = alive[stays], matches[stays], n
     return alive
