@@ -138,6 +138,24 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
 
+# The tables have no canonical links or refreshes, so no page there has an alias
+# and the SQL needs none; tests cover what links add.
+ORACLES["op2_url_filter"] = """
+with rules(host, path, decision) as (values {rules}),
+places as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), fitting as (
+  select p.*, r.host || r.path as rule, decision
+  from places p left join rules r on (p.host = r.host or suffix(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+)
+select page_id, host, path, rule, coalesce(decision, 'allow') as verdict
+from fitting qualify row_number() over (partition by page_id order by length(rule) desc nulls last) = 1
+""".format(rules=", ".join(str(r) for r in URL_RULES))
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
