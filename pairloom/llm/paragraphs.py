@@ -21,7 +21,7 @@ MISS = 1e-4
 # Shorter paragraphs aren't compared.
 MIN_WORDS = 8
 # Repeated paragraphs in a row make a passage; shorter passages stay.
-MIN_PASSAGE = 25
+MIN_PASSAGE = 18
 # One sentence end in so many, chosen by its word, ends a paragraph within a line.
 BREAK_EVERY = 3
 _ENDS = frozenset(b".!?")
@@ -48,11 +48,11 @@ class Paragraphs:
         # Equal word sequences have equal ids: a polynomial of the words from each paragraph's start.
         self.ids = np.zeros(len(self.first), np.int64)
         if len(self.first):
-            powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(marks), _BASE))))
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks * powers[:-1])))
+            forth, back = _powers(len(marks) + 1)
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks * forth[:len(marks)])))
             span = sums[self.last] - sums[self.first]
             # Moving every span to one power makes equal spans equal wherever they stand.
-            x = span * _powers(_INVERSE, self.first) ^ (self.last - self.first).astype(np.uint64)
+            x = span * back[self.first] ^ (self.last - self.first).astype(np.uint64)
             x = (x ^ (x >> np.uint64(31))) * _MIX
             self.ids = (x ^ (x >> np.uint64(29))).view(np.int64)
 
@@ -68,52 +68,44 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _powers(base: np.uint64, exponents: np.ndarray) -> np.ndarray:
-    out, square, rest = np.ones(len(exponents), np.uint64), base, exponents.astype(np.uint64)
-    while rest.any():
-        out = np.where(rest & np.uint64(1), out * square, out)
-        with np.errstate(over="ignore"):
-            square = square * square
-        rest >>= np.uint64(1)
-    return out
+_TABLES: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``n`` of each; as many as the longest text needs are kept."""
+    if len(_TABLES[0]) < n:
+        size = 1 << n.bit_length()
+        for i, base in enumerate((_BASE, _INVERSE)):
+            _TABLES[i] = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, base))))
+    return _TABLES
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[Paragraphs]:
     return (Paragraphs(raw.as_py()) for raw in batch.column("text").cast(pa.binary()))
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, number, first_word, n_words, id of every paragraph that is long enough."""
+def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """doc_id, number, first_word, n_words, id and 32-bit bands of every paragraph that is long enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashing = MinHash(bands, rows)
         for batch in batches:
             found = list(_texts(batch)) or [Paragraphs(None)]
-            sizes = pa.array(np.repeat(np.arange(len(found)), [len(p.ids) for p in found]))
+            keys = [np.zeros((0, bands), np.int32)]
+            for p in found:
+                if len(p.ids):
+                    places, starts = p.places()
+                    keys.append(hashing.buckets(hashing.signatures(p.shingles[places], starts)).astype(np.int32))
             joined = {n: np.concatenate([getattr(p, n) for p in found]) for n in ("number", "first", "last", "ids")}
+            whose = pa.array(np.repeat(np.arange(len(found)), [len(p.ids) for p in found]))
+            ends = pa.array(np.arange(len(joined["ids"]) + 1) * bands, pa.int32())
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(sizes), "number": pa.array(joined["number"], pa.int32()),
+                "doc_id": batch.column("doc_id").take(whose), "number": pa.array(joined["number"], pa.int32()),
                 "first_word": pa.array(joined["first"], pa.int32()),
                 "n_words": pa.array(joined["last"] - joined["first"], pa.int32()), "id": pa.array(joined["ids"], pa.int64()),
+                "bands": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).ravel(), pa.int32())),
             })
 
-    return docs.mapInArrow(run, "doc_id long, number int, first_word int, n_words int, id long")
-
-
-def _banded(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """id and buckets of every paragraph; repeated ids within a batch once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing = MinHash(bands, rows)
-        for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            for p in _texts(batch):
-                if len(p.ids):
-                    places, starts = p.places()
-                    keys = hashing.buckets(hashing.signatures(p.shingles[places], starts))
-                    seen.update(zip(p.ids.tolist(), keys, strict=True))
-            flat = np.concatenate(list(seen.values())) if seen else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(seen) + 1) * bands, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.record_batch({"id": pa.array(list(seen), pa.int64()), "buckets": lists})
-
-    return docs.select("text").mapInArrow(run, "id long, buckets array<long>")
+    return docs.mapInArrow(run, "doc_id long, number int, first_word int, n_words int, id long, bands array<int>")
 
 
 def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -172,19 +164,21 @@ def repeated_passages(
     row; rows without one, and null and empty texts, have no paragraphs.
 
     Equal paragraphs share a 64-bit id and are compared once. Texts are read
-    three times; only bands and candidates are shuffled.
+    twice; only bands and candidates are shuffled.
     """
     docs = require_columns(docs, ["doc_id", "text"]).where(F.col("doc_id").isNotNull())
     tables = tables or Workspace(docs.sparkSession, "passages")
-    seen = tables.save(_occurrences(docs))
+    seen = tables.save(_occurrences(docs, bands, rows))
+    apart = lambda x, i: F.shiftleft(i.cast("long"), 32) + x  # noqa: E731  bands don't share buckets
+    items = seen.select("id", F.transform("bands", apart).alias("buckets"))
     details = lambda ids: _details(docs, ids, bands, rows)
-    found = linked_components(_banded(docs, bands, rows), details, bands * rows, per_cent, miss, tables)
+    found = linked_components(items, details, bands, rows, per_cent, miss, tables)
     found = tables.save(found.select(F.col("node").alias("id"), "component"))
 
     counts = seen.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"))
     known = counts.join(found, "id", "left").where(F.col("component").isNotNull() | (F.col("_low") != F.col("_high")))
     known = tables.save(known.select("id", "_n", F.coalesce("component", "id").alias("component_id")))
-    total = max(1, seen.count())
+    total, seen = max(1, seen.count()), seen.drop("bands")
     near = maybe_in(seen, "id", known, "_maybe").where("_maybe").drop("_maybe")
     placed = tables.save(attach(near, known, "id", "_n", total).where(F.col("component_id").isNotNull()).drop("_n"))
     place = F.struct("doc_id", "number")
