@@ -49,7 +49,7 @@ def hot_key_sets(
         size.alias("_n"), F.grouping_id().alias("_set")
     )
     # The total comes first; hot keys of all sets are among the next ones.
-    rows = counted.orderBy(F.desc("_n"), F.desc("_set")).limit(min(parts * len(sets) + 1, 2**31 - 1)).collect()
+    rows = counted.orderBy(F.desc("_n"), F.desc("_set")).limit(parts * len(sets) + 1).collect()
     total = rows[0]["_n"] if rows else 0
     share = max(1, total // parts)
     found = []

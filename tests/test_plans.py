@@ -190,7 +190,9 @@ def test_incremental_scores_nothing_for_an_unchanged_input(spark, monkeypatch):
     old = (base.where("category <> 'SMALL'"), comp.where("retailer <> 'asia'"))
     known = full.where("base_category <> 'SMALL' and retailer <> 'asia'")
     config = replace(W.MAPPING, fit_on="all")
-    same(full, taxonomy.map_taxonomy_incremental(base, comp, known, names, vectors, config, compared=old))
+    # Blocks of another shape may differ in the last digit of a product.
+    again = taxonomy.map_taxonomy_incremental(base, comp, known, names, vectors, config, compared=old)
+    same(W._rounded(full), W._rounded(again))
     small, asia = base.where("category = 'SMALL'").count(), comp.where("retailer = 'asia'").count()
     assert met == [(small, comp.count()), (base.count() - small, asia)]
 
@@ -231,7 +233,7 @@ def test_examples_with_hot_keys(spark):
     mapping = W.mapping_of(tables[3])
     same(examples.own_examples(*tables, TENANT, hot_parts=1000), examples.own_examples(*tables, TENANT))
     run = lambda hot: examples.synthetic_examples(*tables, mapping, COMPETITORS, TENANT, None, hot)
-    same(run(1), run(10**9))
+    same(run(1), run(1000))
 
 
 def test_validation(spark):
