@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -91,9 +91,9 @@ def top_k(
 
     1. Of equal vectors only the k + 1 smallest ids can appear in any result, so
        the others needn't be compared.
-    2. Blocks of queries meet blocks of approximations (one byte a component). The
-       cells bound each product from both sides; what lies below the k-th best
-       lower bound, of the block and then of all blocks, is out.
+    2. Blocks of queries meet blocks of approximations (one byte a component),
+       whose cells bound each product from both sides: once for the k best lower
+       bounds of each block, and again for what reaches the k-th best of all.
     3. Exact vectors are read in the order of their bounds: a first few per query
        give an exact k-th score, then all those whose bound still reaches it.
     """
@@ -112,47 +112,50 @@ def top_k(
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = base.select("vec_id", "dim", "code", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block"))
     left = left.withColumn("query_block", every(n_query_blocks))
-    right = queries.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(n_query_blocks)).cast("int"))
-    right = right.withColumn("block", every(n_blocks))
-
-    def bound(codes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": [], "vec_id": [], "high": [], "low": []}).astype(
-            {"query_id": "int64", "vec_id": "int64", "high": "float64", "low": "float64"}
-        )
-        if not len(codes) or not len(asked):
-            return none
-        ids, dim = codes["vec_id"].to_numpy(), int(codes["dim"].iloc[0])
-        cells = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(ids), dim)
-        middle, width = centre[cells].T, half[cells].T
-        out = []
-        for start in range(0, len(asked), 256):
-            part = asked.iloc[start:start + 256]
-            q = np.frombuffer(b"".join(part["query"]), "<i4").reshape(len(part), dim).astype(np.float64)
-            near, slack = q @ middle, np.abs(q) @ width
-            high, low = near + slack, near - slack
-            own = part["query_id"].to_numpy()[:, None] == ids[None, :]
-            high[own], low[own] = -np.inf, -np.inf
+
+    def met(asked: DataFrame, scan: Callable, result: str) -> DataFrame:
+        right = asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(n_query_blocks)).cast("int"))
+        right, on = right.withColumn("block", every(n_blocks)), ["dim", "block", "query_block"]
+        return tables.save(left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(scan, result))
+
+    def bounds(codes: pd.DataFrame, asked: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+        """Queries slice by slice, with upper and lower bounds of their products and what is their own row."""
+        if len(codes) and len(asked):
+            ids, dim = codes["vec_id"].to_numpy(), int(codes["dim"].iloc[0])
+            cells = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(ids), dim)
+            middle, width = centre[cells].T, half[cells].T
+            for start in range(0, len(asked), 256):
+                part = asked.iloc[start:start + 256]
+                q = np.frombuffer(b"".join(part["query"]), "<i4").reshape(len(part), dim).astype(np.float64)
+                near, slack = q @ middle, np.abs(q) @ width
+                yield part, near + slack, near - slack, part["query_id"].to_numpy()[:, None] == ids[None, :]
+
+    def best_lows(codes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "low": np.zeros(0)})]
+        for part, _, low, own in bounds(codes, asked):
+            low[own] = -np.inf
             at = max(0, low.shape[1] - k)
-            least = np.partition(low, at, axis=1)[:, at] if low.shape[1] > k else np.full(len(part), -np.inf)
+            some = np.partition(low, at, axis=1)[:, at:]
+            found = pd.DataFrame({"query_id": np.repeat(part["query_id"].to_numpy(), some.shape[1]), "low": some.ravel()})
+            out.append(found[np.isfinite(found["low"])])
+        return pd.concat(out)
+
+    def within(codes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "high": np.zeros(0)})]
+        for part, high, _, own in bounds(codes, asked):
+            least = part["least"].fillna(-np.inf).to_numpy(np.float64)
             i, j = np.nonzero((high >= least[:, None]) & ~own)
             out.append(pd.DataFrame({
-                "query_id": part["query_id"].to_numpy()[i], "vec_id": ids[j], "high": high[i, j], "low": low[i, j]
+                "query_id": part["query_id"].to_numpy()[i], "vec_id": codes["vec_id"].to_numpy()[j], "high": high[i, j]
             }))
         return pd.concat(out)
 
-    on = ["dim", "block", "query_block"]
-    pairs = tables.save(
-        left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(bound, "query_id long, vec_id long, high double, low double")
-    )
+    lows = met(queries, best_lows, "query_id long, low double")
     by_low = Window.partitionBy("query_id").orderBy(F.desc("low"))
-    least = pairs.withColumn("_n", F.row_number().over(by_low)).where(F.col("_n") == k).select(
-        "query_id", F.col("low").alias("_least")
-    )
+    least = lows.withColumn("_n", F.row_number().over(by_low)).where(F.col("_n") == k).select("query_id", F.col("low").alias("least"))
+    pairs = met(queries.join(least, "query_id", "left"), within, "query_id long, vec_id long, high double")
     by_high = Window.partitionBy("query_id").orderBy(F.desc("high"), "vec_id")
-    left_over = tables.save(
-        pairs.join(least, "query_id", "left").where(F.col("_least").isNull() | (F.col("high") >= F.col("_least")))
-        .withColumn("place", F.row_number().over(by_high)).drop("low", "_least")
-    )
+    left_over = tables.save(pairs.withColumn("place", F.row_number().over(by_high)))
 
     def exact(some: DataFrame) -> DataFrame:
         # Equal vectors keep up to k + 1 rows, and ids that several vectors share give several.

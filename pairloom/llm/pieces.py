@@ -20,8 +20,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 # Segments up to this many characters are remembered, in two generations of so many per worker.
 CACHED_LENGTH = 40
-CACHED_SEGMENTS = 300_000
-CACHED_PAIRS = 1_000_000
+CACHED_SEGMENTS = 120_000
+CACHED_PAIRS = 250_000
 
 
 class PieceModel:

@@ -17,6 +17,8 @@ SAMPLE = 6_000
 SHAPES, WORDS = 1000, 1024
 EXTRA = 3
 SIZE = SHAPES + WORDS + EXTRA
+# Texts whose features are held at a time.
+SLICE = 256
 
 
 def _classes() -> np.ndarray:
@@ -65,7 +67,7 @@ class OrdinalModel:
 
     def tail(self, x: np.ndarray) -> np.ndarray:
         """P(grade above k) for each row of ``x`` and each but the last grade."""
-        z = np.clip((x @ self.weights)[:, None] - self.thresholds[None, :], -30, 30)
+        z = np.clip((x @ self.weights.astype(x.dtype))[:, None] - self.thresholds[None, :], -30, 30)
         return 1 / (1 + np.exp(-z))
 
     def rate(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +98,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int =
     for step in range(1, rounds + 1):
         weights, cuts = free[:-k], free[-k:].copy()
         cuts[1:] = cuts[0] + np.cumsum(np.exp(free[len(free) - k + 1:]))
-        score = x @ weights
+        score = (x @ weights.astype(x.dtype)).astype(np.float64)
         padded = np.concatenate(([-np.inf], cuts, [np.inf]))
         high, low = logistic(padded[place + 1] - score), logistic(padded[place] - score)
         high, low = np.where(place == k, 1.0, high), np.where(place == 0, 0.0, low)
@@ -136,44 +138,49 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "quality", sample: int
 
     # A doc_id that several rows share is still bounded: extra rows beyond the sample don't count.
     found = rows.mapInArrow(run, "x binary, grade int").orderBy("x", "grade").limit(sample).toPandas()
-    x = np.frombuffer(b"".join(found["x"]), np.float16).reshape(len(found), SIZE).astype(np.float32)
-    return fit_ordinal(x, found["grade"].to_numpy(np.int64) if len(found) else np.zeros(0, np.int64))
+    y = found["grade"].to_numpy(np.int64) if len(found) else np.zeros(0, np.int64)
+    x = np.zeros((len(found), SIZE), np.float32)
+    for i, packed in enumerate(found.pop("x")):
+        x[i] = np.frombuffer(packed, np.float16)
+    return fit_ordinal(x, y)
 
 
-def rate(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """``docs`` with all its columns and expected_grade, best_chance (of the best grade)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _rated(model: OrdinalModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Expected grade and chance of the best grade per text, a few feature rows at a time."""
+    expected, best = np.zeros(len(texts)), np.zeros(len(texts))
+    for start in range(0, len(texts), SLICE):
+        x = np.stack([features(t.as_py()) for t in texts.slice(start, SLICE)])
+        expected[start:start + SLICE], best[start:start + SLICE] = model.rate(x)
+    return expected, best
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            x = np.stack([features(t) for t in texts]) if texts else np.zeros((0, SIZE), np.float32)
-            expected, best = shared.value.rate(x)
-            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            yield pa.record_batch(
-                columns | {"expected_grade": pa.array(expected, pa.float64()), "best_chance": pa.array(best, pa.float64())}
-            )
-
-    fresh = {"expected_grade", "best_chance"} & set(docs.columns)
-    if fresh:
-        raise ValueError(f"columns {sorted(fresh)} exist already")
-    return docs.mapInArrow(run, f"{_ddl(docs)}, expected_grade double, best_chance double")
 
+def rate_documents(docs: DataFrame, labels: DataFrame, grade: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, expected_grade, best_chance, selected (best_chance at least 1/2).
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    Empty and null texts are rated by the thresholds alone. Only doc_id and text
+    are read; no rows give no rows.
+    """
+    rows = require_columns(docs, ["doc_id", "text"])
+    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, grade, sample))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            expected, best = _rated(shared.value, batch.column("text"))
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "expected_grade": pa.array(expected), "best_chance": pa.array(best),
+            })
 
-def rate_documents(docs: DataFrame, labels: DataFrame, grade: str = "quality", sample: int = SAMPLE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, expected_grade, best_chance, selected (best_chance at least 1/2)."""
-    rows = require_columns(docs, ["doc_id", "text"])
-    rated = rate(rows, fit(rows, labels, grade, sample)).drop("text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rated = rows.mapInArrow(run, f"doc_id {kind}, expected_grade double, best_chance double")
     return rated.withColumn("selected", F.col("best_chance") >= 0.5)
 
 
 def select(docs: DataFrame, labels: DataFrame, grade: str = "quality", sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
     """``docs`` with all its columns, without those whose chance of the best grade is below ``least``."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select("text", F.struct(*columns).alias("_row"))
-    model = fit(docs, labels, grade, sample)
-    return rate(rows, model).where(F.col("best_chance") >= least).select("_row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, grade, sample))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_rated(shared.value, batch.column("text"))[1] >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (t or "" for t in batch.column("text").to_pylist())
+            texts = (t.as_py() or "" for t in batch.column("text"))
             found = list(pieces.digests(model_path, texts))
             columns = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.record_batch({
@@ -39,7 +39,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = pieces.encoder(model_path)
         for batch in batches:
-            packed = [work.encode(t or "") for t in batch.column("text").to_pylist()]
+            packed = [work.encode(t.as_py() or "") for t in batch.column("text")]
             flat = pa.Array.from_buffers(pa.int32(), sum(map(len, packed)) // 4, [None, pa.py_buffer(b"".join(packed))])
             ends = [0]
             for p in packed:
