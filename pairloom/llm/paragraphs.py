@@ -1,4 +1,4 @@
-"""Substring dedup: repeated passages through MinHash bands over paragraphs."""
+"""Substring dedup: repeated passages through MinHash bands over paragraphs and anchored runs of words."""
 
 from __future__ import annotations
 
@@ -24,11 +24,31 @@ MIN_WORDS = 8
 MIN_PASSAGE = 18
 # One sentence end in so many, chosen by its word, ends a paragraph within a line.
 BREAK_EVERY = 3
+# Every run of so many words that repeats holds the same anchor with MIN_PASSAGE words after it.
+SURE = 50
+WINDOW = SURE - MIN_PASSAGE + 1
+_LOW = np.uint64((1 << 24) - 1)
 _ENDS = frozenset(b".!?")
 
 
+def _least(marks: np.ndarray, window: int) -> np.ndarray:
+    """Position of the least mark in each run of ``window`` marks (in all, if they are fewer), the last of equal ones."""
+    at = np.arange(len(marks), dtype=np.uint64)
+    keys, span = (marks & ~_LOW) | (_LOW - (at & _LOW)), 1
+    window = min(window, len(marks))
+    while span < window:
+        step = min(span, window - span)
+        keys, span = np.minimum(keys[:-step], keys[step:]), span + step
+    at = at[:len(keys)]
+    return (at + (((_LOW - (keys & _LOW)) - at) & _LOW)).astype(np.int64)
+
+
 class Paragraphs:
-    """The paragraphs of one text that are long enough: their first words, lengths and shingles."""
+    """The paragraphs of one text that are long enough: their first words, lengths and shingles.
+
+    ``anchors`` are the first words of runs of MIN_PASSAGE words, with ``run_ids``;
+    ``steps`` are ids of the words from each anchor to the next (0 for the last).
+    """
 
     def __init__(self, raw: bytes | None):
         words: list[bytes] = []
@@ -45,16 +65,41 @@ class Paragraphs:
         self.number = np.flatnonzero(long)
         self.first, self.last = first[long], last[long]
         self.shingles = _combined(marks, WIDTH) if len(marks) >= WIDTH else np.zeros(0, np.uint64)
-        # Equal word sequences have equal ids: a polynomial of the words from each paragraph's start.
-        self.ids = np.zeros(len(self.first), np.int64)
-        if len(self.first):
-            forth, back = _powers(len(marks) + 1)
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks * forth[:len(marks)])))
-            span = sums[self.last] - sums[self.first]
-            # Moving every span to one power makes equal spans equal wherever they stand.
-            x = span * back[self.first] ^ (self.last - self.first).astype(np.uint64)
-            x = (x ^ (x >> np.uint64(31))) * _MIX
-            self.ids = (x ^ (x >> np.uint64(29))).view(np.int64)
+        self.marks = marks
+        self.ids = self._ids(self.first, self.last)
+        starts = len(marks) - MIN_PASSAGE + 1
+        self.anchors = np.zeros(0, np.int64)
+        if starts > 0:
+            least = _least(self.shingles[:starts], WINDOW)
+            self.anchors = least[np.concatenate((np.ones(1, bool), least[1:] != least[:-1]))]
+        # Apart from paragraphs of the same words, or a run would count as a copy of the paragraph that it stands in.
+        self.run_ids = self._ids(self.anchors, self.anchors + MIN_PASSAGE) ^ np.int64(0x5851F42D4C957F2D)
+        self.steps = np.concatenate((self._ids(self.anchors[:-1], self.anchors[1:]), np.zeros(min(1, len(self.anchors)), np.int64)))
+
+    def _ids(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Equal word sequences have equal ids: a polynomial of the words from each sequence's start."""
+        if not len(first):
+            return np.zeros(0, np.int64)
+        if not hasattr(self, "sums"):
+            forth, _ = _powers(len(self.marks) + 1)
+            self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.marks * forth[:len(self.marks)])))
+        # Moving every span to one power makes equal spans equal wherever they stand.
+        span = self.sums[last] - self.sums[first]
+        x = span * _powers(len(self.marks) + 1)[1][first] ^ (last - first).astype(np.uint64)
+        x = (x ^ (x >> np.uint64(31))) * _MIX
+        return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+    def rows(self) -> dict[str, np.ndarray]:
+        """Paragraphs, then anchored runs, which are numbered after them."""
+        n, m = len(self.ids), len(self.anchors)
+        after = (int(self.number[-1]) + 1 if n else 0) + np.arange(m)
+        return {
+            "number": np.concatenate((self.number, after)), "first_word": np.concatenate((self.first, self.anchors)),
+            "n_words": np.concatenate((self.last - self.first, np.full(m, MIN_PASSAGE))),
+            "id": np.concatenate((self.ids, self.run_ids)), "run": np.repeat([False, True], [n, m]),
+            "step": np.concatenate((np.zeros(n, np.int64), self.steps)),
+            "step_words": np.concatenate((np.zeros(n, np.int64), np.diff(self.anchors), np.zeros(min(1, m), np.int64))),
+        }
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """Indexes into ``shingles`` of all paragraphs' shingles, and where each paragraph begins there."""
@@ -85,7 +130,10 @@ def _texts(batch: pa.RecordBatch) -> Iterator[Paragraphs]:
 
 
 def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, number, first_word, n_words, id and 32-bit bands of every paragraph that is long enough."""
+    """doc_id, number, first_word, n_words, id, run, step, step_words and bands of every paragraph and anchored run.
+
+    Bands are of 32 bits; runs are compared by their ids alone and have none.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinHash(bands, rows)
         for batch in batches:
@@ -95,25 +143,25 @@ def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 if len(p.ids):
                     places, starts = p.places()
                     keys.append(hashing.buckets(hashing.signatures(p.shingles[places], starts)).astype(np.int32))
-            joined = {n: np.concatenate([getattr(p, n) for p in found]) for n in ("number", "first", "last", "ids")}
-            whose = pa.array(np.repeat(np.arange(len(found)), [len(p.ids) for p in found]))
-            ends = pa.array(np.arange(len(joined["ids"]) + 1) * bands, pa.int32())
+            every = [p.rows() for p in found]
+            joined = {n: np.concatenate([r[n] for r in every]) for n in every[0]}
+            whose = pa.array(np.repeat(np.arange(len(found)), [len(r["id"]) for r in every]))
+            ends = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(~joined["run"]) * bands)), pa.int32())
+            small = {n: pa.array(joined[n], pa.int32()) for n in ("number", "first_word", "n_words", "step_words")}
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(whose), "number": pa.array(joined["number"], pa.int32()),
-                "first_word": pa.array(joined["first"], pa.int32()),
-                "n_words": pa.array(joined["last"] - joined["first"], pa.int32()), "id": pa.array(joined["ids"], pa.int64()),
+                "doc_id": batch.column("doc_id").take(whose), **{n: small[n] for n in ("number", "first_word", "n_words")},
+                "id": pa.array(joined["id"], pa.int64()), "run": pa.array(joined["run"]),
+                "step": pa.array(joined["step"], pa.int64()), "step_words": small["step_words"],
                 "bands": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).ravel(), pa.int32())),
             })
 
-    return docs.mapInArrow(run, "doc_id long, number int, first_word int, n_words int, id long, bands array<int>")
-
+    return docs.mapInArrow(
+        run, "doc_id long, number int, first_word int, n_words int, id long, run boolean, step long, step_words int, bands array<int>"
+    )
 
-def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFrame:
-    """id, signature and full shingle set of the paragraphs that may be in ``ids``.
 
-    Workers leave others out by a bit map, whose size doesn't depend on the data.
-    """
-    bits = 1 << 26
+def _bit_map(ids: DataFrame, bits: int) -> np.ndarray:
+    """A bit map of the column ``id``, whose size doesn't depend on the data."""
     spot = F.pmod(F.col("id"), F.lit(bits)) + 1
     maps = ids.groupBy(F.bitmap_bucket_number(spot).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")
@@ -121,7 +169,16 @@ def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFram
     filled = np.zeros(bits // 8, np.uint8)
     for part, some in zip(maps["part"], maps["bits"], strict=True):
         filled[(part - 1) * 4096:part * 4096] = np.frombuffer(some, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
+    return filled
+
+
+def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFrame:
+    """id, signature and full shingle set of the paragraphs that may be in ``ids``.
+
+    Workers leave others out by a bit map, whose size doesn't depend on the data.
+    """
+    bits = 1 << 26
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_map(ids, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing, table = MinHash(bands, rows), shared.value
@@ -145,6 +202,91 @@ def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFram
 _ONE = np.zeros(1, np.int64)
 
 
+def _fringes(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """doc_id, first_word, before, after: 32-bit marks of the words around the runs that may be in ``ends`` (doc_id, id).
+
+    ``before`` goes backwards. WINDOW words on each side reach past the end of any
+    run that repeats, as otherwise another anchor would follow.
+    """
+    bits = 1 << 26
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_map(ends, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            whose, first, before, after = [], [], [], []
+            for n, p in enumerate(_texts(batch)):
+                place = p.run_ids % bits
+                small = p.marks.astype("<u4")
+                for a in p.anchors[((table[place >> 3] >> (place & 7)) & 1).astype(bool)].tolist():
+                    whose.append(n)
+                    first.append(a)
+                    before.append(small[max(0, a - WINDOW):a][::-1].tobytes())
+                    after.append(small[a + MIN_PASSAGE:a + MIN_PASSAGE + WINDOW].tobytes())
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id").take(pa.array(whose, pa.int64())), "first_word": pa.array(first, pa.int32()),
+                "before": pa.array(before, pa.binary()), "after": pa.array(after, pa.binary()),
+            })
+
+    wanted = maybe_in(docs, "doc_id", ends.select("doc_id").distinct(), "_maybe").where("_maybe").select("doc_id", "text")
+    return wanted.mapInArrow(run, "doc_id long, first_word int, before binary, after binary")
+
+
+def _alike(pairs: DataFrame) -> DataFrame:
+    """doc_id, number, component_id, left and right: by how many equal words each run extends like its kept copy."""
+    def alike(one: bytes, other: bytes) -> int:
+        n = min(len(one), len(other)) // 4
+        same = np.frombuffer(one, "<u4", n) == np.frombuffer(other, "<u4", n)
+        return n if same.all() else int(same.argmin())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (zip(*(batch.column(c).to_pylist() for c in s), strict=True) for s in (("before", "_before"), ("after", "_after")))
+            left, right = (pa.array([alike(a, b) for a, b in side], pa.int32()) for side in sides)
+            yield pa.record_batch({**{c: batch.column(c) for c in ("doc_id", "number", "component_id")}, "left": left, "right": right})
+
+    return pairs.mapInArrow(run, "doc_id long, number int, component_id long, left int, right int")
+
+
+def _extended(docs: DataFrame, found: DataFrame, total: int, tables: Workspace) -> DataFrame:
+    """``found`` with its runs widened to all neighbouring words that are equal in the kept copy.
+
+    Most runs are followed by the same next anchor over equal words in both
+    places, which ``step`` tells. Only the ends of such chains are compared word
+    by word. A kept copy becomes as wide as the widest of its copies.
+    """
+    kept = F.struct("doc_id", "number") == F.struct("_kept.doc_id", "_kept.number")
+    same = F.when(F.col("step_words").__gt__(0) & (F.col("step") == F.col("_kept.step")), F.col("step_words")).otherwise(0)
+    runs = found.where(F.col("run") & ~kept).withColumn("_wide", F.greatest("n_words", same))
+    chain = Window.partitionBy("doc_id", "_kept.doc_id", F.col("first_word") - F.col("_kept.first_word")).orderBy("first_word")
+    until = F.lag(F.col("first_word") + F.col("_wide")).over(chain)
+    follows = F.lead("first_word").over(chain)
+    runs = tables.save(runs.withColumn("_end", F.coalesce(until < F.col("first_word"), F.lit(True))
+        | F.coalesce(follows > F.col("first_word") + F.col("_wide"), F.lit(True))))
+    ends = tables.save(runs.where("_end").select("doc_id", "id", "number", "first_word", "component_id", "n_copies", "_kept"))
+    both = ends.select("doc_id", "id").unionByName(ends.select(F.col("_kept.doc_id").alias("doc_id"), "id"))
+    fringes = tables.save(_fringes(docs, both))
+    ours = ends.join(fringes, ["doc_id", "first_word"])
+    places = ends.select("component_id", "n_copies", F.col("_kept.doc_id").alias("doc_id"), F.col("_kept.first_word").alias("first_word")).distinct()
+    theirs = places.join(fringes, ["doc_id", "first_word"]).select(
+        "component_id", "n_copies", F.col("before").alias("_before"), F.col("after").alias("_after")
+    )
+    sides = _alike(attach(ours.drop("n_copies"), tables.save(theirs), "component_id", "n_copies", total).where(F.col("_before").isNotNull()))
+    wide = runs.select("doc_id", "number", "component_id", "_kept", (F.col("_wide") - F.col("n_words")).alias("_more")).join(
+        sides.drop("component_id"), ["doc_id", "number"], "left"
+    )
+    wide = tables.save(wide.select(
+        "doc_id", "number", "_kept", F.coalesce("left", F.lit(0)).alias("left"),
+        F.greatest("_more", F.coalesce("right", F.lit(0))).alias("right"),
+    ))
+    first = wide.groupBy(F.col("_kept.doc_id").alias("doc_id"), F.col("_kept.number").alias("number")).agg(
+        F.max("left").alias("left"), F.max("right").alias("right")
+    )
+    found = found.join(wide.drop("_kept").unionByName(first), ["doc_id", "number"], "left")
+    left, right = F.coalesce("left", F.lit(0)), F.coalesce("right", F.lit(0))
+    return found.withColumn("n_words", F.col("n_words") + left + right).withColumn("first_word", F.col("first_word") - left)
+
+
 def repeated_passages(
     docs: DataFrame, tables: Workspace | None = None, bands: int = BANDS, rows: int = ROWS, per_cent: int = PER_CENT,
     miss: float = MISS, min_passage: int = MIN_PASSAGE,
@@ -157,20 +299,30 @@ def repeated_passages(
     sentence ends that their last word selects, so a passage put into another
     text falls into the same paragraphs there; those under 8 words aren't
     compared. Paragraphs are linked if their sets of five-word shingles have
-    100 * intersection >= per_cent * union (A-Z lower-cased). A component in two
-    or more documents keeps its first paragraph by doc_id and number; the others
-    are ``removed``. ``passage_words`` sums neighbouring repeated paragraphs;
-    passages under ``min_passage`` words are left out. doc_id must identify a
-    row; rows without one, and null and empty texts, have no paragraphs.
+    100 * intersection >= per_cent * union (A-Z lower-cased).
+
+    Besides, the least shingle in every WINDOW places is an anchor, and the
+    MIN_PASSAGE words from an anchor are a run, whatever lines and sentences they
+    stand in; equal runs are linked and widened to both sides as far as words
+    stay equal. Every passage of SURE words that repeats exactly, if SURE is not
+    lowered, holds a whole run. Runs are numbered after the paragraphs and may
+    overlap them and each other.
+
+    A component in two or more documents keeps its first paragraph or run by
+    doc_id and number; the others are ``removed``. ``passage_words`` counts the
+    words under neighbouring repeated paragraphs and runs; passages under
+    ``min_passage`` words are left out. doc_id must identify a row; rows without
+    one, and null and empty texts, have no paragraphs.
 
     Equal paragraphs share a 64-bit id and are compared once. Texts are read
-    twice; only bands and candidates are shuffled.
+    twice, and those with ends of runs once more; only bands, runs and candidates
+    are shuffled.
     """
     docs = require_columns(docs, ["doc_id", "text"]).where(F.col("doc_id").isNotNull())
     tables = tables or Workspace(docs.sparkSession, "passages")
     seen = tables.save(_occurrences(docs, bands, rows))
     apart = lambda x, i: F.shiftleft(i.cast("long"), 32) + x  # noqa: E731  bands don't share buckets
-    items = seen.select("id", F.transform("bands", apart).alias("buckets"))
+    items = seen.where(~F.col("run")).select("id", F.transform("bands", apart).alias("buckets"))
     details = lambda ids: _details(docs, ids, bands, rows)
     found = linked_components(items, details, bands, rows, per_cent, miss, tables)
     found = tables.save(found.select(F.col("node").alias("id"), "component"))
@@ -181,17 +333,23 @@ def repeated_passages(
     total, seen = max(1, seen.count()), seen.drop("bands")
     near = maybe_in(seen, "id", known, "_maybe").where("_maybe").drop("_maybe")
     placed = tables.save(attach(near, known, "id", "_n", total).where(F.col("component_id").isNotNull()).drop("_n"))
-    place = F.struct("doc_id", "number")
+    place = F.struct("doc_id", "number", "first_word", "step")
     groups = placed.groupBy("component_id").agg(
         F.count(F.lit(1)).alias("n_copies"), F.min(place).alias("_kept"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")
     ).where(F.col("_low") != F.col("_high")).select("component_id", "n_copies", "_kept")
     rows_ = attach(placed, tables.save(groups), "component_id", "n_copies", total).where(F.col("n_copies").isNotNull())
-    order = Window.partitionBy("doc_id").orderBy("number")
-    gap = F.col("first_word") - F.lag(F.col("first_word") + F.col("n_words")).over(order)
-    runs = rows_.withColumn("_new", F.coalesce((gap >= MIN_WORDS).cast("int"), F.lit(1)))
+    # A run that overlaps the kept one stays with it, as in a text that repeats one word.
+    apart_ = (F.col("doc_id") != F.col("_kept.doc_id")) | (F.col("first_word") - F.col("_kept.first_word") >= MIN_PASSAGE)
+    removed = F.when(F.col("run"), apart_).otherwise(F.struct("doc_id", "number") != F.struct("_kept.doc_id", "_kept.number"))
+    rows_ = _extended(docs, tables.save(rows_.withColumn("removed", removed)), total, tables)
+    order = Window.partitionBy("doc_id").orderBy("first_word", "number")
+    end = F.col("first_word") + F.col("n_words")
+    covered = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = rows_.withColumn("_new", F.coalesce((F.col("first_word") - covered >= MIN_WORDS).cast("int"), F.lit(1)))
+    runs = runs.withColumn("_fresh", F.greatest(F.lit(0), end - F.greatest("first_word", F.coalesce(covered, F.lit(0)))))
     runs = runs.withColumn("_run", F.sum("_new").over(order))
-    runs = runs.withColumn("passage_words", F.sum("n_words").over(Window.partitionBy("doc_id", "_run")))
+    runs = runs.withColumn("passage_words", F.sum("_fresh").over(Window.partitionBy("doc_id", "_run")))
     return runs.where(F.col("passage_words") >= min_passage).select(
         "doc_id", "number", "first_word", "n_words", "passage_words", "component_id", "n_copies",
-        F.col("_kept.doc_id").alias("keep_doc_id"), (F.struct("doc_id", "number") != F.col("_kept")).alias("removed"),
+        F.col("_kept.doc_id").alias("keep_doc_id"), "removed",
     )

@@ -196,3 +196,26 @@ def test_paragraphs_of_a_passage_are_the_same_wherever_it_stands():
     plain = set(paragraphs.Paragraphs(passage.encode()).ids.tolist())
     inside = set(paragraphs.Paragraphs(("before " * 7 + passage + " after" * 30).encode()).ids.tolist())
     assert len(plain & inside) >= len(plain) - 2 >= 1
+
+
+def test_every_exact_repeat_of_fifty_words_is_found(spark):
+    """Passages without sentence ends, set into other words, wrapped anew, and of one word."""
+    rng = random.Random(12)
+    word = lambda: f"u{rng.randrange(99999)}"
+    words = lambda n: [word() for _ in range(n)]
+    texts, spans = {}, {}
+    for i in range(60):
+        passage = words(50 + i % 3) if i else ["same"] * 50
+        for j in (0, 1):
+            before = words(rng.randrange(90))
+            spans[2 * i + j] = (len(before), len(passage))
+            body, size = before + passage + words(rng.randrange(90)), (7 if i % 2 else 1000) - j
+            texts[2 * i + j] = "\n".join(" ".join(body[a:a + size]) for a in range(0, len(body), size))
+    docs = spark.createDataFrame([*texts.items(), (1000, " ".join(words(300)))], "doc_id long, text string")
+    covered = {d: set() for d in texts}
+    for r in paragraphs.repeated_passages(docs).collect():
+        assert r["doc_id"] in covered and r["passage_words"] >= 50 and r["removed"] == (r["doc_id"] % 2 == 1 or r["doc_id"] == 0 and r["removed"])
+        covered[r["doc_id"]] |= set(range(r["first_word"], r["first_word"] + r["n_words"]))
+    # The whole passage is reported, with no more than the edges of paragraphs that are nearly equal.
+    for d, (a, n) in spans.items():
+        assert set(range(a, a + n)) <= covered[d] <= set(range(a - 12, a + n + 12))
