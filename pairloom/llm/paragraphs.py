@@ -43,6 +43,29 @@ def _least(marks: np.ndarray, window: int) -> np.ndarray:
     return (at + (((_LOW - (keys & _LOW)) - at) & _LOW)).astype(np.int64)
 
 
+def _joined(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Ends of pieces, with neighbouring pieces under MIN_WORDS words joined and cut anew where a word's mark is least.
+
+    Such a cut is the least of the MIN_WORDS - 1 words on both sides and not nearer
+    to the ends of the joined pieces, so all parts hold MIN_WORDS words and the
+    cuts depend on nothing but the words around them.
+    """
+    short = last - first < MIN_WORDS
+    inner = short & np.append(short[1:], False)
+    ends = last[~inner]
+    starts = np.concatenate((np.zeros(1, np.int64), ends[:-1]))
+    # Regions that hold several of the old pieces.
+    several = np.diff(np.searchsorted(last, ends, "right"), prepend=0) > 1
+    around = 2 * MIN_WORDS - 1
+    if len(marks) < around:
+        return ends
+    least = _least(marks, around)
+    cuts = np.flatnonzero(least == np.arange(len(least)) + MIN_WORDS - 1) + MIN_WORDS - 1
+    region = np.searchsorted(ends, cuts, "right")
+    far = several[region] & (cuts - starts[region] >= MIN_WORDS) & (ends[region] - cuts >= MIN_WORDS)
+    return np.union1d(ends, cuts[far])
+
+
 class Paragraphs:
     """The paragraphs of one text that are long enough: their first words, lengths and shingles.
 
@@ -61,6 +84,9 @@ class Paragraphs:
         last = np.unique(np.concatenate((np.flatnonzero(ends) + 1, np.array(lines, np.int64))))
         last = last[last > 0]
         first = np.concatenate((np.zeros(1, np.int64), last[:-1])) if len(last) else last
+        if len(last) and ((last - first)[1:] + (last - first)[:-1]).min(initial=2 * MIN_WORDS) < 2 * MIN_WORDS - 1:
+            last = _joined(marks, first, last)
+            first = np.concatenate((np.zeros(1, np.int64), last[:-1]))
         long = last - first >= MIN_WORDS
         self.number = np.flatnonzero(long)
         self.first, self.last = first[long], last[long]
@@ -297,8 +323,9 @@ def repeated_passages(
     keep_doc_id, removed: ``first_word`` numbers the words of the text, parted by
     ASCII blanks, from 0. Paragraphs end with a line, or within a line at
     sentence ends that their last word selects, so a passage put into another
-    text falls into the same paragraphs there; those under 8 words aren't
-    compared. Paragraphs are linked if their sets of five-word shingles have
+    text falls into the same paragraphs there. Neighbouring pieces under 8 words,
+    as of verse, lists or code, are joined and cut where the words say; a single
+    one between longer ones isn't compared. Paragraphs are linked if their sets of five-word shingles have
     100 * intersection >= per_cent * union (A-Z lower-cased).
 
     Besides, the least shingle in every WINDOW places is an anchor, and the

@@ -219,3 +219,19 @@ def test_every_exact_repeat_of_fifty_words_is_found(spark):
     # The whole passage is reported, with no more than the edges of paragraphs that are nearly equal.
     for d, (a, n) in spans.items():
         assert set(range(a, a + n)) <= covered[d] <= set(range(a - 12, a + n + 12))
+
+
+def test_short_lines_are_joined_to_paragraphs():
+    """Changed copies of verse: lines of 3 to 7 words between lines of their own."""
+    rng = random.Random(21)
+    line = lambda n: " ".join(f"z{rng.randrange(9999)}" for _ in range(n))
+    verse = [line(rng.randrange(3, 8)) for _ in range(40)]
+    wrapped = " ".join(verse).split()
+    wrapped = [" ".join(wrapped[i:i + 6]) for i in range(0, len(wrapped), 6)]
+    texts = ["\n".join([line(12), *some, line(20)]) for some in (verse, [line(4), *verse, line(5)], [*wrapped, line(5)])]
+    found = [paragraphs.Paragraphs(t.encode()) for t in texts]
+    for p in found:
+        assert (p.last - p.first >= 8).all() and sum(p.last - p.first) >= len(p.marks) - 7
+        assert len(set(p.ids.tolist()) & set(found[0].ids.tolist())) >= 7
+    alone = paragraphs.Paragraphs(("\n".join([line(9), "one two", line(9)])).encode())
+    assert (alone.last - alone.first).tolist() == [9, 9]
