@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import attach, bits60, maybe_in, require_columns, without_rows
+from pairloom.llm.common import attach, bits60, maybe_in, require_columns
 from pairloom.llm.extendible import split_buckets
 from pairloom.session import Workspace
 
@@ -75,6 +75,20 @@ def exact_groups(
 def drop_copies(docs: DataFrame, tables: Workspace | None = None) -> DataFrame:
     """``docs`` with all its columns, without the rows of equal texts that do not stay.
 
-    doc_id must identify a row; rows that share one are dropped together.
+    Exactly one row of each text stays, whatever the doc_ids: where several rows of a
+    text share its largest doc_id (or have none), one of them. Null is the empty text.
+    Only rows whose digest repeats are shuffled; the others stay where they are.
     """
-    return without_rows(docs, exact_groups(docs, tables).where(~F.col("kept")))
+    tables = tables or Workspace(docs.sparkSession, "exact")
+    found = tables.save(exact_groups(docs, tables).where(F.col("group_size") > 1).select("text_sha256").distinct())
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"),
+        F.sha2(text, 256).alias("_digest"),
+    ).withColumn("_key", bits60(F.col("_digest")))
+    keys = found.select(bits60(F.col("text_sha256")).alias("_key"))
+    flagged = maybe_in(rows, "_key", keys, "_maybe")
+    other = flagged.where(~F.col("_maybe")).select("_row")
+    # One row per digest on the map side first, so a text with a third of the rows is one row per task.
+    again = flagged.where("_maybe").groupBy("_digest").agg(F.max_by("_row", F.struct(F.col("_id").isNotNull(), "_id")).alias("_row"))
+    return other.unionByName(again.select("_row")).select("_row.*")

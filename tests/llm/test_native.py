@@ -156,3 +156,13 @@ def test_filters(spark):
     assert {r["_map"] for r in without_rows(docs, gone).collect()} == {"a", "b", "d"}
     flags = maybe_in(docs.drop("_map"), "doc_id", gone, "hit").collect()
     assert {r["doc_id"]: r["hit"] for r in flags} == {1: False, None: False, -5: True, 1 << 40: False}
+
+
+def test_copies_with_null_and_repeated_ids_are_dropped(spark):
+    """Copies that share an id or have none, and a unique text under the id of a copy."""
+    rows = [(1, "a")] * 40 + [(None, "a")] * 20 + [(2, "b"), (3, "b"), (2, "alone"), (None, "c"), (None, "c"), (None, "d"), (None, None), (None, ""), (5, "e")]
+    docs = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(4)
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    found = sorted([(r["doc_id"], r["text"] or "") for r in kept.collect()], key=str)
+    assert found == sorted([(1, "a"), (3, "b"), (2, "alone"), (None, "c"), (None, "d"), (None, ""), (5, "e")], key=str)
