@@ -26,10 +26,14 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, tables: Workspace | None
     bits and part. No rows give no rows. Only doc_id and text are read.
     """
     docs = require_columns(docs, ["doc_id", "text"])
-    tables = tables or Workspace(docs.sparkSession, "shard")
+    return _assigned(docs, limit, tables or Workspace(docs.sparkSession, "shard"))
+
+
+def _assigned(docs: DataFrame, limit: int, tables: Workspace, *carried: str) -> DataFrame:
+    """`assign_shards` of ``docs``, with the columns ``carried`` kept."""
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
     key = bits60(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    rows = tables.save(docs.select("doc_id", size.alias("n_bytes")).withColumn("key", key))
+    rows = tables.save(docs.select("doc_id", *carried, size.alias("n_bytes")).withColumn("key", key))
     entries = tables.save(rows.groupBy("key").agg(F.sum("n_bytes").alias("weight"), F.count(F.lit(1)).alias("copies")))
     placed = tables.save(split_buckets(entries, limit, tables).drop("weight"))
     total = rows.count()
@@ -45,7 +49,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, tables: Workspace | None
     shard_bytes = F.col("load")
     return parts.select(
         "doc_id", "n_bytes", F.col("depth").cast("int").alias("depth"), "prefix", "part", name.alias("shard"),
-        shard_bytes.alias("shard_bytes"),
+        shard_bytes.alias("shard_bytes"), *carried,
     )
 
 
@@ -72,12 +76,15 @@ def _parts(large: DataFrame, limit: int, tables: Workspace) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, tables: Workspace | None = None) -> None:
-    """Write ``docs`` with all its columns as one folder per shard below ``path``.
+    """Write ``docs`` with all its columns as one folder per shard and part below ``path``.
 
-    Rows that share a doc_id must fit one shard; ``assign_shards`` parts them otherwise.
+    Rows are numbered in a saved table and shards are joined back on the number,
+    so rows that share a doc_id (null included) may fill any number of parts.
     """
-    shards = assign_shards(docs, limit, tables).select("doc_id", "shard", "part").distinct()
-    if not shards.where(F.col("part") > 0).isEmpty():
-        raise ValueError("rows that share a doc_id exceed the limit")
-    placed = docs.join(shards.drop("part"), docs["doc_id"].eqNullSafe(shards["doc_id"])).drop(shards["doc_id"])
+    tables = tables or Workspace(docs.sparkSession, "shard")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = tables.save(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_at")))
+    ids = numbered.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), "_at")
+    shards = _assigned(ids, limit, tables, "_at").select("_at", "shard")
+    placed = numbered.join(shards, "_at").select("_row.*", "shard")
     placed.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -166,3 +166,16 @@ def test_copies_with_null_and_repeated_ids_are_dropped(spark):
     assert kept.columns == docs.columns
     found = sorted([(r["doc_id"], r["text"] or "") for r in kept.collect()], key=str)
     assert found == sorted([(1, "a"), (3, "b"), (2, "alone"), (None, "c"), (None, "d"), (None, ""), (5, "e")], key=str)
+
+
+def test_write_shards_of_repeated_and_null_ids(spark, tmp_path):
+    rows = [(7, "y" * 84, n) for n in range(40)] + [(None, None, n) for n in range(90)] + [(8, "z" * 5000, 0), (9, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    sharding.write_shards(docs, str(tmp_path / "s"), 1000)
+    again = spark.read.parquet(str(tmp_path / "s")).collect()
+    assert Counter((r["doc_id"], r["text"], r["n"]) for r in again) == Counter(rows)
+    sizes, holds = Counter(), Counter()
+    for r in again:
+        sizes[r["shard"]] += len(r["text"] or "") + 16
+        holds[r["shard"]] += 1
+    assert all(size <= 1000 or holds[s] == 1 for s, size in sizes.items())
