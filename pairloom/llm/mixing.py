@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import BITS_PER_ROUND, WORD, bits60, require_columns
+from pairloom.llm.common import BITS_PER_ROUND, WORD, attach, bits60, require_columns
 from pairloom.session import Workspace
 
 BITS = 60
-# More sources than this are joined by a shuffle with spread keys, not by a broadcast.
+# More sources than this are joined by a shuffle with hot sources kept out of it, not by a broadcast.
 FEW_SOURCES = 100_000
 
 
@@ -75,11 +75,22 @@ def mix(
     """
     tables = tables or Workspace(docs.sparkSession, "mix")
     rows, plan = _plan(require_columns(docs, ["doc_id", "text", "source"]), weights, share, most, tables)
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("repeats", _repeats()).select(
+    return _planned(rows, plan).withColumn("repeats", _repeats()).select(
         "doc_id", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken")
     )
 
 
+def _planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with the plan of their source; without a broadcast, hot sources aren't shuffled on."""
+    if "_rows" not in plan.columns:
+        return rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    # A null source is a key of its own.
+    safe = lambda c: F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("null"))
+    total = plan.agg(F.sum("_rows")).first()[0] or 0
+    named = plan.withColumn("_key", safe("_source")).drop("_source")
+    return attach(rows.withColumn("_key", safe("source")), named, "_key", "_rows", total).drop("_key", "_rows")
+
+
 def _repeats() -> Column:
     return F.col("whole") + (F.col("spot") < F.col("below")).cast("long")
 
@@ -98,7 +109,10 @@ def _plan(
     plan = thresholds(rows, sources, few, tables).select(
         F.col("source").alias("_source"), "source_size", "target", "whole", "below"
     )
-    return rows, F.broadcast(plan) if few else plan
+    if few:
+        return rows, F.broadcast(plan)
+    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("_rows"))
+    return rows, tables.save(plan.join(counts, F.col("source").eqNullSafe(F.col("_source"))).drop("source"))
 
 
 def _spot(depth: int) -> Column:
@@ -156,6 +170,6 @@ def mixed(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").alias("source"),
         hash_spot(F.col("doc_id")).alias("spot"),
     )
-    taken = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_times", _repeats().cast("int"))
+    taken = _planned(rows, plan).withColumn("_times", _repeats().cast("int"))
     again = taken.where(F.col("_times") > 0).select("_row", F.explode(F.expr("sequence(1, _times)")).alias("_time"))
     return again.select("_row.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import compare
 from pairloom.llm import exact_dedup, mixing, sharding
-from pairloom.llm.common import maybe_in, without_rows
+from pairloom.llm.common import attach, maybe_in, without_rows
 from pairloom.llm.extendible import split_buckets
 from pairloom.session import Workspace
 
@@ -179,3 +179,15 @@ def test_write_shards_of_repeated_and_null_ids(spark, tmp_path):
         sizes[r["shard"]] += len(r["text"] or "") + 16
         holds[r["shard"]] += 1
     assert all(size <= 1000 or holds[s] == 1 for s, size in sizes.items())
+
+
+def test_a_hot_source_is_spread_without_a_broadcast(spark, monkeypatch):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("w w").alias("text"),
+        F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 == 1, "hot")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string"))).alias("source"),
+    )
+    plain = sorted((r["doc_id"], r["source"] or "") for r in mixing.mixed(docs).collect())
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 1)
+    monkeypatch.setattr(mixing, "attach", lambda *a: calls.append(a[3]) or attach(*a))
+    calls = []
+    assert sorted((r["doc_id"], r["source"] or "") for r in mixing.mixed(docs).collect()) == plain and calls == ["_rows"]
