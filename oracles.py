@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-
 from fixtures import SEGMENT, TENANT, COMPETITORS, with_fixtures
+from pairloom.functions.text import ENGLISH_STOP_WORDS
 
 COMP_B = ", ".join(f"'{c}<>{c}'" for c in COMPETITORS)
 COMP_U = ", ".join(f"'{c}_{c}'" for c in COMPETITORS)
@@ -322,10 +318,8 @@ STOP = "'old', 'the', 'of'"
 
 
 def english() -> str:
-    """The stop words that ship with Spark ML, as a SQL list."""
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    words = zipfile.ZipFile(jar).read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+    """The default stop words as a SQL list."""
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
 
 
 UUID_BASE = "concat_ws('<>', base_sku, replace(base_source_store, '_', '<>'))"

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Maximal runs of at least two letters, digits or underscores, in any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
+# The English stop words of Spark ML, the default of the similarity scores.
+ENGLISH_STOP_WORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -43,16 +56,9 @@ def upc_overlap(base: Column, *others: Column) -> Column:
     return result
 
 
-def english_stop_words(spark: SparkSession) -> list[str]:
-    """The list that ships with Spark ML; every tokeniser here also takes your own."""
-    from pyspark.ml.feature import StopWordsRemover
-
-    return sorted(w for w in StopWordsRemover.loadDefaultStopWords("english") if w)
-
-
-def stop_words_or_english(spark: SparkSession, words: Sequence[str] | None) -> list[str]:
+def stop_words_or_english(words: Sequence[str] | None) -> list[str]:
     """``words``, or the English list for None."""
-    return english_stop_words(spark) if words is None else list(words)
+    return list(ENGLISH_STOP_WORDS if words is None else words)
 
 
 def letter_tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:

@@ -103,7 +103,7 @@ def tfidf_scorer(
     ``stop_words`` None stands for the English list.
     """
     def score(pairs: DataFrame) -> DataFrame:
-        titles, left_out = distinct_titles(pairs), X.stop_words_or_english(pairs.sparkSession, stop_words)
+        titles, left_out = distinct_titles(pairs), X.stop_words_or_english(stop_words)
         if lemmas is None:
             _, vectors = tfidf.fit_transform(titles, "title", title_terms(left_out, grams), max_features)
         else:

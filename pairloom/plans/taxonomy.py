@@ -72,7 +72,7 @@ def _texts(*sides: DataFrame) -> DataFrame:
 
 def _vectors(texts: DataFrame, fit_texts: DataFrame, embeddings: Embeddings, c: MappingConfig) -> DataFrame:
     """(text, embedding, ids, weights); the TF-IDF vocabulary comes from ``fit_texts``."""
-    stop_words = X.stop_words_or_english(texts.sparkSession, c.stop_words)
+    stop_words = X.stop_words_or_english(c.stop_words)
     if c.lemmas is None:
         def counts_of(df: DataFrame) -> DataFrame:
             return tfidf.term_counts(df, "title", scorers.title_terms(stop_words))

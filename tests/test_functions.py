@@ -76,7 +76,9 @@ def test_tokens_and_ngrams(spark):
     assert column(spark, ["Über a b2 x_y 'é"], X.word_tokens) == [["über", "b2", "x_y"]]
     assert column(spark, ["a b c", "a", ""], lambda c: X.ngrams(X.letter_tokens(c))) == [["a", "b", "c", "a b", "b c"], ["a"], []]
     assert column(spark, ["a b c d"], lambda c: X.ngrams(X.letter_tokens(c), 2, 3)) == [["a b", "b c", "c d", "a b c", "b c d"]]
-    assert "the" in X.english_stop_words(spark)
+    words = X.stop_words_or_english(None)
+    assert len(words) == len(set(words)) == 181 and words[0] == "i" and words[-1] == "would" and "isn't" in words
+    assert X.stop_words_or_english(["a"]) == ["a"]
 
 
 def test_texts(spark):

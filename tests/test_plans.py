@@ -198,16 +198,22 @@ def test_incremental_scores_nothing_for_an_unchanged_input(spark, monkeypatch):
 
 
 def test_incremental_drops_retailers_and_vanished_nodes(spark):
-    base, comp, vectors = nodes(spark)
+    levels = "category string, subcategory string, sub_subcategory string"
+    base = spark.createDataFrame([("SMALL", "toys", None), ("PROMO", "toys", None), ("PROMO", "food", "raw")], levels)
+    comp = spark.createDataFrame([("asia", "toys", "balls", None), ("asia", "food", "raw", "x"), ("europe", "toys", None, None)], f"retailer string, {levels}")
+    texts = taxonomy._texts(taxonomy._named(base, "base"), taxonomy._named(comp, "comp"))
+    # Alike enough that every pair passes.
+    vectors = texts.select("title", F.array(F.lit(1.0), F.length("title") / 100).cast("array<float>").alias("embedding"))
     full = taxonomy.map_taxonomy(base, comp, vectors, W.MAPPING)
+    assert full.where("base_category = 'SMALL' and retailer = 'asia'").count() == 2
     run = lambda b, **kw: taxonomy.map_taxonomy_incremental(
         b, comp.where("retailer = 'asia'"), full, ["asia"], vectors, replace(W.MAPPING, fit_on="all", **kw))
     assert {r[0] for r in run(base).select("retailer").distinct().collect()} == {"asia"}
     fewer = base.where("category <> 'SMALL'")
     assert run(fewer).where("base_category = 'SMALL'").count() > 0
     assert run(fewer, prune_vanished=True).where("base_category = 'SMALL'").count() == 0
-    high = taxonomy.map_taxonomy_incremental(base, comp, full, ["asia"], vectors, replace(W.MAPPING, threshold=0.6))
-    assert high.where("combined_score < 0.6").count() == 0
+    high = taxonomy.map_taxonomy_incremental(base, comp, full, ["asia"], vectors, replace(W.MAPPING, threshold=0.75))
+    assert high.where("combined_score < 0.75").count() == 0 and full.where("combined_score < 0.75").count() > 0
     with pytest.raises(ValueError):
         taxonomy.map_taxonomy_incremental(base, comp, full, ["asia"], vectors, replace(W.MAPPING, fit_on="old"))
 
