@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
-    exact_dedup, mixing, near_dedup, nearest, paragraphs, quality, sharding, tokens, toxicity, url_filter,
+    embedding_links, exact_dedup, hard_negatives, mixing, near_dedup, nearest, paragraphs, quality, sharding, tokens, toxicity,
+    url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +176,57 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_embedding_dedup"] = """
+with recursive vectors as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), sized as (
+  select *, sqrt(list_inner_product(v, v)) as size from vectors
+), pairs as (
+  select a.vec_id as a, b.vec_id as b from sized a join sized b on a.label = b.label and a.vec_id <> b.vec_id
+  where a.size > 0 and b.size > 0 and list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.93
+), reach(node, least) as (
+  select vec_id, vec_id from embeddings
+  union select p.b, r.least from reach r join pairs p on p.a = r.node where r.least < p.b
+), components as (
+  select node, min(least) as component_id from reach group by node
+)
+select e.vec_id, (select count(*) from pairs p where p.a = e.vec_id) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e join components c on c.node = e.vec_id
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from vectors a join vectors b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by anchor_id order by score desc, vec_id)::int as positive_rank
+  from scored where same qualify positive_rank <= 5
+)
+select p.*, row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id)::int as rank,
+       n.vec_id as negative_id, n.score as negative_score
+from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+where 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+qualify rank <= 3
+"""
