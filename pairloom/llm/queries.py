@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions.text import bound
 from pairloom.llm import (
-    embedding_links, exact_dedup, hard_negatives, mixing, near_dedup, nearest, paragraphs, quality, sharding, tokens, toxicity,
-    url_filter,
+    embedding_links, exact_dedup, hard_negatives, mixing, near_dedup, nearest, paragraphs, periodic, quality, sharding, tokens,
+    toxicity, url_filter,
 )
+from pairloom.llm.common import WORD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,3 +232,82 @@ from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
 where 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
 qualify rank <= 3
 """
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth document repeats itself from some word on, by a hash of its doc_id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        period = F.lit(1) + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        at = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, period))
+        return F.array_join(F.transform(words, lambda w, i: F.get(words, at(i.cast("long")))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    planted = bound(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))
+    return docs.withColumn("text", F.when(h % 10 == 0, planted).otherwise(F.col("text")))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # The longest run; of those the first, then the one with the smallest period.
+    best = F.get(F.array_sort("runs", lambda x, y: F.when(
+        x["length"] != y["length"], F.when(x["length"] > y["length"], -1).otherwise(1)
+    ).otherwise(F.when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1)).otherwise(
+        F.when(x["period"] < y["period"], -1).otherwise(1)
+    ))), 0)
+    line = lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    longest = found.withColumn("best", best)
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+ORACLES["op11_periodic_runs"] = r"""
+with hashed as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as original,
+         xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+           lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+             lambda x, z: xor(x >> 1, (x & 1) * 3988292384::bigint))), 4294967295::bigint) as h
+  from documents
+), planned as (
+  select doc_id, original, len(original) as n, h % 10 = 0 and len(original) > 0 as moved, h // 10 as g from hashed
+), placed as (
+  select *, case when moved then g % n end as a, case when moved then 1 + (n - g % n) // (3 + g % 8) end as p from planned
+), texts as (
+  select doc_id, n, case when moved
+    then list_transform(range(0, n), lambda i: original[(case when i < a then i else a + (i - a) % p end) + 1]) else original end as words
+  from placed
+), word_rows as (
+  select doc_id, unnest(range(0, n)) as i, unnest(words) as w from texts
+), matches as (
+  select x.doc_id, x.i, y.i - x.i as period from word_rows x join word_rows y on x.doc_id = y.doc_id and x.w = y.w and y.i > x.i
+  join texts t on t.doc_id = x.doc_id where 2 * (y.i - x.i) <= t.n
+), islands as (
+  select doc_id, period, i, i - row_number() over (partition by doc_id, period order by i) as island from matches
+), stretches as (
+  select doc_id, period, min(i) as start, max(i) + 1 - min(i) + period as length from islands group by doc_id, period, island
+), runs as (
+  select doc_id, start, length, min(period) as period from stretches
+  where length >= 12 and length >= 2 * period group by all
+), best as (
+  select * from runs qualify row_number() over (partition by doc_id order by length desc, start, period) = 1
+), listed as (
+  select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as text
+  from runs group by doc_id
+), kept as (
+  select w.doc_id, string_agg(w.w, ' ' order by w.i) as text from word_rows w
+  where not exists (select 1 from runs r where r.doc_id = w.doc_id and w.i >= r.start + r.period and w.i < r.start + r.length)
+  group by w.doc_id
+)
+select t.doc_id, coalesce(n_runs, 0)::bigint as n_runs, b.start::bigint as start, b.length::bigint as length,
+       b.period::bigint as period, (1000 * b.length // b.period)::bigint as exponent_milli,
+       sha256(coalesce(l.text, '')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+from texts t left join listed l on l.doc_id = t.doc_id left join best b on b.doc_id = t.doc_id left join kept k on k.doc_id = t.doc_id
+"""
