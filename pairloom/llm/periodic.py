@@ -34,6 +34,7 @@ class Octave(NamedTuple):
     p words later. So it holds a border (a multiple of ``stride``) with ``block``
     such places from it on, and around a border it is followed for ``reach``
     places either way, which is beyond the next border and long enough to tell a run.
+    The first border of a stretch, which finds its beginning, follows it to its end.
     """
 
     least: int
@@ -82,8 +83,8 @@ def tiles(document: int, words: np.ndarray, octave: Octave, tile_words: int = TI
 
 def word_numbers(words: list[bytes]) -> np.ndarray:
     """The same number for equal words, in order of appearance."""
-    seen: dict[bytes, int] = {}
-    return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int32, len(words))
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
 
 
 def z_function(text: list[int]) -> np.ndarray:
@@ -114,8 +115,8 @@ def _blocks(words: np.ndarray, size: int) -> np.ndarray:
     return x
 
 
-def _same_blocks(words: np.ndarray, borders: np.ndarray, ends: np.ndarray, octave: Octave) -> Iterator[tuple[int, np.ndarray]]:
-    """Index of each border whose block comes again at a period of the octave, with those periods."""
+def _same_blocks(words: np.ndarray, borders: np.ndarray, ends: np.ndarray, octave: Octave) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes of borders whose block comes again at a period of the octave, with that period, by border."""
     least, size = octave.least, octave.block
     hashes = np.concatenate((_blocks(words, size), np.zeros(2 * least, np.uint64)))
     further = np.lib.stride_tricks.sliding_window_view(hashes, least)
@@ -125,22 +126,28 @@ def _same_blocks(words: np.ndarray, borders: np.ndarray, ends: np.ndarray, octav
         inside = np.arange(least)[None, :] <= (ends[at:at + step] - size - c - least)[:, None]
         i, j = np.nonzero((further[c + least] == hashes[c][:, None]) & inside)
         if len(i):
-            found, starts = np.unique(i, return_index=True)
-            for border, periods in zip(found.tolist(), np.split(j + least, starts[1:]), strict=True):
-                yield at + border, periods
+            yield at + i, j + least
 
 
-def _agree(words: np.ndarray, c: int, p: int, octave: Octave, end: int, begin: int) -> int:
-    """Places around border ``c`` whose word comes again ``p`` words later, ``reach`` either way."""
-    there = words[c:min(c + octave.reach, end - p)] != words[c + p:min(c + p + octave.reach, end)]
-    back = max(begin, c - octave.reach)
-    here = (words[back:c] != words[back + p:c + p])[::-1]
-    ahead = int(there.argmax()) if there.any() else len(there)
-    return ahead + (int(here.argmax()) if here.any() else len(here))
+def _agree(words: np.ndarray, c: np.ndarray, p: np.ndarray, begin: np.ndarray, end: np.ndarray, reach: int) -> np.ndarray:
+    """Places around each border ``c`` whose word comes again ``p`` words later, up to ``reach`` either way."""
+    out = np.zeros(len(c), np.int64)
+    steps, size = np.arange(reach), max(1, AT_ONCE // reach)
+    for at in range(0, len(c), size):
+        part = slice(at, at + size)
+        for places in (c[part, None] + steps, c[part, None] - 1 - steps):
+            further = places + p[part, None]
+            inside = (places >= begin[part, None]) & (further < end[part, None])
+            differs = (words[np.where(inside, places, 0)] != words[np.where(inside, further, 0)]) | ~inside
+            out[part] += np.where(differs.any(axis=1), differs.argmax(axis=1), reach)
+    return out
 
 
-def _around(words: np.ndarray, c: int, periods: np.ndarray, octave: Octave, begin: int, end: int) -> Iterator[tuple[int, int, int]]:
-    """(period, low, high) of the stretches around border ``c``, by Z-functions from the border both ways."""
+def _around(words: np.ndarray, c: int, periods: np.ndarray, octave: Octave, begin: int, end: int) -> Iterator[tuple[int, int, int, bool]]:
+    """(period, low, high, primitive) of the stretches around border ``c``, by Z-functions from the border both ways.
+
+    A period that a shorter one divides isn't primitive: its run belongs to that one.
+    """
     reach, least = octave.reach, octave.least
     after = z_function(words[c:min(end, c + 2 * least + reach)].tolist())
     ahead = np.minimum(after[periods], reach)
@@ -152,23 +159,35 @@ def _around(words: np.ndarray, c: int, periods: np.ndarray, octave: Octave, begi
     good = ahead + ago >= np.maximum(periods, LEAST_WORDS - periods)
     if not good.any():
         return
-    # Periods whose words from the border on have a period that divides them: their runs belong to it.
     divided = np.zeros(2 * least + 1, bool)
     reached = after[:least + 1] + np.arange(min(len(after), least + 1))
     for q in range(1, len(reached)):
         if reached[q] >= 2 * q and not divided[q]:
             divided[2 * q:min(int(reached[q]), 2 * least) + 1:q] = True
     for p, b, f in zip(periods[good].tolist(), ago[good].tolist(), ahead[good].tolist(), strict=True):
-        if not divided[p]:
-            yield p, c - b, c + f
+        yield p, c - b, c + f, not divided[p]
+
 
+def _end(words: np.ndarray, c: int, p: int, end: int) -> int:
+    """The first place from ``c`` on whose word doesn't come again ``p`` words later."""
+    step = 256
+    while c + p < end:
+        until = min(c + step, end - p)
+        differs = words[c:until] != words[c + p:until + p]
+        if differs.any():
+            return c + int(differs.argmax())
+        c, step = until, 2 * step
+    return c
 
-def solve(some: list[Tile], octave: Octave) -> np.ndarray:
+
+def solve(some: list[Tile], octave: Octave, regular: dict[int, list[tuple[int, int]]] | None = None) -> np.ndarray:
     """Rows (document, period, low, high) of the tiles, in words of the document.
 
     From ``low`` to below ``high`` each word comes again a period later. A row is
-    part of such a stretch, cut off at ``reach`` from the border that found it;
-    parts of one stretch overlap or touch. Parts within a tile are joined here.
+    such a stretch as far as its tile holds it; parts of one stretch overlap or
+    touch. ``regular`` names stretches of words (first, after the last) of the
+    documents that have a period of at most a block: what comes again within one
+    belongs to that period, so it isn't looked at again.
     """
     if not some:
         return np.zeros((0, 4), np.int64)
@@ -179,16 +198,38 @@ def solve(some: list[Tile], octave: Octave) -> np.ndarray:
     own = [np.arange(f, t.high, octave.stride) - t.first + o for f, t, o in zip(firsts, some, offsets.tolist(), strict=True)]
     borders, of = np.concatenate(own), np.repeat(np.arange(len(some)), [len(b) for b in own])
     ends, begins = (offsets + sizes)[of], offsets[of]
-    rows = []
+    until = np.zeros(len(words), np.int64)
+    for t, o in zip(some, offsets.tolist(), strict=True):
+        for low, high in (regular or {}).get(t.document, ()):
+            low, high = max(0, low - t.first), min(len(t.words), high - t.first)
+            if low < high:
+                until[o + low:o + high] = np.maximum(until[o + low:o + high], o + high)
+    rows, now, reached = [], -1, {}
     for at, periods in _same_blocks(words, borders, ends, octave):
-        c, begin, end = int(borders[at]), int(begins[at]), int(ends[at])
-        if len(periods) <= FEW:
-            need = np.maximum(periods, LEAST_WORDS - periods).tolist()
-            if not any(_agree(words, c, p, octave, end, begin) >= n for p, n in zip(periods.tolist(), need, strict=True)):
+        fresh = borders[at] + periods + octave.block > until[borders[at]]
+        at, periods = at[fresh], periods[fresh]
+        # Where few periods are named, most are of blocks that come again by chance: those are ruled out together.
+        found, starts, counts = np.unique(at, return_index=True, return_counts=True)
+        maybe = np.repeat(counts > FEW, counts)
+        few = np.flatnonzero(~maybe)
+        c, p = borders[at[few]], periods[few]
+        maybe[few] = _agree(words, c, p, begins[at[few]], ends[at[few]], octave.reach) >= np.maximum(p, LEAST_WORDS - p)
+        for border, start, count in zip(found.tolist(), starts.tolist(), counts.tolist(), strict=True):
+            named = periods[start:start + count][maybe[start:start + count]]
+            if not len(named):
+                continue
+            c, begin, end = int(borders[border]), int(begins[border]), int(ends[border])
+            if of[border] != now:
+                now, reached = of[border], {}
+            # A stretch that an earlier border followed to its end isn't followed again.
+            named = named[[reached.get(p, -1) <= c for p in named.tolist()]]
+            if not len(named):
                 continue
-        tile = some[of[at]]
-        move = tile.first - begin
-        rows += [(tile.document, p, low + move, high + move) for p, low, high in _around(words, c, periods, octave, begin, end)]
+            tile = some[now]
+            for p, low, high, primitive in _around(words, c, named, octave, begin, end):
+                reached[p] = high = _end(words, high, p, end)
+                if primitive:
+                    rows.append((tile.document, p, low + tile.first - begin, high + tile.first - begin))
     return joined(np.array(rows, np.int64).reshape(-1, 4))
 
 
@@ -206,8 +247,14 @@ def joined(rows: np.ndarray) -> np.ndarray:
 
 
 def _solved(groups: dict[int, list[Tile]], marks: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    for least, some in groups.items():
-        rows = solve(some, Octave(least))
+    """Fragments of the tiles of each octave, the shortest periods first."""
+    every = np.zeros((0, 4), np.int64)
+    for least, some in sorted(groups.items()):
+        octave, regular = Octave(least), {}
+        for document, period, low, high in every[every[:, 1] <= octave.block].tolist():
+            regular.setdefault(document, []).append((low, high + period))
+        rows = solve(some, octave, regular)
+        every = np.concatenate((every, rows))
         own = [marks[d] for d in rows[:, 0].tolist()]
         yield pa.record_batch({
             "mark": pa.array([m[0] for m in own], pa.int64()), "mark2": pa.array([m[1] for m in own], pa.int64()),

@@ -34,9 +34,15 @@ def plain_collapsed(words, runs):
     return " ".join(w for i, w in enumerate(words) if i not in gone)
 
 
-def solved(words, tile_words):
+def solved(words, tile_words, together):
+    """Runs from the tiles of every octave, alone or with what shorter periods explain left out."""
     numbers = np.array(words, np.int32)
-    parts = [periodic.solve([t], o) for o in periodic.octaves(len(words)) for t in periodic.tiles(0, numbers, o, tile_words)]
+    groups = {o.least: list(periodic.tiles(0, numbers, o, tile_words)) for o in periodic.octaves(len(words))}
+    if together:
+        parts = [b.to_pandas() for b in periodic._solved(groups, [(1, 2)])]
+        parts = [p[["mark", "period", "low", "high"]].to_numpy() for p in parts]
+    else:
+        parts = [periodic.solve([t], periodic.Octave(least)) for least, some in groups.items() for t in some]
     rows = periodic.joined(np.concatenate(parts)) if parts else np.zeros((0, 4), np.int64)
     runs = [(low, high - low + p, p) for _, p, low, high in rows.tolist() if high - low + p >= max(12, 2 * p)]
     return sorted(runs, key=lambda r: (r[0], r[2]))
@@ -46,12 +52,12 @@ def solved(words, tile_words):
 @given(st.lists(st.integers(0, 2), max_size=90), st.integers(1, 40), st.integers(0, 60), st.sampled_from([8, 16, 64, 4096]))
 def test_tiles_give_every_run(words, period, repeated, tile_words):
     words = words + [words[-period:][i % min(period, len(words))] for i in range(repeated)] if words else words
-    assert solved(words, tile_words) == plain_runs(words)
+    assert solved(words, tile_words, True) == solved(words, tile_words, False) == plain_runs(words)
 
 
 @pytest.mark.parametrize("words", [[0] * 500, [0, 1] * 300, list(range(40)) * 9 + [0] * 40, [0] * 11, [0] * 12, list(range(6)) * 2])
 def test_regular_texts(words):
-    assert solved(words, 16) == solved(words, 4096) == plain_runs(words)
+    assert solved(words, 16, True) == solved(words, 4096, True) == solved(words, 16, False) == plain_runs(words)
 
 
 def odd_texts():
