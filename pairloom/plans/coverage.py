@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import skew
-from ..operators.relational import first_row
+from ..operators.fold import Source, fold, newest_row, taken
+from ..session import Workspace
 from . import signals as S
 
 PAIR = ["base_sku", "comp_sku", "comp_source_store"]
@@ -68,62 +69,116 @@ def coverage_report(
 ) -> DataFrame:
     """One row per (base_sku, comp_sku, comp_source_store) with 62 columns.
 
-    Every source is cut to one row per join key before it is joined, so no join
-    multiplies rows. The spine is shuffled once for all eight pair-level
-    sources, once for the three competitor-product sources and once per base
-    key; base or competitor products that occur in a large share of the pairs
-    are spread over many tasks.
+    The sources are read once each and folded under three sets of keys: pairs
+    (together with the spine), products of a store, and base products. A fold is
+    one shuffle, cut to one row per key and task before it. The spine is then
+    joined once to the products and once to the base products, where a product
+    that occurs in a large share of the pairs is spread over many tasks.
     """
-    s, names = sources, list(competitors)
-    rows = S.spine(pairs, strict)
-    raw = S.folded(pairs, strict)
-    hot_base, hot_comp = skew.hot_key_sets(raw, [["base_sku"], PRODUCT], hot_parts)
-
-    def model(table: DataFrame, label: str) -> DataFrame:
-        found = S.model_signal(table, tenant, names, segment, strict)
-        best = [F.col("model_score").desc_nulls_last()]
-        return first_row(found, PAIR, best).select(
-            *PAIR,
-            F.col("model_score").alias(f"csf_{label}_score"),
-            F.col("first_sugg_date").alias(f"csf_{label}_first_sugg_date"),
-        )
-
+    s, names, tables = sources, list(competitors), Workspace(pairs.sparkSession, "coverage")
     by_pair = [
-        first_row(S.review_signal(s.reviews, tenant, names, segment, strict).drop("score", "match_date"), PAIR),
-        first_row(S.library_signal(s.library, tenant, names, load_date, strict)
-             .drop("base_upc", "comp_upc", "match_date"), PAIR),
-        model(s.generic_pairs, "generic"),
-        model(s.semantic_pairs, "semantic"),
-        model(s.precision_pairs, "precision"),
-        S.queue_signal(s.queue, tenant, segment, strict),
-        first_row(S.upc_signal(s.upc_matches, tenant, names, segment, strict), PAIR),
-        first_row(S.mpn_signal(s.mpn_matches, tenant, names, segment, strict), PAIR),
+        Source("spine", S.folded(pairs, strict).withColumn("_present", F.lit(True)), null_keys=True,
+               totals={"_present": (F.max, "_present"), "base_source_store": (F.min, "base_source_store")}),
+        *_pair_sources(s, tenant, segment, names, load_date, strict),
     ]
-    for signal in by_pair:
-        rows = rows.join(signal, PAIR, "left")
-
-    inputs = S.input_signal(s.precision_input, s.generic_input, tenant, names, segment, strict).drop("upc")
-    comp_inputs = inputs.select(
-        F.col("sku").alias("comp_sku"), F.col("source_store").alias("comp_source_store"),
-        F.col("title").alias("comp_title_csf_ml_input"), F.col("capture_date").alias("comp_capture_date_csf"),
-        F.lit(True).alias("comp_sku_is_present_in_csf_ml_input"),
+    known = tables.save(fold(PAIR, by_pair))
+    rows = known.where("_present").select(*PAIR, *[c.alias(n) for x in by_pair for n, c in taken(known, x).items()])
+    products = _products(s, tenant, segment, names, S.crawl_years(run_date, years), strict, tables)
+    catalog = Source("catalog", S.catalog_rows(s.catalog, tenant), S.CATALOG_FIELDS, version=F.col("_version"), when=F.col("_live"))
+    base = _base_products(products, catalog, tables)
+
+    hot_base, hot_comp = skew.hot_key_sets(rows, [["base_sku"], PRODUCT], hot_parts)
+    sold = products.select(
+        F.col("sku").alias("comp_sku"), F.col("source_store").alias("comp_source_store"), "crawl", "warehouse", "input"
     )
-    base_inputs = inputs.select(
-        F.col("sku").alias("base_sku"), F.col("source_store").alias("base_source_store"),
-        F.col("title").alias("base_title_csf_ml_input"), F.col("capture_date").alias("base_capture_date_csf"),
-        F.lit(True).alias("base_sku_is_present_in_csf_ml_input"),
+    rows = skew.join_spread(rows, sold, PRODUCT, "left", hot_comp, PAIR).withColumnRenamed("input", "comp_input")
+    rows = skew.join_spread(rows, base, ["base_sku"], "left", hot_base, PAIR)
+
+    def of_store(store: str, what: str) -> Column:
+        return F.get(F.filter("stores", lambda x: x["source_store"] == F.col(store)), 0)[what]
+
+    rows = rows.withColumns({"base_input": of_store("base_source_store", "input"), "request": of_store("comp_source_store", "request")})
+    return _finish(rows.withColumns({
+        "dc_upc": F.col("crawl.dc_upc"), "comp_sku_first_date": F.col("crawl.comp_sku_first_date"), "sku_in_dc": F.col("crawl").isNotNull(),
+        **{c: F.col(f"warehouse.{c}") for c in WAREHOUSE_FIELDS}, "sku_in_pdp": F.col("warehouse").isNotNull(),
+        **{c: F.col(f"request.{c}") for c in REQUEST_FIELDS},
+        **{f"{side}_{name}": F.col(f"{side}_input.{c}") for side in ("base", "comp")
+           for name, c in (("title_csf_ml_input", "title"), ("capture_date_csf", "capture_date"))},
+        **{f"{side}_sku_is_present_in_csf_ml_input": F.col(f"{side}_input").isNotNull() for side in ("base", "comp")},
+    }))
+
+
+STORED = ["sku", "source_store"]
+WAREHOUSE_FIELDS = ["comp_title", "pdp_upc", "pdp_mpn", "pdp_date"]
+REQUEST_FIELDS = ["afm_request_key", "afm_search_type", "afm_search_key_type", "afm_search_key"]
+MODELS = ["generic", "semantic", "precision"]
+
+
+def _pair_sources(
+    s: CoverageSources, tenant: str, segment: str, names: list[str], load_date: str | None, strict: bool
+) -> list[Source]:
+    """The sources that know pairs."""
+    library = S.library_rows(s.library, tenant, names, strict)
+    if load_date is not None:
+        library = library.where(F.col("_version") == load_date)
+    entry = ["matcher_comments", "is_present_in_match_library", "is_deleted_in_match_library", "last_deleted_date", "match_library_inserted_date"]
+    found = [
+        Source("review", S.review_signal(s.reviews, tenant, names, segment, strict), ["inserted_date", "answer", "fl_queue_name"]),
+        Source("library", library, entry, version=F.col("_version"), when=F.col("_in")),
+        Source("queue", S.queue_signal(s.queue, tenant, segment, strict), ["csf_queue_score", "csf_queue_date", "csf_queue_name"]),
+        Source("upc", S.upc_rows(s.upc_matches, tenant, names, segment, strict),
+               ["csf_base_upc", "csf_comp_upc", "csf_upc_score", "csf_upc_first_sugg_date"]),
+        Source("mpn", S.mpn_rows(s.mpn_matches, tenant, names, segment, strict), ["csf_mpn_score", "csf_mpn_first_sugg_date"]),
+    ]
+    for label in MODELS:
+        score, day = f"csf_{label}_score", f"csf_{label}_first_sugg_date"
+        rows = S.model_rows(getattr(s, f"{label}_pairs"), tenant, names, segment, strict)
+        rows = rows.withColumnsRenamed({"model_score": score, "first_sugg_date": day})
+        if strict:
+            # The first day on which the best score was given.
+            found.append(Source(label, rows, [score, day], order=[F.col(score).isNull(), -F.col(score)]))
+        else:
+            found.append(Source(label, rows, totals={score: (F.max, score), day: (F.min, day)}))
+    return found
+
+
+def _products(
+    s: CoverageSources, tenant: str, segment: str, names: list[str], years: list[str], strict: bool, tables: Workspace
+) -> DataFrame:
+    """Per sku and source_store what the crawl, the warehouse, the newest model inputs and the requests say, as structs."""
+    def stored(rows: DataFrame, sku: str, store: str) -> DataFrame:
+        return rows.withColumnsRenamed({sku: "sku", store: "source_store"})
+
+    inputs = [
+        Source(name, S.input_rows(table, tenant, names, segment, strict), ["title", "capture_date"], version=F.col("_version"), when=F.col("_in"))
+        for name, table in (("precision", s.precision_input), ("generic", s.generic_input))
+    ]
+    every = [
+        Source("crawl", stored(S.crawl_rows(s.crawl, names, years), *PRODUCT), ["dc_upc", "comp_sku_first_date"]),
+        Source("warehouse", stored(S.warehouse_rows(s.warehouse, names, segment, strict), *PRODUCT), WAREHOUSE_FIELDS),
+        Source("request", stored(S.request_signal(s.requests, tenant, names, segment, strict), "base_sku", "comp_source_store"), REQUEST_FIELDS),
+        *inputs,
+    ]
+    known = tables.save(fold(STORED, every))
+
+    def fields(source: Source) -> Column:
+        """The product in the newest input of one model, whatever its version, in an order in which nulls come last."""
+        row = newest_row(known, source)
+        pairs = F.struct(*[f for c in source.take for f in (row[c].isNull().alias(f"_no_{c}"), row[c].alias(c))])
+        return F.when(row.isNotNull(), pairs)
+
+    return known.select(
+        *STORED, F.col("_crawl").alias("crawl"), F.col("_warehouse").alias("warehouse"), F.col("_request").alias("request"),
+        F.least(*[fields(i) for i in inputs]).alias("input"),
     )
-    crawl = S.crawl_signal(s.crawl, names, S.crawl_years(run_date, years)).withColumn("sku_in_dc", F.lit(True))
-    warehouse = S.warehouse_signal(s.warehouse, names, segment, strict).drop("comp_url").withColumn("sku_in_pdp", F.lit(True))
-    requests = S.request_signal(s.requests, tenant, names, segment, strict)
-
-    rows = skew.attach_all(rows, [(side, PRODUCT, ()) for side in (crawl, warehouse, comp_inputs)], hot_comp, PAIR)
-    rows = skew.attach_all(rows, [
-        (S.catalog_products(s.catalog, tenant), ["base_sku"], ()),
-        (base_inputs, ["base_sku", "base_source_store"], ()),
-        (requests, ["base_sku", "comp_source_store"], ()),
-    ], hot_base, PAIR)
-    return _finish(rows)
+
+
+def _base_products(products: DataFrame, catalog: Source, tables: Workspace) -> DataFrame:
+    """Per base_sku its catalog fields, and in ``stores`` its model input and request per store (of which there are few)."""
+    entry = F.struct("source_store", "input", "request").alias("_entry")
+    listed = products.where(F.col("input").isNotNull() | F.col("request").isNotNull()).select(F.col("sku").alias("base_sku"), entry)
+    known = tables.save(fold(["base_sku"], [catalog, Source("stores", listed, totals={"stores": (F.collect_list, "_entry")})]))
+    return known.select("base_sku", "stores", *[c.alias(n) for n, c in taken(known, catalog).items()])
 
 
 def _finish(rows: DataFrame) -> DataFrame:

@@ -50,19 +50,29 @@ def spine(pairs: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def catalog_products(catalog: DataFrame, tenant: str) -> DataFrame:
-    """Active products of the tenant's newest catalog snapshot."""
-    own = catalog.where(F.col("source") == tenant)
-    current = R.latest_snapshot(own, "capture_date")
-    return current.where((F.col("is_active") == "True") & (F.col("is_discontinued") == "False")).select(
+# Columns that a catalog product gives to the report.
+CATALOG_FIELDS = ["base_title", "upc", "segment", "base_mpn"]
+
+
+def catalog_rows(catalog: DataFrame, tenant: str) -> DataFrame:
+    """The tenant's products of every snapshot: base_sku, the report's fields, ``_version`` and ``_live``."""
+    return catalog.where(F.col("source") == tenant).select(
         F.lower("sku").alias("base_sku"),
         F.col("product_title").alias("base_title"),
         "upc",
         "segment",
         F.col("manufacturer_part_number").alias("base_mpn"),
+        F.col("capture_date").alias("_version"),
+        ((F.col("is_active") == "True") & (F.col("is_discontinued") == "False")).alias("_live"),
     )
 
 
+def catalog_products(catalog: DataFrame, tenant: str) -> DataFrame:
+    """Active products of the tenant's newest catalog snapshot."""
+    current = R.latest_snapshot(catalog_rows(catalog, tenant), "_version")
+    return current.where("_live").drop("_version", "_live")
+
+
 def catalog_signal(spine_rows: DataFrame, catalog: DataFrame, tenant: str, hot: skew.HotKeys | None = None) -> DataFrame:
     """Is the base SKU in the catalog, and under which title and UPC?"""
     products = catalog_products(catalog, tenant)
@@ -72,19 +82,22 @@ def catalog_signal(spine_rows: DataFrame, catalog: DataFrame, tenant: str, hot:
     )
 
 
-def crawl_signal(crawl: DataFrame, competitors: Sequence[str], years: Sequence[str]) -> DataFrame:
-    """First crawl date per SKU, UPC and store; only the columns named here are read."""
-    return (
-        crawl.where(F.col("year").isin(list(years)) & F.col("source_name").isin(list(competitors)))
-        .groupBy(
-            F.lower("sku").alias("comp_sku"),
-            F.lower(F.concat_ws("_", "source_name", "store_name")).alias("comp_source_store"),
-            F.lower("upc").alias("dc_upc"),
-        )
-        .agg(F.min("capture_date").alias("comp_sku_first_date"))
+def crawl_rows(crawl: DataFrame, competitors: Sequence[str], years: Sequence[str]) -> DataFrame:
+    """Crawled products with the date in ``comp_sku_first_date``; only the columns named here are read."""
+    return crawl.where(F.col("year").isin(list(years)) & F.col("source_name").isin(list(competitors))).select(
+        F.lower("sku").alias("comp_sku"),
+        F.lower(F.concat_ws("_", "source_name", "store_name")).alias("comp_source_store"),
+        F.lower("upc").alias("dc_upc"),
+        F.col("capture_date").alias("comp_sku_first_date"),
     )
 
 
+def crawl_signal(crawl: DataFrame, competitors: Sequence[str], years: Sequence[str]) -> DataFrame:
+    """First crawl date per SKU, UPC and store."""
+    rows = crawl_rows(crawl, competitors, years)
+    return rows.groupBy("comp_sku", "comp_source_store", "dc_upc").agg(F.min("comp_sku_first_date").alias("comp_sku_first_date"))
+
+
 def crawl_years(run_date: str, override: Sequence[str] | None = None) -> list[str]:
     """Given years, else the run year and the two before it."""
     if override:
@@ -93,27 +106,29 @@ def crawl_years(run_date: str, override: Sequence[str] | None = None) -> list[st
     return [str(newest - back) for back in range(3)]
 
 
-def warehouse_signal(
+def warehouse_rows(
     warehouse: DataFrame, competitors: Sequence[str], segment: str, strict: bool = False
 ) -> DataFrame:
-    return (
-        warehouse.where(
-            F.col("source_store").isin(K.store_names(list(competitors), K.BRACKET))
-            & (F.col("product_segment") == segment)
-        )
-        .select(
-            F.lower("sku").alias("comp_sku"),
-            _store("source_store", strict).alias("comp_source_store"),
-            F.col("product_title").alias("comp_title"),
-            F.col("product_url").alias("comp_url"),
-            F.lower("upc").alias("pdp_upc"),
-            F.col("manufacturer_part_number").alias("pdp_mpn"),
-            _day().alias("pdp_date"),
-        )
-        .distinct()
+    return warehouse.where(
+        F.col("source_store").isin(K.store_names(list(competitors), K.BRACKET))
+        & (F.col("product_segment") == segment)
+    ).select(
+        F.lower("sku").alias("comp_sku"),
+        _store("source_store", strict).alias("comp_source_store"),
+        F.col("product_title").alias("comp_title"),
+        F.col("product_url").alias("comp_url"),
+        F.lower("upc").alias("pdp_upc"),
+        F.col("manufacturer_part_number").alias("pdp_mpn"),
+        _day().alias("pdp_date"),
     )
 
 
+def warehouse_signal(
+    warehouse: DataFrame, competitors: Sequence[str], segment: str, strict: bool = False
+) -> DataFrame:
+    return warehouse_rows(warehouse, competitors, segment, strict).distinct()
+
+
 def review_signal(
     reviews: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
 ) -> DataFrame:
@@ -134,30 +149,36 @@ def review_signal(
     )
 
 
-def upc_signal(
+def upc_rows(
     matches: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
 ) -> DataFrame:
-    """UPC suggestions with the date each was first made."""
+    """UPC suggestions, each with its date in ``csf_upc_first_sugg_date``."""
     base, comp = F.col("uuid_a"), F.col("uuid_b")
     fold = _case(strict)
-    return (
-        matches.where(
-            (K.prefixed_store(base) == K.store_name(tenant, K.BRACKET))
-            & K.prefixed_store(comp).isin(K.store_names(list(competitors), K.BRACKET))
-            & (F.col("segment") == segment)
-        )
-        .groupBy(
-            F.lower(K.prefixed_sku(base)).alias("base_sku"),
-            F.lower(K.prefixed_sku(comp)).alias("comp_sku"),
-            fold(K.store_underscore(K.prefixed_store(comp))).alias("comp_source_store"),
-            K.prefixed_upc(base).alias("csf_base_upc"),
-            K.prefixed_upc(comp).alias("csf_comp_upc"),
-            F.col("score").alias("csf_upc_score"),
-        )
-        .agg(F.min(_day()).alias("csf_upc_first_sugg_date"))
+    return matches.where(
+        (K.prefixed_store(base) == K.store_name(tenant, K.BRACKET))
+        & K.prefixed_store(comp).isin(K.store_names(list(competitors), K.BRACKET))
+        & (F.col("segment") == segment)
+    ).select(
+        F.lower(K.prefixed_sku(base)).alias("base_sku"),
+        F.lower(K.prefixed_sku(comp)).alias("comp_sku"),
+        fold(K.store_underscore(K.prefixed_store(comp))).alias("comp_source_store"),
+        K.prefixed_upc(base).alias("csf_base_upc"),
+        K.prefixed_upc(comp).alias("csf_comp_upc"),
+        F.col("score").alias("csf_upc_score"),
+        _day().alias("csf_upc_first_sugg_date"),
     )
 
 
+def upc_signal(
+    matches: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
+) -> DataFrame:
+    """UPC suggestions with the date each was first made."""
+    rows = upc_rows(matches, tenant, competitors, segment, strict)
+    keys = [c for c in rows.columns if c != "csf_upc_first_sugg_date"]
+    return rows.groupBy(*keys).agg(F.min("csf_upc_first_sugg_date").alias("csf_upc_first_sugg_date"))
+
+
 def _between(tenant: str, competitors: Sequence[str], segment: str) -> Column:
     return (
         (F.col("base_source_store") == K.store_name(tenant, K.BRACKET))
@@ -166,21 +187,47 @@ def _between(tenant: str, competitors: Sequence[str], segment: str) -> Column:
     )
 
 
-def mpn_signal(
+def mpn_rows(
     matches: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
 ) -> DataFrame:
     """Part-number suggestions; ``strict`` reads part 1 of one id and part 2 of the other."""
     base = K.uuid_sku(F.col("uuid_a"), canonical=not strict)
     comp = K.prefixed_sku(F.col("uuid_b")) if strict else K.uuid_sku(F.col("uuid_b"))
-    return (
-        matches.where(_between(tenant, competitors, segment))
-        .groupBy(
-            F.lower(base).alias("base_sku"),
-            F.lower(comp).alias("comp_sku"),
-            _store("comp_source_store", strict).alias("comp_source_store"),
-            F.col("score").alias("csf_mpn_score"),
-        )
-        .agg(F.min(_day()).alias("csf_mpn_first_sugg_date"))
+    return matches.where(_between(tenant, competitors, segment)).select(
+        F.lower(base).alias("base_sku"),
+        F.lower(comp).alias("comp_sku"),
+        _store("comp_source_store", strict).alias("comp_source_store"),
+        F.col("score").alias("csf_mpn_score"),
+        _day().alias("csf_mpn_first_sugg_date"),
+    )
+
+
+def mpn_signal(
+    matches: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
+) -> DataFrame:
+    """Part-number suggestions with the date each was first made."""
+    rows = mpn_rows(matches, tenant, competitors, segment, strict)
+    keys = [c for c in rows.columns if c != "csf_mpn_first_sugg_date"]
+    return rows.groupBy(*keys).agg(F.min("csf_mpn_first_sugg_date").alias("csf_mpn_first_sugg_date"))
+
+
+def library_rows(
+    library: DataFrame, tenant: str, competitors: Sequence[str], strict: bool = False
+) -> DataFrame:
+    """The tenant's live entries of every snapshot, with ``_in`` for those of the competitors."""
+    own = R.live(library).where(F.col("base_source_store") == K.store_name(tenant))
+    fold = _case(strict)
+    return own.select(
+        F.lower("base_sku").alias("base_sku"),
+        fold(F.col("comp_sku")).alias("comp_sku"),
+        fold(F.col("comp_source_store")).alias("comp_source_store"),
+        "matcher_comments",
+        F.col("deleted_date").isNull().alias("is_present_in_match_library"),
+        F.col("deleted_date").isNotNull().alias("is_deleted_in_match_library"),
+        F.col("deleted_date").alias("last_deleted_date"),
+        F.col("load_date").alias("match_library_inserted_date"),
+        F.col("load_date").alias("_version"),
+        F.col("comp_source_store").isin(K.store_names(list(competitors))).alias("_in"),
     )
 
 
@@ -209,26 +256,45 @@ def library_signal(
     )
 
 
+def input_rows(table: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False) -> DataFrame:
+    """Products of every partition of a model input, with ``_version`` and ``_in`` for those of the segment."""
+    return table.where(F.col("source_store").isin(K.store_names([*competitors, tenant]))).select(
+        F.lower("sku").alias("sku"),
+        _case(strict)(F.col("source_store")).alias("source_store"),
+        F.col("product_title").alias("title"),
+        F.col("capture_date"),
+        F.col("upc"),
+        F.concat("year", "month", "day").alias("_version"),
+        (F.col("segment") == segment).alias("_in"),
+    )
+
+
 def input_signal(
     precision: DataFrame, generic: DataFrame, tenant: str, competitors: Sequence[str], segment: str,
     strict: bool = False,
 ) -> DataFrame:
     """Products in the newest model input of either model."""
-    stores = K.store_names([*competitors, tenant])
-
     def newest(table: DataFrame) -> DataFrame:
-        scoped = table.where(F.col("source_store").isin(stores))
-        return R.latest_partition(scoped).where(F.col("segment") == segment).select(
-            F.lower("sku").alias("sku"),
-            _case(strict)(F.col("source_store")).alias("source_store"),
-            F.col("product_title").alias("title"),
-            F.col("capture_date"),
-            F.col("upc"),
-        )
+        rows = input_rows(table, tenant, competitors, segment, strict)
+        return R.latest_snapshot(rows, "_version").where("_in").drop("_version", "_in")
 
     return newest(precision).unionByName(newest(generic)).distinct()
 
 
+def model_rows(
+    pairs: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
+) -> DataFrame:
+    """Suggestions of one model with their score and date."""
+    fold = _case(strict)
+    return pairs.where(_between(tenant, competitors, segment)).select(
+        fold(K.uuid_sku(F.col("base_sku_uuid"), canonical=not strict)).alias("base_sku"),
+        fold(K.uuid_sku(F.col("comp_sku_uuid"), canonical=not strict)).alias("comp_sku"),
+        _store("comp_source_store", strict).alias("comp_source_store"),
+        F.col("score").alias("model_score"),
+        _day().alias("first_sugg_date"),
+    )
+
+
 def model_signal(
     pairs: DataFrame, tenant: str, competitors: Sequence[str], segment: str, strict: bool = False
 ) -> DataFrame:
@@ -237,20 +303,11 @@ def model_signal(
     The same function serves the precision, generic and semantic tables.
     ``strict`` groups by score, so a pair appears once per score.
     """
-    fold = _case(strict)
-    grouping = [
-        fold(K.uuid_sku(F.col("base_sku_uuid"), canonical=not strict)).alias("base_sku"),
-        fold(K.uuid_sku(F.col("comp_sku_uuid"), canonical=not strict)).alias("comp_sku"),
-        _store("comp_source_store", strict).alias("comp_source_store"),
-    ]
-    if strict:
-        grouping.append(F.col("score").alias("_score"))
-    return (
-        pairs.where(_between(tenant, competitors, segment))
-        .groupBy(*grouping)
-        .agg(F.max("score").alias("model_score"), F.min(_day()).alias("first_sugg_date"))
-        .drop("_score")
-    )
+    rows = model_rows(pairs, tenant, competitors, segment, strict).withColumn("_score", F.col("model_score"))
+    keys = ["base_sku", "comp_sku", "comp_source_store", *(["_score"] if strict else [])]
+    return rows.groupBy(*keys).agg(
+        F.max("model_score").alias("model_score"), F.min("first_sugg_date").alias("first_sugg_date")
+    ).drop("_score")
 
 
 def queue_signal(queue: DataFrame, tenant: str, segment: str, strict: bool = False) -> DataFrame:
