@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import tfidf
-from ..operators.blocks import nearest
+from ..operators import inverted, tfidf
 from ..session import cut_lineage
 
 # What an example must have, and the taxonomy column of each level.
@@ -20,10 +19,10 @@ LEVELS = {"category": "base_category", "segment": "base_subcategory"}
 
 @dataclass(frozen=True)
 class Retriever:
-    """An index as three tables: vocabulary, unit vectors and the example rows."""
+    """An index: vocabulary, inverted lists on shared files, and the example rows."""
 
     vocab: DataFrame
-    vectors: DataFrame
+    lists: inverted.InvertedIndex
     rows: DataFrame
     level: str
 
@@ -59,19 +58,18 @@ def with_row_id(examples: DataFrame) -> DataFrame:
     return examples.withColumn("row_id", F.concat_ws("<>", *[F.coalesce(F.col(k), F.lit("")) for k in keys]))
 
 
-def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000) -> Retriever:
+def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000, path: str | None = None) -> Retriever:
     """Index of ``docs`` with unique ``row_id`` and text ``q``: unigrams, sublinear tf, no stop words.
 
-    Vocabulary and vectors are checkpointed, since every query reads them.
+    The inverted lists are written below ``path`` (by default in the session's
+    shared folder) and stay there for every later query.
     """
     texts = docs.select("row_id", "q")
     # Read for the vocabulary and again for the vectors.
     counts = cut_lineage(tfidf.term_counts(texts, "row_id", X.word_tokens(F.col("q"))))
     vocab = cut_lineage(tfidf.vocabulary(counts, texts, max_features))
-    vectors = tfidf.unit_vectors(counts, vocab, "row_id", sublinear=True)
-    # Rows without a known term stay in the index; they score 0 for any query.
-    vectors = docs.select("row_id").join(vectors, "row_id", "left")
-    return Retriever(vocab, cut_lineage(vectors), docs, level)
+    vectors = cut_lineage(tfidf.unit_vectors(counts, vocab, "row_id", sublinear=True))
+    return Retriever(vocab, inverted.write_index(vectors, path), docs, level)
 
 
 def build_retriever(
@@ -93,11 +91,15 @@ def build_retriever(
 
 
 def query(retriever: Retriever, texts: DataFrame, k: int = 20, pad: bool = True) -> DataFrame:
-    """Nearest rows for each text of (query_id, q): (query_id, row_id, score, rank)."""
+    """Nearest rows for each text of (query_id, q): (query_id, row_id, score, rank).
+
+    With ``pad`` every query gets ``k`` rows if there are as many, the last ones
+    with score 0 if need be. Rows of the index aren't shuffled.
+    """
     counts = tfidf.term_counts(texts, "query_id", X.word_tokens(F.col("q")))
     known = tfidf.unit_vectors(counts, retriever.vocab, "query_id", sublinear=True)
-    asked = texts.select("query_id").join(known, "query_id", "left")
-    return nearest(retriever.vectors, asked, k, pad=pad)
+    found = inverted.search(retriever.lists, known, k)
+    return inverted.padded(found, texts, retriever.rows, k) if pad else found
 
 
 def self_check(retriever: Retriever) -> str:
@@ -106,7 +108,7 @@ def self_check(retriever: Retriever) -> str:
     The row with the smallest id among those with a known term is asked for;
     rows that score the same count as found.
     """
-    known = retriever.vectors.where(F.col("ids").isNotNull()).agg(F.min("row_id")).first()[0]
+    known = retriever.lists.lists.where("term_id < 0").agg(F.min(F.array_min("keys"))).first()[0]
     if known is None:
         raise RuntimeError("no row of the index has a known term")
     text = retriever.rows.where(F.col("row_id") == known).select(F.lit(0).alias("query_id"), "q").limit(1)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import csv
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import storage
+from . import storage, versions
 
 CORRUPT = "_corrupt"
 # A competitor list is a short text; anything larger is not one.
@@ -67,6 +68,28 @@ def latest_partition_value(spark: SparkSession, path: str, column: str) -> str |
     return max(values, default=None)
 
 
+def latest_rows(
+    spark: SparkSession, path: str, by: Sequence[str], scope: Column | str | None = None, override: Sequence[str] | None = None
+) -> DataFrame | None:
+    """All rows of the newest partition that has rows in ``scope``; None if there is none.
+
+    ``by`` are the partition columns, from the outermost folder on; their values
+    are compared as text and given back as text. Partitions are looked into from
+    the newest on, one row each, up to the first that fits, so older ones aren't
+    opened or even listed. ``override`` names the partition instead.
+    """
+    for inside, values in storage.partition_folders(spark, path, by, newest_first=True):
+        if (override is not None and values != list(override)) or None in values:
+            continue
+        folder = f"{path.rstrip('/')}/{inside}"
+        if not storage.has_data(spark, folder):
+            continue
+        rows = spark.read.parquet(folder).withColumns({c: F.lit(v) for c, v in zip(by, values, strict=True)})
+        if override is not None or not (rows if scope is None else rows.where(scope)).isEmpty():
+            return rows
+    return None
+
+
 def _existing(spark: SparkSession, base: str, partitions: Sequence[str]) -> list[str]:
     wanted = [f"{base.rstrip('/')}/{p}" for p in partitions] or [base]
     return [p for p in dict.fromkeys(wanted) if storage.has_data(spark, p)]
@@ -127,6 +150,8 @@ def read_recall(
     Adds ``part`` (the path segment that starts with the marker, else
     ``(root)``), ``file`` and ``_corrupt``: a line with other than three fields
     lands there whole. Blank lines are dropped. An empty marker takes every file.
+    Files that a manifest below ``root`` hides or retires (`writers.replace_files`)
+    are left out, so a rewrite in place is seen whole or not at all.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*RECALL_FIELDS, CORRUPT]])
     lines = spark.read.option("columnPruning", "false").csv(
@@ -138,6 +163,13 @@ def read_recall(
     # so it is taken from a record that holds the fields too.
     record = F.get(F.filter(F.array(F.struct(CORRUPT, *RECALL_FIELDS)), lambda r: r[CORRUPT].isNotNull()), 0)
     rows = lines.select(*RECALL_FIELDS, record[CORRUPT].alias(CORRUPT), path.alias("file"))
+    state = versions.newest(spark, root)
+    if state and state[1]["hide"]:
+        rows = rows.where(~F.contains(F.col("file"), F.lit(f"/{state[1]['hide']}-")))
+    if state and state[1]["retire"]:
+        # As many rows as files were replaced, whose list came from the driver.
+        gone = spark.createDataFrame([(re.sub("^file:/+", "file:///", p),) for p in state[1]["retire"]], "_gone string")
+        rows = rows.join(gone, F.regexp_replace("file", "^file:/+", "file:///") == F.col("_gone"), "left_anti")
     if not marker:
         return rows.withColumn("part", F.lit("(root)"))
     parts = F.filter(F.split("file", "/"), lambda s: s.startswith(marker))

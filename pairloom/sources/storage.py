@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -68,53 +68,96 @@ def name_folders(spark: SparkSession, root: str, column: str) -> None:
         fs.delete(status.getPath(), True)
 
 
-def replace_files(spark: SparkSession, fresh: str, target: str, outgoing: Callable[[str], bool]) -> None:
-    """Move the data files below ``fresh`` to the same places below ``target``, then drop what they replace.
-
-    Only files that were below ``target`` before and for which ``outgoing`` (given
-    the path) is true are deleted, and only once every new file is in its place;
-    all others stay. After a failure both old and new rows may be there, so it
-    can be run again without loss. ``fresh`` is removed at the end.
-    """
+def files_below(spark: SparkSession, path: str, wanted: Callable[[str], bool]) -> list[str]:
+    """Files below a folder whose path is ``wanted``; folders whose name starts with ``_`` or ``.`` aren't looked into."""
+    top, fs = _path(spark, path)
+    found, folders = [], [top] if fs.exists(top) else []
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            place = status.getPath()
+            if place.getName().startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                folders.append(place)
+            elif wanted(place.toUri().getPath()):
+                found.append(place.toString())
+    return sorted(found)
+
+
+def move_in(spark: SparkSession, fresh: str, target: str, mark: str) -> None:
+    """Move the data files below ``fresh`` to the same places below ``target``; ``mark`` is put before each name."""
     new, fs = _path(spark, fresh)
-    top = _path(spark, target)[0]
-    old, listed = [], fs.listFiles(top, True) if fs.exists(top) else None
-    while listed is not None and listed.hasNext():
-        path = listed.next().getPath()
-        if outgoing(path.toUri().getPath()):
-            old.append(path)
     start = len(fs.makeQualified(new).toString().rstrip("/")) + 1
     moved = fs.listFiles(new, True)
     while moved.hasNext():
         path = moved.next().getPath()
         if path.getName().startswith(("_", ".")):
             continue
-        place = _path(spark, f"{target.rstrip('/')}/{path.toString()[start:]}")[0]
+        folder = path.getParent().toString()[start:]
+        place = _path(spark, "/".join(filter(None, [target.rstrip("/"), folder, f"{mark}-{path.getName()}"])))[0]
         fs.mkdirs(place.getParent())
         if not fs.rename(path, place):
             raise OSError(f"cannot move {path.toString()} to {place.toString()}")
-    for path in old:
-        fs.delete(path, False)
-    fs.delete(new, True)
 
 
-def swap(spark: SparkSession, fresh: str, target: str) -> None:
-    """Put the folder ``fresh`` in the place of ``target``; the old data goes only once the new is there.
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder; none if it isn't there."""
+    handle, fs = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(handle)] if fs.exists(handle) else []
+
+
+def partition_folders(
+    spark: SparkSession, path: str, by: Sequence[str], newest_first: bool = False
+) -> Iterator[tuple[str, list[str | None]]]:
+    """Each folder ``a=<value>/b=<value>`` below ``path``, with its values; null (the least) for the default partition.
 
-    What an earlier swap left aside when it was interrupted is put back first if
-    ``target`` is missing, and removed otherwise.
+    In the order of the values as text. A folder is listed only when the walk
+    comes to it, so who stops early leaves the others unlisted.
     """
-    new, fs = _path(spark, fresh)
-    old = _path(spark, target)[0]
-    aside = _path(spark, target.rstrip("/") + "__old")[0]
-    if fs.exists(aside):
-        if fs.exists(old):
-            fs.delete(aside, True)
-        elif not fs.rename(aside, old):
-            raise OSError(f"cannot restore {target}")
-    if fs.exists(old) and not fs.rename(old, aside):
-        raise OSError(f"cannot set {target} aside")
-    if not fs.rename(new, old):
-        fs.rename(aside, old)
-        raise OSError(f"cannot move {fresh} to {target}")
-    fs.delete(aside, True)
+    def below(inside: str, values: list[str | None], rest: Sequence[str]) -> Iterator[tuple[str, list[str | None]]]:
+        if not rest:
+            yield inside, values
+            return
+        found = []
+        for name in names_in(spark, f"{path}/{inside}".rstrip("/")):
+            head, sign, value = name.partition("=")
+            if sign and head == rest[0]:
+                found.append((None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value), name))
+        for value, name in sorted(found, key=lambda f: (f[0] is not None, f[0] or ""), reverse=newest_first):
+            yield from below(f"{inside}/{name}".lstrip("/"), [*values, value], rest[1:])
+
+    return below("", [], list(by))
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    handle, fs = _path(spark, path)
+    stream = fs.open(handle)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False, and nothing changed, if there is one of that name already."""
+    handle, fs = _path(spark, path)
+    if fs.exists(handle):
+        return False
+    try:
+        stream = fs.create(handle, False)
+    except Exception:
+        # Another writer was faster.
+        if fs.exists(handle):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    handle, fs = _path(spark, path)
+    fs.delete(handle, True)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import inverted
 from ..plans.recall import FIELDS
 from ..plans.retriever import Retriever
-from . import storage
+from . import storage, versions
 
+# What a manifest of plain files says when all of them count.
+EVERY_FILE = {"hide": None, "retire": []}
 REPORT_LAYOUT = ["report", "product_segment", "company_code", "load_date"]
 
 
@@ -122,10 +126,10 @@ def write_recall(
     Rows that carry ``file`` go to that file's folder, sub-folders of the read
     root included; others to the folder their ``part`` names, and rows of no part
     to the root itself. Malformed lines are written as they were. ``in_place``
-    means that ``root`` is also the input: once all rows are written beside it,
-    the new files are moved in and then the files that `read_recall` took with
-    the same ``marker`` and ``suffix`` are deleted, and no others. ``dry_run``
-    writes nothing. Returns whether anything was written.
+    means that ``root`` is also the input: the new files replace those that
+    `read_recall` took with the same ``marker`` and ``suffix``, and no others
+    (`replace_files`). ``dry_run`` writes nothing. Returns whether anything was
+    written.
     """
     if dry_run:
         return False
@@ -146,23 +150,67 @@ def write_recall(
     )
     storage.name_folders(spark, fresh, "_folder")
     taken = lambda path: path.endswith(suffix) and (not marker or marker in path)
-    storage.replace_files(spark, fresh, root, taken if in_place else lambda path: path.endswith(suffix))
+    replace_files(spark, fresh, root, taken if in_place else lambda path: path.endswith(suffix))
     return True
 
 
+def replace_files(spark: SparkSession, fresh: str, root: str, outgoing: Callable[[str], bool]) -> None:
+    """Put the files below ``fresh`` in the place of those below ``root`` whose path is ``outgoing``.
+
+    Manifests below ``root`` say which files count, so `read_recall` finds either
+    all old or all new ones wherever this stops:
+
+    1. Files of this job are hidden while they are moved in, each under its mark.
+    2. One manifest uncovers them and retires the old ones: that is the commit.
+    3. Retired files are deleted, and a last manifest says that all files count.
+
+    What an earlier job left when it stopped is settled first.
+    """
+    settle_files(spark, root)
+    mark, old = uuid.uuid4().hex, storage.files_below(spark, root, outgoing)
+    versions.commit(spark, root, lambda _: {"hide": mark, "retire": []})
+    storage.move_in(spark, fresh, root, mark)
+    versions.commit(spark, root, lambda _: {"hide": None, "retire": old})
+    settle_files(spark, root)
+    storage.remove(spark, fresh)
+
+
+def settle_files(spark: SparkSession, root: str) -> None:
+    """Delete the files below ``root`` that its newest manifest hides or retires, and say so."""
+    found = versions.newest(spark, root)
+    if found is None or found[1] == EVERY_FILE:
+        return
+    hidden, retired = found[1]["hide"], found[1]["retire"]
+    for path in retired + (storage.files_below(spark, root, lambda p: f"/{hidden}-" in p) if hidden else []):
+        storage.remove(spark, path)
+    versions.commit(spark, root, lambda _: EVERY_FILE)
+
+
 def _plain_path(path: str) -> str:
     return re.sub(r"^[a-z0-9]+:/+", "/", path.rstrip("/"))
 
 
-def save_retriever(index: Retriever, path: str) -> None:
-    """Vocabulary, vectors and rows as Parquet under ``level=<level>``; all three change at once."""
-    folder = f"{path.rstrip('/')}/level={index.level}"
-    for name in ("vocab", "vectors", "rows"):
-        getattr(index, name).write.mode("overwrite").parquet(f"{folder}__new/{name}")
-    storage.swap(index.rows.sparkSession, f"{folder}__new", folder)
+def save_retriever(index: Retriever, path: str) -> int:
+    """Vocabulary, inverted lists and rows below ``level=<level>``; a manifest makes all three count at once.
+
+    Returns the version's number. Earlier versions stay readable until their
+    folders are removed.
+    """
+    folder, spark = f"{path.rstrip('/')}/level={index.level}", index.rows.sparkSession
+    data = f"data/{uuid.uuid4().hex}"
+    index.vocab.write.parquet(f"{folder}/{data}/vocab")
+    index.rows.write.parquet(f"{folder}/{data}/rows")
+    lists = inverted.copy_index(index.lists, f"{folder}/{data}")
+    content = {"data": data, "n_buckets": lists.n_buckets, "n_segments": lists.n_segments, "row_type": lists.row_type}
+    return versions.commit(spark, folder, lambda _: content)
 
 
 def load_retriever(spark: SparkSession, path: str, level: str) -> Retriever:
+    """The newest retriever of a level; its lists are read where they are."""
     folder = f"{path.rstrip('/')}/level={level}"
-    vocab, vectors, rows = (spark.read.parquet(f"{folder}/{name}") for name in ("vocab", "vectors", "rows"))
-    return Retriever(vocab, vectors, rows, level)
+    found = versions.newest(spark, folder)
+    if found is None:
+        raise FileNotFoundError(f"no retriever under {folder}")
+    data = f"{folder}/{found[1]['data']}"
+    lists = inverted.InvertedIndex(spark, data, found[1]["n_buckets"], found[1]["row_type"], found[1]["n_segments"])
+    return Retriever(spark.read.parquet(f"{data}/vocab"), lists, spark.read.parquet(f"{data}/rows"), level)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.plans import recall, retriever
 from pairloom.schemas import struct
-from pairloom.sources import readers, storage, writers
+from pairloom.sources import readers, writers
 
 REQUIRED = ["base_sku", "comp_sku", "comp_source_store"]
 
@@ -139,7 +139,7 @@ def test_recall_in_place(spark, tmp_path):
     assert writers.write_recall(recall.dedupe_recall(rows), root, in_place=True)
     assert readers.read_recall(spark, root).count() == 7
     assert {n: (tmp_path / "in" / n).read_text() for n in others} == others
-    names = tree(tmp_path / "in")
+    names = [n for n in tree(tmp_path / "in") if not n.startswith("_versions/")]
     assert not any(n.endswith(("1.csv", "2.csv", "4.csv")) for n in names)
     assert sorted({n.rsplit("/", 1)[0] for n in names}) == ["comp_source_store=r<>r", "late/comp_source_store=q<>q", "other"]
     assert not (tmp_path / "in__new").exists()
@@ -152,13 +152,6 @@ def test_recall_without_partitions_stays_in_the_root(spark, tmp_path):
     assert readers.read_recall(spark, str(tmp_path / "out"), marker="").count() == 3 + 4
 
 
-def test_swap_after_an_interruption(spark, tmp_path):
-    put(tmp_path / "t__old", "a", "old")
-    put(tmp_path / "t__new", "a", "new")
-    storage.swap(spark, str(tmp_path / "t__new"), str(tmp_path / "t"))
-    assert (tmp_path / "t" / "a").read_text() == "new" and not (tmp_path / "t__old").exists()
-
-
 def test_recall_empty_marker_reads_everything(spark, tmp_path):
     assert readers.read_recall(spark, recall_tree(tmp_path), marker="").count() == 13
 
