@@ -453,17 +453,36 @@ def _tax_rank(source: str) -> str:
 
 
 oracle("taxonomy_full", TAX_FIXTURES, f"with {_tax_ctes('', 'fx_tax_base', 'fx_tax_comp')} {_tax_rank('scored')}")
-oracle("taxonomy_incremental", TAX_FIXTURES, f"""
-    with old_base as (select * from fx_tax_base where category <> 'SMALL'), old_comp as (select * from fx_tax_comp where retailer <> 'asia'),
-    new_comp as (select * from fx_tax_comp where retailer in ('africa', 'america', 'asia', 'europe')),
-    {_tax_ctes('p_', 'old_base', 'old_comp')},
-    kept as (select * from p_scored where retailer in ('africa', 'america', 'asia', 'europe')),
+OLD = """old_base as (select * from fx_tax_base where category <> 'SMALL'), old_comp as (select * from fx_tax_comp where retailer <> 'asia'),
+    new_comp as (select * from fx_tax_comp where retailer in ('africa', 'america', 'asia', 'europe'))"""
+KEPT = "kept as (select * from p_scored where retailer in ('africa', 'america', 'asia', 'europe'))"
+MERGED = f"every as (select * from kept union all by name select * from c_scored n where not exists (select 1 from kept o where {SAME}))"
+
+
+def _same_levels(left: str, right: str) -> str:
+    return " and ".join(f"{left.format(x)} is not distinct from {right.format(x)}" for x in LEVELS)
+
+
+oracle("taxonomy_previous", TAX_FIXTURES, f"with {OLD}, {_tax_ctes('', 'old_base', 'old_comp')} {_tax_rank('scored')}")
+oracle("taxonomy_rescored", TAX_FIXTURES, f"""
+    with {OLD}, {_tax_ctes('p_', 'old_base', 'old_comp')}, {KEPT},
     n_base as ({_nodes('base', 'fx_tax_base')}), n_comp as ({_nodes('comp', 'new_comp')}),
     unstored as (select base_title, comp_title from n_base n1 cross join n_comp n2 where not exists (select 1 from kept o where
-      {' and '.join(f'o.base_{x} is not distinct from n1.base_{x} and o.comp_{x} is not distinct from n2.comp_{x}' for x in LEVELS)} and o.retailer = n2.retailer)),
+      {_same_levels('o.base_{}', 'n1.base_{}')} and {_same_levels('o.comp_{}', 'n2.comp_{}')} and o.retailer = n2.retailer)),
     fit as (select base_title as key, base_title as text from unstored union select comp_title, comp_title from unstored),
-    {_tax_ctes('c_', 'fx_tax_base', 'new_comp', 'fit')},
-    every as (select * from kept union all by name select * from c_scored n where not exists (select 1 from kept o where {SAME}))
+    {_tax_ctes('c_', 'fx_tax_base', 'new_comp', 'fit')}, {MERGED}
+    {_tax_rank('every')}""")
+# Pairs of two nodes of the earlier run are settled, stored or not.
+oracle("taxonomy_incremental", TAX_FIXTURES, f"""
+    with {OLD}, {_tax_ctes('p_', 'old_base', 'old_comp')}, {KEPT},
+    n_base as (select *, exists (select 1 from old_base o where {_same_levels('o.{}', 'n.base_{}')}) as known from ({_nodes('base', 'fx_tax_base')}) n),
+    n_comp as (select *, exists (select 1 from old_comp o where {_same_levels('o.{}', 'n.comp_{}')} and o.retailer = n.retailer) as known
+      from ({_nodes('comp', 'new_comp')}) n),
+    open as (select n1.*, n2.* from (select * exclude (known), known as base_known from n_base) n1
+      cross join (select * exclude (known), known as comp_known from n_comp) n2 where not (base_known and comp_known)),
+    fit as (select base_title as key, base_title as text from open union select comp_title, comp_title from open),
+    {_tax_ctes('a_', 'fx_tax_base', 'new_comp', 'fit')},
+    c_scored as (select n.* from a_scored n where exists (select 1 from open o where {SAME})), {MERGED}
     {_tax_rank('every')}""")
 oracle("taxonomy_base_nodes", ["fx_catalog"], """
     select distinct category, subcategory, sub_subcategory from fx_catalog

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
@@ -15,6 +16,7 @@ from ..operators import relational as R
 from ..operators import scorers, skew, tfidf
 from ..operators.blocks import scored_above
 from ..session import cut_lineage
+from ..sources import versions
 
 LEVELS = ["category", "subcategory", "sub_subcategory"]
 BASE = [f"base_{level}" for level in LEVELS]
@@ -137,39 +139,111 @@ def map_taxonomy_incremental(
     scores. Only nodes with a partner they are not stored with are scored, since
     a pair that isn't stored has two such nodes; that includes pairs which fell
     below the threshold before. ``compared`` (base and comp nodes of the earlier
-    run, shaped like ``base`` and ``comp``) says that those are known to fail:
-    then only new base nodes meet all, and the others new comp nodes, so an
-    unchanged input scores nothing. ``fit_on='new'`` fits TF-IDF on the nodes
-    that occur in an unstored pair, ``'all'`` on every node. Levels may be null,
-    and null equals null. The threshold applies to earlier rows too.
-    ``prune_vanished`` also drops rows whose base node is gone.
+    runs, shaped like ``base`` and ``comp``; see `MappingStore`) says that those
+    are settled: then only new base nodes meet all, and the others new comp nodes,
+    so an unchanged input scores nothing. If they have a ``version``, a node whose
+    embedding has changed since is new, and its earlier rows go. ``fit_on='new'``
+    fits TF-IDF on the nodes that occur in a pair to be scored, ``'all'`` on every
+    node. Levels may be null, and null equals null. The threshold applies to
+    earlier rows too. ``prune_vanished`` also drops rows whose base node is gone.
     """
     if config.fit_on not in ("new", "all"):
         raise ValueError("fit_on must be 'new' or 'all'")
+    comp_keys = ["retailer", *COMP]
     base, comp = cut_lineage(_named(base, "base")), cut_lineage(_named(comp, "comp"))
     kept = previous.where(F.col("retailer").isin(list(competitors))).drop("rank")
     if config.prune_vanished:
         current = base.select(*[F.col(k).alias(f"_r_{k}") for k in BASE])
         kept = kept.join(current, R.null_safe(BASE), "left_semi")
-    base_open, comp_open = (cut_lineage(nodes) for nodes in _unfinished(base, comp, kept))
-    fit_texts = _texts(base, comp) if config.fit_on == "all" else _texts(base_open, comp_open)
-    meetings = [(base_open, comp_open)]
-    if compared is not None:
-        new_base, old_base = _split(base_open, _named(compared[0], "base"), BASE)
-        new_comp, _ = _split(comp_open, _named(compared[1], "comp"), ["retailer", *COMP])
-        meetings = [(new_base, comp_open), (old_base, new_comp)]
+    if compared is None:
+        left, right = (cut_lineage(nodes) for nodes in _unfinished(base, comp, kept))
+        meetings = [(left, right)]
+    else:
+        new_base, old_base, changed_base = _split(base, compared[0], "base", BASE, embeddings)
+        new_comp, _, changed_comp = _split(comp, compared[1], "comp", comp_keys, embeddings)
+        kept = skew.anti_null_safe(skew.anti_null_safe(kept, changed_base, BASE), changed_comp, comp_keys)
+        meetings = [(new_base, comp), (old_base, new_comp)]
+    meetings = [(left, right) for left, right in meetings if not left.isEmpty() and not right.isEmpty()]
     rows = kept.where(F.col("combined_score") >= config.threshold)
-    for left, right in meetings:
-        if not left.isEmpty() and not right.isEmpty():
+    if meetings:
+        every = [(base, comp)] if config.fit_on == "all" else meetings
+        fit_texts = _texts(*[side for meeting in every for side in meeting])
+        for left, right in meetings:
             fresh = skew.anti_null_safe(_scored(left, right, fit_texts, embeddings, config), kept, PAIR_KEYS)
             rows = rows.unionByName(fresh.select(*kept.columns))
     return _rank(rows)
 
 
-def _split(nodes: DataFrame, known: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The nodes that are not in ``known``, and those that are."""
-    other = known.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
-    return tuple(cut_lineage(nodes.join(other, R.null_safe(keys), how)) for how in ("left_anti", "left_semi"))
+def with_versions(nodes: DataFrame, embeddings: Embeddings, text: Column | None = None) -> DataFrame:
+    """``nodes`` with ``version``, a hash of the embedding of their text; null if there is none or it is computed."""
+    if callable(embeddings):
+        return nodes.withColumn("version", F.lit(None).cast("long"))
+    hashed = embeddings.select(F.col("title").alias("_title"), F.xxhash64("embedding").alias("version")).dropDuplicates(["_title"])
+    text = X.taxonomy_text(*[F.col(c) for c in LEVELS]) if text is None else text
+    return nodes.withColumn("_title", text).join(hashed, "_title", "left").drop("_title")
+
+
+def _split(
+    nodes: DataFrame, known: DataFrame, side: str, keys: list[str], embeddings: Embeddings
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The nodes that are not ``known`` in their present version, those that are, and the keys of the changed ones."""
+    versioned = "version" in known.columns
+    then = F.col("version") if versioned else F.lit(None).cast("long")
+    before = known.select(*[F.col(k.removeprefix(f"{side}_")).alias(f"_r_{k}") for k in keys], then.alias("_then")).distinct()
+    now = with_versions(nodes, embeddings, F.col(f"{side}_text")) if versioned else nodes.withColumn("version", F.lit(None).cast("long"))
+    met = now.join(before.withColumn("_known", F.lit(True)), R.null_safe(keys), "left")
+    state = F.when(F.col("_known").isNull(), "new").when(F.col("version").eqNullSafe(F.col("_then")), "old").otherwise("changed")
+    marked = cut_lineage(met.select(*nodes.columns, state.alias("_state")))
+    fresh, old = marked.where("_state <> 'old'").drop("_state"), marked.where("_state = 'old'").drop("_state")
+    return fresh, old, marked.where("_state = 'changed'").select(*keys)
+
+
+class MappingStore:
+    """A mapping and the versions of the nodes it compared, on shared files; one manifest commits both."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def newest(self) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+        """Mapping, base nodes and comp nodes (with ``version``) of the newest version, None before the first."""
+        found = versions.newest(self.spark, self.path)
+        if found is None:
+            return None
+        return tuple(self.spark.read.parquet(f"{self.path}/{found[1]['data']}/{name}") for name in ("mapping", "base", "comp"))
+
+    def commit(self, mapping: DataFrame, base: DataFrame, comp: DataFrame, embeddings: Embeddings) -> int:
+        """Write a mapping with the nodes that it rests on; returns the version.
+
+        Nodes compared earlier stay known, in their newest version, so a node that
+        comes back isn't compared again.
+        """
+        data, before = f"data/{uuid.uuid4().hex}", self.newest()
+        mapping.write.parquet(f"{self.path}/{data}/mapping")
+        for at, (name, nodes) in enumerate((("base", base), ("comp", comp)), 1):
+            columns = LEVELS if name == "base" else ["retailer", *LEVELS]
+            known = with_versions(nodes.select(*columns).distinct(), embeddings).select(*columns, "version")
+            if before is not None:
+                known = known.unionByName(skew.anti_null_safe(before[at], known, columns))
+            known.write.parquet(f"{self.path}/{data}/{name}")
+        return versions.commit(self.spark, self.path, lambda _: {"data": data})
+
+
+def update_mapping(
+    base: DataFrame, comp: DataFrame, competitors: Sequence[str], embeddings: Embeddings, config: MappingConfig, store: MappingStore
+) -> DataFrame:
+    """The mapping of ``base`` and ``comp`` by what ``store`` knows, committed there and read back.
+
+    Without an earlier version everything is compared; later only pairs with a
+    node that the store doesn't know in its present version.
+    """
+    found = store.newest()
+    if found is None:
+        mapping = map_taxonomy(base, comp, embeddings, config)
+    else:
+        previous, *compared = found
+        mapping = map_taxonomy_incremental(base, comp, previous, competitors, embeddings, config, tuple(compared))
+    store.commit(mapping, base, comp, embeddings)
+    return store.newest()[0]
 
 
 def _unfinished(base: DataFrame, comp: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -195,22 +195,59 @@ def taxonomy_full(base, comp, embeddings):
     return _rounded(taxonomy.map_taxonomy(base, comp, embeddings, MAPPING))
 
 
+CURRENT = ["africa", "america", "asia", "europe"]
+
+
+def previous_nodes(base, comp):
+    """Nodes before two product lines and one retailer came in."""
+    return base.where("category <> 'SMALL'"), comp.where("retailer <> 'asia'")
+
+
 def previous_mapping(base, comp, embeddings):
-    """Mapping before two product lines and one retailer came in."""
-    known = base.where("category <> 'SMALL'")
-    return taxonomy.map_taxonomy(known, comp.where("retailer <> 'asia'"), embeddings, MAPPING)
+    return taxonomy.map_taxonomy(*previous_nodes(base, comp), embeddings, MAPPING)
 
 
 @query("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings")
-def taxonomy_incremental(base, comp, embeddings):
-    current = ["africa", "america", "asia", "europe"]
+def taxonomy_rescored(base, comp, embeddings):
+    """Incremental mapping without a record of what was compared: all pairs not stored are scored."""
+    mapping = taxonomy.map_taxonomy_incremental(
+        base, comp.where(F.col("retailer").isin(CURRENT)), previous_mapping(base, comp, embeddings), CURRENT, embeddings, MAPPING,
+    )
+    return _rounded(mapping)
+
+
+_STORES: dict[tuple[str, str], taxonomy.MappingStore] = {}
+
+
+def _previous_store(spark: SparkSession, sf: str) -> taxonomy.MappingStore:
+    """The mapping of the earlier nodes in a store of its own, made once per application and folder of tables."""
+    mark = (spark.sparkContext.applicationId, sf)
+    if mark not in _STORES:
+        base, comp, embeddings = (fixture(spark, sf, f) for f in ("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings"))
+        store = taxonomy.MappingStore(spark, Workspace(spark, "mapping").root)
+        store.commit(previous_mapping(base, comp, embeddings), *previous_nodes(base, comp), embeddings)
+        _STORES[mark] = store
+    return _STORES[mark]
+
+
+def taxonomy_previous(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored mapping that `taxonomy_incremental` starts from."""
+    return _rounded(_previous_store(spark, sf).newest()[0])
+
+
+def taxonomy_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Only pairs with a node that the stored version doesn't know are compared."""
+    base, comp, embeddings = (fixture(spark, sf, f) for f in ("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings"))
+    previous, *compared = _previous_store(spark, sf).newest()
     mapping = taxonomy.map_taxonomy_incremental(
-        base, comp.where(F.col("retailer").isin(current)), previous_mapping(base, comp, embeddings), current,
-        embeddings, MAPPING,
+        base, comp.where(F.col("retailer").isin(CURRENT)), previous, CURRENT, embeddings, MAPPING, tuple(compared)
     )
     return _rounded(mapping)
 
 
+QUERIES |= {"taxonomy_previous": taxonomy_previous, "taxonomy_incremental": taxonomy_incremental}
+
+
 @query("fx_catalog")
 def taxonomy_base_nodes(catalog):
     return taxonomy.base_nodes(catalog, TENANT)
@@ -492,14 +529,19 @@ def dedupe_pairs(pairs):
 
 @query("fx_library")
 def latest_snapshot(library):
-    own = relational.latest_snapshot(library, "load_date", F.col("company_code") == TENANT)
+    """Live rows of the newest partition with rows of the tenant; older ones aren't opened."""
+    spark = library.sparkSession
+    stored = Workspace(spark, "library").save(library, "load_date")
+    own = readers.latest_rows(spark, stored._pairloom_path, ["load_date"], F.col("company_code") == TENANT)
     return relational.live(own).select("base_sku", "comp_sku", "load_date", "match")
 
 
 @query("fx_input_precision")
 def latest_composite(ml_input):
-    newest = relational.latest_partition(ml_input, scope=F.col("segment") == SEGMENT)
-    return newest.select("sku", "source_store", "year", "month", "day")
+    spark, parts = ml_input.sparkSession, ["year", "month", "day"]
+    stored = Workspace(spark, "input").save(ml_input, *parts)
+    newest = readers.latest_rows(spark, stored._pairloom_path, parts, F.col("segment") == SEGMENT)
+    return newest.select("sku", "source_store", *parts)
 
 
 @query("fx_library")
