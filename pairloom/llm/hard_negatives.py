@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import attach
-from pairloom.llm.vectors import blocks, every, matrix, packed, products, whole_numbers
+from pairloom.llm.vectors import LEAST, MOST, blocks, every, matrix, packed, products, whole_numbers
 from pairloom.session import Workspace
 
 # Vectors that stay in place while anchors pass by, and anchors compared with them at once.
@@ -158,7 +158,8 @@ def _bounds(block: dict, asked: dict) -> tuple[np.ndarray, np.ndarray, np.ndarra
         zero = np.zeros((len(asked["vec_id"]), len(block["vec_id"])))
         return zero, zero, zero
     with np.errstate(over="ignore", invalid="ignore"):
-        return score_bounds(asked["vec"], block["code"], block["along"], block["off"])
+        # Scores end where 64 bits do, and so do their bounds.
+        return tuple(np.clip(x, LEAST, MOST) for x in score_bounds(asked["vec"], block["code"], block["along"], block["off"]))
 
 
 def _best(k: int) -> Callable:

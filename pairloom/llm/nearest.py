@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from pairloom.llm.common import require_columns
+from pairloom.llm.vectors import LEAST, MOST, matrix, products
 from pairloom.session import Workspace
 
 CELLS = 64
@@ -21,30 +22,33 @@ BORDER_SAMPLE = 1000
 VECTORS_PER_BLOCK, QUERIES_PER_BLOCK = 8192, 2048
 # Vectors read per query and wanted result before the first exact bound is known.
 FIRST_READS = 4
-# Components are integers below this, so sums of products are exact in 64 bits.
-LARGEST = 1 << 23
+# Doubles from here on are whole numbers already.
+WHOLE = float(1 << 52)
+# Sums of doubles are off by far less than this share of what they add up.
+ROUNDING = 1e-12
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and ``v``, each component x as floor(scale * x) in double arithmetic.
+    """vec_id and ``v``, each component x as floor(scale * x), a double that holds a whole number.
 
-    Null vectors and ids, and vectors with a null or non-finite component (or one
-    of 2**23 or more after scaling) are left out. Equal rows count once.
+    Null vectors and ids, and vectors with a component that is null or not finite
+    (before or after scaling) are left out. Equal rows count once.
     """
-    cell = lambda x: F.floor(x.cast("double") * scale)
-    fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double") * scale) < LARGEST))
+    scaled = lambda x: x.cast("double") * scale
+    cell = lambda x: F.when(F.abs(scaled(x)) < WHOLE, F.floor(scaled(x)).cast("double")).otherwise(scaled(x))
+    fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(scaled(x)) < float("inf")))
     rows = require_columns(vectors, ["vec_id", "embedding"]).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     return rows.where(F.coalesce(fits, F.lit(False))).select(
-        "vec_id", F.transform("embedding", lambda x: cell(x).cast("int")).alias("v")
+        "vec_id", F.transform("embedding", cell).alias("v")
     ).dropDuplicates(["vec_id", "v"])
 
 
 def _packed(rows: DataFrame, borders: np.ndarray) -> DataFrame:
-    """vec_id, dim, vec (32-bit integers as bytes), code (the cell of each component as bytes)."""
+    """vec_id, dim, vec (doubles as bytes), code (the cell of each component as bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("v")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<f8")
             sizes = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
             ends = np.cumsum(sizes)
             codes = np.searchsorted(borders, flat, side="right").astype(np.uint8)
@@ -60,10 +64,9 @@ def _packed(rows: DataFrame, borders: np.ndarray) -> DataFrame:
 
 @pandas_udf(LongType())
 def inner_product(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([
-        int(np.dot(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(b, "<i4").astype(np.int64)))
-        for a, b in zip(left, right, strict=True)
-    ], dtype="int64")
+    return pd.Series(
+        [int(products(matrix([a]), matrix([b]))[0, 0]) if a else 0 for a, b in zip(left, right, strict=True)], dtype="int64"
+    )
 
 
 def _borders(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,11 +75,12 @@ def _borders(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low, high = (ends[0] or 0), (ends[1] or 0)
     some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(BORDER_SAMPLE).select("v").collect()
     values = np.array([x for r in some for x in r[0]] or [0])
-    inner = np.unique(np.quantile(values, np.linspace(0, 1, CELLS + 1)[1:-1]).round().astype(np.int64))
+    inner = np.unique(np.quantile(values, np.linspace(0, 1, CELLS + 1)[1:-1]).round())
     inner = inner[(inner > low) & (inner <= high)]
-    # Cell c holds the integers from border c - 1 up to below border c.
+    # Cell c holds the whole numbers from border c - 1 up to below border c.
     first, last = np.concatenate(([low], inner)), np.concatenate((inner - 1, [high]))
-    return inner, (first + last) / 2.0, (last - first) / 2.0
+    middle = first / 2.0 + last / 2.0
+    return inner, middle, np.maximum(middle - first, last - middle)
 
 
 def top_k(
@@ -85,7 +89,8 @@ def top_k(
     """The ``k`` highest inner products of every query row with the other rows, exactly.
 
     query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; a query
-    with fewer partners gets all. Vectors meet only those of their own length.
+    with fewer partners gets all. Scores beyond 64 bits count as the nearest end of
+    that range. Vectors meet only those of their own length.
     Rows that share a query's vec_id aren't its partners; if they differ, the
     smallest vector is the query. No valid rows give no rows.
 
@@ -126,14 +131,17 @@ def top_k(
             middle, width = centre[cells].T, half[cells].T
             for start in range(0, len(asked), 256):
                 part = asked.iloc[start:start + 256]
-                q = np.frombuffer(b"".join(part["query"]), "<i4").reshape(len(part), dim).astype(np.float64)
-                near, slack = q @ middle, np.abs(q) @ width
-                yield part, near + slack, near - slack, part["query_id"].to_numpy()[:, None] == ids[None, :]
+                q = np.frombuffer(b"".join(part["query"]), "<f8").reshape(len(part), dim)
+                # Where sums overflow the bounds are infinite or not numbers, and settle nothing.
+                with np.errstate(over="ignore", invalid="ignore"):
+                    near, slack = q @ middle, np.abs(q) @ (width + ROUNDING * np.abs(middle))
+                high, low = (np.clip(x, LEAST, MOST) for x in (near + slack, near - slack))
+                yield part, high, low, part["query_id"].to_numpy()[:, None] == ids[None, :]
 
     def best_lows(codes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "low": np.zeros(0)})]
         for part, _, low, own in bounds(codes, asked):
-            low[own] = -np.inf
+            low = np.nan_to_num(np.where(own, -np.inf, low), nan=-np.inf, neginf=-np.inf)
             at = max(0, low.shape[1] - k)
             some = np.partition(low, at, axis=1)[:, at:]
             found = pd.DataFrame({"query_id": np.repeat(part["query_id"].to_numpy(), some.shape[1]), "low": some.ravel()})
@@ -144,9 +152,10 @@ def top_k(
         out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "high": np.zeros(0)})]
         for part, high, _, own in bounds(codes, asked):
             least = part["least"].fillna(-np.inf).to_numpy(np.float64)
-            i, j = np.nonzero((high >= least[:, None]) & ~own)
+            i, j = np.nonzero(~(high < least[:, None]) & ~own)
             out.append(pd.DataFrame({
-                "query_id": part["query_id"].to_numpy()[i], "vec_id": codes["vec_id"].to_numpy()[j], "high": high[i, j]
+                "query_id": part["query_id"].to_numpy()[i], "vec_id": codes["vec_id"].to_numpy()[j],
+                "high": np.nan_to_num(high[i, j], nan=np.inf, posinf=np.inf),
             }))
         return pd.concat(out)
 

@@ -82,6 +82,20 @@ def test_block_decisions_reach_aliases(spark):
     assert url_filter.judge(pages.where("false"), RULES).count() == 0 and url_filter.judge(pages, []).where("verdict = 'block'").count() == 0
 
 
+def test_large_components_take_part(spark):
+    rows = [(50, [40000.0, 1.0]), (51, [50000.0, -2.0]), (52, [3e38, 3e38]), (100, [-3e38, 2.0]), (101, [0.5, 0.25]), (102, [2.0**40, 1.0]), (103, [2.0**40, 1.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {tuple(r) for r in nearest.top_k(table, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score").collect()}
+    real = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    clip = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    want = set()
+    for q, v in real:
+        if q % 50 == 0:
+            scored = sorted((-clip(sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(v, w))), i) for i, w in real if i != q)
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])}
+    assert found == want
+
+
 def top_by_hand(rows, k=5):
     good = {}
     for i, v in rows:
@@ -142,6 +156,19 @@ def test_near_groups_of_odd_and_hot_rows(spark, odd_docs):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {d for d, v in found.items() if v[2]}
 
 
+def test_near_copies_are_dropped_row_by_row(spark):
+    """A near copy and a text of its own under one id, copies without an id, and repeated rows."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (2, "something else of its own to keep here"), (None, text + " and"), (None, "alone " * 9 + "x"),
+            (3, "one two three four five"), (3, "one two three four five"), (None, None), (4, ""), (None, "q r s t u v"), (None, "q r s t u v")]
+    docs = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(rows)], "doc_id long, text string, _at int").repartition(3)
+    kept = near_dedup.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    found = sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect())
+    want = [rows[i] for i in (0, 2, 4, 5, 7, 8, 9)]
+    assert found == sorted((str(d), t or "") for d, t in want)
+
+
 def test_near_groups_without_ids_or_rows(spark):
     rows = [(None, "a b"), (3, "a b"), (4, "A\tB"), (None, None)]
     found = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
