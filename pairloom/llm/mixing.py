@@ -65,8 +65,7 @@ def mix(
     often the mix takes the document, ``taken`` = size * repeats. A source repeats
     all its documents as often as its target allows and then those whose hash is
     below a threshold, so that its words come within half a document of the
-    target. Equal hashes (rows that share a doc_id, null included) are decided
-    together. A null source is a source. No rows give no rows.
+    target. Only rows that share doc_id and text are decided together. A null source is a source. No rows give no rows.
 
     The threshold comes from sums of words by source and hash bucket: the bucket
     in which the budget ends is cut into finer ones by the next hash bits, and
@@ -95,15 +94,17 @@ def _repeats() -> Column:
     return F.col("whole") + (F.col("spot") < F.col("below")).cast("long")
 
 
-def hash_spot(doc_id: Column) -> Column:
-    return bits60(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")))
+def hash_spot(doc_id: Column, text: Column) -> Column:
+    """A hash of id and text, so rows that share an id (null included) are decided one by one."""
+    parts = [F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary"))]
+    return bits60(F.md5(F.concat_ws(":", *parts).cast("binary")))
 
 
 def _plan(
     docs: DataFrame, weights: Sequence[float], share: float, most: float, tables: Workspace
 ) -> tuple[DataFrame, DataFrame]:
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = tables.save(docs.select("doc_id", "source", words.alias("size"), hash_spot(F.col("doc_id")).alias("spot")))
+    rows = tables.save(docs.select("doc_id", "source", words.alias("size"), hash_spot(F.col("doc_id"), F.col("text")).alias("spot")))
     sources = tables.save(targets(source_sizes(rows, weights, tables), share, most, tables))
     few = sources.count() <= FEW_SOURCES
     plan = thresholds(rows, sources, few, tables).select(
@@ -157,7 +158,8 @@ def thresholds(rows: DataFrame, sources: DataFrame, few: bool, tables: Workspace
         open_, depth = fresh, deeper
     # One hash is left: it is taken if that comes nearer to what is wanted.
     nearer = F.col("before") * 2 + F.col("held") <= F.col("wanted") * 2
-    return open_.withColumn("below", F.col("cell") + nearer.cast("long")).drop("cell", "before", "held", "wanted")
+    below = F.when(F.col("wanted") > 0, F.col("cell") + nearer.cast("long")).otherwise(F.lit(0).cast("long"))
+    return open_.withColumn("below", below).drop("cell", "before", "held", "wanted")
 
 
 def mixed(
@@ -168,7 +170,7 @@ def mixed(
     _, plan = _plan(require_columns(docs, ["doc_id", "text", "source"]), weights, share, most, tables)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").alias("source"),
-        hash_spot(F.col("doc_id")).alias("spot"),
+        hash_spot(F.col("doc_id"), F.col("text")).alias("spot"),
     )
     taken = _planned(rows, plan).withColumn("_times", _repeats().cast("int"))
     again = taken.where(F.col("_times") > 0).select("_row", F.explode(F.expr("sequence(1, _times)")).alias("_time"))

@@ -40,7 +40,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # How buckets split depends on the index and not on the rows' meaning.
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("bucket_depth", "bucket")
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("bucket_depth", "bucket", "link")
 
 
 ORACLES["op6_exact_dedup"] = """
@@ -60,7 +60,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_mixing"] = r"""
 with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as spot
+         ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 15))::bigint as spot
   from documents
 ), sources as (
   select source, sum(size)::bigint as source_size,

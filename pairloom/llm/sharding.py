@@ -79,12 +79,17 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, tables: Workspa
     """Write ``docs`` with all its columns as one folder per shard and part below ``path``.
 
     Rows are numbered in a saved table and shards are joined back on the number,
-    so rows that share a doc_id (null included) may fill any number of parts.
+    so rows that share a doc_id (null included) may fill any number of parts. The
+    folders are named by the column ``shard``; if ``docs`` has one of its own, by
+    ``shard_``, or with as many more underscores as it takes.
     """
+    name = "shard"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
     tables = tables or Workspace(docs.sparkSession, "shard")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     numbered = tables.save(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_at")))
     ids = numbered.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), "_at")
     shards = _assigned(ids, limit, tables, "_at").select("_at", "shard")
-    placed = numbered.join(shards, "_at").select("_row.*", "shard")
-    placed.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    placed = numbered.join(shards, "_at").select("_row.*", F.col("shard").alias(name))
+    placed.repartition(name).write.mode("overwrite").partitionBy(name).parquet(path)

@@ -37,6 +37,37 @@ def test_exact_groups(spark, odd_docs, key_bits):
     assert {r["doc_id"] for r in found if r["kept"]} == {r["keep_id"] for r in found}
 
 
+@pytest.mark.parametrize("key_bits", [60, 1, 0])
+def test_exact_groups_with_null_and_repeated_ids(spark, key_bits):
+    rows = [(None, "a"), (3, "a"), (None, "a"), (1, "b"), (None, None), (None, ""), (3, "c"), (3, "c"), (4, "b"), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [(r["doc_id"], r["text_sha256"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(docs, capacity=1, key_bits=key_bits).collect()]
+    same = defaultdict(list)
+    for doc_id, text in rows:
+        same[text or ""].append(doc_id)
+    keep = {t: max((d for d in ids if d is not None), default=None) for t, ids in same.items()}
+    want = [(d, hashlib.sha256((t or "").encode()).hexdigest(), keep[t or ""], len(same[t or ""]), d == keep[t or ""]) for d, t in rows]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_groups_come_from_the_owners_chains(spark, monkeypatch, odd_docs):
+    """What the owners of the key ranges say is what rows get: without chains only texts that come once have a group."""
+    real = exact_dedup._chains
+    monkeypatch.setattr(exact_dedup, "_chains", lambda texts: real(texts).withColumn("keep_id", F.lit(-7).cast("long")))
+    found = exact_dedup.exact_groups(odd_docs).collect()
+    assert {r["keep_id"] for r in found if r["group_size"] > 1} == {-7}
+    assert all(r["keep_id"] == r["doc_id"] for r in found if r["group_size"] == 1)
+
+
+def test_chains_number_different_texts_of_a_key(spark):
+    texts = [(1, 5, "x"), (2, 5, "y"), (3, 5, "x"), (None, 5, "y"), (4, 6, "x"), (9, 6, "x")]
+    found = exact_dedup._chains(spark.createDataFrame(texts, "doc_id long, key long, text string").repartition(4)).collect()
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r["key"], r["link"], r["links"], r["text_sha256"], r["group_size"], r["keep_id"]) for r in found) == [
+        (5, 1, 2, digest("x"), 2, 3), (5, 2, 2, digest("y"), 2, 2), (6, 1, 1, digest("x"), 2, 9),
+    ]
+
+
 def test_exact_groups_with_a_hot_text(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
     found = exact_dedup.exact_groups(docs, capacity=64)
@@ -95,6 +126,21 @@ def test_write_shards(spark, tmp_path, odd_docs):
     assert again.count() == odd_docs.count() and set(odd_docs.columns) < set(again.columns)
 
 
+def test_write_shards_with_a_column_of_that_name(spark, tmp_path, odd_docs):
+    docs = odd_docs.withColumn("shard", F.lit("mine")).withColumn("SHARD_", F.lit("too"))
+    sharding.write_shards(docs, str(tmp_path / "s"), 200_000)
+    again = spark.read.parquet(str(tmp_path / "s"))
+    assert set(again.columns) == {*docs.columns, "shard__"}
+    assert Counter((r["doc_id"], r["shard"]) for r in again.collect()) == Counter((r["doc_id"], "mine") for r in docs.collect())
+
+
+def test_mix_decides_rows_without_ids_one_by_one(spark):
+    docs = spark.createDataFrame([(None, "w " * n, s) for s in "ab" for n in range(1, 200)], "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    taken = sum(r["taken"] for r in found if r["target"] == found[0]["target"])
+    assert abs(taken - found[0]["target"]) <= 200 / 2 and len({r["repeats"] for r in found}) > 1
+
+
 def mix_by_hand(rows, weights=(3, 1, 2)):
     """rows: (doc_id, size, source); the whole-document mix, source by source."""
     sizes = Counter()
