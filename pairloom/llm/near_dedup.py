@@ -101,5 +101,25 @@ def near_groups(
 
 
 def drop_near_copies(docs: DataFrame, tables: Workspace | None = None) -> DataFrame:
-    """``docs`` with all its columns and one document of each group, the one with the smallest doc_id."""
-    return without_rows(docs, near_groups(docs, tables).where(~F.col("kept") & F.col("doc_id").isNotNull()))
+    """``docs`` with all its columns and one row of each group: the one with the smallest doc_id.
+
+    Where rows share that doc_id, or none of a group has one, one of them stays.
+    Texts without shingles are in no group and all stay, as do rows that share a
+    doc_id with a copy but not its text. If doc_ids repeat or are missing, the rows
+    are numbered in a saved table first.
+    """
+    tables = tables or Workspace(docs.sparkSession, "near")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty():
+        return without_rows(docs, near_groups(docs, tables).where(~F.col("kept")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = tables.save(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_at")))
+    named = rows.select(F.col("_at").alias("doc_id"), F.col("_row.text").alias("text"))
+    found = tables.save(near_groups(named, tables).select(F.col("doc_id").alias("_at"), "component_id"))
+    groups = found.where(F.col("_at") != F.col("component_id")).select("component_id").distinct()
+    members = found.join(groups.hint("merge"), "component_id", "left_semi")
+    members = tables.save(members.join(rows.select("_at", F.col("_row.doc_id").alias("doc_id")).hint("merge"), "_at"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_at")
+    stays = members.groupBy("component_id").agg(F.min(order).alias("_first")).select(F.col("_first._at").alias("_at"))
+    dropped = members.join(stays.hint("merge"), "_at", "left_anti")
+    return without_rows(rows, dropped, "_at").select("_row.*")
