@@ -69,8 +69,9 @@ def _joined(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
 class Paragraphs:
     """The paragraphs of one text that are long enough: their first words, lengths and shingles.
 
-    ``anchors`` are the first words of runs of MIN_PASSAGE words, with ``run_ids``;
-    ``steps`` are ids of the words from each anchor to the next (0 for the last).
+    After ``find_runs`` the ``anchors`` are the first words of runs of MIN_PASSAGE
+    words, with ``run_ids``; ``steps`` are ids of the words from each anchor to the
+    next (0 for the last).
     """
 
     def __init__(self, raw: bytes | None):
@@ -93,7 +94,9 @@ class Paragraphs:
         self.shingles = _combined(marks, WIDTH) if len(marks) >= WIDTH else np.zeros(0, np.uint64)
         self.marks = marks
         self.ids = self._ids(self.first, self.last)
-        starts = len(marks) - MIN_PASSAGE + 1
+
+    def find_runs(self) -> Paragraphs:
+        starts = len(self.marks) - MIN_PASSAGE + 1
         self.anchors = np.zeros(0, np.int64)
         if starts > 0:
             least = _least(self.shingles[:starts], WINDOW)
@@ -101,6 +104,7 @@ class Paragraphs:
         # Apart from paragraphs of the same words, or a run would count as a copy of the paragraph that it stands in.
         self.run_ids = self._ids(self.anchors, self.anchors + MIN_PASSAGE) ^ np.int64(0x5851F42D4C957F2D)
         self.steps = np.concatenate((self._ids(self.anchors[:-1], self.anchors[1:]), np.zeros(min(1, len(self.anchors)), np.int64)))
+        return self
 
     def _ids(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Equal word sequences have equal ids: a polynomial of the words from each sequence's start."""
@@ -163,7 +167,7 @@ def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinHash(bands, rows)
         for batch in batches:
-            found = list(_texts(batch)) or [Paragraphs(None)]
+            found = [p.find_runs() for p in _texts(batch)] or [Paragraphs(None).find_runs()]
             keys = [np.zeros((0, bands), np.int32)]
             for p in found:
                 if len(p.ids):
@@ -198,12 +202,16 @@ def _bit_map(ids: DataFrame, bits: int) -> np.ndarray:
     return filled
 
 
-def _details(docs: DataFrame, ids: DataFrame, bands: int, rows: int) -> DataFrame:
+def _details(docs: DataFrame, ids: DataFrame, holders: DataFrame, bands: int, rows: int) -> DataFrame:
     """id, signature and full shingle set of the paragraphs that may be in ``ids``.
 
-    Workers leave others out by a bit map, whose size doesn't depend on the data.
+    ``holders`` (id, doc_id) names a document of each paragraph; only texts that are
+    one are read again. Workers leave other paragraphs out by a bit map, whose size
+    doesn't depend on the data.
     """
     bits = 1 << 26
+    needed = holders.join(ids.hint("merge"), "id", "left_semi").select("doc_id")
+    docs = maybe_in(docs, "doc_id", needed, "_maybe").where("_maybe")
     shared = docs.sparkSession.sparkContext.broadcast(_bit_map(ids, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +249,7 @@ def _fringes(docs: DataFrame, ends: DataFrame) -> DataFrame:
         table = shared.value
         for batch in batches:
             whose, first, before, after = [], [], [], []
-            for n, p in enumerate(_texts(batch)):
+            for n, p in enumerate(p.find_runs() for p in _texts(batch)):
                 place = p.run_ids % bits
                 small = p.marks.astype("<u4")
                 for a in p.anchors[((table[place >> 3] >> (place & 7)) & 1).astype(bool)].tolist():
@@ -347,15 +355,19 @@ def repeated_passages(
     """
     docs = require_columns(docs, ["doc_id", "text"]).where(F.col("doc_id").isNotNull())
     tables = tables or Workspace(docs.sparkSession, "passages")
-    seen = tables.save(_occurrences(docs, bands, rows))
+    # Paragraphs and runs are stored apart, so banding doesn't read the many runs.
+    seen = tables.save(_occurrences(docs, bands, rows), "run")
     apart = lambda x, i: F.shiftleft(i.cast("long"), 32) + x  # noqa: E731  bands don't share buckets
+    size = [F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")]
+    once = tables.save(seen.where(~F.col("run")).groupBy("id").agg(*size))
     items = seen.where(~F.col("run")).select("id", F.transform("bands", apart).alias("buckets"))
-    details = lambda ids: _details(docs, ids, bands, rows)
+    details = lambda ids: _details(docs, ids, once.select("id", F.col("_low").alias("doc_id")), bands, rows)
     found = linked_components(items, details, bands, rows, per_cent, miss, tables)
     found = tables.save(found.select(F.col("node").alias("id"), "component"))
 
-    counts = seen.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"))
-    known = counts.join(found, "id", "left").where(F.col("component").isNotNull() | (F.col("_low") != F.col("_high")))
+    counts = seen.where("run").groupBy("id").agg(*size).withColumn("component", F.lit(None).cast("long"))
+    counts = counts.where(F.col("_low") != F.col("_high")).unionByName(once.join(found, "id", "left"))
+    known = counts.where(F.col("component").isNotNull() | (F.col("_low") != F.col("_high")))
     known = tables.save(known.select("id", "_n", F.coalesce("component", "id").alias("component_id")))
     total, seen = max(1, seen.count()), seen.drop("bands")
     near = maybe_in(seen, "id", known, "_maybe").where("_maybe").drop("_maybe")
