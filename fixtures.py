@@ -196,6 +196,14 @@ SQL |= {
     "fx_titles": """
         select b.p_name as base_title, c.p_name as comp_title, l_orderkey, l_linenumber
         from {lineitem} join {part} b on l_partkey = b.p_partkey join {part} c on l_suppkey = c.p_partkey""",
+    "fx_lemmas": """
+        select distinct word, substr(word, 1, 3) as lemma from (
+          select split_part(p_name, ' ', 1) as word from {part} union all select split_part(p_name, ' ', 2) as word from {part}
+        ) w where length(word) > 3""",
+    "fx_finished": """
+        select concat('s3://inbox/drop/company_code=u', cast(user_id as varchar(20)), '/product_segment=', event_type, '/load_date=',
+          cast(cast(ts as date) as varchar(10)), '/') as input_prefix, ts
+        from {events} where event_id % 3 = 0 and event_type <> 'view'""",
     "fx_title_embeddings": """
         select n.title, e.embedding from
           (select title, HASH(title) % (select count(*) from {embeddings}) as vec_id from (select distinct p_name as title from {part}) p) n

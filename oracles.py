@@ -365,11 +365,15 @@ TRAINING_FIXTURES = ["fx_library", "fx_reviews", "fx_catalog", "fx_warehouse"]
 oracle("training_pairs", TRAINING_FIXTURES, _training())
 
 
-def grams(text: str, stop: str = STOP) -> str:
-    """Words of two letters or more without stop words, then their bigrams."""
-    words = (f"list_filter(string_split(trim(regexp_replace(lower({text}), '[^a-z]+', ' ', 'g')), ' '), "
-             f"lambda w: len(w) >= 2 and w not in ({stop}))")
-    return f"(select list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from (select {words} as w))"
+def grams(text: str, stop: str = STOP, lemmas: str | None = None) -> str:
+    """Words of two letters or more without stop words, then their bigrams; ``lemmas`` is a table of (word, lemma)."""
+    words = f"string_split(trim(regexp_replace(lower({text}), '[^a-z]+', ' ', 'g')), ' ')"
+    source = ""
+    if lemmas:
+        source = f" from (select map_from_entries(list((word, lemma))) as known from {lemmas})"
+        words = f"list_transform(list_filter({words}, lambda w: w not in ({stop})), lambda w: coalesce(known[w], w))"
+    words = f"list_filter({words}, lambda w: len(w) >= 2 and w not in ({stop}))"
+    return f"(select list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from (select {words} as w{source}))"
 
 
 def tfidf_ctes(docs: str, fit: str, terms: str, features: int, sublinear: bool = False, p: str = "") -> str:
@@ -403,6 +407,11 @@ oracle("tfidf_similarity", ["fx_titles"], f"""
     {tfidf_ctes('titles', 'titles', grams('text', english()), 5000)},
     scores as ({pair_scores('pairs', 3)})
     select t.*, tfidf_similarity from fx_titles t join scores using (base_title, comp_title)""")
+oracle("tfidf_lemmas", ["fx_titles", "fx_lemmas"], f"""
+    with pairs as (select distinct base_title, comp_title from fx_titles), {TITLE_DOCS},
+    {tfidf_ctes('titles', 'titles', grams('text', lemmas='fx_lemmas'), 5000)},
+    scores as ({pair_scores('pairs', 3)})
+    select t.*, tfidf_similarity from fx_titles t join scores using (base_title, comp_title)""")
 oracle("training_similarity", [*TRAINING_FIXTURES, "fx_title_embeddings"], f"""
     with training as ({_training()}), pairs as (select distinct base_title, comp_title from training), {TITLE_DOCS},
     {tfidf_ctes('titles', 'titles', grams('text'), 5000)},
@@ -581,11 +590,13 @@ oracle("recall_summary", ["fx_recall"], f"""
       cast(sum(removed) as bigint) as removed, cast(sum(malformed) as bigint) as malformed from ({STATS}) group by 1""")
 
 
-def _drops() -> str:
+def _drops(runs: bool = False) -> str:
     def part(name: str) -> str:
         return f"nullif(regexp_extract(k, '(?:^|.*/){name}=([^/]+)(?:/|$)', 1), '')"
 
     names = ["company_code", "product_segment", "load_date"]
+    run = "(select count(distinct f.ts) from fx_finished f where f.input_prefix = j.prefix and f.ts <= j.ts)" if runs else "0"
+    shown = "" if runs else ", ".join(names) + ","
     values = ", ".join(f"{part(n)} as {n}" for n in names)
     absent = "concat_ws(', ', " + ", ".join(f"case when {n} is null then '{n}' end" for n in names) + ")"
     return f"""
@@ -593,14 +604,16 @@ def _drops() -> str:
     parts as (select event_id, ts, k, {values} from decoded),
     judged as (select *, case when not suffix(k, '_SUCCESS') then 'suffix mismatch' when {absent} <> '' then 'missing ' || {absent} end as why,
       's3://inbox/' || regexp_replace(k, '[^/]*$', '') as prefix from parts),
-    numbered as (select *, row_number() over (partition by prefix, why is null order by ts, event_id nulls last, k) as nth from judged)
-    select event_id, k as key, {', '.join(names)},
+    started as (select *, {run} as run from judged j),
+    numbered as (select *, row_number() over (partition by prefix, run, why is null order by ts, event_id nulls last, k) as nth from started)
+    select event_id, k as key, {shown}
       case when why is not null then 'ignored' when nth = 1 then 'accepted' else 'skipped' end as action,
       case when why is not null then why when nth > 1 then 'repeated event' end as reason,
       case when why is null then prefix end as input_prefix from numbered"""
 
 
 oracle("drop_events", ["fx_events"], _drops())
+oracle("drop_runs", ["fx_events", "fx_finished"], _drops(runs=True))
 
 
 # --- keys, text and values ---------------------------------------------------

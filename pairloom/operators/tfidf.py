@@ -21,6 +21,18 @@ def term_counts(docs: DataFrame, key: str, terms: Column) -> DataFrame:
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def row_counts(docs: DataFrame, key: str, terms: Column) -> DataFrame:
+    """`term_counts` of short texts under a unique ``key``: a row counts its own terms, so nothing is shuffled.
+
+    Each term is compared with all of its text, which suits titles and not documents.
+    """
+    listed = docs.select(key, terms.alias("_terms"))
+    count = F.transform(F.array_distinct("_terms"), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter("_terms", lambda o: o == t)).cast("long").alias("tf")
+    ))
+    return listed.select(key, F.explode(count).alias("_count")).select(key, "_count.term", "_count.tf")
+
+
 def vocabulary(counts: DataFrame, docs: DataFrame, max_features: int) -> DataFrame:
     """(term, term_id, idf) of the ``max_features`` most frequent terms, ties alphabetical.
 

@@ -165,6 +165,11 @@ def tfidf_similarity(titles):
     return scorers.run_scorers(titles, [scorers.tfidf_scorer()])
 
 
+@query("fx_titles", "fx_lemmas")
+def tfidf_lemmas(titles, lemmas):
+    return scorers.run_scorers(titles, [scorers.tfidf_scorer(STOP_WORDS, lemmas)])
+
+
 @query("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse", "fx_title_embeddings")
 def training_similarity(library, reviews, catalog, warehouse, embeddings):
     rows = training_pairs(library, reviews, catalog, warehouse)
@@ -355,6 +360,12 @@ def drop_events(events):
     )
 
 
+@query("fx_events", "fx_finished")
+def drop_runs(events, finished):
+    """Several runs per prefix, each from its first event until it is reported finished."""
+    return drops.accept_once(events, finished=finished).select("event_id", "key", "action", "reason", "input_prefix")
+
+
 # --- keys, text and values ---------------------------------------------------
 
 @query("fx_pairs")
