@@ -93,7 +93,9 @@ def _with_run(counted: DataFrame, finished: DataFrame | None, time: str, hot: sk
     return found.withColumn("_run", F.when(F.col("_ends").isNull(), 0).otherwise(F.size(before))).drop("_ends")
 
 
-def accept_stream(events: DataFrame, time: str = "ts", delay: str = "1 hour", finished: DataFrame | None = None) -> DataFrame:
+def accept_stream(
+    events: DataFrame, time: str = "ts", delay: str = "1 hour", finished: DataFrame | None = None, late: str = "10 minutes"
+) -> DataFrame:
     """Stream: which events start a run.
 
     Without ``finished`` the accepted events, one per prefix within the watermark
@@ -102,7 +104,8 @@ def accept_stream(events: DataFrame, time: str = "ts", delay: str = "1 hour", fi
     comes out as ``accepted`` or ``skipped``: a prefix is in flight from its
     accepted event until it is reported finished, or for ``delay`` if that never
     happens. The events of a prefix are taken by time within a trigger; its state
-    is one time, and a timer drops it.
+    is one time, and a timer drops it. Rows more than ``late`` behind the newest
+    ones are left out.
     """
     accepted = classify(events).where("action = 'accepted'")
     if finished is None:
@@ -113,7 +116,7 @@ def accept_stream(events: DataFrame, time: str = "ts", delay: str = "1 hour", fi
     payload = F.struct(*columns).alias("_event")
     starts = accepted.select("input_prefix", F.col(time).alias("_at"), payload)
     ends = finished.select("input_prefix", F.col(time).alias("_at"), F.lit(None).cast(starts.schema["_event"].dataType).alias("_event"))
-    both = starts.unionByName(ends).withWatermark("_at", "0 seconds")
+    both = starts.unionByName(ends).withWatermark("_at", late)
 
     def guard(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:

@@ -178,16 +178,21 @@ def test_incremental_over_a_full_mapping_changes_nothing(spark):
     same(full, taxonomy.map_taxonomy_incremental(base, comp, part, names, vectors, replace(W.MAPPING, fit_on="all")))
 
 
+def counted_meetings(monkeypatch):
+    """Numbers of base and comp nodes that are scored against each other from now on."""
+    met, real = [], taxonomy._scored
+    monkeypatch.setattr(taxonomy, "_scored", lambda b, c, *a: met.append((b.count(), c.count())) or real(b, c, *a))
+    return met
+
+
 def test_incremental_scores_nothing_for_an_unchanged_input(spark, monkeypatch):
     base, comp, vectors = nodes(spark)
     names = ["africa", "america", "asia", "europe", "middle east"]
     full = cut_lineage(taxonomy.map_taxonomy(base, comp, vectors, W.MAPPING))
-    met = []
-    real = taxonomy._scored
-    monkeypatch.setattr(taxonomy, "_scored", lambda b, c, *a: met.append((b.count(), c.count())) or real(b, c, *a))
+    met = counted_meetings(monkeypatch)
     same(full, taxonomy.map_taxonomy_incremental(base, comp, full, names, vectors, W.MAPPING, compared=(base, comp)))
     assert met == []
-    old = (base.where("category <> 'SMALL'"), comp.where("retailer <> 'asia'"))
+    old = W.previous_nodes(base, comp)
     known = full.where("base_category <> 'SMALL' and retailer <> 'asia'")
     config = replace(W.MAPPING, fit_on="all")
     # Blocks of another shape may differ in the last digit of a product.
@@ -197,6 +202,43 @@ def test_incremental_scores_nothing_for_an_unchanged_input(spark, monkeypatch):
     assert met == [(small, comp.count()), (base.count() - small, asia)]
 
 
+def test_mapping_store(spark, tmp_path, monkeypatch):
+    """Runs one after the other: first in full, then nothing, then only changed and new nodes."""
+    base, comp, vectors = (cut_lineage(t) for t in nodes(spark))
+    names, config = ["africa", "america", "asia", "europe", "middle east"], replace(W.MAPPING, fit_on="all")
+    store = taxonomy.MappingStore(spark, str(tmp_path / "m"))
+    met = counted_meetings(monkeypatch)
+    full = taxonomy.update_mapping(base, comp, names, vectors, config, store)
+    n_base, n_comp = base.count(), comp.count()
+    assert store.newest() is not None and met == [(n_base, n_comp)]
+    same(full, taxonomy.update_mapping(base, comp, names, vectors, config, store))
+    assert len(met) == 1
+    # One base node's text gets another embedding: it alone meets all competitors again, and its earlier rows go.
+    best = full.orderBy(F.desc("combined_score"), *taxonomy.PAIR_KEYS).first()
+    text = " ".join(best[c] for c in taxonomy.BASE if best[c])
+    turned = vectors.withColumn("embedding", F.when(F.col("title") == text, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding")))
+    changed = taxonomy.update_mapping(base, comp, names, turned, config, store)
+    assert len(met) == 2 and met[1][0] < 5 and met[1][1] == n_comp
+    same(W._rounded(changed), W._rounded(taxonomy.map_taxonomy(base, comp, turned, config)))
+    # A node that is gone for a run and comes back isn't compared again.
+    fewer = base.where("category <> 'SMALL'")
+    taxonomy.update_mapping(fewer, comp, names, turned, config, store)
+    calls = len(met)
+    taxonomy.update_mapping(base, comp, names, turned, config, store)
+    assert len(met) == calls
+
+
+def test_a_mapping_that_stops_before_its_manifest_changes_nothing(spark, tmp_path, monkeypatch):
+    base, comp, vectors = nodes(spark)
+    store = taxonomy.MappingStore(spark, str(tmp_path / "m"))
+    mapping = spark.createDataFrame([], taxonomy.map_taxonomy(base.limit(1), comp.limit(1), vectors, W.MAPPING).schema)
+    store.commit(mapping, base.limit(2), comp.limit(1), vectors)
+    monkeypatch.setattr(taxonomy.versions, "commit", lambda *_: (_ for _ in ()).throw(OSError()))
+    with pytest.raises(OSError):
+        store.commit(mapping, base, comp, vectors)
+    assert store.newest()[1].count() == 2
+
+
 def test_incremental_drops_retailers_and_vanished_nodes(spark):
     levels = "category string, subcategory string, sub_subcategory string"
     base = spark.createDataFrame([("SMALL", "toys", None), ("PROMO", "toys", None), ("PROMO", "food", "raw")], levels)
@@ -341,3 +383,43 @@ def test_drop_stream_forgets_after_the_delay(spark, tmp_path):
     got = sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
     # Of the first two, within the delay, one counts; after it the drop is accepted anew.
     assert got[0] in (0, 1) and got[1:] == [2, 3, 4]
+
+
+def drop_events_of(spark, folder, rows, ddl, order):
+    """One file per row, taken by a stream in this order."""
+    spark.createDataFrame([rows], ddl).withColumn("ts", F.timestamp_seconds("at")).coalesce(1).write.parquet(str(folder / f"{order}"))
+    for file in (folder / f"{order}").glob("*.parquet"):
+        os.utime(file, (1_700_000_000 + order, 1_700_000_000 + order))
+
+
+def test_drop_stream_releases_a_prefix_when_its_run_ends(spark, tmp_path):
+    """Drops at 0, 10, 30, 45 and 300 minutes; the run ends at 20, so the drop at 30 starts another, and one that never ends expires."""
+    key, prefix = "in/company_code={}/product_segment=p/load_date=d/_SUCCESS", "s3://b/in/company_code={}/product_segment=p/load_date=d/"
+    events, ends = "event_id long, bucket string, key string, at long", "input_prefix string, at long"
+    for n, (who, minute) in enumerate([("a", 0), ("a", 10), ("b", 15), ("a", 30), ("a", 45), ("a", 300), ("b", 310)]):
+        drop_events_of(spark, tmp_path / "in", (n, "b", key.format(who), 1_700_000_000 + minute * 60), events, n)
+    drop_events_of(spark, tmp_path / "done", (prefix.format("a"), 1_700_000_000 + 20 * 60), ends, 0)
+    read = lambda name, ddl: spark.readStream.schema(schemas.struct(ddl + ", ts timestamp")).parquet(str(tmp_path / name / "*"))
+    stream = drops.accept_stream(read("in", events), delay="2 hours", finished=read("done", ends))
+    run = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+    run.start(str(tmp_path / "out")).awaitTermination(120)
+    got = {r["event_id"]: (r["action"], r["reason"], r["input_prefix"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    busy = "skipped", "in flight"
+    assert {k: v[:2] for k, v in got.items()} == {
+        0: ("accepted", None), 1: busy, 2: ("accepted", None), 3: ("accepted", None), 4: busy, 5: ("accepted", None), 6: ("accepted", None),
+    }
+    assert got[2][2] == prefix.format("b")
+
+
+def test_runs_of_a_hot_prefix_and_of_null_times(spark):
+    """Batch: a third of the events under one prefix, a third ignored ones without prefix; the hot one is spread and judged alike."""
+    key = "in/company_code={}/product_segment=p/load_date=d/_SUCCESS"
+    rows = [(i, "b", key.format("hot") if i % 3 == 0 else "x" if i % 3 == 1 else key.format(i), i if i % 30 else None) for i in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, bucket string, key string, at long").withColumn("ts", F.timestamp_seconds("at"))
+    prefix = "s3://b/in/company_code=hot/product_segment=p/load_date=d/"
+    ends = spark.createDataFrame([(prefix, 100), (prefix, 301), ("s3://none/", 5), (None, 6)], "input_prefix string, at long").withColumn("ts", F.timestamp_seconds("at"))
+    for parts in (1, 50):
+        found = drops.accept_once(events, finished=ends, hot_parts=parts)
+        assert found.count() == 600 and found.where("action = 'ignored'").count() == 200
+        starts = [r["event_id"] for r in found.where("action = 'accepted'").where(F.col("input_prefix") == prefix).orderBy("at").collect()]
+        assert starts == [3, 102, 303]
