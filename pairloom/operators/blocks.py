@@ -14,10 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import dot
 from .relational import top_rows
+from .skew import hot_keys, join_spread
+from .tfidf import sparse_dot
 
 POSTINGS_PER_BLOCK = 1_000_000
 ROWS_PER_BLOCK = 32_768
@@ -26,6 +29,10 @@ NODES_PER_BLOCK = 8_192
 # Within a block, this many vectors of one side are scored at a time.
 SLICE = 256
 PIVOTS = 32
+# Sparse products from here on are found by shared terms, those below by the embeddings.
+TEXT = 0.5
+# Room left below a threshold for the caller's rounding.
+MARGIN = 2e-4
 
 
 def _blocks(df: DataFrame, rows_limit: int) -> int:
@@ -135,9 +142,16 @@ def scored_above(
     comp_<key>, embedding_similarity, tfidf_similarity), unrounded; the caller
     rounds and applies the threshold, so a small margin is left here.
 
-    Vectors are assigned to the nearest of a few pivots. Since angles obey the
-    triangle inequality, two cells whose best possible score stays below the
-    threshold are never compared; the other cells are compared in blocks.
+    A pair's sparse vectors are either at least ``TEXT`` alike, or not:
+
+    * Those that are share a term of both prefixes (`prefix_pairs`); only such
+      pairs are put together and scored.
+    * For the others the sparse score is below ``TEXT``, so the embeddings have to
+      reach the rest. Vectors are assigned to the nearest of a few pivots; by the
+      triangle inequality of angles, cells that can't reach it are never compared.
+      Other cells meet in blocks, where the sparse score is taken only for pairs
+      whose embeddings reach it.
+
     Inputs are read several times, so hand in checkpointed frames.
     """
     base, comp = (side.where(F.col("embedding").isNotNull()) for side in (base, comp))
@@ -151,6 +165,7 @@ def scored_above(
         return spark.createDataFrame([], schema)
     pivots = np.array([r["embedding"] for r in chosen], dtype="float64")
     pivots /= np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-12)
+    alike = _scored_alike(base, comp, threshold, weights, key)
     base, comp = _in_cells(base, key, pivots), _in_cells(comp, key, pivots)
     plan = _cell_plan(spark, base, comp, pivots, threshold, weights)
 
@@ -165,21 +180,68 @@ def scored_above(
         F.pmod(F.xxhash64(key), F.col("cn")).alias("cb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bn") - 1)).alias("bb"),
     )
-    margin = threshold - 2e-4
+    margin = threshold - MARGIN
 
     def compare(b: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(b) and len(c):
-            vectors, b_keys, postings = _dense(b), b[key].to_numpy(dtype=object), _flat(b)
+            vectors, b_keys = _dense(b), b[key].to_numpy(dtype=object)
             for part in _slices(c):
                 dense = vectors @ _dense(part).T
-                sparse = _sparse_scores(postings, len(b), part)
-                i, j = np.nonzero(weights[0] * dense + weights[1] * sparse >= margin)
-                found.append((b_keys[i], part[key].to_numpy(dtype=object)[j], dense[i, j], sparse[i, j]))
+                near = weights[0] * dense + weights[1] * TEXT >= margin
+                rows = np.flatnonzero(near.any(axis=1))
+                if not len(rows):
+                    continue
+                sparse = _sparse_scores(_flat(b.iloc[rows]), len(rows), part)
+                dense = dense[rows]
+                i, j = np.nonzero(near[rows] & (weights[0] * dense + weights[1] * sparse >= margin))
+                found.append((b_keys[rows[i]], part[key].to_numpy(dtype=object)[j], dense[i, j], sparse[i, j]))
         return _stacked([f"base_{key}", f"comp_{key}", "embedding_similarity", "tfidf_similarity"], found)
 
     grid = ["bc", "bb", "cc", "cb"]
-    return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(compare, schema)
+    near = left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(compare, schema)
+    # Pairs near in both ways come from both sides.
+    return near.unionByName(alike).dropDuplicates([f"base_{key}", f"comp_{key}"])
+
+
+def prefix_pairs(base: DataFrame, comp: DataFrame, least: float, key: str = "text") -> DataFrame:
+    """Pairs (base_<key>, comp_<key>) that hold all whose unit sparse vectors have a product of ``least`` or more.
+
+    Terms are ordered by their number of texts, the rarest first. The prefix of a
+    vector ends where what follows is shorter than ``least``. Vectors whose
+    prefixes share no term have all common terms behind the prefix of one of them,
+    so their product is below ``least``. Frequent terms come last and are in few
+    prefixes; those that still hold many rows are spread.
+    """
+    sides = {
+        name: side.where(F.size(F.coalesce("ids", F.array().cast("array<int>"))) > 0)
+        .select(F.col(key).alias(f"{name}_{key}"), F.explode(F.arrays_zip("ids", "weights")).alias("_p"))
+        .select(f"{name}_{key}", F.col("_p.ids").alias("term"), F.col("_p.weights").alias("w"))
+        for name, side in (("base", base), ("comp", comp))
+    }
+    df = sides["base"].select("term").union(sides["comp"].select("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    prefixes = {}
+    for name, postings in sides.items():
+        rest = Window.partitionBy(f"{name}_{key}").orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, 0)
+        known = postings.join(df, "term").withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(rest))
+        prefixes[name] = known.where(F.col("_rest") >= least * least - 1e-9).select(f"{name}_{key}", "term")
+    hot = hot_keys(prefixes["base"], ["term"])
+    return join_spread(prefixes["base"], prefixes["comp"], ["term"], "inner", hot).drop("term").distinct()
+
+
+def _scored_alike(base: DataFrame, comp: DataFrame, threshold: float, weights: tuple[float, float], key: str) -> DataFrame:
+    """The pairs of `prefix_pairs` that reach the threshold, with both scores."""
+    pairs = prefix_pairs(base, comp, TEXT, key)
+    for name, side in (("base", base), ("comp", comp)):
+        vectors = side.select(F.col(key).alias(f"{name}_{key}"), *[F.col(c).alias(f"_{name}_{c}") for c in ("embedding", "ids", "weights")])
+        pairs = pairs.join(vectors, f"{name}_{key}")
+    dense = dot(F.col("_base_embedding"), F.col("_comp_embedding"))
+    sparse = sparse_dot(*[F.col(f"_{s}_{c}") for s in ("base", "comp") for c in ("ids", "weights")])
+    scored = pairs.select(
+        f"base_{key}", f"comp_{key}", dense.alias("embedding_similarity"), F.round(sparse, 9).alias("tfidf_similarity")
+    )
+    total = weights[0] * F.col("embedding_similarity") + weights[1] * F.col("tfidf_similarity")
+    return scored.where(total >= threshold - MARGIN)
 
 
 def _dense(frame: pd.DataFrame) -> np.ndarray:
@@ -219,6 +281,6 @@ def _cell_plan(spark, base, comp, pivots, threshold, weights) -> DataFrame:
             gap = max(0.0, between[b, c] - b_angle - c_angle)
             cosine = math.cos(gap)
             dense = cosine * b_length * c_length if cosine > 0 else 0.0
-            if weights[0] * dense + weights[1] >= threshold - 1e-3:
+            if weights[0] * dense + weights[1] * TEXT >= threshold - 1e-3:
                 rows.append((b, c, b_blocks, c_blocks))
     return spark.createDataFrame(rows, "bc int, cc int, bn bigint, cn bigint")

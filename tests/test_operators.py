@@ -4,8 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import workload
+from fixtures import fixture
 from pairloom.functions import text as X
 from pairloom.operators import blocks, embed, relational as R, scorers, skew, tfidf
+from pairloom.plans import taxonomy
+from pairloom.session import cut_lineage
 
 
 def rows(df, *columns):
@@ -216,6 +220,42 @@ def test_scored_above_equals_all_pairs(spark, monkeypatch, threshold):
     assert rows(got, "base_text", "comp_text") == want
 
 
+@pytest.mark.parametrize("least", [0.3, 0.5, 0.8])
+def test_prefix_pairs_lose_nothing_and_are_few(spark, least):
+    """Texts of a common word and two rare ones, as of taxonomies: few pairs share a rare word."""
+    rng = np.random.default_rng(7)
+
+    def side(n, p):
+        out = []
+        for k in range(n):
+            ids = np.unique(np.concatenate(([0], rng.choice(np.arange(1, 60), 2))))
+            w = np.where(ids == 0, 0.2, rng.random(len(ids)) + 0.5)
+            out.append((f"{p}{k}", ids.tolist(), (w / np.linalg.norm(w)).tolist()))
+        return out + [(f"{p}x", None, None), (f"{p}y", [], [])]
+
+    base, comp = side(150, "b"), side(120, "c")
+    frame = lambda data: spark.createDataFrame(data, "text string, ids array<int>, weights array<double>")
+    got = set(rows(blocks.prefix_pairs(frame(base), frame(comp), least), "base_text", "comp_text"))
+    dense = lambda data: np.array([np.bincount(i, w, minlength=60) if i else np.zeros(60) for _, i, w in data])
+    total = dense(base) @ dense(comp).T
+    want = {(base[i][0], comp[j][0]) for i, j in zip(*np.nonzero(total >= least))}
+    assert want <= got and len(got) < 0.1 * len(base) * len(comp)
+
+
+def test_few_pairs_of_the_taxonomy_are_scored(spark):
+    """Of all pairs of texts only those that share a rare word or lie near each other are scored in full."""
+    base, comp, embeddings = (cut_lineage(fixture(spark, "/root/testdata/sf0.01", n)) for n in ("fx_tax_base", "fx_tax_comp", "fx_tax_embeddings"))
+    base, comp = taxonomy._named(base, "base"), taxonomy._named(comp, "comp")
+    vectors = cut_lineage(taxonomy._vectors(taxonomy._texts(base, comp), taxonomy._texts(base, comp), embeddings, workload.MAPPING))
+    sides = [vectors.join(s.select(F.col(f"{n}_text").alias("text")).distinct(), "text", "left_semi") for n, s in (("base", base), ("comp", comp))]
+    every = sides[0].count() * sides[1].count()
+    shared = blocks.prefix_pairs(*sides, blocks.TEXT).count()
+    dense = [np.array([r["embedding"] for r in s.collect()], dtype="float64") for s in sides]
+    near = int((0.7 * (dense[0] @ dense[1].T) + 0.3 * blocks.TEXT >= workload.THRESHOLD).sum())
+    print("pairs", every, "that share a rare word", shared, "that lie near", near)
+    assert every > 10_000 and shared + near < 0.1 * every
+
+
 def test_scored_above_without_vectors(spark):
     empty = spark.createDataFrame([("a", None, None, None)], "text string, embedding array<float>, ids array<int>, weights array<double>")
     assert blocks.scored_above(empty, empty, 0.5).count() == 0
