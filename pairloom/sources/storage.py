@@ -130,8 +130,10 @@ def partition_folders(
 
 
 def read_small(spark: SparkSession, path: str) -> str:
-    """The text of a small file."""
+    """The text of a small file, empty if it isn't there."""
     handle, fs = _path(spark, path)
+    if not fs.exists(handle):
+        return ""
     stream = fs.open(handle)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")

@@ -36,7 +36,7 @@ def numbers(spark: SparkSession, path: str) -> list[int]:
 
 
 def load(spark: SparkSession, path: str, number: int) -> dict | None:
-    """What a manifest says, or None if it was never finished."""
+    """What a manifest says, or None if it isn't there or was never finished."""
     try:
         found = json.loads(storage.read_small(spark, f"{_folder(path)}/{number}.json"))
     except ValueError:

@@ -66,7 +66,8 @@ def test_blocks_that_cannot_reach_the_kth_score_are_not_scored(spark, tmp_path,
     monkeypatch.setattr(inverted.np, "flatnonzero", lambda x: scored.append(int(real(x).size)) or real(x))
     found, scores = segment.best(np.array([1]), np.array([1.0]), 10, 0.0)
     assert len(found) == 10 and scores.tolist() == [0.8] * 10
-    assert sum(scored) < 40 and segment.n_blocks == 63
+    # Eight of the blocks, and the rows found in them.
+    assert sum(scored) < 100 and segment.n_blocks == 63
 
 
 def test_no_row_of_the_index_is_shuffled(spark, tmp_path):

@@ -47,7 +47,7 @@ def test_partitions_are_replaced_alone(spark, tmp_path):
     table = versions.VersionedTable(spark, str(tmp_path / "t"))
     rows = spark.range(8).select("id", (F.col("id") % 2).cast("int").alias("p"), F.when(F.col("id") > 5, None).otherwise("a=b/c").alias("q"))
     table.replace_partitions(rows, ["p", "q"])
-    assert table.read().schema == rows.schema
+    assert [(f.name, f.dataType) for f in table.read().schema] == [(f.name, f.dataType) for f in rows.schema]
     assert sorted(map(str, table.read().collect())) == sorted(map(str, rows.collect()))
     table.replace_partitions(rows.where("id = 2"), ["p", "q"])
     assert ids(table.read()) == [1, 2, 3, 5, 6, 7]
