@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState
 
 from ..operators import skew
 from ..operators.relational import first_row
+from ..session import cut_lineage
 
 # The path partitions a drop must name, and its completion marker.
 PARTITIONS = ["company_code", "product_segment", "load_date"]
@@ -68,7 +69,8 @@ def accept_once(
     """
     rows = classify(events, scheme=scheme)
     columns = rows.columns
-    counted = rows.where("action = 'accepted'").groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Read three times, so parsed and counted once.
+    counted = cut_lineage(rows.where("action = 'accepted'").groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")))
     hot = skew.hot_keys(counted, ["input_prefix"], hot_parts)
     counted = _with_run(counted, finished, time, hot)
     run = ["input_prefix", "_run"]
