@@ -119,9 +119,14 @@ def competitor_stores(domains: DataFrame, tenant: str, override: Sequence[str] |
     return domains.where(F.col("client") == tenant).select(F.col("primary").alias("comp_source_store")).distinct()
 
 
+def is_short(df: DataFrame, most: int = 10_000) -> bool:
+    """Whether ``df`` has at most ``most`` rows; counts no further."""
+    return df.limit(most + 1).count() <= most
+
+
 def short_list(df: DataFrame, most: int = 10_000) -> DataFrame:
     """``df`` marked for broadcast if it is known to have at most ``most`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if is_short(df, most) else df
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .relational import first_row, null_safe
 
 SALT = "_salt"
+# Hash values per part by which keys are counted first.
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -36,31 +38,57 @@ def hot_key_sets(
     The share is the number of rows over ``parts``, by default the number of
     shuffle partitions, so a key is hot at any size of the data if it is too much
     for one task, and fewer than ``parts`` keys are. A key with n rows is cut
-    into n / share parts. All sets are counted in one pass, combined map-side,
-    when this is called; only the most frequent keys, fewer than ``parts`` for
-    each set, come to the driver. ``weight`` names a column saying how many rows
-    each row of ``df`` stands for.
+    into n / share parts. ``weight`` names a column saying how many rows each row
+    of ``df`` stands for.
+
+    All sets are counted in one pass when this is called, by a hash of the key with
+    ``BUCKETS`` values per part, so tasks shuffle as many counts however many keys
+    there are. A bucket with no more rows than the share holds no hot key; only
+    keys of the other buckets are counted themselves, and only the most frequent
+    ones, fewer than ``parts`` for each set, come to the driver.
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(dict.fromkeys(c for s in sets for c in s))
-    size = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))
-    counted = df.groupingSets([[F.col(c) for c in s] for s in [*sets, []]], *names).agg(
-        size.alias("_n"), F.grouping_id().alias("_set")
-    )
-    # The total comes first; hot keys of all sets are among the next ones.
-    rows = counted.orderBy(F.desc("_n"), F.desc("_set")).limit(parts * len(sets) + 1).collect()
-    total = rows[0]["_n"] if rows else 0
+    rows = df.select(*names, *([weight] if weight else []))
+    buckets = {
+        f"_bucket{i}": F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(BUCKETS * parts)).cast("int")
+        for i, keys in enumerate(sets)
+    }
+    # The total comes first; the buckets of all sets that are above the share are among the next ones.
+    counted = rows.select(*[c.alias(n) for n, c in buckets.items()], *([weight] if weight else []))
+    most, total = _most_frequent(counted, [[n] for n in buckets], parts, weight)
+    full = [[r[n] for r in some] for n, some in zip(buckets, most, strict=True)]
+    asked = [i for i, some in enumerate(full) if some]
+    exact: dict[int, list] = {}
+    if asked:
+        within = reduce(or_, [buckets[f"_bucket{i}"].isin(full[i]) for i in asked])
+        exact = dict(zip(asked, _most_frequent(rows.where(within), [sets[i] for i in asked], parts, weight, total)[0], strict=True))
     share = max(1, total // parts)
     found = []
-    for keys in sets:
-        mark = int("".join("0" if c in keys else "1" for c in names), 2)
-        hot = [(*[r[c] for c in keys], -(-r["_n"] // share)) for r in rows if r["_set"] == mark and r["_n"] * parts > total]
+    for i, keys in enumerate(sets):
+        hot = [(*[r[c] for c in keys], -(-r["_n"] // share)) for r in exact.get(i, [])]
         schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keys] + [T.StructField("_salts", T.IntegerType())])
         found.append(HotKeys(list(keys), spark.createDataFrame(hot, schema) if hot else None))
     return found
 
 
+def _most_frequent(
+    rows: DataFrame, sets: Sequence[Sequence[str]], parts: int, weight: str | None, total: int | None = None
+) -> tuple[list[list[Row]], int]:
+    """For each set of columns its values with more than ``total / parts`` rows (``_n``), and ``total``, by default that of ``rows``."""
+    names = list(dict.fromkeys(c for s in sets for c in s))
+    size = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))
+    counted = rows.groupingSets([[F.col(c) for c in s] for s in [*sets, []]], *names).agg(
+        size.alias("_n"), F.grouping_id().alias("_set")
+    )
+    found = counted.orderBy(F.desc("_n"), F.desc("_set")).limit(parts * len(sets) + 1).collect()
+    if total is None:
+        total = found[0]["_n"] if found else 0
+    marks = [int("".join("0" if c in keys else "1" for c in names), 2) for keys in sets]
+    return [[r for r in found if r["_set"] == mark and r["_n"] * parts > total] for mark in marks], total
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None, weight: str | None = None) -> HotKeys:
     """``hot_key_sets`` for one set of key columns."""
     return hot_key_sets(df, [keys], parts, weight)[0]

@@ -95,10 +95,11 @@ def synthetic_examples(
     rows = rows.withColumn("retailer", K.retailer_of(F.col("comp_source_store")))
     if segment is not None:
         rows = rows.where(F.col("base_segment") == segment)
-    hot_nodes = skew.hot_keys(rows, MAPPING_KEYS, hot_parts)
-    mapped = skew.join_spread(
-        rows, mapping.select(*MAPPING_KEYS).distinct(), MAPPING_KEYS, "left_semi", hot_nodes, PAIR
-    )
+    nodes = mapping.select(*MAPPING_KEYS).distinct()
+    if R.is_short(nodes):
+        mapped = rows.join(F.broadcast(nodes), MAPPING_KEYS, "left_semi")
+    else:
+        mapped = skew.join_spread(rows, nodes, MAPPING_KEYS, "left_semi", skew.hot_keys(rows, MAPPING_KEYS, hot_parts), PAIR)
     return mapped.select(*EXAMPLE_COLUMNS, "base_segment")
 
 

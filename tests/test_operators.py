@@ -116,6 +116,21 @@ def test_largest_task_is_bounded(spark):
     assert [tuple(r) for r in skew.hot_keys(weighted, ["k"], parts, weight="count").frame.collect()] == [(-1, 6)]
 
 
+def test_keys_are_counted_by_buckets_first(spark, monkeypatch):
+    """Only keys of buckets above the share are counted themselves, so no shuffle holds every key."""
+    counted = []
+    plain = skew._most_frequent
+    monkeypatch.setattr(skew, "_most_frequent", lambda rows, sets, *rest: counted.append((rows, sets)) or plain(rows, sets, *rest))
+    even = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 7000).alias("other"))
+    assert [h.frame for h in skew.hot_key_sets(even, [["k"], ["k", "other"]], 20)] == [None, None]
+    assert [rows.distinct().count() <= 320 ** 2 and "k" not in rows.columns for rows, _ in counted] == [True]
+    counted.clear()
+    hot = even.withColumn("k", F.when(F.col("k") < 3000, None).otherwise(F.col("k")))
+    null, none = skew.hot_key_sets(hot, [["k"], ["other"]], 20)
+    assert [tuple(r) for r in null.frame.collect()] == [(None, 3)] and none.frame is None
+    assert counted[1][1] == [["k"]] and counted[1][0].count() < 5000
+
+
 def test_no_rows_have_no_hot_keys(spark):
     assert skew.hot_keys(spark.range(0).withColumnRenamed("id", "k"), ["k"]).frame is None
 

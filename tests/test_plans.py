@@ -423,3 +423,13 @@ def test_runs_of_a_hot_prefix_and_of_null_times(spark):
         assert found.count() == 600 and found.where("action = 'ignored'").count() == 200
         starts = [r["event_id"] for r in found.where("action = 'accepted'").where(F.col("input_prefix") == prefix).orderBy("at").collect()]
         assert starts == [3, 102, 303]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_short_mapping_is_broadcast(spark):
+    tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
+    rows = examples.synthetic_examples(*tables, W.mapping_of(tables[-1]), COMPETITORS, TENANT, SEGMENT)
+    assert any("LeftSemi" in x and "strategy=broadcast" in x for x in plan_of(rows).splitlines())
