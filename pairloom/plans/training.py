@@ -43,11 +43,7 @@ def labelled(library: DataFrame, reviews: DataFrame, tenant: str, load_date: str
     both = from_library.unionByName(from_reviews, allowMissingColumns=True)
     base = (F.col("base_sku"), F.col("base_source_store"))
     comp = (F.col("comp_sku"), F.col("comp_source_store"))
-    return both.withColumns({
-        "pair_id": K.training_pair_id(*base, *comp),
-        "sku_uuid_a": K.sku_uuid(*base),
-        "sku_uuid_b": K.sku_uuid(*comp),
-    })
+    return both.withColumn("pair_id", K.training_pair_id(*base, *comp))
 
 
 def training_pairs(
@@ -58,14 +54,13 @@ def training_pairs(
 
     A pair in the library wins over its review answers: keeping the row of the
     best source per pair id also does the work of excluding reviewed pairs that
-    the library has. Catalog and warehouse are reduced to the products in use
-    before they are ranked and joined.
+    the library has. Ids made of the pair are dropped while rows are moved and
+    made anew at the end.
     """
     both = labelled(library, reviews, tenant, load_date, since)
     hot_base, hot_comp = skew.hot_key_sets(both, [["base_sku"], ["comp_sku", "comp_source_store"]], hot_parts)
-    rows = R.first_row(both, ["pair_id"], [F.col("source_priority")])
+    rows = R.first_row(both, ["pair_id"], [F.col("source_priority")]).drop("pair_id")
 
-    used_base = both.select("base_sku").distinct()
     base = catalog.where(F.col("source") == tenant).select(
         F.col("sku").alias("base_sku"),
         F.concat("source", F.lit("_"), "source").alias("base_source_store"),
@@ -74,9 +69,7 @@ def training_pairs(
         blank_to_null(F.col("brand")).alias("cat_brand"),
         F.col("manufacturer_part_number").alias("base_mpn"),
         "capture_date",
-    ).join(used_base, "base_sku", "left_semi")
-
-    used_comp = both.select("comp_sku", "comp_source_store").distinct()
+    )
     comp = warehouse.select(
         F.col("sku").alias("comp_sku"),
         K.store_underscore(F.col("source_store")).alias("comp_source_store"),
@@ -86,17 +79,19 @@ def training_pairs(
         blank_to_null(F.col("standardized_brand")).alias("pdp_brand"),
         F.col("manufacturer_part_number").alias("comp_mpn"),
         F.col("upc_list").alias("comp_upc_list"),
-    ).join(used_comp, ["comp_sku", "comp_source_store"], "left_semi")
+    )
 
     rows = skew.attach_all(
-        rows, [(base, ["base_sku", "base_source_store"], [F.col("capture_date").desc_nulls_last()])], hot_base, ["pair_id"]
+        rows, [(base, ["base_sku", "base_source_store"], [F.col("capture_date").desc_nulls_last()])], hot_base, PAIR
     )
     rows = skew.attach_all(
-        rows, [(comp, ["comp_sku", "comp_source_store"], [F.col("product_segment").asc_nulls_last()])], hot_comp, ["pair_id"]
+        rows, [(comp, ["comp_sku", "comp_source_store"], [F.col("product_segment").asc_nulls_last()])], hot_comp, PAIR
     )
     filled = {}
     for side, spare in (("base", "cat"), ("comp", "pdp")):
         for part in ("title", "description", "brand"):
             filled[f"{side}_{part}"] = F.coalesce(f"{side}_{part}", f"{spare}_{part}")
-    enriched = rows.withColumns(filled).select(*TRAINING_COLUMNS)
-    return enriched.where(F.col("base_title").isNotNull() & F.col("comp_title").isNotNull())
+    titled = rows.withColumns(filled).where(F.col("base_title").isNotNull() & F.col("comp_title").isNotNull())
+    base, comp = [(F.col(f"{side}_sku"), F.col(f"{side}_source_store")) for side in ("base", "comp")]
+    ids = {"pair_id": K.training_pair_id(*base, *comp), "sku_uuid_a": K.sku_uuid(*base), "sku_uuid_b": K.sku_uuid(*comp)}
+    return titled.withColumns(ids).select(*TRAINING_COLUMNS)

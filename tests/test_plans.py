@@ -429,6 +429,12 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_training_reads_labels_once(spark):
+    tables = [fixture(spark, SF, n) for n in ("fx_library", "fx_reviews", "fx_catalog", "fx_warehouse")]
+    rows = training.training_pairs(*tables, TENANT, "1998-01-01", W.SINCE)
+    assert plan_of(rows).count("l_orderkey") <= plan_of(training.labelled(*tables[:2], TENANT, "1998-01-01", W.SINCE)).count("l_orderkey")
+
+
 def test_a_short_mapping_is_broadcast(spark):
     tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
     rows = examples.synthetic_examples(*tables, W.mapping_of(tables[-1]), COMPETITORS, TENANT, SEGMENT)
