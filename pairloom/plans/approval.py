@@ -78,8 +78,6 @@ def auto_approve(
     )
     raw = _decided(drop, registered, c)
     hot_base, hot_comp = skew.hot_key_sets(raw, [["_base"], ["_comp", "comp_source_store"]], hot_parts)
-    decided = raw.distinct()
-
     known = R.latest_snapshot(
         library.where(F.col("company_code") == c.tenant), "load_date", override=c.load_date
     ).select(
@@ -90,8 +88,9 @@ def auto_approve(
     matched_at_store = known.where(F.col("deleted_date").isNull()).select("_base", "comp_source_store").distinct()
     ever_paired = known.select("_base", "_comp", "comp_source_store").distinct()
 
-    open_pairs = skew.join_spread(decided, matched_at_store, ["_base", "comp_source_store"], "left_anti", hot_base)
-    open_pairs = open_pairs.join(ever_paired, ["_base", "_comp", "comp_source_store"], "left_anti")
+    # Dealt out by pair here, so the distinct rows need no shuffle of their own.
+    open_pairs = raw.join(ever_paired, ["_base", "_comp", "comp_source_store"], "left_anti").distinct()
+    open_pairs = skew.join_spread(open_pairs, matched_at_store, ["_base", "comp_source_store"], "left_anti", hot_base)
     matches = skew.join_spread(open_pairs, _base_side(catalog, c), ["_base"], "inner", hot_base)
     matches = skew.join_spread(matches, _comp_side(warehouse, registered, c), ["_comp", "comp_source_store"], "inner", hot_comp)
     near = matches.where(V.price_gate(F.col("base_price"), F.col("comp_price"), c.price_ratio, c.strict))

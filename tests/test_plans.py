@@ -435,6 +435,17 @@ def test_training_reads_labels_once(spark):
     assert plan_of(rows).count("l_orderkey") <= plan_of(training.labelled(*tables[:2], TENANT, "1998-01-01", W.SINCE)).count("l_orderkey")
 
 
+def test_approval_moves_decided_pairs_once_before_they_are_distinct(spark, monkeypatch):
+    monkeypatch.setattr(R, "short_list", lambda df, most=0: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = W.QUERIES["auto_approve"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Distinct by all seven columns, without an exchange by them.
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "score" in x.split("]")[0].split(", ENSURE")[0]]
+
+
 def test_a_short_mapping_is_broadcast(spark):
     tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
     rows = examples.synthetic_examples(*tables, W.mapping_of(tables[-1]), COMPETITORS, TENANT, SEGMENT)
