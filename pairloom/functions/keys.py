@@ -92,7 +92,7 @@ def prefixed_store(uuid: Column) -> Column:
 
 def strip_zeros(text: Column) -> Column:
     """Drop leading zeros; an all-zero id becomes the empty string."""
-    return F.regexp_replace(text, "^0+", "")
+    return F.ltrim(text, F.lit("0"))
 
 
 def queue_index_keys(

@@ -95,7 +95,7 @@ def coverage_report(
     rows = skew.join_spread(rows, base, ["base_sku"], "left", hot_base, PAIR)
 
     def of_store(store: str, what: str) -> Column:
-        return F.get(F.filter("stores", lambda x: x["source_store"] == F.col(store)), 0)[what]
+        return F.try_element_at("stores", F.col(store))[what]
 
     rows = rows.withColumns({"base_input": of_store("base_source_store", "input"), "request": of_store("comp_source_store", "request")})
     return _finish(rows.withColumns({
@@ -174,11 +174,12 @@ def _products(
 
 
 def _base_products(products: DataFrame, catalog: Source, tables: Workspace) -> DataFrame:
-    """Per base_sku its catalog fields, and in ``stores`` its model input and request per store (of which there are few)."""
-    entry = F.struct("source_store", "input", "request").alias("_entry")
+    """Per base_sku its catalog fields, and in the map ``stores`` its model input and request by store (of which there are few)."""
+    entry = F.struct("source_store", F.struct("input", "request").alias("_said")).alias("_entry")
     listed = products.where(F.col("input").isNotNull() | F.col("request").isNotNull()).select(F.col("sku").alias("base_sku"), entry)
     known = tables.save(fold(["base_sku"], [catalog, Source("stores", listed, totals={"stores": (F.collect_list, "_entry")})]))
-    return known.select("base_sku", "stores", *[c.alias(n) for n, c in taken(known, catalog).items()])
+    stores = F.map_from_entries("stores").alias("stores")
+    return known.select("base_sku", stores, *[c.alias(n) for n, c in taken(known, catalog).items()])
 
 
 def _finish(rows: DataFrame) -> DataFrame:

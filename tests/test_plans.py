@@ -450,6 +450,13 @@ def test_queue_works_products_out_before_joining(spark):
     assert "_extract_" not in plan_of(W.QUERIES["review_queue"](spark, SF))
 
 
+def test_coverage_looks_stores_up_in_a_map(spark, monkeypatch):
+    joined, plain = {}, coverage.skew.join_spread
+    monkeypatch.setattr(coverage.skew, "join_spread", lambda left, right, *rest: joined.update(dict(right.dtypes)) or plain(left, right, *rest))
+    W.QUERIES["coverage_report"](spark, SF)
+    assert joined["stores"].startswith("map<string,struct<")
+
+
 def test_a_short_mapping_is_broadcast(spark):
     tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
     rows = examples.synthetic_examples(*tables, W.mapping_of(tables[-1]), COMPETITORS, TENANT, SEGMENT)
