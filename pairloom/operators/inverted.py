@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import Workspace, shared_folder
+from . import skew
 from .relational import top_rows
 
 POSTINGS_PER_SEGMENT = 250_000
@@ -197,6 +198,12 @@ def _asked(queries: DataFrame, query_key: str) -> DataFrame:
     return known.select(F.col(query_key).alias("query"), "ids", "weights")
 
 
+def _folded(asked: DataFrame) -> DataFrame:
+    """``asked`` with ``same``, a digest that queries share whose terms are the same and whose weights differ by rounding only."""
+    weights = F.transform("weights", lambda w: F.round(w, 12).cast("string"))
+    return asked.withColumn("same", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>"), weights), 256))
+
+
 def _search(index: InvertedIndex, asked: DataFrame, k: int) -> DataFrame:
     """query, key, score: the best ``k`` of each segment that a query is sent to; ``least`` may be null."""
     kind = asked.schema["query"].dataType.simpleString()
@@ -247,6 +254,8 @@ def search(
     ``weights``; queries without a known term find nothing. Scores are rounded to
     9 digits and ties go to the lower row key.
 
+    Queries with the same vector are searched once.
+
     1. Every query learns from the segments' maxima how much each can score.
     2. It is sent to the most promising segments, which give it a k-th score.
     3. It is sent to all others that can reach that score.
@@ -254,7 +263,8 @@ def search(
     In each step the index is read where it lies and only queries are shuffled.
     """
     tables = tables or Workspace(queries.sparkSession, "search")
-    asked = tables.save(_asked(queries, query_key))
+    named = tables.save(_folded(_asked(queries, query_key)))
+    asked = tables.save(named.groupBy("same").agg(F.min(F.struct("ids", "weights")).alias("v")).select(F.col("same").alias("query"), "v.*"))
     by_bound = Window.partitionBy("query").orderBy(F.desc("bound"), "segment")
     bounds = tables.save(_bounds(index, asked).withColumn("place", F.row_number().over(by_bound)))
     sent = bounds.join(asked, "query").select("query", "segment", "place", "bound", "ids", "weights")
@@ -268,7 +278,10 @@ def search(
     )
     second = _search(index, others.select("query", "segment", "ids", "weights", "least"), k)
     found = top_rows(first.unionByName(second), ["query"], [F.desc("score"), F.col("key")], k)
-    return found.select(F.col("query").alias(query_key), F.col("key").alias(row_key), "score", "rank")
+    found = found.select(F.col("query").alias("same"), F.col("key").alias(row_key), "score", "rank")
+    askers = named.where(F.col("query").isNotNull()).select(F.col("query").alias(query_key), "same")
+    every = skew.join_spread(askers, found, ["same"], "inner", skew.hot_keys(askers, ["same"]), [query_key])
+    return every.select(query_key, row_key, "score", "rank")
 
 
 def padded(found: DataFrame, queries: DataFrame, rows: DataFrame, k: int, row_key: str = "row_id", query_key: str = "query_id") -> DataFrame:

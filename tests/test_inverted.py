@@ -100,3 +100,16 @@ def test_an_index_is_opened_again(spark, tmp_path):
     assert inverted.search(again, asked, 4).orderBy("query_id", "rank").collect() == inverted.search(index, asked, 4).orderBy("query_id", "rank").collect()
     nothing = inverted.write_index(table(spark, [(1, None, None)], "row_id"), str(tmp_path / "c"))
     assert inverted.search(nothing, asked, 4).count() == 0
+
+
+def test_equal_queries_are_searched_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows, asked = unit_rows(rng, 120), unit_rows(rng, 12, 900)
+    copies = [(i + 100 * n, a, b and [w + n * 1e-16 for w in b]) for n in range(4) for i, a, b in asked]
+    index = inverted.write_index(table(spark, rows, "row_id"), None, per_segment=60)
+    searched = []
+    plain = inverted._bounds
+    monkeypatch.setattr(inverted, "_bounds", lambda index, some: searched.append(some.count()) or plain(index, some))
+    found = inverted.search(index, table(spark, copies, "query_id"), 5)
+    assert {tuple(r) for r in found.select("query_id", "row_id", "score", "rank").collect()} == by_hand(rows, copies, 5)
+    assert searched == [len({(*a, *b) for _, a, b in asked if a})]
