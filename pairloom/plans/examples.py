@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..operators import relational as R
 from ..operators import skew
+from ..session import cut_lineage
 
 PAIR = ["base_sku", "base_source_store", "comp_sku", "comp_source_store"]
 # The labels an example may carry.
@@ -34,12 +35,13 @@ def _labelled(library: DataFrame, reviews: DataFrame, scope: Column, company: st
 
 def _with_products(labelled: DataFrame, base: DataFrame, comp: DataFrame, hot_parts: int | None) -> DataFrame:
     """Inner joins to one catalog and one warehouse row per product."""
-    keyed = labelled.withColumns({"_base": F.lower("base_sku"), "_comp": F.lower("comp_sku")})
+    # Read for the hot keys and again for the joins.
+    keyed = cut_lineage(labelled.distinct().withColumns({"_base": F.lower("base_sku"), "_comp": F.lower("comp_sku")}))
     hot_base, hot_comp = skew.hot_key_sets(keyed, [["_base"], ["_comp", "comp_source_store"]], hot_parts)
     newest = [F.col("capture_date").desc_nulls_last()]
     by_segment = [F.col("product_segment").asc_nulls_last()]
     rows = skew.attach_all(
-        keyed.distinct(), [(base, ["_base", "base_source_store"], newest)], hot_base, [*PAIR, "match_norm"], "inner"
+        keyed, [(base, ["_base", "base_source_store"], newest)], hot_base, [*PAIR, "match_norm"], "inner"
     )
     return skew.attach_all(
         rows, [(comp, ["_comp", "comp_source_store"], by_segment)], hot_comp, [*PAIR, "match_norm"], "inner"

@@ -461,3 +461,8 @@ def test_a_short_mapping_is_broadcast(spark):
     tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
     rows = examples.synthetic_examples(*tables, W.mapping_of(tables[-1]), COMPETITORS, TENANT, SEGMENT)
     assert any("LeftSemi" in x and "strategy=broadcast" in x for x in plan_of(rows).splitlines())
+
+
+def test_examples_read_labels_once(spark):
+    tables = [fixture(spark, SF, n) for n in W.EXAMPLE_TABLES]
+    assert "l_orderkey" not in plan_of(examples.own_examples(*tables, TENANT))
