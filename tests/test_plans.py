@@ -435,8 +435,7 @@ def test_training_reads_labels_once(spark):
     assert plan_of(rows).count("l_orderkey") <= plan_of(training.labelled(*tables[:2], TENANT, "1998-01-01", W.SINCE)).count("l_orderkey")
 
 
-def test_approval_moves_decided_pairs_once_before_they_are_distinct(spark, monkeypatch):
-    monkeypatch.setattr(R, "short_list", lambda df, most=0: df)
+def test_approval_moves_decided_pairs_once_before_they_are_distinct(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = W.QUERIES["auto_approve"](spark, SF)._jdf.queryExecution().executedPlan().toString()
