@@ -39,10 +39,13 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
         .groupBy(F.bitmap_bucket_number(spot(key)).alias("_map"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot(key))).alias("_bits"))
     )
-    found = df.withColumn("_map", F.bitmap_bucket_number(spot(key))).join(F.broadcast(bits), "_map", "left")
+    # Longs are read where they lie; of a binary value each row would copy the whole map.
+    longs = F.transform(F.sequence(F.lit(0), F.lit(511)), lambda i: F.conv(F.hex(F.substring("_bits", 8 * i + 1, F.lit(8))), 16, -10).cast("long"))
+    found = df.withColumn("_map", F.bitmap_bucket_number(spot(key))).join(F.broadcast(bits.select("_map", longs.alias("_bits"))), "_map", "left")
     place = F.bitmap_bit_position(spot(key)).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.when(F.col("_bits").isNotNull(), F.getbit(byte, place % 8) == 1)
+    # The first of eight bytes is the highest of its long.
+    at = 56 - 8 * (F.floor(place / 8).cast("int") % 8) + place % 8
+    hit = F.when(F.col("_bits").isNotNull(), F.getbit(F.get("_bits", F.floor(place / 64).cast("int")), at) == 1)
     return found.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_map", "_bits")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,36 +29,48 @@ BREAK_EVERY = 3
 SURE = 50
 WINDOW = SURE - MIN_PASSAGE + 1
 _LOW = np.uint64((1 << 24) - 1)
-_ENDS = frozenset(b".!?")
+_ENDS = np.frombuffer(b".!?", np.uint8)
+# Bytes of neighbouring texts that are worked on together; a longer text is worked on alone.
+TOGETHER = 500_000
+
+
+def _keys(marks: np.ndarray) -> np.ndarray:
+    """Marks with their places in the low bits, so that minima tell where they stand; of equal ones the last is least."""
+    return (marks & ~_LOW) | (_LOW - (np.arange(len(marks), dtype=np.uint64) & _LOW))
+
+
+def _places_of(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where the least keys stand that were found at or after ``begin``."""
+    begin = begin.astype(np.uint64)
+    return (begin + (((_LOW - (keys & _LOW)) - begin) & _LOW)).astype(np.int64)
 
 
 def _least(marks: np.ndarray, window: int) -> np.ndarray:
     """Position of the least mark in each run of ``window`` marks (in all, if they are fewer), the last of equal ones."""
-    at = np.arange(len(marks), dtype=np.uint64)
-    keys, span = (marks & ~_LOW) | (_LOW - (at & _LOW)), 1
+    keys, span = _keys(marks), 1
     window = min(window, len(marks))
     while span < window:
         step = min(span, window - span)
         keys, span = np.minimum(keys[:-step], keys[step:]), span + step
-    at = at[:len(keys)]
-    return (at + (((_LOW - (keys & _LOW)) - at) & _LOW)).astype(np.int64)
+    return _places_of(keys, np.arange(len(keys)))
 
 
-def _joined(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def _joined(marks: np.ndarray, first: np.ndarray, last: np.ndarray, final: np.ndarray) -> np.ndarray:
     """Ends of pieces, with neighbouring pieces under MIN_WORDS words joined and cut anew where a word's mark is least.
 
-    Such a cut is the least of the MIN_WORDS - 1 words on both sides and not nearer
-    to the ends of the joined pieces, so all parts hold MIN_WORDS words and the
-    cuts depend on nothing but the words around them.
+    ``final`` pieces end a text and aren't joined to the next. Such a cut is the
+    least of the MIN_WORDS - 1 words on both sides and not nearer to the ends of
+    the joined pieces, so all parts hold MIN_WORDS words and the cuts depend on
+    nothing but the words around them.
     """
     short = last - first < MIN_WORDS
-    inner = short & np.append(short[1:], False)
+    inner = short & np.append(short[1:], False) & ~final
     ends = last[~inner]
     starts = np.concatenate((np.zeros(1, np.int64), ends[:-1]))
     # Regions that hold several of the old pieces.
     several = np.diff(np.searchsorted(last, ends, "right"), prepend=0) > 1
     around = 2 * MIN_WORDS - 1
-    if len(marks) < around:
+    if len(marks) < around or not several.any():
         return ends
     least = _least(marks, around)
     cuts = np.flatnonzero(least == np.arange(len(least)) + MIN_WORDS - 1) + MIN_WORDS - 1
@@ -66,44 +79,78 @@ def _joined(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return np.union1d(ends, cuts[far])
 
 
+def _split(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of lower-cased text begin and end, and their marks; each different word is hashed once."""
+    chars = np.frombuffer(data, np.uint8)
+    blank = np.ones(len(chars) + 2, bool)
+    blank[1:-1] = (chars == 32) | (chars - np.uint8(9) < 5)
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(stops - starts)))
+    joined = [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, b" \t\n\v\f\r"))]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), joined).dictionary_encode()
+    return starts, stops, word_marks(words.dictionary.to_numpy(zero_copy_only=False))[words.indices.to_numpy()]
+
+
 class Paragraphs:
-    """The paragraphs of one text that are long enough: their first words, lengths and shingles.
+    """The paragraphs of some texts that are long enough: their first words, lengths and shingles.
 
-    After ``find_runs`` the ``anchors`` are the first words of runs of MIN_PASSAGE
-    words, with ``run_ids``; ``steps`` are ids of the words from each anchor to the
-    next (0 for the last).
+    Words are numbered through all ``texts``, which begin at the words ``begin``;
+    ``whose`` and ``number`` tell each paragraph's text and its place there. After
+    ``find_runs`` the ``anchors`` are the first words of runs of MIN_PASSAGE words,
+    with ``run_ids`` and the texts ``held_by``; ``steps`` are ids of the words from
+    each anchor to the next of its text (0 for the last).
     """
 
-    def __init__(self, raw: bytes | None):
-        words: list[bytes] = []
-        lines = []
-        for line in (raw or b"").lower().split(b"\n"):
-            words += line.split()
-            lines.append(len(words))
-        marks = word_marks(words)
-        ends = np.array([w[-1] in _ENDS for w in words], bool) & (marks % np.uint64(BREAK_EVERY) == 0)
-        last = np.unique(np.concatenate((np.flatnonzero(ends) + 1, np.array(lines, np.int64))))
-        last = last[last > 0]
+    def __init__(self, *texts: bytes | None):
+        data = b"\n".join(t or b"" for t in texts).lower()
+        starts, stops, self.marks = _split(data)
+        chars, n = np.frombuffer(data, np.uint8), len(starts)
+        self.begin = np.searchsorted(starts, np.cumsum([0, *(len(t or b"") + 1 for t in texts)]))
+        closing = np.isin(chars[stops - 1], _ENDS) & (self.marks % np.uint64(BREAK_EVERY) == 0)
+        # Words before which a piece, and a text, has ended.
+        cut, over = np.append(False, closing), np.zeros(n + 1, bool)
+        over[self.begin] = True
+        cut[np.searchsorted(starts, np.flatnonzero(chars == 10))] = True
+        cut[n], cut[0] = True, False
+        last = np.flatnonzero(cut)
         first = np.concatenate((np.zeros(1, np.int64), last[:-1])) if len(last) else last
-        if len(last) and ((last - first)[1:] + (last - first)[:-1]).min(initial=2 * MIN_WORDS) < 2 * MIN_WORDS - 1:
-            last = _joined(marks, first, last)
+        if len(last):
+            last = _joined(self.marks, first, last, over[last])
             first = np.concatenate((np.zeros(1, np.int64), last[:-1]))
-        long = last - first >= MIN_WORDS
-        self.number = np.flatnonzero(long)
+        long = np.flatnonzero(last - first >= MIN_WORDS)
         self.first, self.last = first[long], last[long]
-        self.shingles = _combined(marks, WIDTH) if len(marks) >= WIDTH else np.zeros(0, np.uint64)
-        self.marks = marks
+        self.whose = self._text_of(self.first)
+        self.number = long - np.searchsorted(first, self.begin[self.whose])
+        self.shingles = _combined(self.marks, WIDTH) if n >= WIDTH else np.zeros(0, np.uint64)
         self.ids = self._ids(self.first, self.last)
 
+    def _text_of(self, words: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begin, words, "right") - 1
+
     def find_runs(self) -> Paragraphs:
-        starts = len(self.marks) - MIN_PASSAGE + 1
-        self.anchors = np.zeros(0, np.int64)
-        if starts > 0:
-            least = _least(self.shingles[:starts], WINDOW)
-            self.anchors = least[np.concatenate((np.ones(1, bool), least[1:] != least[:-1]))]
+        begin, starts = self.begin[:-1], np.diff(self.begin) - MIN_PASSAGE + 1
+        found = [np.zeros(0, np.int64)]
+        many, few = starts >= WINDOW, (starts > 0) & (starts < WINDOW)
+        if many.any():
+            least = _least(self.shingles, WINDOW)
+            # Windows that lie within one text.
+            change = np.zeros(len(least) + 1, np.int8)
+            change[begin[many]] = 1
+            change[begin[many] + starts[many] - WINDOW + 1] = -1
+            least = least[np.cumsum(change[:-1], dtype=np.int8).astype(bool)]
+            found.append(least[np.append(True, least[1:] != least[:-1])])
+        if few.any():
+            edges = np.stack((begin[few], begin[few] + starts[few]), 1).ravel()
+            found.append(_places_of(np.minimum.reduceat(_keys(self.shingles), edges)[::2], begin[few]))
+        self.anchors = np.sort(np.concatenate(found))
+        self.held_by = self._text_of(self.anchors)
         # Apart from paragraphs of the same words, or a run would count as a copy of the paragraph that it stands in.
         self.run_ids = self._ids(self.anchors, self.anchors + MIN_PASSAGE) ^ np.int64(0x5851F42D4C957F2D)
-        self.steps = np.concatenate((self._ids(self.anchors[:-1], self.anchors[1:]), np.zeros(min(1, len(self.anchors)), np.int64)))
+        self.steps, self.step_words = np.zeros((2, len(self.anchors)), np.int64)
+        follows = np.flatnonzero(self.held_by[1:] == self.held_by[:-1])
+        self.steps[follows] = self._ids(self.anchors[follows], self.anchors[follows + 1])
+        self.step_words[follows] = self.anchors[follows + 1] - self.anchors[follows]
         return self
 
     def _ids(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -120,22 +167,38 @@ class Paragraphs:
         return (x ^ (x >> np.uint64(29))).view(np.int64)
 
     def rows(self) -> dict[str, np.ndarray]:
-        """Paragraphs, then anchored runs, which are numbered after them."""
+        """Paragraphs, then anchored runs, which are numbered after those of their text."""
         n, m = len(self.ids), len(self.anchors)
-        after = (int(self.number[-1]) + 1 if n else 0) + np.arange(m)
+        after = np.zeros(len(self.begin) - 1, np.int64)
+        np.maximum.at(after, self.whose, self.number + 1)
+        place = np.arange(m) - np.searchsorted(self.held_by, self.held_by)
+        whose, none = np.concatenate((self.whose, self.held_by)), np.zeros(n, np.int64)
         return {
-            "number": np.concatenate((self.number, after)), "first_word": np.concatenate((self.first, self.anchors)),
+            "whose": whose, "number": np.concatenate((self.number, after[self.held_by] + place)),
+            "first_word": np.concatenate((self.first, self.anchors)) - self.begin[whose],
             "n_words": np.concatenate((self.last - self.first, np.full(m, MIN_PASSAGE))),
             "id": np.concatenate((self.ids, self.run_ids)), "run": np.repeat([False, True], [n, m]),
-            "step": np.concatenate((np.zeros(n, np.int64), self.steps)),
-            "step_words": np.concatenate((np.zeros(n, np.int64), np.diff(self.anchors), np.zeros(min(1, m), np.int64))),
+            "step": np.concatenate((none, self.steps)), "step_words": np.concatenate((none, self.step_words)),
         }
 
-    def places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes into ``shingles`` of all paragraphs' shingles, and where each paragraph begins there."""
-        sizes = self.last - self.first - (WIDTH - 1)
-        starts = np.cumsum(sizes) - sizes
-        return np.arange(sizes.sum()) - np.repeat(starts - self.first, sizes), starts
+    def places(self, chosen: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes into ``shingles`` of all ``chosen`` paragraphs' shingles, and where each paragraph begins there."""
+        first = self.first[chosen]
+        sizes = self.last[chosen] - first - (WIDTH - 1)
+        return _spans(first, sizes), np.cumsum(sizes) - sizes
+
+
+def _spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1 and so on of each span, one span after the other."""
+    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary values made of ``sizes`` neighbouring ``values`` each."""
+    offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))) * values.itemsize
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    ).cast(pa.binary())
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -155,8 +218,18 @@ def _powers(n: int) -> list[np.ndarray]:
     return _TABLES
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[Paragraphs]:
-    return (Paragraphs(raw.as_py()) for raw in batch.column("text").cast(pa.binary()))
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, Paragraphs]]:
+    """The texts of ``batch``, some at a time, and how many come before them."""
+    done, held, size = 0, [], 0
+    for raw in batch.column("text").cast(pa.binary()).to_numpy(zero_copy_only=False):
+        text = raw or b""
+        if held and size + len(text) > TOGETHER:
+            yield done, Paragraphs(*held)
+            done, held, size = done + len(held), [], 0
+        held.append(text)
+        size += len(text) + 1
+    if held:
+        yield done, Paragraphs(*held)
 
 
 def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -167,23 +240,21 @@ def _occurrences(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinHash(bands, rows)
         for batch in batches:
-            found = [p.find_runs() for p in _texts(batch)] or [Paragraphs(None).find_runs()]
-            keys = [np.zeros((0, bands), np.int32)]
-            for p in found:
+            for done, p in _texts(batch):
+                every = p.find_runs().rows()
+                keys = np.zeros((0, bands), np.int32)
                 if len(p.ids):
                     places, starts = p.places()
-                    keys.append(hashing.buckets(hashing.signatures(p.shingles[places], starts)).astype(np.int32))
-            every = [p.rows() for p in found]
-            joined = {n: np.concatenate([r[n] for r in every]) for n in every[0]}
-            whose = pa.array(np.repeat(np.arange(len(found)), [len(r["id"]) for r in every]))
-            ends = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(~joined["run"]) * bands)), pa.int32())
-            small = {n: pa.array(joined[n], pa.int32()) for n in ("number", "first_word", "n_words", "step_words")}
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(whose), **{n: small[n] for n in ("number", "first_word", "n_words")},
-                "id": pa.array(joined["id"], pa.int64()), "run": pa.array(joined["run"]),
-                "step": pa.array(joined["step"], pa.int64()), "step_words": small["step_words"],
-                "bands": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).ravel(), pa.int32())),
-            })
+                    keys = hashing.buckets(hashing.signatures(p.shingles[places], starts)).astype(np.int32)
+                ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(~every["run"]) * bands))
+                small = {n: pa.array(every[n], pa.int32()) for n in ("number", "first_word", "n_words", "step_words")}
+                yield pa.record_batch({
+                    "doc_id": batch.column("doc_id").take(pa.array(done + every["whose"])),
+                    **{n: small[n] for n in ("number", "first_word", "n_words")},
+                    "id": pa.array(every["id"], pa.int64()), "run": pa.array(every["run"]),
+                    "step": pa.array(every["step"], pa.int64()), "step_words": small["step_words"],
+                    "bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel(), pa.int32())),
+                })
 
     return docs.mapInArrow(
         run, "doc_id long, number int, first_word int, n_words int, id long, run boolean, step long, step_words int, bands array<int>"
@@ -217,25 +288,28 @@ def _details(docs: DataFrame, ids: DataFrame, holders: DataFrame, bands: int, ro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing, table = MinHash(bands, rows), shared.value
         for batch in batches:
-            seen: dict[int, tuple[bytes, bytes]] = {}
-            for p in _texts(batch):
+            for _, p in _texts(batch):
                 place = p.ids % bits
-                for i in np.flatnonzero((table[place >> 3] >> (place & 7)) & 1).tolist():
-                    key = int(p.ids[i])
-                    if key not in seen:
-                        some = np.unique(p.shingles[p.first[i]:p.last[i] - (WIDTH - 1)])
-                        seen[key] = hashing.signatures(some, _ONE).astype("<u4").tobytes(), some.astype("<u8").tobytes()
-            yield pa.record_batch({
-                "id": pa.array(list(seen), pa.int64()), "signature": pa.array([s for s, _ in seen.values()], pa.binary()),
-                "set": pa.array([s for _, s in seen.values()], pa.binary()),
-            })
+                maybe = np.flatnonzero((table[place >> 3] >> (place & 7)) & 1)
+                # Equal paragraphs once.
+                maybe = maybe[np.unique(p.ids[maybe], return_index=True)[1]]
+                if not len(maybe):
+                    continue
+                places, starts = p.places(maybe)
+                items, whose = p.shingles[places], np.repeat(np.arange(len(maybe)), np.diff(np.append(starts, len(places))))
+                signatures = hashing.signatures(items, starts).astype("<u4")
+                order = np.lexsort((items, whose))
+                items = items[order]
+                fresh = np.append(True, (items[1:] != items[:-1]) | (whose[1:] != whose[:-1]))
+                sizes = np.bincount(whose[fresh], minlength=len(maybe))
+                yield pa.record_batch({
+                    "id": pa.array(p.ids[maybe], pa.int64()), "signature": _binary(signatures.ravel(), np.full(len(maybe), bands * rows)),
+                    "set": _binary(items[fresh].astype("<u8"), sizes),
+                })
 
     return docs.select("text").mapInArrow(run, "id long, signature binary, set binary")
 
 
-_ONE = np.zeros(1, np.int64)
-
-
 def _fringes(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """doc_id, first_word, before, after: 32-bit marks of the words around the runs that may be in ``ends`` (doc_id, id).
 
@@ -248,19 +322,20 @@ def _fringes(docs: DataFrame, ends: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            whose, first, before, after = [], [], [], []
-            for n, p in enumerate(p.find_runs() for p in _texts(batch)):
-                place = p.run_ids % bits
-                small = p.marks.astype("<u4")
-                for a in p.anchors[((table[place >> 3] >> (place & 7)) & 1).astype(bool)].tolist():
-                    whose.append(n)
-                    first.append(a)
-                    before.append(small[max(0, a - WINDOW):a][::-1].tobytes())
-                    after.append(small[a + MIN_PASSAGE:a + MIN_PASSAGE + WINDOW].tobytes())
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(pa.array(whose, pa.int64())), "first_word": pa.array(first, pa.int32()),
-                "before": pa.array(before, pa.binary()), "after": pa.array(after, pa.binary()),
-            })
+            for done, p in _texts(batch):
+                place = p.find_runs().run_ids % bits
+                maybe = ((table[place >> 3] >> (place & 7)) & 1).astype(bool)
+                anchors, whose, small = p.anchors[maybe], p.held_by[maybe], p.marks.astype("<u4")
+                after = anchors + MIN_PASSAGE
+                left = np.minimum(WINDOW, anchors - p.begin[whose])
+                right = np.minimum(WINDOW, p.begin[whose + 1] - after)
+                # The words before a run are numbered backwards.
+                back = len(small) - 1 - _spans(len(small) - anchors, left)
+                yield pa.record_batch({
+                    "doc_id": batch.column("doc_id").take(pa.array(done + whose, pa.int64())),
+                    "first_word": pa.array(anchors - p.begin[whose], pa.int32()),
+                    "before": _binary(small[back], left), "after": _binary(small[_spans(after, right)], right),
+                })
 
     wanted = maybe_in(docs, "doc_id", ends.select("doc_id").distinct(), "_maybe").where("_maybe").select("doc_id", "text")
     return wanted.mapInArrow(run, "doc_id long, first_word int, before binary, after binary")
@@ -268,15 +343,21 @@ def _fringes(docs: DataFrame, ends: DataFrame) -> DataFrame:
 
 def _alike(pairs: DataFrame) -> DataFrame:
     """doc_id, number, component_id, left and right: by how many equal words each run extends like its kept copy."""
-    def alike(one: bytes, other: bytes) -> int:
-        n = min(len(one), len(other)) // 4
-        same = np.frombuffer(one, "<u4", n) == np.frombuffer(other, "<u4", n)
-        return n if same.all() else int(same.argmin())
+    def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        sizes = pc.binary_length(column).to_numpy() // 4
+        table = np.zeros((len(sizes), WINDOW + 1), "<u4")
+        table[np.arange(WINDOW + 1) < sizes[:, None]] = np.frombuffer(b"".join(column.to_pylist()), "<u4")
+        return table, sizes
+
+    def alike(one: pa.Array, other: pa.Array) -> pa.Array:
+        (left, n), (right, m) = words(one), words(other)
+        same = (left == right) & (np.arange(WINDOW + 1) < np.minimum(n, m)[:, None])
+        # The place after the last word is never the same.
+        return pa.array(same.argmin(1), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = (zip(*(batch.column(c).to_pylist() for c in s), strict=True) for s in (("before", "_before"), ("after", "_after")))
-            left, right = (pa.array([alike(a, b) for a, b in side], pa.int32()) for side in sides)
+            left, right = (alike(batch.column(c), batch.column(f"_{c}")) for c in ("before", "after"))
             yield pa.record_batch({**{c: batch.column(c) for c in ("doc_id", "number", "component_id")}, "left": left, "right": right})
 
     return pairs.mapInArrow(run, "doc_id long, number int, component_id long, left int, right int")

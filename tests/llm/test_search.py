@@ -262,3 +262,20 @@ def test_short_lines_are_joined_to_paragraphs():
         assert len(set(p.ids.tolist()) & set(found[0].ids.tolist())) >= 7
     alone = paragraphs.Paragraphs(("\n".join([line(9), "one two", line(9)])).encode())
     assert (alone.last - alone.first).tolist() == [9, 9]
+
+
+def test_texts_are_worked_on_together_as_each_alone(monkeypatch):
+    """Paragraphs and runs of many texts at once, whose different words are hashed once."""
+    rng = random.Random(31)
+    piece = lambda: rng.choice(["a", "B", "c.", "d!", "\u00e9?", f"x{rng.randrange(50)}"]) + rng.choice([" ", "\n", " \t", "\r\n", "  ", " ", " "])
+    sizes = [0, 1, 4, 7, 8, 15, 17, 18, 19, 49, 50, 51, 90, 400]
+    texts = [None, b"", b"\n"] + [("".join(piece() for _ in range(rng.choice(sizes)))).encode() for _ in range(300)] + [b"", None]
+    hashed, marks = [], paragraphs.word_marks
+    monkeypatch.setattr(paragraphs, "word_marks", lambda words: hashed.append(len(words)) or marks(words))
+    together = paragraphs.Paragraphs(*texts).find_runs().rows()
+    assert hashed == [len({w for t in texts for w in (t or b"").lower().split()})]
+    for n, text in enumerate(texts):
+        alone = paragraphs.Paragraphs(text).find_runs().rows()
+        own = together["whose"] == n
+        for name in alone.keys() - {"whose"}:
+            assert together[name][own].tolist() == alone[name].tolist()
