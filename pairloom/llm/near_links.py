@@ -67,6 +67,7 @@ def linked_components(
     rest = tables.save(attach(marked, mixed, "bucket", "n", total).where(F.col("n").isNotNull()))
     tables.drop(marked, members)
     more = tables.save(_crossing(rest, known, bands, rows, per_cent, bounds))
+    tables.drop(rest, known, ids, shared, mixed)
     return components(links.unionByName(more), tables)
 
 

@@ -383,10 +383,10 @@ def _extended(docs: DataFrame, found: DataFrame, total: int, tables: Workspace)
     fringes = tables.save(_fringes(docs, both))
     ours = ends.join(fringes, ["doc_id", "first_word"])
     places = ends.select("component_id", "n_copies", F.col("_kept.doc_id").alias("doc_id"), F.col("_kept.first_word").alias("first_word")).distinct()
-    theirs = places.join(fringes, ["doc_id", "first_word"]).select(
+    theirs = tables.save(places.join(fringes, ["doc_id", "first_word"]).select(
         "component_id", "n_copies", F.col("before").alias("_before"), F.col("after").alias("_after")
-    )
-    sides = _alike(attach(ours.drop("n_copies"), tables.save(theirs), "component_id", "n_copies", total).where(F.col("_before").isNotNull()))
+    ))
+    sides = _alike(attach(ours.drop("n_copies"), theirs, "component_id", "n_copies", total).where(F.col("_before").isNotNull()))
     wide = runs.select("doc_id", "number", "component_id", "_kept", (F.col("_wide") - F.col("n_words")).alias("_more")).join(
         sides.drop("component_id"), ["doc_id", "number"], "left"
     )
@@ -394,6 +394,7 @@ def _extended(docs: DataFrame, found: DataFrame, total: int, tables: Workspace)
         "doc_id", "number", "_kept", F.coalesce("left", F.lit(0)).alias("left"),
         F.greatest("_more", F.coalesce("right", F.lit(0))).alias("right"),
     ))
+    tables.drop(runs, ends, fringes, theirs)
     first = wide.groupBy(F.col("_kept.doc_id").alias("doc_id"), F.col("_kept.number").alias("number")).agg(
         F.max("left").alias("left"), F.max("right").alias("right")
     )
@@ -437,7 +438,7 @@ def repeated_passages(
     docs = require_columns(docs, ["doc_id", "text"]).where(F.col("doc_id").isNotNull())
     tables = tables or Workspace(docs.sparkSession, "passages")
     # Paragraphs and runs are stored apart, so banding doesn't read the many runs.
-    seen = tables.save(_occurrences(docs, bands, rows), "run")
+    every = seen = tables.save(_occurrences(docs, bands, rows), "run")
     apart = lambda x, i: F.shiftleft(i.cast("long"), 32) + x  # noqa: E731  bands don't share buckets
     size = [F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")]
     once = tables.save(seen.where(~F.col("run")).groupBy("id").agg(*size))
@@ -453,6 +454,7 @@ def repeated_passages(
     total, seen = max(1, seen.count()), seen.drop("bands")
     near = maybe_in(seen, "id", known, "_maybe").where("_maybe").drop("_maybe")
     placed = tables.save(attach(near, known, "id", "_n", total).where(F.col("component_id").isNotNull()).drop("_n"))
+    tables.drop(every, once, found, known)
     place = F.struct("doc_id", "number", "first_word", "step")
     groups = placed.groupBy("component_id").agg(
         F.count(F.lit(1)).alias("n_copies"), F.min(place).alias("_kept"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")
