@@ -204,6 +204,12 @@ def _folded(asked: DataFrame) -> DataFrame:
     return asked.withColumn("same", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>"), weights), 256))
 
 
+def _asked_lists(index: InvertedIndex, asked: DataFrame) -> DataFrame:
+    """The lists of terms that some query has, and the row keys; terms are no more than the vocabulary, which is broadcast too."""
+    terms = asked.select(F.explode("ids").alias("term_id")).unionByName(asked.sparkSession.sql("select -1 as term_id")).distinct()
+    return index.lists.join(F.broadcast(terms), "term_id", "left_semi")
+
+
 def _search(index: InvertedIndex, asked: DataFrame, k: int) -> DataFrame:
     """query, key, score: the best ``k`` of each segment that a query is sent to; ``least`` may be null."""
     kind = asked.schema["query"].dataType.simpleString()
@@ -218,7 +224,7 @@ def _search(index: InvertedIndex, asked: DataFrame, k: int) -> DataFrame:
         columns = [[x for p in part for x in p] for part in zip(*parts, strict=True)]
         return pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in zip(("query", "key", "score"), columns, strict=True)})
 
-    lists, here = index.lists.drop("highest"), asked.repartition(index.n_buckets, "segment")
+    lists, here = _asked_lists(index, asked).drop("highest"), asked.repartition(index.n_buckets, "segment")
     return lists.groupBy("segment").cogroup(here.groupBy("segment")).applyInPandas(
         run, f"query {kind}, key {index.row_type}, score double"
     )
@@ -236,7 +242,7 @@ def _bounds(index: InvertedIndex, asked: DataFrame) -> DataFrame:
         out = pd.DataFrame({"query": some["query"].to_numpy(), "segment": int(lists["segment"].iloc[0]), "bound": bounds})
         return out[out["bound"] > 0]
 
-    maxima = index.lists.where("term_id >= 0").select("segment", "term_id", "highest")
+    maxima = _asked_lists(index, asked).where("term_id >= 0").select("segment", "term_id", "highest")
     everywhere = asked.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(index.n_segments - 1))))
     everywhere = everywhere.repartition(index.n_buckets, "segment")
     return maxima.groupBy("segment").cogroup(everywhere.groupBy("segment")).applyInPandas(

@@ -65,10 +65,10 @@ def build_index(docs: DataFrame, level: str = "text", max_features: int = 50_000
     shared folder) and stay there for every later query.
     """
     texts = docs.select("row_id", "q")
-    # Read for the vocabulary and again for the vectors.
-    counts = cut_lineage(tfidf.term_counts(texts, "row_id", X.word_tokens(F.col("q"))))
-    vocab = cut_lineage(tfidf.vocabulary(counts, texts, max_features))
-    vectors = cut_lineage(tfidf.unit_vectors(counts, vocab, "row_id", sublinear=True))
+    # Read for repeated ids, for the vocabulary and for the vectors.
+    lists = tfidf.merged_lists(cut_lineage(tfidf.term_lists(texts, "row_id", X.word_tokens(F.col("q")))), "row_id")
+    vocab = cut_lineage(tfidf.list_vocabulary(lists, texts, max_features))
+    vectors = cut_lineage(tfidf.list_vectors(lists, vocab, "row_id", sublinear=True))
     return Retriever(vocab, inverted.write_index(vectors, path), docs, level)
 
 

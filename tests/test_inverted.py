@@ -84,6 +84,13 @@ def test_no_row_of_the_index_is_shuffled(spark, tmp_path):
         assert all("segment" not in line or "FileScan" not in line for line in left[left.index("Exchange"):].splitlines())
 
 
+def test_only_lists_of_asked_terms_are_read(spark, tmp_path):
+    rows = [(i, [i % 50, 60 + i % 7], [0.6, 0.8]) for i in range(300)]
+    index = inverted.write_index(table(spark, rows, "row_id"), str(tmp_path / "index"), per_segment=200)
+    asked = inverted._asked(table(spark, [(1, [3, 62], [0.6, 0.8]), (2, [99], [1.0])], "query_id"), "query_id")
+    assert {r["term_id"] for r in inverted._asked_lists(index, asked).collect()} == {-1, 3, 62}
+
+
 def test_fillers(spark):
     found = spark.createDataFrame([(1, 5, 0.9, 1), (1, 0, 0.4, 2), (2, 3, 0.2, 1)], "query_id int, row_id long, score double, rank int")
     asked = spark.createDataFrame([(1,), (2,), (3,), (3,)], "query_id int")

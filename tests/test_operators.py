@@ -191,6 +191,27 @@ def random_sparse(rng, n, terms=30):
     return out
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_term_lists_give_the_vectors_of_term_counts(spark, repeated):
+    """Counted per row and without a shuffle of texts; rows of a repeated or null key count as one."""
+    rng = np.random.default_rng(9)
+    rows = [(f"k{i}", " ".join(f"w{rng.integers(40)}" for _ in range(rng.integers(30)))) for i in range(80)] + [("none", None), ("", "W1 w1 \u00c9t\u00e9")]
+    rows += [(None, "w1 w2 w2"), (None, "w2 w77"), ("k3", "w1 w5")] if repeated else []
+    docs = spark.createDataFrame(rows, "row_id string, q string").repartition(3)
+    terms = X.word_tokens(F.col("q"))
+    listed = tfidf.term_lists(docs.coalesce(1), "row_id", terms)
+    assert "Exchange hash" not in listed._jdf.queryExecution().executedPlan().toString()
+    lists = tfidf.merged_lists(listed, "row_id")
+    vocab = tfidf.list_vocabulary(lists, docs, 35)
+    expected_vocab, expected = tfidf.fit_transform(docs, "row_id", terms, 35, sublinear=True)
+    assert sorted(vocab.collect()) == sorted(expected_vocab.collect())
+    by_key = lambda df: {r["row_id"]: (r["ids"], r["weights"]) for r in df.collect()}
+    found, plain = by_key(tfidf.list_vectors(lists, vocab, "row_id", sublinear=True)), by_key(expected)
+    assert found.keys() == plain.keys() and "none" not in found
+    for k, (ids, weights) in plain.items():
+        assert found[k][0] == ids and np.allclose(found[k][1], weights, rtol=0, atol=1e-12)
+
+
 def test_nearest_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(blocks, "ROWS_PER_BLOCK", 16)
     monkeypatch.setattr(blocks, "QUERIES_PER_BLOCK", 4)
