@@ -17,6 +17,8 @@ from pairloom.session import Workspace
 BATCH = 16
 # Members of a bucket that meet others in one task.
 BLOCK = 512
+# Pairs whose signatures are compared together.
+PAIRS = 16_384
 
 # Given a table of ids, at least one row for each of them: id, signature (little-endian 32-bit
 # minima) and set (sorted 64-bit fingerprints), both as bytes.
@@ -29,7 +31,8 @@ def linked_components(
     """node and component of every item that is linked to another.
 
     ``items`` has a long ``id`` and ``buckets``, an array of a long bucket key per
-    band; an item may come several times. Items are linked if 100 * intersection
+    band, or of int keys, which are told apart by the band; an item may come several
+    times. Items are linked if 100 * intersection
     >= per_cent * union of their sets. Items that share a bucket are candidates;
     their signatures of ``bands * rows`` minima are compared batch by batch and
     given up once a link is less likely than ``miss``; the rest is verified on
@@ -43,6 +46,8 @@ def linked_components(
     out, and the rows made grow with the members and not with their pairs.
     """
     banded = items.select("id", F.posexplode("buckets").alias("band", "bucket"))
+    if dict(items.dtypes)["buckets"] == "array<int>":
+        banded = banded.withColumn("bucket", F.shiftleft(F.col("band").cast("long"), 32) + F.col("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("centre"), F.max("id").alias("_top"))
     shared = tables.save(shared.where(F.col("centre") != F.col("_top")).drop("_top"))
     near = maybe_in(banded, "bucket", shared, "_maybe").where("_maybe").select("bucket", "band", "id").distinct()
@@ -129,49 +134,86 @@ def _crossing(
     dealt = dealt.select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "band", "own", "id", "label",
         "signature", "set",
-    ).repartition(*key).sortWithinPartitions(*key)
-
-    def meet(group: list[tuple]) -> list[tuple[int, int]]:
-        low, high, band = group[0][1:4]
-        if len({r[6] for r in group}) < 2:
-            return []
-        first, second = [r for r in group if r[4] == low], [r for r in group if r[4] == high]
-        ids, roots = np.array([r[5] for r in second], np.int64), np.array([r[6] for r in second], np.int64)
-        right = np.frombuffer(b"".join([r[7] for r in second]), "<u4").reshape(len(second), bands * rows) if second else None
-        joined, out = {}, []
-        for _, _, _, _, _, own, label, signature, own_set in first if second else ():
-            while label in joined:
-                label = joined[label]
-            # Within one block each two meet once.
-            other = np.flatnonzero((roots != label) & (ids > own) if low == high else roots != label)
-            left = np.frombuffer(signature, "<u4")
-            other = other[likely(np.broadcast_to(left, (len(other), len(left))), right[other], bounds)]
-            if len(other):
-                same = (right[other].reshape(-1, bands, rows) == left.reshape(bands, rows)).all(2)
-                other = other[same.argmax(1) == band]
-            if len(other):
-                sets = [np.frombuffer(second[i][8], "<u8") for i in other.tolist()]
-                for i in other[linked(np.frombuffer(own_set, "<u8"), sets, per_cent)].tolist():
-                    if roots[i] != label:
-                        out.append((min(own, int(ids[i])), max(own, int(ids[i]))))
-                        joined[int(roots[i])] = label
-                        roots[roots == roots[i]] = label
-        return out
+    ).repartition(*key).sortWithinPartitions(*key, "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[0][:3] != row[:3]:
-                    out += meet(group)
-                    group = []
-                group.append(row)
-            yield _edges(out)
-        yield _edges(meet(group) if group else [])
+        held: list[pa.RecordBatch] = []
+        for batch in filter(len, batches):
+            starts = _groups(batch)
+            # The last group of a batch may go on in the next.
+            if held and len(starts) and _same(held[0], batch):
+                starts = starts[1:]
+            elif held:
+                yield _edges(_met(held, bands, rows, per_cent, bounds))
+                held = []
+            if len(starts):
+                yield _edges(_met([*held, batch.slice(0, starts[-1])], bands, rows, per_cent, bounds))
+                held = []
+                batch = batch.slice(starts[-1])
+            if len(batch):
+                held.append(batch)
+        yield _edges(_met(held, bands, rows, per_cent, bounds) if held else [])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _groups(batch: pa.RecordBatch) -> np.ndarray:
+    """Where the groups of equal bucket, low and high begin."""
+    fresh = np.arange(len(batch)) == 0
+    for name in ("bucket", "low", "high"):
+        values = batch.column(name).to_numpy()
+        fresh[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _same(one: pa.RecordBatch, other: pa.RecordBatch) -> bool:
+    return all(one.column(name)[0] == other.column(name)[0] for name in ("bucket", "low", "high"))
+
+
+def _met(batches: list[pa.RecordBatch], bands: int, rows: int, per_cent: int, bounds: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links of whole groups that join different labels; the pairs of many groups are compared together."""
+    batch = pa.concat_batches(batches)
+    if not len(batch):
+        return []
+    low, high, own, band, ids = (batch.column(c).to_numpy() for c in ("low", "high", "own", "band", "id"))
+    roots = batch.column("label").to_numpy().copy()
+    packed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4").reshape(len(batch), bands * rows)
+    sets = batch.column("set")
+    starts = _groups(batch)
+    sizes = np.diff(np.append(starts, len(batch)))
+    # A row meets the rows after it in its own block, or all rows of the other block, which come last.
+    upper = np.repeat(starts + np.add.reduceat(own == low, starts, dtype=np.int64), sizes)
+    begin = np.where(low == high, np.arange(len(batch)) + 1, upper)
+    counts = np.where(own == low, np.repeat(starts + sizes, sizes) - begin, 0)
+    before, at, out = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts))), 0, []
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
+        one = np.repeat(np.arange(at, to), counts[at:to])
+        other = np.arange(len(one)) + np.repeat(begin[at:to] - (before[at:to] - before[at]), counts[at:to])
+        at = to
+        apart = roots[one] != roots[other]
+        one, other = one[apart], other[apart]
+        alive = likely(packed, packed, bounds, one, other)
+        one, other = one[alive], other[alive]
+        same = (packed[one] == packed[other]).reshape(-1, bands, rows).all(2)
+        first = same.argmax(1) == band[one]
+        one, other = one[first], other[first]
+        cuts = np.flatnonzero(np.diff(one, prepend=-1))
+        for i, some in zip(one[cuts].tolist(), np.split(other, cuts[1:]), strict=False):
+            some = some[roots[some] != roots[i]]
+            if not len(some):
+                continue
+            linked_to = linked(_set(sets[i]), [_set(sets[j]) for j in some.tolist()], per_cent)
+            for j in some[linked_to].tolist():
+                if roots[j] != roots[i]:
+                    out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+                    roots[roots == roots[j]] = roots[i]
+    return out
+
+
+def _set(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), "<u8")
+
+
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})

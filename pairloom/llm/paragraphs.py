@@ -439,10 +439,9 @@ def repeated_passages(
     tables = tables or Workspace(docs.sparkSession, "passages")
     # Paragraphs and runs are stored apart, so banding doesn't read the many runs.
     every = seen = tables.save(_occurrences(docs, bands, rows), "run")
-    apart = lambda x, i: F.shiftleft(i.cast("long"), 32) + x  # noqa: E731  bands don't share buckets
     size = [F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")]
     once = tables.save(seen.where(~F.col("run")).groupBy("id").agg(*size))
-    items = seen.where(~F.col("run")).select("id", F.transform("bands", apart).alias("buckets"))
+    items = seen.where(~F.col("run")).select("id", F.col("bands").alias("buckets"))
     details = lambda ids: _details(docs, ids, once.select("id", F.col("_low").alias("doc_id")), bands, rows)
     found = linked_components(items, details, bands, rows, per_cent, miss, tables)
     found = tables.save(found.select(F.col("node").alias("id"), "component"))

@@ -90,13 +90,17 @@ def posterior_bounds(size: int, batch: int, threshold: float, miss: float) -> li
     return out
 
 
-def likely(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
-    """Rows of two signature matrices that no batch gives up, as indexes."""
-    alive, matches, done = np.arange(len(left)), np.zeros(len(left), np.int64), 0
+def likely(
+    left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]], one: np.ndarray | None = None, other: np.ndarray | None = None
+) -> np.ndarray:
+    """Pairs of rows of two signature matrices that no batch gives up, as indexes: row by row, or rows ``one`` and ``other``."""
+    if one is None or other is None:
+        one = other = np.arange(len(left))
+    alive, matches, done = np.arange(len(one)), np.zeros(len(one), np.int64), 0
     for n, fewest in bounds:
         if not len(alive):
             break
-        matches = matches + (left[alive, done:n] == right[alive, done:n]).sum(1)
+        matches = matches + (left[one[alive], done:n] == right[other[alive], done:n]).sum(1)
         stays = matches >= fewest
         alive, matches, done = alive[stays], matches[stays], n
     return alive

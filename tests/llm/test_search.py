@@ -5,11 +5,12 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from pairloom.llm import near_dedup, nearest, paragraphs, shingles, url_filter
+from pairloom.llm import near_dedup, near_links, nearest, paragraphs, shingles, url_filter
 from pairloom.llm.components import components
 from pairloom.session import Workspace
 
@@ -156,6 +157,66 @@ def test_near_groups_of_odd_and_hot_rows(spark, odd_docs):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {d for d, v in found.items() if v[2]}
 
 
+def test_members_of_many_buckets_meet_together(monkeypatch):
+    """Links join the same labels as each two members one by one; few groups need no call each."""
+    monkeypatch.setattr(near_links, "PAIRS", 200)
+    rng, hashing, rows = random.Random(4), shingles.MinHash(4, 2), []
+    bounds = shingles.posterior_bounds(8, 4, 0.5, 1e-9)
+    for bucket in range(60):
+        base = [rng.randrange(1 << 40) for _ in range(12)]
+        for i in range(rng.choice([2, 3, 30]) if bucket else 1):
+            own = np.unique(np.array(base[:rng.randrange(4, 12)] + [rng.randrange(1 << 40) for _ in range(3)], np.uint64))
+            two = bucket % 2
+            rows.append((bucket, 0, two, rng.randrange(4), rng.randrange(2) if two else 0, 1000 * bucket + i, 1000 * bucket + i // 2,
+                hashing.signatures(own, np.zeros(1, np.int64)).astype("<u4").tobytes(), own.astype("<u8").tobytes()))
+    rows.sort(key=lambda r: (*r[:3], r[4]))
+    names = ["bucket", "low", "high", "band", "own", "id", "label", "signature", "set"]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names)
+    calls, real = [], shingles.likely
+    monkeypatch.setattr(near_links, "likely", lambda *a: calls.append(1) or real(*a))
+    found = near_links._met([batch.slice(0, 7), batch.slice(7)], 4, 2, 50, bounds)
+    assert 0 < len(calls) < len(rows) / 4
+    links, every = [], {r[6] for r in rows}
+    for x in rows:
+        for y in rows:
+            if x[0] != y[0] or x[5] >= y[5] or x[6] == y[6] or x[2] and x[4] == y[4]:
+                continue
+            a, b = (np.frombuffer(r[7], "<u4").reshape(1, -1) for r in (x, y))
+            p, q = (set(np.frombuffer(r[8], "<u8").tolist()) for r in (x, y))
+            same = (a == b).reshape(4, 2).all(1)
+            if len(real(a, b, bounds)) and same.argmax() == (x if x[4] <= y[4] and (x[2] or x[5] < y[5]) else y)[3] and 100 * len(p & q) >= 50 * len(p | q):
+                links.append((x, y))
+    label = {r[5]: r[6] for r in rows}
+    want = brute.union_find(every, [(x[6], y[6]) for x, y in links])
+    assert links and brute.union_find(every, [(label[a], label[b]) for a, b in found]) == want
+    assert len(found) == len(every) - len(set(want.values()))
+
+
+def test_groups_that_reach_over_batches(spark):
+    name, rng = "spark.sql.execution.arrow.maxRecordsPerBatch", random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    docs = {}
+    for i in range(60):
+        base = base[3:] + [f"w{rng.randrange(9000)}" for _ in range(3)]
+        docs[i] = " ".join(base)
+    before = spark.conf.get(name)
+    spark.conf.set(name, 3)
+    try:
+        found = {r["doc_id"]: tuple(r)[1:] for r in near_dedup.near_groups(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert found == near_by_hand(docs)
+
+
+def test_bands_of_paragraphs_are_numbered_in_generated_code(spark, monkeypatch):
+    """Bands leave the table as they are stored: no function runs on each array in between."""
+    seen, real = [], paragraphs.linked_components
+    monkeypatch.setattr(paragraphs, "linked_components", lambda items, *a: seen.append(items) or real(items, *a))
+    docs = spark.createDataFrame([(i, "the same line of ten words stands in all texts") for i in range(3)], "doc_id long, text string")
+    assert paragraphs.repeated_passages(docs, min_passage=8).count() == 3
+    assert dict(seen[0].dtypes)["buckets"] == "array<int>"
+
+
 def test_near_copies_are_dropped_row_by_row(spark):
     """A near copy and a text of its own under one id, copies without an id, and repeated rows."""
     text = " ".join(f"w{i}" for i in range(60))
