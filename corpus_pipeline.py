@@ -5,34 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm import exact_dedup, mixing, near_dedup, quality, tokens
-from pairloom.session import Workspace, ship_package
+from pairloom.session import Workspace, bound_batches, ship_package
 
 MODEL = "piece_bpe_32k.model"
 # Stages rest on a fitted classifier, signatures and a tokenizer, which SQL can't express.
 ORACLE_SQL = None
 
 
+def _prepare(spark: SparkSession) -> None:
+    """The package on the executors, and batches of texts that leave the rest of their memory to Spark."""
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose best grade is likelier than not, by a model of the labelled ones."""
-    ship_package(spark)
+    _prepare(spark)
     return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest doc_id."""
-    ship_package(spark)
+    _prepare(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id."""
-    ship_package(spark)
+    _prepare(spark)
     return near_dedup.drop_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it: not at all, once or twice."""
-    ship_package(spark)
+    _prepare(spark)
     return mixing.mixed(docs)
 
 
@@ -40,7 +46,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text, per document."""
     import public_tokenizers
 
-    ship_package(spark)
+    _prepare(spark)
     return tokens.encode_digests(docs, public_tokenizers.path(MODEL))
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
+# Whole texts, or rows as large, that a Python worker is sent at a time.
+ROWS_PER_BATCH = 1_024
+
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -94,6 +97,18 @@ def cut_lineage(df: DataFrame, tables: Workspace | None = None) -> DataFrame:
     return (tables or Workspace(df.sparkSession)).save(df)
 
 
+def bound_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
+    """Send at most ``rows`` rows at a time to Python workers from now on; a smaller setting stays.
+
+    Spark's 10,000 rows of whole texts or of their sets are held several times over
+    at once: as Arrow buffers outside the heap of each executor, as what the worker
+    reads and as what it makes. No result depends on where batches end.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 

@@ -161,6 +161,21 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(stage(spark, none, sf).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+@pytest.mark.parametrize("own, want", [(10_000, 1_024), (0, 1_024), (100, 100)])
+def test_pipeline_sends_bounded_batches(spark, own, want):
+    """Python gets some whole texts at a time, at most as many as the session allows."""
+    name, sf = "spark.sql.execution.arrow.maxRecordsPerBatch", "/root/testdata/sf0.001"
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text")).coalesce(1)
+    before = spark.conf.get(name)
+    spark.conf.set(name, own)
+    try:
+        stage = corpus_pipeline.token_stage(spark, docs, sf)
+        sizes = docs.mapInArrow(lambda batches: (b.slice(0, 0) if b.num_rows <= want else b for b in batches), docs.schema).count()
+        assert (stage.count(), sizes, int(spark.conf.get(name))) == (3000, 0, want)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     """Nulls in every column, repeated rows and ids, and columns that clash with the stages' own, through all stages."""
     text = " ".join(f"word{i}" for i in range(40))
